@@ -21,8 +21,6 @@ that carries it, and records that share no key leave before the first round.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -265,7 +263,3 @@ def merge_stats(projects: DataFrame, assignment: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("records"),
         F.count_if(F.col("ord") == F.col("label")).alias("clusters"),
     )
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

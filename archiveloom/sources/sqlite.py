@@ -1,0 +1,91 @@
+"""SQLite files as a Spark source, read in row-id ranges by the executors.
+
+The file must lie on a file system that driver and executors share. It is opened read-only.
+"""
+
+from __future__ import annotations
+
+import sqlite3
+
+from pyspark.sql import DataFrame, SparkSession
+
+FORMAT = "sqlite_table"
+
+
+def _open(path: str) -> sqlite3.Connection:
+    return sqlite3.connect(f"file:{path}?mode=ro", uri=True)
+
+
+def sqlite_tables(path: str) -> list[str]:
+    with _open(path) as db:
+        found = db.execute("select name from sqlite_master where type = 'table'").fetchall()
+    return [name for (name,) in found if not name.startswith("sqlite_")]
+
+
+def _columns(path: str, table: str) -> list[str]:
+    with _open(path) as db:
+        return [row[1] for row in db.execute(f"pragma table_info('{table}')")]
+
+
+def _source_class():
+    """The data source, defined here so that it travels to the executors by value."""
+    import sqlite3
+
+    from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+    class Range(InputPartition):
+        def __init__(self, low, high):
+            self.low, self.high = low, high
+
+    class Reader(DataSourceReader):
+        def __init__(self, options, names):
+            self.path, self.table = options["path"], options["table"]
+            self.pieces = int(options.get("partitions", "8"))
+            self.names = names
+
+        def open(self):
+            return sqlite3.connect(f"file:{self.path}?mode=ro", uri=True)
+
+        def partitions(self):
+            with self.open() as db:
+                low, high = db.execute(
+                    f'select min(rowid), max(rowid) from "{self.table}"'
+                ).fetchone()
+            if low is None:
+                return [Range(0, 0)]
+            step = max(1, -(-(high - low + 1) // self.pieces))
+            return [Range(a, min(a + step, high + 1)) for a in range(low, high + 1, step)]
+
+        def read(self, part):
+            picked = ", ".join(f'"{n}"' for n in self.names)
+            with self.open() as db:
+                rows = db.execute(
+                    f'select {picked} from "{self.table}" where rowid >= ? and rowid < ? order by rowid',
+                    (part.low, part.high),
+                )
+                for row in rows:
+                    # declared types are not enforced in the file, so values travel as text
+                    yield tuple(None if v is None else str(v) for v in row)
+
+    class SqliteTable(DataSource):
+        @classmethod
+        def name(cls):
+            return "sqlite_table"
+
+        def reader(self, schema):
+            return Reader(self.options, schema.names)
+
+    return SqliteTable
+
+
+def read_sqlite(spark: SparkSession, path: str, table: str, partitions: int = 8) -> DataFrame:
+    """A table of a SQLite file, every column as text; typed by the harmonisation."""
+    spark.dataSource.register(_source_class())
+    schema = ", ".join(f"`{c}` string" for c in _columns(path, table))
+    return (
+        spark.read.format(FORMAT)
+        .schema(schema)
+        .option("table", table)
+        .option("partitions", str(partitions))
+        .load(path)
+    )
