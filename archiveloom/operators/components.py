@@ -18,17 +18,18 @@ from archiveloom.operators.skew import hot_keys, lookup_join
 from archiveloom.staging import StagingArea
 
 
-def key_edges(projects: DataFrame) -> DataFrame:
+def key_edges(keys: DataFrame) -> DataFrame:
     """(hi, lo): every record to the smallest record with the same URL, DOI or title key.
 
-    Here the title key goes with the record's own repository. One edge per record and key.
+    ``keys`` is :func:`match_keys`; the title key goes with the record's own repository. One
+    edge per record and key.
     """
-    keys = F.array(
-        F.struct(F.lit("url").alias("tier"), F.col("url_key").alias("key"), F.lit(0).cast("bigint").alias("k2")),
-        F.struct(F.lit("doi").alias("tier"), F.col("doi_key").alias("key"), F.lit(0).cast("bigint").alias("k2")),
-        F.struct(F.lit("title").alias("tier"), F.col("title_key").alias("key"), F.col("repo").alias("k2")),
+    none = F.lit(0).cast("bigint")
+    tier = lambda name, key, k2: F.struct(F.lit(name).alias("tier"), F.col(key).alias("key"), k2.alias("k2"))
+    tiers = F.array(
+        tier("url", "url_key", none), tier("doi", "doi_key", none), tier("title", "title_key", F.col("repo"))
     )
-    carried = match_keys(projects).select("ord", F.inline(keys)).where(
+    carried = keys.select("ord", F.inline(tiers)).where(
         F.col("key").isNotNull() & F.col("k2").isNotNull()
     )
     on = ["tier", "key", "k2"]
@@ -37,13 +38,16 @@ def key_edges(projects: DataFrame) -> DataFrame:
         .agg(F.min("ord").alias("lo"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
     )
-    hot = hot_keys(smallest, on, "n")
-    linked = lookup_join(carried, smallest.drop("n"), on, ["ord"], hot)
+    linked = lookup_join(carried, smallest.drop("n"), on, ["ord"], hot_keys(smallest, on, "n"))
     return linked.where("ord > lo").select(F.col("ord").alias("hi"), "lo").distinct()
 
 
-def _star(edges: DataFrame, hub: str, smallest: DataFrame, top: int) -> DataFrame:
-    if top <= skew.HOT_ROWS:
+def _star(edges: DataFrame, n_edges: int, hub: str, smallest: DataFrame) -> DataFrame:
+    """Edges with the smallest node around their hub; hubs of many edges are sliced.
+
+    With fewer edges than one slice holds there can be no such hub.
+    """
+    if n_edges <= skew.HOT_ROWS:
         return edges.join(smallest.drop("n"), hub)
     spread = ["lo" if hub == "hi" else "hi"]
     return lookup_join(edges, smallest.drop("n"), [hub], spread, hot_keys(smallest, [hub], "n"))
@@ -52,36 +56,32 @@ def _star(edges: DataFrame, hub: str, smallest: DataFrame, top: int) -> DataFram
 def components(edges: DataFrame, staging: StagingArea | None = None) -> DataFrame:
     """(node, component) for every node on an edge; a component is named by its smallest node."""
     staging = staging or StagingArea(edges.sparkSession, "components")
-    digest = lambda: {
-        "n": F.count(F.lit(1)),
-        "h": F.bit_xor(F.xxhash64("hi", "lo")),
-    }
-    edges, before = staging.write(edges, "edges", **digest())
+    count = F.count(F.lit(1))
+    digest = {"n": count, "h": F.bit_xor(F.xxhash64("hi", "lo"))}
+    edges, before = staging.write(edges, "edges", **digest)
     round_no = 0
     while before["n"]:
         both = edges.union(edges.select("lo", "hi")).toDF("hi", "lo")
         near = (
             both.groupBy("hi")
-            .agg(F.min("lo").alias("m"), F.count(F.lit(1)).alias("n"))
+            .agg(F.min("lo").alias("m"), count.alias("n"))
             .select(F.col("hi").alias("lo"), F.least("hi", "m").alias("m"), "n")
         )
-        near, size = staging.write(near, f"near-{round_no}", top=F.max("n"))
         large = (
-            _star(edges, "lo", near, size["top"])
+            _star(edges, before["n"], "lo", near)
             .select("hi", F.col("m").alias("lo"))
             .distinct()
         )
-        large, _ = staging.write(large, f"large-{round_no}")
-        below = large.groupBy("hi").agg(F.min("lo").alias("m"), F.count(F.lit(1)).alias("n"))
-        below, size = staging.write(below, f"below-{round_no}", top=F.max("n"))
+        large, size = staging.write(large, f"large-{round_no}", n=count)
+        below = large.groupBy("hi").agg(F.min("lo").alias("m"), count.alias("n"))
         small = (
-            _star(large, "hi", below, size["top"])
+            _star(large, size["n"], "hi", below)
             .where("lo > m")
             .select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
             .union(below.select("hi", F.col("m").alias("lo")))
             .distinct()
         )
-        edges, after = staging.write(small, f"small-{round_no}", **digest())
+        edges, after = staging.write(small, f"small-{round_no}", **digest)
         if after == before:
             break
         before, round_no = after, round_no + 1
@@ -96,7 +96,9 @@ def link_components(projects: DataFrame, staging: StagingArea | None = None) ->
     This is the closure of the match relation. The merge itself is finer; use this to audit
     it or, knowingly, as a coarser merge.
     """
-    linked = components(key_edges(projects), staging).withColumnRenamed("node", "ord")
-    return projects.select("ord").join(linked, "ord", "left").select(
+    staging = staging or StagingArea(projects.sparkSession, "components")
+    keys, _ = staging.write(match_keys(projects), "keys")
+    linked = components(key_edges(keys), staging).withColumnRenamed("node", "ord")
+    return keys.select("ord").join(linked, "ord", "left").select(
         "ord", F.coalesce("component", "ord").alias("component")
     )

@@ -20,16 +20,16 @@ STOP_WORDS = (
 TAGS = 5
 
 
-def candidate_words(text: Column) -> Column:
+def is_candidate(word: Column) -> Column:
     """Words of two or more characters that are not function words."""
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    return F.filter(words(text), lambda w: (F.length(w) >= 2) & ~F.array_contains(stop, w))
+    return (F.length(word) >= 2) & ~word.isin(*STOP_WORDS)
 
 
 def word_counts(fragments: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, word, tf) over all fragments of a key."""
     return (
-        fragments.select(key, F.explode(candidate_words(F.col(text))).alias("word"))
+        fragments.select(key, F.explode(words(F.col(text))).alias("word"))
+        .where(is_candidate(F.col("word")))
         .groupBy(key, "word")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -42,7 +42,8 @@ def word_scores(fragments: DataFrame, key: str, text: str = "text") -> DataFrame
     """
     counts = word_counts(fragments, key, text)
     frequency = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    documents = counts.agg(F.count_distinct(key)).scalar()
+    # all documents, from the key column alone: the texts are split once
+    documents = fragments.agg(F.count_distinct(key)).scalar()
     hot = hot_keys(frequency, ["word"], "df")
     scored = lookup_join(counts, frequency, ["word"], [key], hot)
     return scored.withColumn(

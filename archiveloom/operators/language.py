@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from archiveloom.functions.text import words
-
 # Common function words per language
 FUNCTION_WORDS = {
     "de": ("der", "die", "das", "und", "ist", "nicht", "mit", "den", "von", "ein", "eine", "zu", "auf", "für"),
@@ -19,14 +17,14 @@ FUNCTION_WORDS = {
 def language_votes(text: Column) -> Column:
     """array<struct<votes, rank, lang>>: how many words of a text each language claims.
 
-    Row-local: the whole text is read where it lies and nothing is shuffled. The word
-    lists are fixed and short.
+    Row-local: the whole text is read where it lies and nothing is shuffled. One regular
+    expression per language counts its words between characters that are no letter or
+    digit, which is several times faster than splitting the text and testing each word.
     """
-    found = words(text)
     votes = []
     for rank, (lang, vocabulary) in enumerate(sorted(FUNCTION_WORDS.items())):
-        known = F.array(*[F.lit(w) for w in vocabulary])
-        hits = F.size(F.filter(found, lambda w: F.array_contains(known, w)))
+        pattern = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(vocabulary)})(?![\p{{L}}\p{{N}}])"
+        hits = F.regexp_count(F.lower(text), F.lit(pattern))
         # a lower rank wins a tie, hence the minus
         votes.append(
             F.struct(hits.alias("votes"), F.lit(-rank).alias("rank"), F.lit(lang).alias("lang"))

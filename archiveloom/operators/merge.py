@@ -56,10 +56,10 @@ def _struct(tier: int, k1: Column, k2: Column, *more: Column) -> Column:
     return F.struct(F.lit(tier).alias("tier"), k1.alias("k1"), k2.alias("k2"), *more)
 
 
-def shared_keys(staging: StagingArea, projects: DataFrame) -> tuple[DataFrame, DataFrame | None, int]:
+def shared_keys(staging: StagingArea, keys: DataFrame) -> tuple[DataFrame, DataFrame | None, int]:
     """Records that share a key with another, with keys coded as the smallest carrier.
 
-    Returns the coded records, the heavy keys (None when there is none) and the row count.
+    ``keys`` is :func:`match_keys`. Returns the coded records, the heavy keys (None when there is none) and the row count.
     The title key ignores the repository on purpose: a cluster can pair the title of one
     member with the repository of another.
     """
@@ -69,11 +69,7 @@ def shared_keys(staging: StagingArea, projects: DataFrame) -> tuple[DataFrame, D
         F.struct(F.lit(DOI).alias("tier"), F.col("doi_key").alias("key")),
         F.struct(F.lit(TITLE).alias("tier"), F.col("title_key").alias("key")),
     )
-    carried = (
-        match_keys(projects)
-        .select("ord", *flags, F.inline(tiers))
-        .where(F.col("key").isNotNull())
-    )
+    carried = keys.select("ord", *flags, F.inline(tiers)).where(F.col("key").isNotNull())
     codes = (
         carried.groupBy("tier", "key")
         .agg(F.min("ord").alias("k1"), F.count(F.lit(1)).alias("n"))
@@ -156,7 +152,9 @@ def _reassign(state: DataFrame, hot: DataFrame | None) -> DataFrame:
 def assign_clusters(projects: DataFrame, staging: StagingArea | None = None) -> DataFrame:
     """(ord, label) for every record; ``label`` is the ``ord`` of the cluster's first record."""
     staging = staging or StagingArea(projects.sparkSession, "merge")
-    state, hot, n = shared_keys(staging, projects)
+    # catalogues are scanned once, for the key columns only
+    keys, _ = staging.write(match_keys(projects), "keys")
+    state, hot, n = shared_keys(staging, keys)
     if n:
         # first guess: the smallest carrier of the URL, else of the DOI, else alone
         guess = F.coalesce(
@@ -174,10 +172,10 @@ def assign_clusters(projects: DataFrame, staging: StagingArea | None = None) ->
             moved, rounds = seen["moved"], rounds + 1
         # records that share no key are clusters of their own
         linked = state.where("label <> ord").select("ord", "label")
-        return projects.select("ord").join(linked, "ord", "left").select(
+        return keys.select("ord").join(linked, "ord", "left").select(
             "ord", F.coalesce("label", "ord").alias("label")
         )
-    return projects.select("ord", F.col("ord").alias("label"))
+    return keys.select("ord", F.col("ord").alias("label"))
 
 
 def first_non_null(columns: list[str], order: str = "ord") -> list[Column]:

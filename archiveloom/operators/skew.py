@@ -58,6 +58,16 @@ def lookup_join(
     return sliced_facts.join(sliced_dim, [*on, "_slice"]).drop("_slice")
 
 
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Rows of a small scan over all cores, for work that is heavy per row.
+
+    A scan of few splits would leave most cores idle. A scan with at least one split per
+    core, which is any large one, is returned as it is: nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def dense_numbers(
     staging: StagingArea, keys: DataFrame, order: list[Column | str], name: str, column: str = "id"
 ) -> DataFrame:

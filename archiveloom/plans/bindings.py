@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from archiveloom import dimensions as dim
 from archiveloom.operators.harmonise import LOCAL_BITS, Source
+from archiveloom.operators.skew import spread_rows
 from archiveloom.operators.taxonomy import division_corpus
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -23,6 +24,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents for work that is heavy per row."""
+    return spread_rows(table(spark, sf, "documents"))
+
+
 def corpus(spark: SparkSession) -> DataFrame:
     return division_corpus(dim.divisions_table(spark), dim.sections_table(spark))
 
@@ -246,7 +252,7 @@ def landed_dataverse(spark: SparkSession, sf: str) -> DataFrame:
     )
     whole = F.concat(F.lit('{"query":"'), "lang", F.lit('","item":'), _json(item), F.lit(',"version":'), version, F.lit("}"))
     json = F.when(doc % 10 == 3, F.substring(whole, 1, 30)).otherwise(whole)
-    return table(spark, sf, "documents").select(doc.alias("record_id"), json.alias("json"))
+    return texts(spark, sf).select(doc.alias("record_id"), json.alias("json"))
 
 
 def landed_nada(spark: SparkSession, sf: str) -> DataFrame:
@@ -298,7 +304,7 @@ def landed_nada(spark: SparkSession, sf: str) -> DataFrame:
             ),
         ).alias("scraped_files_list"),
     )
-    return table(spark, sf, "documents").select(doc.alias("record_id"), _json(body).alias("json"))
+    return texts(spark, sf).select(doc.alias("record_id"), _json(body).alias("json"))
 
 
 def landed_responses(spark: SparkSession, sf: str) -> DataFrame:
@@ -317,4 +323,4 @@ def landed_responses(spark: SparkSession, sf: str) -> DataFrame:
         .when(doc % 2 == 0, _json(F.struct(F.struct(hits.alias("items")).alias("data"))))
         .otherwise(_json(F.struct(F.struct(hits.alias("rows")).alias("result"))))
     )
-    return table(spark, sf, "documents").select("doc_id", json.alias("json"))
+    return texts(spark, sf).select("doc_id", json.alias("json"))

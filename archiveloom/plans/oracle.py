@@ -323,7 +323,7 @@ SQL: dict[str, str] = {
     "ingest_keywords": f"""
         SELECT record_id, keyword FROM (
           SELECT doc_id AS record_id, word AS keyword FROM (
-            SELECT *, round(tf * ln((SELECT count(DISTINCT doc_id) FROM t2)::DOUBLE / df), 6) AS score FROM (
+            SELECT *, round(tf * ln((SELECT count(*) FROM documents WHERE doc_id % 2 = 0)::DOUBLE / df), 6) AS score FROM (
               SELECT *, count(*) OVER (PARTITION BY word) AS df FROM t2))
           QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, word) <= 5
           UNION SELECT doc_id, 'Kind ' || lang FROM documents WHERE doc_id % 5 <> 0)""",
@@ -342,7 +342,7 @@ SQL: dict[str, str] = {
         SELECT p_name AS term, p_partkey, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS hit_rank
         FROM part QUALIFY hit_rank <= 25""",
     "delete_cascade": """
-        SELECT entity, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum FROM (
+        SELECT entity, count(*) AS n, CAST(sum(id % 1000003) AS BIGINT) AS id_sum FROM (
           SELECT 'projects' AS entity, id, id AS project_id FROM projects
           UNION ALL SELECT 'files', id, project_id FROM files
           UNION ALL SELECT 'licenses', id, project_id FROM licenses)
@@ -546,7 +546,7 @@ SQL: dict[str, str] = {
           AND len(list_filter(regexp_split_to_array(regexp_replace(file_name, '\\.[^.]*$', ''), '[^A-Za-z]+'), lambda t: length(t) >= 3)) < 2""",
     "top_tags": """
         SELECT doc_id, word, score, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, word) AS rank
-        FROM (SELECT doc_id, word, round(tf * ln((SELECT count(DISTINCT doc_id) FROM terms)::DOUBLE / df), 6) AS score
+        FROM (SELECT doc_id, word, round(tf * ln((SELECT count(*) FROM documents)::DOUBLE / df), 6) AS score
               FROM (SELECT *, count(*) OVER (PARTITION BY word) AS df FROM terms))
         QUALIFY rank <= 5""",
     "detect_language": "SELECT doc_id, detected FROM detected",
@@ -571,7 +571,7 @@ CTES["t2"] = f"""
 # the merge rule, one record per step; the keyed state holds owners (u, d, p), the fields a
 # cluster has taken so far (f), the label of every record (l) and the step number (n)
 SQL["dedupe_projects"] = """RECURSIVE
-    numbered AS (
+    numbered AS MATERIALIZED (
       SELECT row_number() OVER (ORDER BY ord) AS n, CAST(ord AS VARCHAR) AS ord, url_key, doi_key, title_key,
              CAST(repository_id AS VARCHAR) AS repo,
              CASE WHEN project_url IS NOT NULL THEN coalesce(url_key, '') END AS url,
@@ -602,6 +602,21 @@ SQL["dedupe_projects"] = """RECURSIVE
        WHERE o.k IS NOT NULL AND (s.k IS NULL OR o.kind IN ('n', 'f'))))
     SELECT CAST(k AS BIGINT) AS ord, CAST(v AS BIGINT) AS label FROM state WHERE kind = 'l'"""
 
+_MERGED_FIELDS = ("title", "doi", "project_url", "repository_id")
+_steps, _labels = SQL["dedupe_projects"].rsplit("\n", 1)
+SQL["merged_archive"] = _steps + f""",
+    merged AS MATERIALIZED ({_labels}),
+    numbers AS (SELECT label, row_number() OVER (ORDER BY label) AS id, count(*) AS members FROM merged GROUP BY label),
+    words AS (
+      SELECT m.label, count(DISTINCT {_KEY('k.keyword')}) AS n
+      FROM keywords k JOIN source_list s ON s.lang = k.lang
+      JOIN merged m ON m.ord = (s.source_rank::BIGINT << 52) + k.project_id
+      WHERE s.lang <> 'fr' GROUP BY m.label)
+    SELECT n.id, n.members, {', '.join(f"first(r.{c} ORDER BY r.ord) FILTER (r.{c} IS NOT NULL) AS {c}" for c in _MERGED_FIELDS)},
+           coalesce(any_value(w.n), 0) AS n_keywords
+    FROM numbers n JOIN merged m USING (label) JOIN records r ON r.ord = m.ord LEFT JOIN words w ON w.label = n.label
+    GROUP BY n.id, n.members"""
+
 _FIRST = lambda c: f"(SELECT first({c} ORDER BY ord) FROM records r WHERE r.local_id = b.local_id AND {c} IS NOT NULL) AS {c}"
 SQL["coalesce_first"] = "SELECT label, members, " + ", ".join(
     _FIRST(c)

@@ -177,7 +177,7 @@ def delete_cascade(spark, sf):
         Archive(b.projects(spark, sf), files=b.files(spark, sf), licenses=b.licenses(spark, sf)), doomed
     )
     parts = [
-        df.agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("id_sum")).select(F.lit(e).alias("entity"), "n", "id_sum")
+        df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("id") % 1000003).alias("id_sum")).select(F.lit(e).alias("entity"), "n", "id_sum")
         for e, df in archive.tables().items()
     ]
     return parts[0].union(parts[1]).union(parts[2])
@@ -583,7 +583,7 @@ def section_counts(spark, sf):
 
 def _fragments(spark, sf) -> DataFrame:
     """Documents as projects with keywords, and the turns of the same number as files."""
-    projects = b.table(spark, sf, "documents").select(
+    projects = b.texts(spark, sf).select(
         F.col("doc_id").alias("id"), F.nullif("source", F.lit("src4")).alias("title"), F.col("text").alias("description")
     )
     turns = b.table(spark, sf, "conversations").select(
@@ -613,7 +613,7 @@ def nearest2(spark, sf):
 @query
 def embed_text(spark, sf):
     embedder = vec.hashed_embedder()
-    docs = b.table(spark, sf, "documents").select("doc_id", embedder(F.col("text")).alias("v"))
+    docs = b.texts(spark, sf).select("doc_id", embedder(F.col("text")).alias("v"))
     return docs.select(
         "doc_id", F.size(F.filter("v", lambda x: x > 0)).cast("bigint").alias("buckets"),
         F.aggregate("v", F.lit(0.0), lambda a, x: a + x).alias("words"),
@@ -642,17 +642,17 @@ def file_class_fallback(spark, sf):
 
 @query
 def top_tags(spark, sf):
-    return kw.top_tags(b.table(spark, sf, "documents"), "doc_id")
+    return kw.top_tags(b.texts(spark, sf), "doc_id")
 
 
 @query
 def detect_language(spark, sf):
-    return b.table(spark, sf, "documents").select("doc_id", lg.detect_language(F.col("text")).alias("detected"))
+    return b.texts(spark, sf).select("doc_id", lg.detect_language(F.col("text")).alias("detected"))
 
 
 @query
 def language_accuracy(spark, sf):
-    return lg.detection_accuracy(b.table(spark, sf, "documents"), "text", "lang")
+    return lg.detection_accuracy(b.texts(spark, sf), "text", "lang")
 
 
 # --- scalar expressions -------------------------------------------------------------------
@@ -673,7 +673,7 @@ def file_stem_tokens(spark, sf):
 
 @query
 def text_expressions(spark, sf):
-    docs = b.table(spark, sf, "documents")
+    docs = b.texts(spark, sf)
     name = fx.safe_file_name(F.col("text"))
     return docs.select(
         "doc_id", tx.slug("text").alias("slug"), tx.shorten("text").alias("short"),
