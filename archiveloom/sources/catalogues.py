@@ -12,10 +12,11 @@ from archiveloom.sources.sqlite import read_sqlite, sqlite_tables
 
 def from_databases(spark: SparkSession, databases: list[str]) -> list[Source]:
     """One source per Spark database, with all of its tables."""
-    return [
-        Source(db, {t.name: spark.table(f"`{db}`.`{t.name}`") for t in spark.catalog.listTables(db)})
-        for db in databases
-    ]
+    found = []
+    for db in databases:
+        names = [t.name for t in spark.catalog.listTables(db) if not t.isTemporary]
+        found.append(Source(db, {n: spark.table(f"`{db}`.`{n}`") for n in names}))
+    return found
 
 
 def from_paths(
