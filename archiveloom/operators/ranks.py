@@ -39,13 +39,14 @@ def fold_into_other(
     The rest is the group's total less what was kept, so no group is ever ranked whole.
     """
     top = rank_table(counts, by, top_n, tie)
-    kept = top.groupBy(*by).agg(F.sum("n").alias("kept"))
-    totals = counts.groupBy(*by).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("labels"))
-    rest = totals.where(F.col("labels") > top_n).join(kept, by).select(
-        *by,
-        F.lit(top_n + 1).cast("bigint").alias("slice"),
-        F.lit(OTHER).alias(label),
-        (F.col("total") - F.col("kept")).alias("n"),
+    total = counts.select(*by, "n", F.lit(1).alias("labels"))
+    kept = top.select(*by, (-F.col("n")).alias("n"), F.lit(0).alias("labels"))
+    rest = (
+        total.unionByName(kept)
+        .groupBy(*by)
+        .agg(F.sum("n").alias("n"), F.sum("labels").alias("labels"))
+        .where(F.col("labels") > top_n)
+        .select(*by, F.lit(top_n + 1).cast("bigint").alias("slice"), F.lit(OTHER).alias(label), "n")
     )
     return top.select(*by, F.col("rank").alias("slice"), label, "n").unionByName(rest)
 
