@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from archiveloom.functions.text import doi_key, text_key, title_key, url_key
 from archiveloom.operators import skew
+from archiveloom.operators.harmonise import LOCAL_BITS
 from archiveloom.operators.skew import dense_numbers, hot_keys, lookup_join
 from archiveloom.schema import CHILD_COLUMNS, PROJECT_SOURCE_COLUMNS
 from archiveloom.staging import StagingArea
@@ -185,20 +186,47 @@ def first_non_null(columns: list[str], order: str = "ord") -> list[Column]:
     ]
 
 
-def coalesce_clusters(projects: DataFrame, assignment: DataFrame) -> DataFrame:
-    """One row per cluster: per field the first non-NULL value of its members."""
-    return (
-        projects.join(assignment, "ord")
-        .groupBy("label")
-        .agg(*first_non_null(list(PROJECT_SOURCE_COLUMNS)), F.count(F.lit(1)).alias("members"))
+def contributing_records(projects: DataFrame, assignment: DataFrame, by: str = "label") -> DataFrame:
+    """(ord, by, members, alone): the records that give their cluster at least one value.
+
+    Which record wins a field follows from what is set where, so it is found on 64-bit
+    columns alone: one minimum per field. A cluster keeps its first record and at most one
+    more per field it lacks, however many copies it has; ``alone`` marks clusters whose
+    first record has all there is.
+    """
+    columns = list(PROJECT_SOURCE_COLUMNS)
+    flags = projects.select("ord", *[F.col(c).isNotNull().alias(c) for c in columns])
+    winners = flags.join(assignment.select("ord", by), "ord").groupBy(by).agg(
+        F.count(F.lit(1)).alias("members"),
+        F.min("ord").alias("_first"),
+        *[F.min(F.when(F.col(c), F.col("ord"))).alias(c) for c in columns],
     )
+    records = F.array_distinct(F.array_compact(F.array("_first", *columns)))
+    return winners.select(by, "members", records.alias("_records")).select(
+        by, "members", (F.size("_records") == 1).alias("alone"), F.explode("_records").alias("ord")
+    )
+
 
+def coalesce_clusters(projects: DataFrame, assignment: DataFrame, by: str = "label") -> DataFrame:
+    """One row per cluster: per field the first non-NULL value of its members.
 
-def attach_children(children: DataFrame, assignment: DataFrame) -> DataFrame:
+    Only contributing records leave the join with the wide rows, and only those of clusters
+    put together from several records are shuffled again.
+    """
+    columns = list(PROJECT_SOURCE_COLUMNS)
+    rows = projects.join(contributing_records(projects, assignment, by), "ord")
+    whole = rows.where("alone").select(by, *columns, "members")
+    pieced = (
+        rows.where("not alone").groupBy(by).agg(*first_non_null(columns), F.max("members").alias("members"))
+    )
+    return whole.unionByName(pieced)
+
+
+def attach_children(children: DataFrame, assignment: DataFrame, by: str = "label") -> DataFrame:
     """Children with the cluster of their parent; orphans are dropped."""
-    parents = assignment.select(F.col("ord").alias("parent_ord"), "label")
+    parents = assignment.select(F.col("ord").alias("parent_ord"), F.col(by))
     known = children.where(F.col("parent_ord").isNotNull())
-    return lookup_join(known, parents, ["parent_ord"], ["ord"])
+    return lookup_join(known.drop(by), parents, ["parent_ord"], ["ord"])
 
 
 def dedupe_files(files: DataFrame, parent: str = "label") -> DataFrame:
@@ -253,11 +281,16 @@ def surrogate_ids(assignment: DataFrame, staging: StagingArea) -> DataFrame:
     return dense_numbers(staging, founders, ["label"], "ids")
 
 
-def merge_stats(projects: DataFrame, assignment: DataFrame) -> DataFrame:
+def with_ids(assignment: DataFrame, ids: DataFrame) -> DataFrame:
+    """(ord, label, project_id): the id of every record's cluster."""
+    numbered = ids.select("label", F.col("id").alias("project_id"))
+    return lookup_join(assignment, numbered, ["label"], ["ord"])
+
+
+def merge_stats(assignment: DataFrame) -> DataFrame:
     """Per run: sources, records read, clusters."""
-    counted = projects.select("ord", "source_name").join(assignment, "ord")
-    return counted.agg(
-        F.count_distinct("source_name").alias("sources"),
+    return assignment.agg(
+        F.count_distinct(F.shiftright("ord", LOCAL_BITS)).alias("sources"),
         F.count(F.lit(1)).alias("records"),
         F.count_if(F.col("ord") == F.col("label")).alias("clusters"),
     )

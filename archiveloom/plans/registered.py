@@ -348,8 +348,8 @@ def dedupe_licenses(spark, sf):
 
 @query
 def dedupe_stats(spark, sf):
-    rows, assignment = _by_document(spark, sf)
-    return mg.merge_stats(rows, assignment)
+    _, assignment = _by_document(spark, sf)
+    return mg.merge_stats(assignment)
 
 
 @query
