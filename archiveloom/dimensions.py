@@ -134,6 +134,90 @@ REPORT_SECTIONS = (
     ("AUSSDA", "aussda"),
 )
 
+# ---------------------------------------------------------------------------
+# Search terms of the acquisition, one per line
+# ---------------------------------------------------------------------------
+QUERY_TERM_TEXT = """\
+personality interviews
+life experiences
+attitudes and perceptions
+beliefs and values
+psychological interviews
+case study qualitative
+semi-structured interviews
+in-depth interviews
+narrative interviews
+oral histories
+life histories
+interview transcripts dataset
+semi-structured interview transcripts
+key informant interviews
+KII qualitative
+focus group transcripts
+focus group discussions qualitative
+focus group dataset
+FGD transcripts
+FGD qualitative
+QDPX
+QDPX export
+Qualitative Data Exchange Schema
+DDI-Lifecycle qualitative
+DDI-L dataset
+QuDEx XML
+NVivo project
+NVivo export
+Atlas.ti qualitative
+MAXQDA dataset
+Dedoose qualitative
+CAQDAS export
+ethnographic study
+participant observation
+ethnographic field notes
+fieldwork notes
+observational qualitative data
+visual ethnography
+thematic analysis interviews
+discourse analysis dataset
+content analysis qualitative
+coding qualitative data
+grounded theory study
+interpretative phenomenological analysis
+IPA qualitative study
+data saturation qualitative
+transcripts dataset
+audio interviews dataset
+video interviews research
+diary study data
+open-ended survey responses
+RTF transcripts
+text corpus qualitative
+qualitative case study interviews
+case study interview transcripts
+narrative analysis dataset
+narrative study interviews
+discourse analysis interviews
+purposive sampling qualitative
+snowball sampling interviews
+theoretical sampling dataset
+maximum variation sampling
+qualitative interviews health
+qualitative study education
+ethnography education dataset
+focus group climate change
+narrative study migration
+interview transcripts qualitative research
+focus group transcripts qualitative
+ethnographic field notes dataset
+oral history transcripts dataset
+thematic analysis interview data
+qualitative interview text corpus
+participant observation field notes
+unstructured interview data
+qualitative research text data
+interview-based qualitative dataset
+"""
+QUERY_TERMS = tuple(QUERY_TERM_TEXT.splitlines())
+
 # ---------------------------------------------------------------------------
 # ISIC Rev.5 sections (letter|title) and divisions (section|code|title)
 # ---------------------------------------------------------------------------
@@ -291,6 +375,19 @@ def divisions_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "idx long, section string, code string, title string")
 
 
+def query_terms_table(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(t,) for t in QUERY_TERMS], "term string")
+
+
+def read_extensions(spark: SparkSession, path: str) -> DataFrame:
+    """(tool, extension) from a JSON object of extension lists, lower case and without dots."""
+    text = spark.read.text(path, wholetext=True)
+    tools = F.from_json("value", "map<string, array<string>>")
+    listed = text.select(F.explode(tools).alias("tool", "extensions")).select("tool", F.explode("extensions").alias("extension"))
+    bare = F.ltrim(F.lower(F.trim("extension")), F.lit("."))
+    return listed.select("tool", bare.alias("extension")).distinct()
+
+
 def read_taxonomy(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Taxonomy from a JSON document with a ``sections`` object and a ``divisions`` array.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from archiveloom.functions.text import words
 from archiveloom.operators.skew import hot_keys, lookup_join
+from archiveloom.operators.vectors import bucket
 
 # English function words that are never tags
 STOP_WORDS = (
@@ -62,6 +63,24 @@ def top_tags(fragments: DataFrame, key: str, text: str = "text", top_n: int = TA
     )
 
 
+def nearest_words(text: Column, vector: Column, top_n: int = TAGS) -> Column:
+    """The ``top_n`` candidate words of a text nearest to its bag-of-words vector.
+
+    ``vector`` is the hashed vector of the same text. The vector of a single word has one
+    non-zero cell, so its cosine to the text is that cell of the text's vector over the
+    vector's length, and the cell alone ranks the words of a text. Row-local; ties in word
+    order.
+    """
+    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
+    candidates = F.filter(
+        F.array_except(F.array_distinct(words(text)), stop), lambda w: F.length(w) >= 2
+    )
+    weighted = F.transform(
+        candidates, lambda w: F.struct((-F.element_at(vector, bucket(w) + 1)).alias("minus"), w.alias("word"))
+    )
+    return F.transform(F.slice(F.array_sort(weighted), 1, top_n), lambda s: s["word"])
+
+
 def tag_arrays(tags: DataFrame, key: str) -> DataFrame:
     """(key, tags): ranked tags as one array per key, at most ``top_n`` long."""
     ranked = F.array_sort(F.collect_list(F.struct("rank", "word")))

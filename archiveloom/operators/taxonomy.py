@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from archiveloom.functions.text import blank_to_null, strip
+from archiveloom.operators.keywords import tag_arrays, top_tags
 from archiveloom.operators.project_type import file_candidates
 from archiveloom.operators.skew import hot_keys, lookup_join
 from archiveloom.operators.vectors import Embedder, hashed_embedder, nearest_two, sum_vectors
@@ -141,7 +142,10 @@ def classify_files(
 
 def classify(archive_projects: DataFrame, keywords: DataFrame, files: DataFrame, corpus: DataFrame,
              scope: str = "all") -> tuple[DataFrame, DataFrame]:
-    """Projects and files with their class columns; ``scope`` is projects, files or all."""
+    """Projects and files with their class columns; ``scope`` is projects, files or all.
+
+    Projects also get their tags, an empty list when they have no text.
+    """
     if scope not in ("projects", "files", "all"):
         raise ValueError(f"scope {scope!r}: expected projects, files or all")
     projects = archive_projects
@@ -150,7 +154,13 @@ def classify(archive_projects: DataFrame, keywords: DataFrame, files: DataFrame,
         found = classify_projects(fragments, corpus).select(
             F.col("project_id").alias("id"), "primary_class", "secondary_class"
         )
-        projects = projects.drop("primary_class", "secondary_class").join(found, "id", "left")
+        tags = tag_arrays(top_tags(fragments, "project_id"), "project_id").withColumnRenamed("project_id", "id")
+        projects = (
+            projects.drop("primary_class", "secondary_class", "tags")
+            .join(found, "id", "left")
+            .join(tags, "id", "left")
+            .withColumn("tags", F.coalesce("tags", F.array().cast("array<string>")))
+        )
     if scope in ("files", "all"):
         found = classify_files(files, projects, corpus).select(
             F.col("file_id").alias("id"), "primary_class", "secondary_class"

@@ -645,6 +645,12 @@ def top_tags(spark, sf):
     return kw.top_tags(b.texts(spark, sf), "doc_id")
 
 
+@query
+def cosine_tags(spark, sf):
+    docs = b.texts(spark, sf).withColumn("v", vec.hashed_embedder()(F.col("text")))
+    return docs.select("doc_id", F.array_join(kw.nearest_words(F.col("text"), F.col("v")), " ").alias("tags"))
+
+
 @query
 def detect_language(spark, sf):
     return b.texts(spark, sf).select("doc_id", lg.detect_language(F.col("text")).alias("detected"))

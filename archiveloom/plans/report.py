@@ -9,6 +9,7 @@ from archiveloom import dimensions as dim
 from archiveloom.functions.text import shorten, slug
 from archiveloom.operators import counts as c
 from archiveloom.operators import ranks as r
+from archiveloom.sources.sinks import write_csv, write_findings
 
 
 def _percent(part: str, total: str = "total") -> Column:
@@ -187,6 +188,30 @@ def _group_key(label: str) -> Column:
     return F.when(F.col(label) == dim.UNCLASSIFIED, F.lit("")).otherwise(F.col(label))
 
 
+def repo_report(projects: DataFrame, files: DataFrame, repositories: DataFrame) -> dict[str, DataFrame]:
+    """Every dataset of the per-repository report, from one pass over projects and one over files."""
+    cube = c.class_cube(projects, repositories)
+    file_counts = c.repo_file_class_counts(projects, files, repositories)
+    return {
+        "rank_tables": rank_tables(cube),
+        "file_rank_tables": file_rank_tables(file_counts),
+        "histograms": histograms(cube, file_counts),
+        "pies": repo_pies(cube),
+        "findings": repo_findings(cube),
+        "findings_text": findings_text(cube),
+    }
+
+
+def write_repo_report(report: dict[str, DataFrame], path: str) -> None:
+    """Rank tables as CSV per repository and scope, findings as one text per repository."""
+    tables = report["rank_tables"].unionByName(report["file_rank_tables"])
+    write_csv(
+        tables.select("rank", "primary_class", F.col("n").alias("count"), slug("repository").alias("slug"), "scope"),
+        f"{path}/rank_tables", ["slug", "scope"],
+    )
+    write_findings(report["findings_text"], f"{path}/findings")
+
+
 # Blocks of a report section, in order (block, scope)
 REPORT_BLOCKS = (
     ("overview", "all"), ("histogram", "all"), ("histogram", "qda"), ("histogram", "qd"),

@@ -12,7 +12,11 @@ from pyspark.sql import functions as F
 
 from archiveloom.functions.files import safe_file_name, type_of_label
 from archiveloom.functions.text import blank_to_null
+from archiveloom.operators.clean import fetch_status
+from archiveloom.operators.harmonise import Source
+from archiveloom.operators.keywords import ingest_keywords
 from archiveloom.operators.language import detect_language, language_or_detected
+from archiveloom.schema import CHILD_COLUMNS
 
 DOI_RESOLVER = "https://doi.org/"
 
@@ -228,8 +232,6 @@ def nada_studies(docs: DataFrame) -> DataFrame:
 
 def parse_nada(landed: DataFrame, site: str) -> dict[str, DataFrame]:
     """Entities and failures of landed NADA exports; files have no status until fetched."""
-    from archiveloom.operators.keywords import ingest_keywords
-
     docs, failures = split_failures(landed, NADA_SCHEMA, NADA_REQUIRED)
     study = "doc.study_desc"
     none = F.array().cast(_NAMES)
@@ -262,6 +264,42 @@ def parse_nada(landed: DataFrame, site: str) -> dict[str, DataFrame]:
     }
 
 
+# --- any shape ------------------------------------------------------------------------
+
+SHAPES = {"dataverse": parse_dataverse, "nada": parse_nada}
+
+
+def parse_landed(landed: DataFrame, shape: str, base_url: str) -> dict[str, DataFrame]:
+    """Entities and failures of landed records of a known shape."""
+    if shape not in SHAPES:
+        raise ValueError(f"shape {shape!r}: expected one of {sorted(SHAPES)}")
+    return SHAPES[shape](landed, base_url)
+
+
+def with_fetch_log(files: DataFrame, log: DataFrame) -> DataFrame:
+    """Files with the status their download had; files the log does not know keep theirs.
+
+    ``log`` has one row per (record_id, file_ref) with the HTTP status, NULL for no answer.
+    """
+    outcome = log.select("record_id", "file_ref", "http_status", F.lit(True).alias("_fetched"))
+    status = F.when(
+        F.col("_fetched"), fetch_status(F.col("http_status"), F.col("file_name"))
+    ).otherwise(F.col("status"))
+    return (
+        files.join(outcome, ["record_id", "file_ref"], "left")
+        .withColumn("status", status)
+        .drop("http_status", "_fetched")
+    )
+
+
+def as_source(name: str, parsed: dict[str, DataFrame]) -> Source:
+    """Parsed entities as a catalogue for the merge: the record id is the local id."""
+    tables = {"projects": parsed["projects"].withColumnRenamed("record_id", "id")}
+    for entity in CHILD_COLUMNS:
+        tables[entity] = parsed[entity].withColumnRenamed("record_id", "project_id")
+    return Source(name, tables)
+
+
 # --- incremental ----------------------------------------------------------------------
 
 

@@ -28,24 +28,29 @@ def absolute_url(href: Column, base: str | Column) -> Column:
 
 
 def harvest_links(
-    pages: DataFrame, base: str | Column, marker: str = "/download/", key: str = "page_id"
+    pages: DataFrame, base: str | Column, marker: str | Column = "/download/", key: str = "page_id"
 ) -> DataFrame:
     """(key, download_url, name): anchors whose href contains ``marker``.
 
-    The name is the anchor's title, else its text. Of several anchors with the same URL on
+    ``marker`` may be an expression over the page, for catalogues whose links name their
+    project.     The name is the anchor's title, else its text. Of several anchors with the same URL on
     a page the first one counts. Pages are parsed where they lie; only links are shuffled.
     """
     anchors = F.arrays_zip(
         F.regexp_extract_all("html", F.lit(_ANCHOR), F.lit(1)).alias("attributes"),
         F.regexp_extract_all("html", F.lit(_ANCHOR), F.lit(2)).alias("content"),
     )
-    found = pages.select(key, *(["url"] if "url" in pages.columns else []), F.posexplode(anchors).alias("place", "a"))
+    marker = F.lit(marker) if isinstance(marker, str) else marker
+    base = F.lit(base) if isinstance(base, str) else base
+    found = pages.select(
+        key, base.alias("base"), marker.alias("marker"), F.posexplode(anchors).alias("place", "a")
+    )
     href = _plain(F.regexp_extract("a.attributes", _HREF, 1))
     title = blank_to_null(_plain(F.regexp_extract("a.attributes", _TITLE, 1)))
-    links = found.withColumn("href", href).where(F.contains("href", F.lit(marker)))
+    links = found.withColumn("href", href).where(F.contains("href", "marker"))
     named = links.select(
         key, "place",
-        absolute_url(F.col("href"), base).alias("download_url"),
+        absolute_url(F.col("href"), F.col("base")).alias("download_url"),
         F.coalesce(title, strip(_plain(F.col("a.content")))).alias("name"),
     )
     return named.groupBy(key, "download_url").agg(F.min_by("name", "place").alias("name"))

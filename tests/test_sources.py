@@ -165,6 +165,36 @@ def test_nada_records(spark):
     assert rows(out["failures"].select("record_id")) == [(3,)]
 
 
+def test_landed_records_to_archive(spark):
+    """From landed JSON through merge, cleaning, typing and reports in one run."""
+    import archiveloom as al
+    from archiveloom import dimensions as dim
+
+    landed = spark.createDataFrame([(1, dataverse()), (2, dataverse())], "record_id long, json string")
+    parsed = al.parse_landed(landed, "dataverse", "https://dv")
+    log = spark.createDataFrame([(1, "5", 403), (1, "6", None)], "record_id long, file_ref string, http_status int")
+    parsed["files"] = ld.with_fetch_log(parsed["files"], log)
+    assert rows(parsed["files"].select("record_id", "file_ref", "status")) == [
+        (1, "5", "FAILED_LOGIN_REQUIRED"), (1, "6", "FAILED_SERVER_UNRESPONSIVE"), (2, "5", "SUCCEEDED"), (2, "6", "SUCCEEDED")]
+    archive = al.clean(al.merge_sources([al.as_source("dv", parsed)]))
+    assert archive.projects.count() == 1 and archive.files.count() == 2 and archive.person_role.count() == 2
+    typed = al.classify_project_type(rebuild(archive).projects, archive.files)
+    assert typed.first().type == "QD_PROJECT"
+    assert rows(al.validate(archive.with_tables(projects=rebuild(archive).projects))) == []
+    report = al.repo_report(typed, rebuild(archive).files, dim.repositories_table(spark))
+    assert rows(report["rank_tables"].where("scope = 'qd'")) == [("harvard-dataverse", "qd", 1, "UNCLASSIFIED", 1)]
+    with pytest.raises(ValueError):
+        al.parse_landed(landed, "other", "")
+
+
+def test_marker_per_project(spark):
+    from pyspark.sql import functions as F
+
+    pages = spark.createDataFrame([(7, '<a href="/catalog/7/download/1">a</a><a href="/catalog/8/download/1">b</a>')], "page_id long, html string")
+    marker = F.concat(F.lit("/catalog/"), F.col("page_id").cast("string"), F.lit("/download/"))
+    assert rows(harvest_links(pages, "s", marker)) == [(7, "s/catalog/7/download/1", "a")]
+
+
 def test_envelopes(spark):
     responses = spark.createDataFrame(
         [(1, '{"data": {"items": [{"global_id": "g1"}, {"idno": "i", "global_id": "g2"}]}}'),

@@ -176,3 +176,23 @@ def test_language_accuracy_on_the_documents(spark):
     table = lg.detection_accuracy(spark.read.parquet(f"{SF_SMALL}/documents.parquet"), "text", "lang").collect()
     right = sum(r.n for r in table if r.truth == r.detected)
     assert right / sum(r.n for r in table) > 0.9
+
+
+def test_nearest_words(spark):
+    texts = ["coal coal mine the the the", "a an", "zeta alpha", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").withColumn("v", vec.hashed_embedder()(F.col("t")))
+    got = [r[0] for r in df.orderBy("i").select(kw.nearest_words(F.col("t"), F.col("v"))).collect()]
+    assert got == [["coal", "mine"], [], ["alpha", "zeta"], []]
+
+
+def test_extensions_from_json(spark, tmp_path):
+    (tmp_path / "e.json").write_text('{\n "A": [".QDP", " .x"],\n "B": [],\n "C": [".x"]}')
+    got = rows(dim.read_extensions(spark, str(tmp_path / "e.json")))
+    assert got == [("A", "qdp"), ("A", "x"), ("C", "x")]
+
+
+def test_projects_get_tags(spark):
+    projects, keywords, files = project_inputs(spark)
+    done, _ = tax.classify(projects, keywords, files, corpus(spark), scope="projects")
+    tags = {r.id: r.tags for r in done.collect()}
+    assert "coal" in tags[1] and len(tags[1]) == 5
