@@ -340,43 +340,57 @@ SECTIONS = tuple(tuple(line.split("|")) for line in SECTION_TEXT.splitlines())
 DIVISIONS = tuple(tuple(line.split("|")) for line in DIVISION_TEXT.splitlines())
 
 
+def _table(spark: SparkSession, columns: str, rows: list[tuple]) -> DataFrame:
+    """Rows as an inline table, whose size Spark knows when it plans a join."""
+
+    def literal(value) -> str:
+        if value is None:
+            return "NULL"
+        if isinstance(value, int):
+            return f"{value}L"
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    body = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({columns})")
+
+
 def extensions_table(spark: SparkSession) -> DataFrame:
     """(extension, category, tool): qda, primary and junk extensions."""
     rows = [(e, "qda", tool) for tool, exts in QDA_TOOL_EXTENSIONS.items() for e in exts]
     rows += [(e, "primary", None) for e in PRIMARY_DATA_EXTENSIONS]
     rows += [(e, "junk", None) for e in JUNK_EXTENSIONS]
-    return spark.createDataFrame(rows, "extension string, category string, tool string")
+    return _table(spark, "extension, category, tool", rows)
 
 
 def repositories_table(spark: SparkSession) -> DataFrame:
     """(repository_id, label), 20 rows."""
-    return spark.createDataFrame(list(REPOSITORY_LABELS), "repository_id long, label string")
+    return _table(spark, "repository_id, label", list(REPOSITORY_LABELS))
 
 
 def type_labels_table(spark: SparkSession) -> DataFrame:
     """(type_order, type, type_label), 4 rows in report order."""
     rows = [(i, t, label) for i, (t, label) in enumerate(TYPE_LABELS, 1)]
-    return spark.createDataFrame(rows, "type_order long, type string, type_label string")
+    return _table(spark, "type_order, type, type_label", rows)
 
 
 def report_sections_table(spark: SparkSession) -> DataFrame:
     """(section_no, section_title, slug), 19 rows in report order."""
     rows = [(i, title, slug) for i, (title, slug) in enumerate(REPORT_SECTIONS, 1)]
-    return spark.createDataFrame(rows, "section_no long, section_title string, slug string")
+    return _table(spark, "section_no, section_title, slug", rows)
 
 
 def sections_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(SECTIONS), "section string, section_title string")
+    return _table(spark, "section, section_title", list(SECTIONS))
 
 
 def divisions_table(spark: SparkSession) -> DataFrame:
     """(idx, section, code, title) in taxonomy order; idx starts at 0 and breaks ties."""
     rows = [(i, *d) for i, d in enumerate(DIVISIONS)]
-    return spark.createDataFrame(rows, "idx long, section string, code string, title string")
+    return _table(spark, "idx, section, code, title", rows)
 
 
 def query_terms_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(t,) for t in QUERY_TERMS], "term string")
+    return _table(spark, "term", [(t,) for t in QUERY_TERMS])
 
 
 def read_extensions(spark: SparkSession, path: str) -> DataFrame:

@@ -28,10 +28,14 @@ def is_junk_name(file_name: Column | str) -> Column:
     return clean.isin(*dim.JUNK_FILE_NAMES)
 
 
+def is_content(ext: Column) -> Column:
+    """True for an extension that says something about a project."""
+    return (ext != "") & ~ext.isin(*dim.JUNK_EXTENSIONS)
+
+
 def counts_as_content(file_type: Column | str, file_name: Column | str) -> Column:
     """True when a file takes part in project typing."""
-    ext = file_extension(file_type, file_name)
-    return ~is_junk_name(file_name) & (ext != "") & ~ext.isin(*dim.JUNK_EXTENSIONS)
+    return ~is_junk_name(file_name) & is_content(file_extension(file_type, file_name))
 
 
 def type_priority(ext: Column) -> Column:

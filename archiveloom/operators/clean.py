@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from archiveloom import dimensions as dim
+from archiveloom.operators.skew import broadcast_if_small
 from archiveloom.schema import Archive
 
 
@@ -108,7 +109,7 @@ def fix_repository_ids(
     projects: DataFrame, repositories: DataFrame, fallback: int = dim.FALLBACK_REPOSITORY_ID
 ) -> DataFrame:
     """Unknown or missing repository ids become ``fallback``."""
-    known = F.broadcast(repositories.select(F.col("repository_id").alias("_known")).distinct())
+    known = broadcast_if_small(repositories.select(F.col("repository_id").alias("_known")).distinct())
     return (
         projects.join(known, projects["repository_id"] == known["_known"], "left")
         .withColumn("repository_id", F.coalesce("_known", F.lit(fallback).cast("bigint")))
@@ -118,7 +119,7 @@ def fix_repository_ids(
 
 def invalid_repository_ids(projects: DataFrame, repositories: DataFrame) -> DataFrame:
     """(id, repository_id) of the projects :func:`fix_repository_ids` changes."""
-    known = F.broadcast(repositories.select("repository_id"))
+    known = broadcast_if_small(repositories.select("repository_id"))
     return projects.select("id", "repository_id").join(known, "repository_id", "left_anti")
 
 

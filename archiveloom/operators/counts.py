@@ -11,7 +11,7 @@ from archiveloom.functions.text import label_or, unknown_label
 
 def with_repository_label(df: DataFrame, repositories: DataFrame) -> DataFrame:
     """Adds ``repository``: the label of ``repository_id``, or ``unknown (<id>)``."""
-    labels = F.broadcast(repositories.select("repository_id", F.col("label").alias("_label")))
+    labels = repositories.select("repository_id", F.col("label").alias("_label"))
     return (
         df.join(labels, "repository_id", "left")
         .withColumn("repository", unknown_label("_label", "repository_id"))

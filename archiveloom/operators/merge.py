@@ -17,10 +17,18 @@ and never sits in one task.
 
 Rounds touch only 64-bit columns: each text key is replaced once by the smallest ``ord``
 that carries it, and records that share no key leave before the first round.
+
+Long thin chains would take many rounds. When some are left after ``PATIENCE`` rounds, the
+linked components they lie in are worked through record by record, each in one task, if they
+have at most ``CHAIN_ROWS`` records; larger ones go on in rounds. Either way the loop ends
+only on an assignment that reproduces itself.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +41,9 @@ from archiveloom.staging import StagingArea
 
 URL, DOI, TITLE, SELF = 1, 2, 3, 9
 
+PATIENCE = 16
+CHAIN_ROWS = 1_000_000
+
 _STATE = ("url_set", "doi_set", "title_set", "url_k", "doi_k", "title_k", "repo")
 
 
@@ -150,6 +161,84 @@ def _reassign(state: DataFrame, hot: DataFrame | None) -> DataFrame:
     )
 
 
+def _in_turn():
+    """Clusters of whole components, whose records arrive one after the other in ``ord``.
+
+    Memory holds the owners and fields of one component; rows stream through. Keys are
+    whole numbers with -1 for none, so that nothing is rounded on the way to pandas.
+    """
+
+    def keys_of(fields: dict) -> list[tuple]:
+        keys = [(name, fields[name]) for name in ("url", "doi") if fields.get(name, -1) >= 0]
+        if fields.get("title", -1) >= 0 and "repo" in fields:
+            keys.append(("title", fields["title"], fields["repo"]))
+        return keys
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        component, owner, taken = None, {}, {}
+        for batch in batches:
+            labels = []
+            for row in batch.itertuples(index=False):
+                if row.component != component:
+                    component, owner, taken = row.component, {}, {}
+                have = {
+                    name: value
+                    for name, is_set, value in (
+                        ("url", row.url_set, row.url_k), ("doi", row.doi_set, row.doi_k),
+                        ("title", row.title_set, row.title_k), ("repo", row.repo_set, row.repo),
+                    )
+                    if is_set
+                }
+                label = next((owner[k] for k in keys_of(have) if k in owner), row.ord)
+                fields = taken.setdefault(label, {})
+                for name, value in have.items():
+                    fields.setdefault(name, value)
+                for k in keys_of(fields):
+                    owner.setdefault(k, label)
+                labels.append(label)
+            yield pd.DataFrame({"ord": batch["ord"], "label": labels}, dtype="int64")
+
+    return run
+
+
+def _finish_chains(state: DataFrame, staging: StagingArea) -> DataFrame:
+    """State with the final labels of the small components in which records still move.
+
+    A component links records by URL, DOI and title alone, so that records of different ones
+    never meet, whatever repository a cluster takes over.
+    """
+    from archiveloom.operators.components import components
+
+    links = F.array(*[F.struct(F.col("ord").alias("hi"), F.col(k).alias("lo")) for k in ("url_k", "doi_k", "title_k")])
+    edges = state.select(F.inline(links)).where("hi > lo").distinct()
+    member = components(edges, staging).withColumnRenamed("node", "ord")
+    # components() names a component by one of its records, so the join is one to one
+    placed = state.join(member, "ord")
+    small = (
+        placed.groupBy("component")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") != F.col("was")).alias("moving"))
+        .where((F.col("moving") > 0) & (F.col("n") <= CHAIN_ROWS))
+        .select("component", "n")
+    )
+    picked = placed.join(small, "component")
+    settled = (
+        picked.repartition("component")
+        .sortWithinPartitions("component", "ord")
+        .select(
+            "component", "ord", "url_set", "doi_set", "title_set",
+            F.col("repo").isNotNull().alias("repo_set"), F.coalesce("repo", F.lit(0)).alias("repo"),
+            *[F.coalesce(k, F.lit(-1)).alias(k) for k in ("url_k", "doi_k", "title_k")],
+        )
+        .mapInPandas(_in_turn(), "ord long, label long")
+        .withColumnRenamed("label", "_settled")
+    )
+    return (
+        state.join(settled, "ord", "left")
+        .withColumn("label", F.coalesce("_settled", "label"))
+        .drop("_settled", "was")
+    )
+
+
 def assign_clusters(projects: DataFrame, staging: StagingArea | None = None) -> DataFrame:
     """(ord, label) for every record; ``label`` is the ``ord`` of the cluster's first record."""
     staging = staging or StagingArea(projects.sparkSession, "merge")
@@ -166,6 +255,8 @@ def assign_clusters(projects: DataFrame, staging: StagingArea | None = None) ->
         state = state.withColumn("label", guess)
         moved, rounds = 1, 0
         while moved:
+            if rounds == PATIENCE:
+                state, _ = staging.write(_finish_chains(state, staging), "chains")
             state, seen = staging.write(
                 _reassign(state, hot), f"round-{rounds}",
                 moved=F.count_if(F.col("label") != F.col("was")),
@@ -287,10 +378,11 @@ def with_ids(assignment: DataFrame, ids: DataFrame) -> DataFrame:
     return lookup_join(assignment, numbered, ["label"], ["ord"])
 
 
-def merge_stats(assignment: DataFrame) -> DataFrame:
-    """Per run: sources, records read, clusters."""
+def merge_stats(assignment: DataFrame, sources: int | None = None) -> DataFrame:
+    """Per run: sources (those with records, unless given), records read, clusters."""
+    with_records = F.count_distinct(F.shiftright("ord", LOCAL_BITS))
     return assignment.agg(
-        F.count_distinct(F.shiftright("ord", LOCAL_BITS)).alias("sources"),
+        (with_records if sources is None else F.lit(sources).cast("bigint")).alias("sources"),
         F.count(F.lit(1)).alias("records"),
         F.count_if(F.col("ord") == F.col("label")).alias("clusters"),
     )

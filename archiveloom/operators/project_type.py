@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from archiveloom import dimensions as dim
 from archiveloom.functions.files import (
-    counts_as_content,
     file_extension,
+    is_content,
     is_junk_name,
     project_type_of,
     stem_tokens,
@@ -23,9 +23,13 @@ def per_project_files(files: DataFrame) -> DataFrame:
     The extension set is never built: its priority test is a maximum, which is combined on
     the map side, so a project with a third of all files costs one row per map task.
     """
-    ext = file_extension("file_type", "file_name")
-    priority = F.when(counts_as_content("file_type", "file_name"), type_priority(ext))
-    return files.groupBy("project_id").agg(
+    seen = files.select(
+        "project_id",
+        file_extension("file_type", "file_name").alias("ext"),
+        is_junk_name("file_name").alias("junk"),
+    )
+    priority = F.when(~F.col("junk") & is_content(F.col("ext")), type_priority(F.col("ext")))
+    return seen.groupBy("project_id").agg(
         F.count(F.lit(1)).alias("n_files"), F.max(priority).alias("priority")
     )
 

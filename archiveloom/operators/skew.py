@@ -58,6 +58,14 @@ def lookup_join(
     return sliced_facts.join(sliced_dim, [*on, "_slice"]).drop("_slice")
 
 
+def broadcast_if_small(dim: DataFrame, rows: int = MAX_HOT_KEYS) -> DataFrame:
+    """A broadcast hint for a dimension that is checked to have few rows, else no hint.
+
+    At most ``rows`` + 1 rows are read for the check.
+    """
+    return F.broadcast(dim) if dim.limit(rows + 1).count() <= rows else dim
+
+
 def spread_rows(df: DataFrame) -> DataFrame:
     """Rows of a small scan over all cores, for work that is heavy per row.
 

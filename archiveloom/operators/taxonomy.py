@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from archiveloom.functions.text import blank_to_null, strip
 from archiveloom.operators.keywords import tag_arrays, top_tags
 from archiveloom.operators.project_type import file_candidates
-from archiveloom.operators.skew import hot_keys, lookup_join
+from archiveloom.operators.skew import broadcast_if_small, hot_keys, lookup_join
 from archiveloom.operators.vectors import Embedder, hashed_embedder, nearest_two, sum_vectors
 
 # A project text part holds at most this many keywords or file names.
@@ -24,7 +24,7 @@ def division_label() -> Column:
 
 def division_corpus(divisions: DataFrame, sections: DataFrame) -> DataFrame:
     """(idx, section, code, title, label, text): what each division is matched by."""
-    return divisions.join(F.broadcast(sections), "section").select(
+    return divisions.join(sections, "section").select(
         "idx", "section", "code", "title",
         division_label().alias("label"),
         F.concat("section_title", F.lit(". "), "title").alias("text"),
@@ -88,9 +88,9 @@ def embedded_corpus(corpus: DataFrame, embedder: Embedder | None = None) -> Data
 
 def _labelled(df: DataFrame, corpus: DataFrame, primary: str, secondary: str) -> DataFrame:
     """Replace ``first``/``second`` by the labels of the divisions they point to."""
-    labels = corpus.select("idx", "label")
+    labels = broadcast_if_small(corpus.select("idx", "label"))
     for index, name in (("first", primary), ("second", secondary)):
-        named = F.broadcast(labels.select(F.col("idx").alias(index), F.col("label").alias(name)))
+        named = labels.select(F.col("idx").alias(index), F.col("label").alias(name))
         df = df.join(named, index, "left").drop(index)
     return df
 

@@ -245,8 +245,7 @@ def report_blocks(
         | F.col("rank").isNotNull()
     )
     return (
-        F.broadcast(outline)
-        .join(lines, ["slug", "block", "scope"], "left")
+        outline.join(lines, ["slug", "block", "scope"], "left")
         .where(shown)
         .select("section_no", "section_title", "block_no", "block", "scope", "rank", "primary_class", "n")
     )

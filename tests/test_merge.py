@@ -86,6 +86,39 @@ def test_chain_of_dependent_decisions(spark):
     assert found == merge_one_by_one(records)
 
 
+def test_long_chains_are_finished_in_turn(spark, monkeypatch):
+    """Chains of hundreds of dependent decisions need few rounds; large components go on."""
+    records = random_sets(300, 21, True)
+    base = 10**6
+    for c, length in enumerate((400, 150, 37)):
+        start = base * (c + 1)
+        for i in range(length):
+            title = f"x{c}" if i % 50 == 7 else None
+            records.append((start + i, f"c{c}u{i // 2}", f"c{c}d{(i + 1) // 2}", title, None if i % 3 else c))
+    monkeypatch.setattr(merge, "PATIENCE", 3)
+    monkeypatch.setattr(merge, "CHAIN_ROWS", 500)
+    written = []
+    write = merge.StagingArea.write
+    monkeypatch.setattr(merge.StagingArea, "write", lambda self, df, name, **m: (written.append(name), write(self, df, name, **m))[1])
+    found = {r.ord: r.label for r in merge.assign_clusters(frame(spark, records)).collect()}
+    assert found == merge_one_by_one(records)
+    assert "chains" in written and sum(n.startswith("round") for n in written) < 10
+    # components above the limit are left to the rounds and come out the same
+    monkeypatch.setattr(merge, "CHAIN_ROWS", 5)
+    some = [r for r in records if r[0] < 2 * base][:60] + [r for r in records if r[0] >= 3 * base]
+    found = {r.ord: r.label for r in merge.assign_clusters(frame(spark, some)).collect()}
+    assert found == merge_one_by_one(some)
+
+
+def test_in_turn_equals_the_sequential_rule(spark, monkeypatch):
+    """With no patience at all every unsettled component is worked through in turn."""
+    monkeypatch.setattr(merge, "PATIENCE", 1)
+    # places of a fifth source: neighbours differ in the last bit of 64
+    records = [((5 << 52) + r[0], *r[1:]) for r in random_sets(2000, 33, True)]
+    found = {r.ord: r.label for r in merge.assign_clusters(frame(spark, records)).collect()}
+    assert found == merge_one_by_one(records)
+
+
 def test_components_equal_closure(spark, monkeypatch):
     records = random_sets(1500, 5, False)
     records += [(10**6 + i, f"c{i // 2}", f"e{(i + 1) // 2}", None, None) for i in range(60)]
