@@ -60,7 +60,7 @@ def project_type_of(priority: Column) -> Column:
 def stem_tokens(file_name: Column | str) -> Column:
     """ASCII-letter tokens of three or more letters in a name without its last suffix."""
     stem = F.regexp_replace(_col(file_name), r"\.[^.]*\z", "")
-    return F.filter(F.split(stem, "[^A-Za-z]+"), lambda t: F.length(t) >= 3)
+    return F.regexp_extract_all(stem, F.lit("[A-Za-z]{3,}"), F.lit(0))
 
 
 def safe_file_name(title: Column | str) -> Column:

@@ -14,7 +14,7 @@ from archiveloom import dimensions as dim
 from archiveloom.operators.clean import _as_rows
 from archiveloom.schema import REQUIRED_COLUMNS, Archive
 
-# table -> ((column, allowed values, description), ...)
+# Table -> ((column, allowed values, description), ...)
 ALLOWED_VALUES = {
     "projects": (
         ("download_method", dim.DOWNLOAD_METHODS, "PROJECTS.download_method has a value outside SCRAPING/API-CALL"),

@@ -143,22 +143,22 @@ def harvested(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def originals(spark: SparkSession, sf: str, lang: str) -> DataFrame:
+def originals(records: DataFrame, lang: str) -> DataFrame:
     """The catalogue of a language; column names differ in case, some are extra."""
-    return harvested(spark, sf).where(F.col("lang") == lang).select(
+    return records.where(F.col("lang") == lang).select(
         F.col("doc_id").alias("ID"), F.col("title").alias("Title"), F.col("text").alias("description"),
         F.col("url").alias("PROJECT_URL"), F.col("doi").alias("Doi"), "repository_id",
         F.col("method").alias("download_method"), "download_date", F.lit("unused").alias("remark"),
     )
 
 
-def mirrored(spark: SparkSession, sf: str, lang: str) -> DataFrame:
+def mirrored(records: DataFrame, lang: str) -> DataFrame:
     """A second catalogue of the same projects: other spellings, more gaps, fewer columns."""
     doc = F.col("doc_id")
     url = F.when(F.col("url").isNotNull(), F.concat(F.lit(" "), F.upper("url"), F.lit("/"))).when(
         doc % 4 == 0, F.lit("")
     )
-    return harvested(spark, sf).where(F.col("lang") == lang).select(
+    return records.where(F.col("lang") == lang).select(
         F.col("doc_id").alias("id"),
         F.concat(F.translate("title", "abcdefghijklm", "ABCDEFGHIJKLM"), F.lit("  ")).alias("title"),
         url.alias("project_url"),
@@ -186,15 +186,15 @@ def sources(spark: SparkSession, sf: str) -> list[Source]:
     Table names differ in case; one catalogue has no projects table and is skipped, and one
     keyword table lacks its parent column.
     """
-    words = keywords(spark, sf)
+    records, words = harvested(spark, sf), keywords(spark, sf)
     found = []
     for lang in reversed(LANGUAGES):
         own = words.where(F.col("lang") == lang).drop("lang")
         if lang == "fr":
             own = own.drop("project_id")
-        found.append(Source(lang, {"PROJECTS": originals(spark, sf, lang), "Keywords": own}))
-        found.append(Source(f"mirror_{lang}", {"projects": mirrored(spark, sf, lang), "keywords": own}))
-    found.append(Source("a_list", {"project_list": originals(spark, sf, "en"), "keywords": words}))
+        found.append(Source(lang, {"PROJECTS": originals(records, lang), "Keywords": own}))
+        found.append(Source(f"mirror_{lang}", {"projects": mirrored(records, lang), "keywords": own}))
+    found.append(Source("a_list", {"project_list": originals(records, "en"), "keywords": words}))
     return found
 
 

@@ -12,6 +12,23 @@ from archiveloom.operators import ranks as r
 from archiveloom.sources.sinks import write_csv, write_findings
 
 
+# Sentences of the findings documents
+NARRATIVE = (
+    "The %s repository contributes %d projects to the aggregated dataset. "
+    "Of these, %.1f%% were identified as QD projects and %.1f%% as QDA projects, with "
+    "%.1f%% classified as other data and %.1f%% as non-project entries. "
+    "Across %d distinct ISIC divisions, the most frequent primary class is %s, "
+    "accounting for %.1f%% of the repository's projects."
+)
+FINDINGS_TITLE = "# Findings: "
+FACTS_TITLE = "## Key facts"
+TOTAL_LINE = "- Total projects: %d"
+CLASSES_LINE = "- Distinct primary classes observed: %d"
+TOP_LINE = "- Most common primary class: %s (%d projects, %.1f%%)"
+UNCLASSIFIED_LINE = "- Unclassified projects (no primary_class): %d (%.1f%%)"
+TYPES_TITLE = "## Projects by type"
+
+
 def _percent(part: str, total: str = "total") -> Column:
     return r.share(F.col(part), F.col(total))
 
@@ -47,12 +64,7 @@ def repo_narrative(cube: DataFrame) -> DataFrame:
     """Numbers and text of a repository's summary, one row per repository."""
     facts = repo_key_facts(cube).join(repo_type_shares(cube).drop("total"), "repository")
     text = F.format_string(
-        "The %s repository contributes %d projects to the aggregated dataset. "
-        "Of these, %.1f%% were identified as QD projects and %.1f%% as QDA projects, with "
-        "%.1f%% classified as other data and %.1f%% as non-project entries. "
-        "Across %d distinct ISIC divisions, the most frequent primary class is %s, "
-        "accounting for %.1f%% of the repository's projects.",
-        "repository", "total", "qd_share", "qda_share", "other_share", "no_project_share",
+        NARRATIVE, "repository", "total", "qd_share", "qda_share", "other_share", "no_project_share",
         "classes", "top_label", "top_share",
     )
     return facts.withColumn("narrative", text)
@@ -86,12 +98,10 @@ def repo_findings(cube: DataFrame) -> DataFrame:
 def findings_text(cube: DataFrame) -> DataFrame:
     """(repository, slug, value): the findings document of each repository."""
     f = repo_narrative(cube)
-    top = F.format_string("- Most common primary class: %s (%d projects, %.1f%%)", "top_label", "top_n", "top_share")
+    top = F.format_string(TOP_LINE, "top_label", "top_n", "top_share")
     unclassified = F.when(
         F.col("unclassified") > 0,
-        F.format_string(
-            "- Unclassified projects (no primary_class): %d (%.1f%%)", "unclassified", "unclassified_share"
-        ),
+        F.format_string(UNCLASSIFIED_LINE, "unclassified", "unclassified_share"),
     )
     types = [
         F.format_string(f"- {label}: %d (%.1f%%)", column, f"{column}_share")
@@ -99,11 +109,10 @@ def findings_text(cube: DataFrame) -> DataFrame:
     ]
     value = F.concat_ws(
         "\n",
-        F.concat(F.lit("# Findings: "), "repository"), F.lit(""), F.col("narrative"), F.lit(""),
-        F.lit("## Key facts"), F.lit(""),
-        F.format_string("- Total projects: %d", "total"),
-        F.format_string("- Distinct primary classes observed: %d", "classes"),
-        top, unclassified, F.lit(""), F.lit("## Projects by type"), F.lit(""), *types,
+        F.concat(F.lit(FINDINGS_TITLE), "repository"), F.lit(""), F.col("narrative"), F.lit(""),
+        F.lit(FACTS_TITLE), F.lit(""),
+        F.format_string(TOTAL_LINE, "total"), F.format_string(CLASSES_LINE, "classes"),
+        top, unclassified, F.lit(""), F.lit(TYPES_TITLE), F.lit(""), *types,
     )
     return f.select("repository", slug("repository").alias("slug"), value.alias("value"))
 

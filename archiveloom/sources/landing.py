@@ -17,6 +17,7 @@ from archiveloom.operators.harmonise import Source
 from archiveloom.operators.keywords import ingest_keywords
 from archiveloom.operators.language import detect_language, language_or_detected
 from archiveloom.schema import CHILD_COLUMNS
+from archiveloom.staging import StagingArea
 
 DOI_RESOLVER = "https://doi.org/"
 
@@ -51,12 +52,14 @@ def fetch_target(repository_id: Column, item_id: Column, lookup: Column) -> Colu
 
 
 def split_failures(
-    landed: DataFrame, schema: str, required: dict[str, str], json: str = "json"
+    landed: DataFrame, schema: str, required: dict[str, str], staging: StagingArea | None = None,
+    json: str = "json",
 ) -> tuple[DataFrame, DataFrame]:
     """(good records with ``doc``, failures with ``reason``).
 
     ``required`` maps a field to the SQL path that must be filled. One bad record never
-    stops the others.
+    stops the others. With a staging area the JSON is parsed once, into a columnar table all
+    entities are then read from.
     """
     parsed = landed.withColumn(
         "doc",
@@ -69,8 +72,10 @@ def split_failures(
     )
     for name, path in required.items():
         reason = reason.when(F.expr(f"doc.{path}").isNull(), F.lit(f"missing {name}"))
-    judged = parsed.withColumn("reason", reason)
-    good = judged.where(F.col("reason").isNull()).drop("reason", json)
+    judged = parsed.withColumn("reason", reason).drop(json)
+    if staging:
+        judged, _ = staging.write(judged, "parsed")
+    good = judged.where(F.col("reason").isNull()).drop("reason")
     return good, judged.where(F.col("reason").isNotNull()).select("record_id", "reason")
 
 
@@ -140,12 +145,14 @@ def dataverse_projects(docs: DataFrame, base_url: str) -> DataFrame:
     )
 
 
-def parse_dataverse(landed: DataFrame, base_url: str) -> dict[str, DataFrame]:
+def parse_dataverse(
+    landed: DataFrame, base_url: str, staging: StagingArea | None = None
+) -> dict[str, DataFrame]:
     """Entities and failures of landed Dataverse records {query, item, version}.
 
     A file's status is SUCCEEDED unless a fetch log says otherwise.
     """
-    docs, failures = split_failures(landed, DATAVERSE_SCHEMA, DATAVERSE_REQUIRED)
+    docs, failures = split_failures(landed, DATAVERSE_SCHEMA, DATAVERSE_REQUIRED, staging)
     files = docs.select("record_id", F.posexplode("doc.version.files").alias("seq", "file"))
     label = F.coalesce("file.label", F.lit("unknown"))
     depositor = blank_to_null(citation_field("depositor"))
@@ -230,9 +237,11 @@ def nada_studies(docs: DataFrame) -> DataFrame:
     return docs.select("record_id", f"{info}.notes", f"{info}.abstract", f"{info}.data_kind")
 
 
-def parse_nada(landed: DataFrame, site: str) -> dict[str, DataFrame]:
+def parse_nada(
+    landed: DataFrame, site: str, staging: StagingArea | None = None
+) -> dict[str, DataFrame]:
     """Entities and failures of landed NADA exports; files have no status until fetched."""
-    docs, failures = split_failures(landed, NADA_SCHEMA, NADA_REQUIRED)
+    docs, failures = split_failures(landed, NADA_SCHEMA, NADA_REQUIRED, staging)
     study = "doc.study_desc"
     none = F.array().cast(_NAMES)
     roles = (
@@ -270,10 +279,10 @@ SHAPES = {"dataverse": parse_dataverse, "nada": parse_nada}
 
 
 def parse_landed(landed: DataFrame, shape: str, base_url: str) -> dict[str, DataFrame]:
-    """Entities and failures of landed records of a known shape."""
+    """Entities and failures of landed records of a known shape, the JSON parsed once."""
     if shape not in SHAPES:
         raise ValueError(f"shape {shape!r}: expected one of {sorted(SHAPES)}")
-    return SHAPES[shape](landed, base_url)
+    return SHAPES[shape](landed, base_url, StagingArea(landed.sparkSession, f"landed-{shape}"))
 
 
 def with_fetch_log(files: DataFrame, log: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Landed records as they arrive.
 
 There are no windows and no state: a record is new when its project URL is not in the
-archive yet. Each micro-batch is parsed, compared with what is stored and appended.
+archive yet. Each micro-batch is parsed, compared with what is stored and appended, projects
+and children alike.
 """
 
 from __future__ import annotations
@@ -12,36 +13,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from archiveloom.schema import ENTITIES
 from archiveloom.sources.landing import new_projects
 
 LANDED_SCHEMA = "record_id bigint, json string"
 
+Parser = Callable[[DataFrame], dict[str, DataFrame]]
+
 
 def landed_stream(spark: SparkSession, path: str) -> DataFrame:
     """Landed Parquet files of (record_id, json), each read once."""
     return spark.readStream.schema(LANDED_SCHEMA).parquet(path)
 
 
-def append_new(
-    landed: DataFrame, parse: Callable[[DataFrame], dict[str, DataFrame]], path: str
-) -> DataStreamWriter:
-    """A writer that adds the unknown projects of each micro-batch to ``path``.
+def append_batch(landed: DataFrame, parse: Parser, path: str, batch_id: int) -> None:
+    """Add the projects that are not stored yet, with their children, as batch ``batch_id``.
 
-    A batch that is replayed after a failure rewrites its own folder, so no project is
-    stored twice.
+    Only earlier batches count as stored and the batch's own folders are overwritten, so a
+    batch that is run again after a failure leaves the same tables.
     """
-
-    spark = landed.sparkSession
-    nothing = parse(spark.createDataFrame([], LANDED_SCHEMA))["projects"]
-    nothing.withColumn("ord", F.col("record_id")).write.mode("ignore").parquet(f"{path}/batch=-1")
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        incoming = parse(batch)["projects"].withColumn("ord", F.col("record_id"))
-        schema = incoming.withColumn("batch", F.lit(0)).schema
-        # earlier batches only: a replayed batch must not meet its own first attempt
-        known = spark.read.schema(schema).parquet(path).where(F.col("batch") < batch_id)
-        fresh = new_projects(incoming, known)
-        fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    return landed.writeStream.foreachBatch(store)
+    parsed = parse(landed)
+    projects = parsed["projects"].withColumn("ord", F.col("record_id"))
+    stored = landed.sparkSession.read.schema(f"{_ddl(projects)}, batch int").parquet(f"{path}/projects")
+    fresh = new_projects(projects, stored.where(F.col("batch") < batch_id))
+    fresh.write.mode("overwrite").parquet(f"{path}/projects/batch={batch_id}")
+    added = landed.sparkSession.read.schema(_ddl(projects)).parquet(f"{path}/projects/batch={batch_id}")
+    for entity in ENTITIES[1:]:
+        children = parsed[entity].join(added.select("record_id"), "record_id", "left_semi")
+        children.write.mode("overwrite").parquet(f"{path}/{entity}/batch={batch_id}")
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
+def append_new(landed: DataFrame, parse: Parser, path: str) -> DataStreamWriter:
+    """A writer that adds the unknown projects of each micro-batch to ``path``."""
+    nothing = parse(landed.sparkSession.createDataFrame([], LANDED_SCHEMA))["projects"]
+    # an empty batch makes the table exist before the first one is compared with it
+    nothing.withColumn("ord", F.col("record_id")).write.mode("ignore").parquet(f"{path}/projects/batch=-1")
+    return landed.writeStream.foreachBatch(
+        lambda batch, batch_id: append_batch(batch, parse, path, batch_id)
+    )

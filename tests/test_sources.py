@@ -244,13 +244,15 @@ def test_landed_stream_appends_each_project_once(spark, tmp_path):
     item = lambda n: {"global_id": f"doi:10.7/{n}", "name": "N", "description": "d"}
 
     def land(first, ids):
-        data = [(first + i, json.dumps({"query": "q", "item": item(n), "version": {}})) for i, n in enumerate(ids)]
+        data = [(first + i, dataverse(item=item(n))) for i, n in enumerate(ids)]
         spark.createDataFrame(data, "record_id long, json string").coalesce(1).write.mode("append").parquet(landing)
         query = append_new(landed_stream(spark, landing), parse, stored).option("checkpointLocation", state).trigger(availableNow=True).start()
         query.awaitTermination(120)
 
     land(1, ["a", "b", "a"])
     land(10, ["b", "c"])
-    got = spark.read.parquet(stored)
+    got = spark.read.parquet(f"{stored}/projects")
     assert rows(got.select("record_id", "doi")) == [
         (1, "https://doi.org/10.7/a"), (2, "https://doi.org/10.7/b"), (11, "https://doi.org/10.7/c")]
+    assert rows(spark.read.parquet(f"{stored}/person_role").select("record_id", "name")) == [
+        (n, name) for n in (1, 2, 11) for name in ("Ann", "Dee")]
