@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from archiveloom.operators import skew
-from archiveloom.operators.merge import match_keys
+from archiveloom.operators.merge import stage_keys
 from archiveloom.operators.skew import hot_keys, lookup_join
 from archiveloom.staging import StagingArea
 
@@ -21,7 +21,7 @@ from archiveloom.staging import StagingArea
 def key_edges(keys: DataFrame) -> DataFrame:
     """(hi, lo): every record to the smallest record with the same URL, DOI or title key.
 
-    ``keys`` is :func:`match_keys`; the title key goes with the record's own repository. One
+    ``keys`` are the match keys; the title key goes with the record's own repository. One
     edge per record and key.
     """
     none = F.lit(0).cast("bigint")
@@ -97,7 +97,11 @@ def link_components(projects: DataFrame, staging: StagingArea | None = None) ->
     it or, knowingly, as a coarser merge.
     """
     staging = staging or StagingArea(projects.sparkSession, "components")
-    keys, _ = staging.write(match_keys(projects), "keys")
+    return link_by_keys(stage_keys(projects, staging), staging)
+
+
+def link_by_keys(keys: DataFrame, staging: StagingArea) -> DataFrame:
+    """:func:`link_components` from staged keys."""
     linked = components(key_edges(keys), staging).withColumnRenamed("node", "ord")
     return keys.select("ord").join(linked, "ord", "left").select(
         "ord", F.coalesce("component", "ord").alias("component")

@@ -27,6 +27,7 @@ only on an assignment that reproduces itself.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -51,7 +52,13 @@ def match_keys(projects: DataFrame) -> DataFrame:
     """(ord, url_key, doi_key, title_key, repository_id) and which raw fields are set.
 
     An empty string is a set field without a key: it blocks later values but matches none.
+    ``filled`` has one bit per source column, set where the column is not NULL.
     """
+    bits = [
+        F.when(F.col(c).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+        for i, c in enumerate(PROJECT_SOURCE_COLUMNS)
+        if c in projects.columns
+    ]
     return projects.select(
         "ord",
         url_key("project_url").alias("url_key"),
@@ -61,9 +68,16 @@ def match_keys(projects: DataFrame) -> DataFrame:
         F.col("project_url").isNotNull().alias("url_set"),
         F.col("doi").isNotNull().alias("doi_set"),
         F.col("title").isNotNull().alias("title_set"),
+        reduce(Column.bitwiseOR, bits).alias("filled"),
     )
 
 
+def stage_keys(projects: DataFrame, staging: StagingArea) -> DataFrame:
+    """:func:`match_keys` as a staged table, so that the catalogues are scanned once for it."""
+    keys, _ = staging.write(match_keys(projects), "keys")
+    return keys
+
+
 def _struct(tier: int, k1: Column, k2: Column, *more: Column) -> Column:
     return F.struct(F.lit(tier).alias("tier"), k1.alias("k1"), k2.alias("k2"), *more)
 
@@ -242,8 +256,11 @@ def _finish_chains(state: DataFrame, staging: StagingArea) -> DataFrame:
 def assign_clusters(projects: DataFrame, staging: StagingArea | None = None) -> DataFrame:
     """(ord, label) for every record; ``label`` is the ``ord`` of the cluster's first record."""
     staging = staging or StagingArea(projects.sparkSession, "merge")
-    # catalogues are scanned once, for the key columns only
-    keys, _ = staging.write(match_keys(projects), "keys")
+    return assign_by_keys(stage_keys(projects, staging), staging)
+
+
+def assign_by_keys(keys: DataFrame, staging: StagingArea) -> DataFrame:
+    """:func:`assign_clusters` from staged keys."""
     state, hot, n = shared_keys(staging, keys)
     if n:
         # first guess: the smallest carrier of the URL, else of the DOI, else alone
@@ -277,7 +294,7 @@ def first_non_null(columns: list[str], order: str = "ord") -> list[Column]:
     ]
 
 
-def contributing_records(projects: DataFrame, assignment: DataFrame, by: str = "label") -> DataFrame:
+def contributing_records(keys: DataFrame, assignment: DataFrame, by: str = "label") -> DataFrame:
     """(ord, by, members, alone): the records that give their cluster at least one value.
 
     Which record wins a field follows from what is set where, so it is found on 64-bit
@@ -286,11 +303,11 @@ def contributing_records(projects: DataFrame, assignment: DataFrame, by: str = "
     first record has all there is.
     """
     columns = list(PROJECT_SOURCE_COLUMNS)
-    flags = projects.select("ord", *[F.col(c).isNotNull().alias(c) for c in columns])
-    winners = flags.join(assignment.select("ord", by), "ord").groupBy(by).agg(
+    has = lambda i: F.col("filled").bitwiseAND(F.lit(1 << i)) != 0
+    winners = keys.select("ord", "filled").join(assignment.select("ord", by), "ord").groupBy(by).agg(
         F.count(F.lit(1)).alias("members"),
         F.min("ord").alias("_first"),
-        *[F.min(F.when(F.col(c), F.col("ord"))).alias(c) for c in columns],
+        *[F.min(F.when(has(i), F.col("ord"))).alias(c) for i, c in enumerate(columns)],
     )
     records = F.array_distinct(F.array_compact(F.array("_first", *columns)))
     return winners.select(by, "members", records.alias("_records")).select(
@@ -298,14 +315,17 @@ def contributing_records(projects: DataFrame, assignment: DataFrame, by: str = "
     )
 
 
-def coalesce_clusters(projects: DataFrame, assignment: DataFrame, by: str = "label") -> DataFrame:
+def coalesce_clusters(
+    projects: DataFrame, assignment: DataFrame, by: str = "label", keys: DataFrame | None = None
+) -> DataFrame:
     """One row per cluster: per field the first non-NULL value of its members.
 
     Only contributing records leave the join with the wide rows, and only those of clusters
     put together from several records are shuffled again.
     """
     columns = list(PROJECT_SOURCE_COLUMNS)
-    rows = projects.join(contributing_records(projects, assignment, by), "ord")
+    keys = match_keys(projects) if keys is None else keys
+    rows = projects.join(contributing_records(keys, assignment, by), "ord")
     whole = rows.where("alone").select(by, *columns, "members")
     pieced = (
         rows.where("not alone").groupBy(by).agg(*first_non_null(columns), F.max("members").alias("members"))

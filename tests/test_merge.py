@@ -167,3 +167,24 @@ def test_surrogate_ids_follow_opening_order(spark):
     staging = merge.StagingArea(spark, "test")
     got = {r.label: r.id for r in merge.surrogate_ids(assignment, staging).collect()}
     assert got == {label: i for i, label in enumerate(range(0, 15000, 6), 1)}
+
+
+def test_sliced_lookup_spreads_a_heavy_key(spark, monkeypatch):
+    """The rows of a heavy key land in several partitions, and the result stays the same."""
+    facts = spark.range(4000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
+    dim = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        parts = {}
+        for limit in (10**6, 100):
+            monkeypatch.setattr(skew, "HOT_ROWS", limit)
+            joined = skew.lookup_join(facts, dim, ["k"], ["id"])
+            assert joined.count() == 4000 and joined.where("v <> 2 * k").count() == 0
+            parts[limit] = joined.where("k = 7").select(F.spark_partition_id()).distinct().count()
+        assert parts[10**6] == 1 and parts[100] >= 6
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
