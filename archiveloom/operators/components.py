@@ -59,7 +59,7 @@ def components(edges: DataFrame, staging: StagingArea | None = None) -> DataFram
     count = F.count(F.lit(1))
     digest = {"n": count, "h": F.bit_xor(F.xxhash64("hi", "lo"))}
     edges, before = staging.write(edges, "edges", **digest)
-    round_no = 0
+    round_no = 0  # folders are reused, so at most two rounds are stored
     while before["n"]:
         both = edges.union(edges.select("lo", "hi")).toDF("hi", "lo")
         near = (
@@ -72,7 +72,7 @@ def components(edges: DataFrame, staging: StagingArea | None = None) -> DataFram
             .select("hi", F.col("m").alias("lo"))
             .distinct()
         )
-        large, size = staging.write(large, f"large-{round_no}", n=count)
+        large, size = staging.write(large, "large", n=count)
         below = large.groupBy("hi").agg(F.min("lo").alias("m"), count.alias("n"))
         small = (
             _star(large, size["n"], "hi", below)
@@ -81,7 +81,7 @@ def components(edges: DataFrame, staging: StagingArea | None = None) -> DataFram
             .union(below.select("hi", F.col("m").alias("lo")))
             .distinct()
         )
-        edges, after = staging.write(small, f"small-{round_no}", **digest)
+        edges, after = staging.write(small, f"small-{round_no % 2}", **digest)
         if after == before:
             break
         before, round_no = after, round_no + 1

@@ -85,9 +85,9 @@ def _struct(tier: int, k1: Column, k2: Column, *more: Column) -> Column:
 def shared_keys(staging: StagingArea, keys: DataFrame) -> tuple[DataFrame, DataFrame | None, int]:
     """Records that share a key with another, with keys coded as the smallest carrier.
 
-    ``keys`` is :func:`match_keys`. Returns the coded records, the heavy keys (None when there is none) and the row count.
-    The title key ignores the repository on purpose: a cluster can pair the title of one
-    member with the repository of another.
+    ``keys`` is :func:`match_keys`. Returns the coded records, the heavy keys (None when
+    there is none) and the number of records. The title key ignores the repository on
+    purpose: a cluster can pair the title of one member with the repository of another.
     """
     flags = ["url_set", "doi_set", "title_set", "repo"]
     tiers = F.array(
@@ -232,9 +232,10 @@ def _finish_chains(state: DataFrame, staging: StagingArea) -> DataFrame:
         placed.groupBy("component")
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") != F.col("was")).alias("moving"))
         .where((F.col("moving") > 0) & (F.col("n") <= CHAIN_ROWS))
-        .select("component", "n")
+        .select("component")
     )
-    picked = placed.join(small, "component")
+    # the rows of a component too large to be picked are spread before they are dropped
+    picked = lookup_join(placed, small, ["component"], ["ord"])
     settled = (
         picked.repartition("component")
         .sortWithinPartitions("component", "ord")
@@ -274,8 +275,9 @@ def assign_by_keys(keys: DataFrame, staging: StagingArea) -> DataFrame:
         while moved:
             if rounds == PATIENCE:
                 state, _ = staging.write(_finish_chains(state, staging), "chains")
+            # two folders take turns: a round reads the one and replaces the other
             state, seen = staging.write(
-                _reassign(state, hot), f"round-{rounds}",
+                _reassign(state, hot), f"round-{rounds % 2}",
                 moved=F.count_if(F.col("label") != F.col("was")),
             )
             moved, rounds = seen["moved"], rounds + 1
