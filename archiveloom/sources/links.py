@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from archiveloom.functions.text import blank_to_null, strip
 
-# An anchor with its attributes (group 1) and its content (group 2).
-_ANCHOR = r"(?is)<a\b([^>]*)>(.*?)</a\s*>"
-_HREF = r"""(?is)\bhref\s*=\s*["']([^"']*)["']"""
-_TITLE = r"""(?is)\btitle\s*=\s*["']([^"']*)["']"""
+# What is no markup: comments, scripts and styles.
+_HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+# An anchor with its attributes (group 1) and its content (group 2), closed or not.
+_ANCHOR = r"(?is)<a\b([^>]*)>(.*?)(?=</a|<a\b|\z)"
+# The value of an attribute in double quotes, single quotes or none.
+_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 # Character references decoded in link names, & last
 _REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 
@@ -22,6 +24,12 @@ def _plain(html: Column) -> Column:
     return text
 
 
+def _attribute(attributes: str, name: str) -> Column:
+    """Decoded value of an attribute; NULL when it is missing or empty."""
+    pattern = rf"(?is)(?:^|\s){name}{_VALUE}"
+    return F.coalesce(*[blank_to_null(_plain(F.regexp_extract(attributes, pattern, g))) for g in (1, 2, 3)])
+
+
 def absolute_url(href: Column, base: str | Column) -> Column:
     base = F.lit(base) if isinstance(base, str) else base
     return F.when(F.startswith(href, F.lit("http")), href).otherwise(F.concat(base, href))
@@ -37,17 +45,16 @@ def harvest_links(
     a page the first one counts. Pages are parsed where they lie; only links are shuffled.
     """
     anchors = F.arrays_zip(
-        F.regexp_extract_all("html", F.lit(_ANCHOR), F.lit(1)).alias("attributes"),
-        F.regexp_extract_all("html", F.lit(_ANCHOR), F.lit(2)).alias("content"),
+        F.regexp_extract_all("markup", F.lit(_ANCHOR), F.lit(1)).alias("attributes"),
+        F.regexp_extract_all("markup", F.lit(_ANCHOR), F.lit(2)).alias("content"),
     )
     marker = F.lit(marker) if isinstance(marker, str) else marker
     base = F.lit(base) if isinstance(base, str) else base
-    found = pages.select(
+    found = pages.withColumn("markup", F.regexp_replace("html", _HIDDEN, "")).select(
         key, base.alias("base"), marker.alias("marker"), F.posexplode(anchors).alias("place", "a")
     )
-    href = _plain(F.regexp_extract("a.attributes", _HREF, 1))
-    title = blank_to_null(_plain(F.regexp_extract("a.attributes", _TITLE, 1)))
-    links = found.withColumn("href", href).where(F.contains("href", "marker"))
+    title = _attribute("a.attributes", "title")
+    links = found.withColumn("href", _attribute("a.attributes", "href")).where(F.contains("href", "marker"))
     named = links.select(
         key, "place",
         absolute_url(F.col("href"), F.col("base")).alias("download_url"),

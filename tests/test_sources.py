@@ -212,6 +212,9 @@ def test_links(spark):
         "<A class='b' HREF='http://other/download/2'> <b>Two</b>\n words </A>"
         '<a href="/catalog/1/download/9">again</a><a href="/elsewhere">no</a><a name="x">no href</a>'
         '<a href="/catalog/1/download/7"></a>'
+        "<!-- <a href='/download/hidden'>no</a> --><script>x = \"<a href='/download/script'>\"</script>"
+        "<a class=x href=/download/bare title='it is \"so\"'>t</a>"
+        "<a href=\"/download/it's\">open one<a data-href='/download/data' href='/no'>n</a>"
     )
     pages = spark.createDataFrame([(1, html), (2, "")], "page_id long, html string")
     got = rows(harvest_links(pages, "https://site"))
@@ -219,6 +222,8 @@ def test_links(spark):
         (1, "http://other/download/2", "Two\n words"),
         (1, "https://site/catalog/1/download/7", ""),
         (1, "https://site/catalog/1/download/9", "Data & more"),
+        (1, "https://site/download/bare", 'it is "so"'),
+        (1, "https://site/download/it's", "open one"),
     ]
 
 
