@@ -9,7 +9,7 @@ from archiveloom.sources import landing as ld
 from archiveloom.sources.catalogues import from_databases, from_paths, from_sqlite
 from archiveloom.sources.links import harvest_links
 from archiveloom.sources.worklist import Repository, first_hits, worklist
-from archiveloom.streaming.landing import append_new, landed_stream
+from archiveloom.streaming.landing import append_batch, append_new, landed_stream
 from conftest import rows
 
 
@@ -165,10 +165,11 @@ def test_nada_records(spark):
     assert rows(out["failures"].select("record_id")) == [(3,)]
 
 
-def test_landed_records_to_archive(spark):
+def test_landed_records_to_archive(spark, tmp_path):
     """From landed JSON through merge, cleaning, typing and reports in one run."""
     import archiveloom as al
     from archiveloom import dimensions as dim
+    from archiveloom.operators.taxonomy import division_corpus
 
     landed = spark.createDataFrame([(1, dataverse()), (2, dataverse())], "record_id long, json string")
     parsed = al.parse_landed(landed, "dataverse", "https://dv")
@@ -176,13 +177,25 @@ def test_landed_records_to_archive(spark):
     parsed["files"] = ld.with_fetch_log(parsed["files"], log)
     assert rows(parsed["files"].select("record_id", "file_ref", "status")) == [
         (1, "5", "FAILED_LOGIN_REQUIRED"), (1, "6", "FAILED_SERVER_UNRESPONSIVE"), (2, "5", "SUCCEEDED"), (2, "6", "SUCCEEDED")]
-    archive = al.clean(al.merge_sources([al.as_source("dv", parsed)]))
+    archive = al.rebuild(al.clean(al.merge_sources([al.as_source("dv", parsed)])))
     assert archive.projects.count() == 1 and archive.files.count() == 2 and archive.person_role.count() == 2
-    typed = al.classify_project_type(rebuild(archive).projects, archive.files)
+    typed = al.classify_project_type(archive.projects, archive.files)
     assert typed.first().type == "QD_PROJECT"
-    assert rows(al.validate(archive.with_tables(projects=rebuild(archive).projects))) == []
-    report = al.repo_report(typed, rebuild(archive).files, dim.repositories_table(spark))
-    assert rows(report["rank_tables"].where("scope = 'qd'")) == [("harvard-dataverse", "qd", 1, "UNCLASSIFIED", 1)]
+    corpus = division_corpus(dim.divisions_table(spark), dim.sections_table(spark))
+    projects, files = al.classify(typed, archive.keywords, archive.files, corpus)
+    done = archive.with_tables(projects=projects, files=files)
+    assert al.publish(done, f"{tmp_path}/archive", apply=True) == []
+    stored = al.read_tables(spark, f"{tmp_path}/archive")
+    project = stored.projects.first()
+    assert (project.id, project.type, str(project.upload_date)) == (1, "QD_PROJECT", "2023-05-06")
+    assert project.primary_class and project.secondary_class and "k1" in project.tags
+    # the one primary data file has a name of too few words and takes its project's class
+    assert rows(stored.files.select("file_name", "primary_class")) == [("a.b.PDF", project.primary_class), ("unknown", None)]
+    report = al.repo_report(stored.projects, stored.files, dim.repositories_table(spark))
+    assert rows(report["rank_tables"].where("scope = 'qd'")) == [("harvard-dataverse", "qd", 1, project.primary_class, 1)]
+    al.write_repo_report(report, f"{tmp_path}/report")
+    text = "\n".join(r.value for r in spark.read.text(f"{tmp_path}/report/findings").collect())
+    assert "- QD: 1 (100.0%)" in text and project.primary_class in text
     with pytest.raises(ValueError):
         al.parse_landed(landed, "other", "")
 
@@ -243,6 +256,18 @@ def test_incremental_projects(spark):
     assert rows(ld.new_projects(incoming, known).select("ord", "project_url")) == [(2, "v")]
 
 
+def test_a_batch_run_twice_stores_the_same(spark, tmp_path):
+    landed = spark.createDataFrame([(1, dataverse())], "record_id long, json string")
+    parse = lambda df: ld.parse_dataverse(df, "https://dv")
+    empty = parse(landed.limit(0))["projects"].selectExpr("*", "record_id as ord")
+    empty.write.parquet(f"{tmp_path}/s/projects/batch=-1")
+    for _ in range(2):
+        append_batch(landed, parse, f"{tmp_path}/s", 0)
+    append_batch(landed, parse, f"{tmp_path}/s", 1)
+    assert spark.read.parquet(f"{tmp_path}/s/projects").count() == 1
+    assert spark.read.parquet(f"{tmp_path}/s/person_role").count() == 2
+
+
 def test_landed_stream_appends_each_project_once(spark, tmp_path):
     landing, stored, state = (str(tmp_path / n) for n in ("landing", "stored", "state"))
     parse = lambda df: ld.parse_dataverse(df, "https://dv")
