@@ -42,6 +42,11 @@ def pick(key: Column, values: tuple) -> Column:
     return F.array(*[F.lit(v) for v in values])[key.cast("int")]
 
 
+def title_line() -> Column:
+    """The first line of a text stands in for a title; the whole text is the description."""
+    return F.split_part("text", F.lit("\n"), F.lit(1))
+
+
 # --- classified archive: orders as projects, lineitem as files --------------------------
 
 TYPES = (None, "", "QDA_PROJECT", "QD_PROJECT", "OTHER_PROJECT", "NOT_A_PROJECT", "LEGACY")
@@ -136,7 +141,7 @@ def harvested(spark: SparkSession, sf: str) -> DataFrame:
             "doc_id", "lang", "text", "url",
             (F.substring("source", 4, 10).cast("bigint") + 1).alias("repository_id"),
             F.when(doc % 5 != 0, F.concat(F.lit("10.5072/"), text_id)).alias("doi"),
-            F.substring("text", 1, 60).alias("title"),
+            title_line().alias("title"),
             pick(doc % 6, ("API", "api", "SCRAPING", "API-CALL", "x", None)).alias("method"),
             F.when(doc % 11 != 0, F.lit("2024-05-01T00:00:00")).alias("download_date"),
         )
@@ -168,13 +173,12 @@ def mirrored(records: DataFrame, lang: str) -> DataFrame:
 
 
 def keywords(spark: SparkSession, sf: str) -> DataFrame:
-    """The first eight words of every document as its keywords, in original case."""
-    first = F.slice(F.split("text", r"\s+"), 1, 8)
+    """Every word of every document as a keyword, in original case."""
     return (
-        table(spark, sf, "documents")
-        .select("doc_id", "lang", F.posexplode(first).alias("pos", "keyword"))
+        texts(spark, sf)
+        .select("doc_id", "lang", F.posexplode(F.split("text", r"\s+")).alias("pos", "keyword"))
         .select(
-            (F.col("doc_id") * 8 + F.col("pos")).alias("id"), F.col("doc_id").alias("project_id"),
+            (F.col("doc_id") * 1_000_000 + F.col("pos")).alias("id"), F.col("doc_id").alias("project_id"),
             "keyword", "lang",
         )
     )
@@ -216,16 +220,15 @@ def _field(name: str, value: Column) -> Column:
 def landed_dataverse(spark: SparkSession, sf: str) -> DataFrame:
     """One landed record per document; every tenth is cut off and every tenth lacks its description."""
     doc = F.col("doc_id")
-    first = F.slice(F.split("text", r"\s+"), 1, 3)
     key = F.substring(F.md5("text"), 1, 8)
     item = F.struct(
         F.concat(F.lit("doi:10.5072/FK2/"), key).alias("global_id"),
-        F.substring("text", 1, 60).alias("name"),
+        title_line().alias("name"),
         F.when(doc % 10 != 5, F.col("text")).alias("description"),
         F.when(F.col("source") == "src3", F.lit("Henry A. MURRAY Archive")).otherwise(F.col("source")).alias("publisher"),
         F.lit("2024-02-03T10:00:00Z").alias("published_at"),
     )
-    keyword = F.transform(first, lambda w: F.struct(F.struct(w.alias("value")).alias("keywordValue")))
+    keyword = F.transform(F.split("text", r"\s+"), lambda w: F.struct(F.struct(w.alias("value")).alias("keywordValue")))
     author = F.array(F.struct(F.struct(F.concat(F.lit("Author "), "lang").alias("value")).alias("authorName")))
     contact = F.array(F.struct(F.struct(F.nullif("source", F.lit("src1")).alias("value")).alias("datasetContactName")))
     fields = F.concat_ws(
@@ -272,7 +275,7 @@ def landed_nada(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(
             F.struct(
                 F.when(doc % 3 != 0, F.concat(F.lit("DDI/"), doc.cast("string"), F.lit("/x"))).alias("idno"),
-                F.substring("text", 1, 60).alias("title"),
+                title_line().alias("title"),
             ).alias("title_statement"),
             F.struct(
                 F.col("text").alias("abstract"),

@@ -162,7 +162,7 @@ CTES: dict[str, str] = {
     "harvested": f"""
         SELECT d.doc_id, d.lang, d.text, p.url, CAST(substr(d.source, 4) AS BIGINT) + 1 AS repository_id,
                CASE WHEN d.doc_id % 5 <> 0 THEN '10.5072/' || substr(md5(d.text), 1, 12) END AS doi,
-               substr(d.text, 1, 60) AS title,
+               split_part(d.text, chr(10), 1) AS title,
                {_pick('d.doc_id % 6', ('API', 'api', 'SCRAPING', 'API-CALL', 'x', None))} AS method,
                CASE WHEN d.doc_id % 11 <> 0 THEN '2024-05-01T00:00:00' END AS download_date
         FROM documents d LEFT JOIN pages p ON p.page_id = d.doc_id""",
@@ -190,8 +190,8 @@ CTES: dict[str, str] = {
                CASE WHEN mirror = 0 THEN download_date END AS download_date
         FROM harvested h JOIN source_list s ON s.lang = h.lang""",
     "keywords": """
-        SELECT doc_id * 8 + pos - 1 AS id, doc_id AS project_id, words[pos] AS keyword, lang
-        FROM (SELECT doc_id, lang, words, unnest(generate_series(1, least(8, len(words)))) AS pos
+        SELECT doc_id * 1000000 + pos - 1 AS id, doc_id AS project_id, keyword, lang
+        FROM (SELECT doc_id, lang, unnest(words) AS keyword, generate_subscripts(words, 1) AS pos
               FROM (SELECT doc_id, lang, regexp_split_to_array(text, '\\s+') AS words FROM documents))""",
     "keyed": f"""
         SELECT *, nullif(lower(rtrim(trim(project_url), '/')), '') AS url_key, nullif(lower(trim(doi)), '') AS doi_key,
@@ -274,7 +274,7 @@ SQL: dict[str, str] = {
         SELECT record_id, l.lang AS query_string, CASE WHEN source = 'src3' THEN 18 ELSE 10 END::BIGINT AS repository_id,
                CASE WHEN source = 'src3' THEN 'https://www.murray.harvard.edu/dataverse' ELSE 'https://site' END AS repository_url,
                'https://site/dataset.xhtml?persistentId=doi:10.5072/FK2/' || key AS project_url, version,
-               substr(l.text, 1, 60) AS title, l.text AS description,
+               split_part(l.text, chr(10), 1) AS title, l.text AS description,
                CASE WHEN record_id % 2 = 0 THEN l.lang ELSE d.detected END AS language,
                'https://doi.org/10.5072/FK2/' || key AS doi,
                CASE WHEN record_id % 4 <> 0 THEN '2023-06-07' ELSE '2024-02-03' END AS upload_date,
@@ -288,8 +288,7 @@ SQL: dict[str, str] = {
                CASE WHEN seq = 0 THEN 'pdf' ELSE 'unknown' END AS file_type, 'SUCCEEDED' AS status
         FROM (SELECT record_id, unnest([0, 1])::BIGINT AS seq FROM landed)""",
     "parse_dataverse_keywords": """
-        SELECT record_id, seq, words[seq + 1] AS keyword
-        FROM (SELECT record_id, words, unnest(generate_series(0, least(3, len(words)) - 1)) AS seq FROM landed)""",
+        SELECT record_id, unnest(words) AS keyword, generate_subscripts(words, 1) - 1 AS seq FROM landed""",
     "parse_dataverse_person_role": """
         SELECT record_id, seq, name, role FROM (
           SELECT record_id, 0::BIGINT AS seq, 'Author ' || lang AS name, 'AUTHOR' AS role FROM landed
@@ -302,7 +301,7 @@ SQL: dict[str, str] = {
         FROM documents WHERE doc_id % 10 IN (3, 5)""",
     "parse_nada_projects": """
         SELECT doc_id AS record_id, lang AS query_string, 9::BIGINT AS repository_id, 'https://site' AS repository_url,
-               'https://site/catalog/' || doc_id AS project_url, version, substr(text, 1, 60) AS title, text AS description,
+               'https://site/catalog/' || doc_id AS project_url, version, split_part(text, chr(10), 1) AS title, text AS description,
                detected AS language, CASE WHEN doc_id % 7 <> 0 THEN 'https://doi.org/10.5072/' || doc_id END AS doi,
                '2020-01-02' AS upload_date, 'ihsn' AS download_repository_folder,
                CASE WHEN doc_id % 3 <> 0 THEN 'DDI_' || doc_id || '_x' ELSE CAST(doc_id AS VARCHAR) END AS download_project_folder,
@@ -349,7 +348,7 @@ SQL: dict[str, str] = {
         WHERE project_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P') GROUP BY entity""",
     "fill_url_from_doi": """
         SELECT ord, CASE WHEN project_url = '' AND doi <> '' THEN doi ELSE project_url END AS project_url
-        FROM (SELECT ord, project_url, coalesce(doi, substr(title, 1, 5)) AS doi FROM records)""",
+        FROM (SELECT ord, project_url, coalesce(doi, title) AS doi FROM records)""",
     "normalise_method": """
         SELECT ord, CASE WHEN download_method IN ('API', 'api', 'SCRAPING | API') THEN 'API-CALL'
                          WHEN download_method NOT IN ('SCRAPING', 'API-CALL') THEN 'SCRAPING'
@@ -383,7 +382,7 @@ SQL: dict[str, str] = {
         FROM projects""",
     "cleaning_audit": f"""
         SELECT 'project_url from doi' AS rule, count(*) AS changed FROM records
-          WHERE project_url = '' AND coalesce(doi, substr(title, 1, 5)) <> ''
+          WHERE project_url = '' AND coalesce(doi, title) <> ''
         UNION ALL SELECT 'download_method to API-CALL', count(*) FROM records WHERE download_method IN ('API', 'api', 'SCRAPING | API')
         UNION ALL SELECT 'download_method to SCRAPING', count(*) FROM records
           WHERE download_method NOT IN ('API', 'api', 'SCRAPING | API', 'SCRAPING', 'API-CALL')

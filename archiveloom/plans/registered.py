@@ -189,7 +189,7 @@ def _harvested_projects(spark, sf) -> DataFrame:
 
 @query
 def fill_url_from_doi(spark, sf):
-    rows = _harvested_projects(spark, sf).withColumn("doi", F.coalesce("doi", F.substring("title", 1, 5)))
+    rows = _harvested_projects(spark, sf).withColumn("doi", F.coalesce("doi", "title"))
     return rows.select("ord", cl.cleaned_project_url().alias("project_url"))
 
 
@@ -263,7 +263,7 @@ def rebuild_projection(spark, sf):
 
 @query
 def cleaning_audit(spark, sf):
-    rows = _harvested_projects(spark, sf).withColumn("doi", F.coalesce("doi", F.substring("title", 1, 5)))
+    rows = _harvested_projects(spark, sf).withColumn("doi", F.coalesce("doi", "title"))
     return cl.cleaning_audit(rows, b.files(spark, sf), b.people(spark, sf))
 
 
