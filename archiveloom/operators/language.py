@@ -14,7 +14,7 @@ FUNCTION_WORDS = {
 }
 
 
-def language_votes(text: Column) -> Column:
+def language_votes(text: Column, vocabularies: dict[str, tuple[str, ...]] | None = None) -> Column:
     """array<struct<votes, rank, lang>>: how many words of a text each language claims.
 
     Row-local: the whole text is read where it lies and nothing is shuffled. One regular
@@ -22,7 +22,7 @@ def language_votes(text: Column) -> Column:
     digit, which is several times faster than splitting the text and testing each word.
     """
     votes = []
-    for rank, (lang, vocabulary) in enumerate(sorted(FUNCTION_WORDS.items())):
+    for rank, (lang, vocabulary) in enumerate(sorted((vocabularies or FUNCTION_WORDS).items())):
         pattern = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(vocabulary)})(?![\p{{L}}\p{{N}}])"
         hits = F.regexp_count(F.lower(text), F.lit(pattern))
         # a lower rank wins a tie, hence the minus
@@ -32,9 +32,12 @@ def language_votes(text: Column) -> Column:
     return F.array(*votes)
 
 
-def detect_language(text: Column) -> Column:
-    """Language with the most function words; NULL when the text has none of any."""
-    best = F.array_max(language_votes(text))
+def detect_language(text: Column, vocabularies: dict[str, tuple[str, ...]] | None = None) -> Column:
+    """Language with the most function words; NULL when the text has none of any.
+
+    ``vocabularies`` gives the words per language where the four built-in ones do not do.
+    """
+    best = F.array_max(language_votes(text, vocabularies))
     return F.when(best["votes"] > 0, best["lang"])
 
 

@@ -95,13 +95,38 @@ def _labelled(df: DataFrame, corpus: DataFrame, primary: str, secondary: str) ->
     return df
 
 
-def classify_projects(fragments: DataFrame, corpus: DataFrame) -> DataFrame:
+def project_vectors(fragments: DataFrame, embedder: Embedder | None = None) -> DataFrame:
+    """(project_id, vector) of all texts of a project.
+
+    The default bag of words is summed over the fragments. Another embedder sees the
+    project's text; a project so large that its text is in parts gets their mean vector.
+    """
+    if embedder is None:
+        return sum_vectors(fragments, "project_id")
+    parts = project_text(fragments).select(
+        "project_id", "part", embedder(F.col("text")).cast("array<double>").alias("vector")
+    )
+    means = (
+        parts.where("part <> 0")
+        .select("project_id", F.posexplode("vector").alias("pos", "x"))
+        .groupBy("project_id", "pos")
+        .agg(F.avg("x").alias("x"))
+        .groupBy("project_id")
+        .agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("cells"))
+        .select("project_id", F.col("cells.x").alias("vector"))
+    )
+    return parts.where("part = 0").select("project_id", "vector").unionByName(means)
+
+
+def classify_projects(
+    fragments: DataFrame, corpus: DataFrame, embedder: Embedder | None = None
+) -> DataFrame:
     """(project_id, primary_class, secondary_class, scores) from all texts of a project.
 
     A project without any text has no row here and keeps NULL classes.
     """
-    vectors = sum_vectors(fragments, "project_id")
-    found = nearest_two(vectors, "vector", embedded_corpus(corpus)).drop("vector")
+    vectors = project_vectors(fragments, embedder)
+    found = nearest_two(vectors, "vector", embedded_corpus(corpus, embedder)).drop("vector")
     return _labelled(found, corpus, "primary_class", "secondary_class")
 
 
@@ -141,7 +166,7 @@ def classify_files(
 
 
 def classify(archive_projects: DataFrame, keywords: DataFrame, files: DataFrame, corpus: DataFrame,
-             scope: str = "all") -> tuple[DataFrame, DataFrame]:
+             scope: str = "all", embedder: Embedder | None = None) -> tuple[DataFrame, DataFrame]:
     """Projects and files with their class columns; ``scope`` is projects, files or all.
 
     Projects also get their tags, an empty list when they have no text.
@@ -151,7 +176,7 @@ def classify(archive_projects: DataFrame, keywords: DataFrame, files: DataFrame,
     projects = archive_projects
     if scope in ("projects", "all"):
         fragments = project_fragments(projects, keywords, files)
-        found = classify_projects(fragments, corpus).select(
+        found = classify_projects(fragments, corpus, embedder).select(
             F.col("project_id").alias("id"), "primary_class", "secondary_class"
         )
         tags = tag_arrays(top_tags(fragments, "project_id"), "project_id").withColumnRenamed("project_id", "id")
@@ -162,7 +187,7 @@ def classify(archive_projects: DataFrame, keywords: DataFrame, files: DataFrame,
             .withColumn("tags", F.coalesce("tags", F.array().cast("array<string>")))
         )
     if scope in ("files", "all"):
-        found = classify_files(files, projects, corpus).select(
+        found = classify_files(files, projects, corpus, embedder).select(
             F.col("file_id").alias("id"), "primary_class", "secondary_class"
         )
         files = files.drop("primary_class", "secondary_class").join(found, "id", "left")

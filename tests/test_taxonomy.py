@@ -196,3 +196,19 @@ def test_projects_get_tags(spark):
     done, _ = tax.classify(projects, keywords, files, corpus(spark), scope="projects")
     tags = {r.id: r.tags for r in done.collect()}
     assert "coal" in tags[1] and len(tags[1]) == 5
+
+
+def test_another_embedder(spark, monkeypatch):
+    """Any text-to-vector expression can stand in for the bag of words."""
+    letters = lambda text: F.array(*[F.regexp_count(F.lower(text), F.lit(c)).cast("double") for c in "acdeilmnorst"])
+    count = lambda text: np.array([float(text.lower().count(c)) for c in "acdeilmnorst"])
+    projects, keywords, files = project_inputs(spark)
+    table = corpus(spark)
+    refs = [(r.label, count(r.text)) for r in table.orderBy("idx").collect()]
+    whole = "coal mining Coal lignite coal_and_lignite.pdf x1.pdf Thumbs.db"
+    want = [refs[i][0] for i in brute_two(count(whole), [v for _, v in refs])]
+    for part_rows in (tax.PART_ROWS, 3):  # in one part, and as the mean of several
+        monkeypatch.setattr(tax, "PART_ROWS", part_rows)
+        done, _ = tax.classify(projects, keywords, files, table, "projects", letters)
+        got = next(r for r in done.collect() if r.id == 1)
+        assert [got.primary_class, got.secondary_class] == want
