@@ -28,7 +28,7 @@ def from_paths(
     is NULL and a quoted one is ''.
     """
     if fmt == "csv":
-        options = {"header": "true", "nullValue": "\u0000", "emptyValue": "", **options}
+        options = {"header": "true", "escape": '"', "nullValue": "\u0000", "emptyValue": "", **options}
     return [
         Source(name, {t: spark.read.format(fmt).options(**options).load(p) for t, p in tables.items()})
         for name, tables in sources.items()

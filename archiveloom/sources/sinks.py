@@ -45,8 +45,8 @@ def publish(archive: Archive, path: str, apply: bool = False) -> list[tuple[str,
 
 
 def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """CSV with a header; '' stays apart from NULL."""
-    writer = df.write.mode("errorifexists").option("header", True).option("emptyValue", '""')
+    """CSV with a header and doubled quotes, as other readers expect; '' stays apart from NULL."""
+    writer = df.write.mode("errorifexists").options(header=True, escape='"', emptyValue='""')
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
 
 
@@ -60,4 +60,4 @@ def write_findings(findings: DataFrame, path: str) -> None:
 def read_rank_tables(spark: SparkSession, path: str) -> DataFrame:
     """Rank tables written by :func:`write_csv`, partition columns included."""
     schema = "rank bigint, primary_class string, count bigint, slug string, scope string"
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).options(header=True, escape='"').csv(path)

@@ -129,3 +129,7 @@ def test_csv_keeps_empty_and_missing_apart(spark, tmp_path):
     sinks.write_csv(df, f"{tmp_path}/csv")
     (source,) = from_paths(spark, {"s": {"projects": f"{tmp_path}/csv"}}, "csv")
     assert rows(source.tables["projects"]) == [("1", ""), ("2", None), ("3", 'a "b", c')]
+    import csv
+
+    lines = [r.value for r in spark.read.text(f"{tmp_path}/csv").collect()]
+    assert ["3", 'a "b", c'] in list(csv.reader(lines))
