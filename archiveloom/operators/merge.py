@@ -149,9 +149,8 @@ def _reassign(state: DataFrame, hot: DataFrame | None) -> DataFrame:
         _struct(DOI, F.col("doi_k"), zero),
         _struct(TITLE, F.col("title_k"), F.col("repo")),
     )
-    asked = state.select("ord", F.inline(wanted)).where(
-        F.col("k1").isNotNull() & F.col("k2").isNotNull()
-    )
+    # the first record to carry a text finds no owner of it, so it need not ask
+    asked = state.select("ord", F.inline(wanted)).where("k1 < ord and k2 is not null")
     on = ["tier", "k1", "k2"]
     owners = _owners(state)
     if hot is None:
