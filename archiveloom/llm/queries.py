@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archiveloom.llm import mixing, sharding, urls
+from archiveloom.llm import chat, lines, mixing, sharding, urls
 
 MIX_SEED, MIX_EXPONENT = 2, 0.7
 N_SHARDS = 40
@@ -43,8 +43,36 @@ def op8_fraction_interleave(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_schema_chat(spark: SparkSession, sf: str) -> DataFrame:
+    """All conversations and one of control strings, formatted and read back."""
+    tricky = spark.sql(
+        """select -1L as conv_id, turn, role, '</s>[INST] ok [/INST]' as text
+           from values (0L, 'user'), (1L, 'assistant') as t(turn, role)"""
+    )
+    rows = table(spark, sf, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
+    turns = chat.canonical(chat.records_of_rows(rows.unionByName(tricky)))
+    said = F.array_join(F.transform("_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return (
+        chat.formatted(turns)
+        .withColumn("_turns", chat.read_back())
+        .withColumn("_loss", chat.under_mask())
+        .select(
+            "conv_id", F.size("_turns").cast("long").alias("n_turns"),
+            F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+            F.length("_loss").cast("long").alias("loss_chars"),
+            F.sha2(F.col("_loss").cast("binary"), 256).alias("loss_sha256"),
+            F.length("formatted").cast("long").alias("formatted_chars"),
+            "layout",
+        )
+    )
+
+
+def op10_line_frequency(spark: SparkSession, sf: str) -> DataFrame:
+    return lines.judge(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_poisson_mixing, op4_host_reputation, op8_fraction_interleave)
+    f.__name__: f for f in (op2_poisson_mixing, op4_host_reputation, op8_fraction_interleave, op9_schema_chat, op10_line_frequency)
 }
 
 SQL: dict[str, str] = {
@@ -131,4 +159,61 @@ SQL: dict[str, str] = {
         )
         select page_id, host, path, rule, coalesce(said, case when bad_low > 0.3 then 'block' else 'allow' end) as verdict, bad_low
         from fitted join standing using (host)""",
+    "op9_schema_chat": r"""
+        with rows_ as (
+          select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+          union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+        ), escaped as (
+          select *, length(regexp_replace(replace(role, '\', '\\'), '([<\[])(\||/?s>|/?INST\]|<SYS>>|</SYS>>|/?think>|start_of_turn>|end_of_turn>)', '\1\\\2', 'g'))
+                  + length(regexp_replace(replace(text, '\', '\\'), '([<\[])(\||/?s>|/?INST\]|<SYS>>|</SYS>>|/?think>|start_of_turn>|end_of_turn>)', '\1\\\2', 'g'))
+                  + length('<|start|><|message|><|end|>') as chars
+          from rows_
+        )
+        select conv_id, count(*) as n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+               coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+               sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+               sum(chars)::bigint as formatted_chars, 'messages' as layout
+        from escaped group by conv_id""",
+    "op10_line_frequency": r"""
+        with docs as (
+          select row_number() over () as rid, doc_id, source, coalesce(text, '') as text from documents
+        ), words as (
+          select rid, doc_id, source, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w,
+                 list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as lines
+          from docs
+        ), grams as (
+          select rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as g
+          from (select rid, w, unnest(generate_series(1, len(w) - 2)) as i from words)
+        ), places as (
+          select rid, i, lead(i) over (partition by rid order by i) - i as gap
+          from (select rid, i, count(*) over (partition by rid, g) as c from grams) where c > 1
+        ), covered as (
+          select rid, sum(least(3, coalesce(gap, 3)))::bigint as n_repeat_words from places group by rid
+        ), counts as (
+          select rid, doc_id, source, text, lines, len(w)::bigint as n_words,
+                 length(translate(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), ''))::bigint as word_chars,
+                 (length(text) - length(translate(text, '#*$%&|<>', '')))::bigint as n_symbols,
+                 (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines
+          from words
+        ), line_rows as (
+          select rid, source, md5(text) as m,
+                 trim(regexp_replace(regexp_replace(lower(l), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) as line,
+                 len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) as nw
+          from (select rid, source, text, unnest(lines) as l from counts)
+        ), hosts as (
+          select source, count(distinct md5(text)) as size from docs group by source
+        ), listed as (
+          select r.source, line from line_rows r join hosts h on r.source is not distinct from h.source
+          group by r.source, line, size having count(distinct m) > greatest(20, 0.05 * size)
+        ), gone as (
+          select r.rid, sum(nw) as n from line_rows r join listed l on r.source is not distinct from l.source and r.line = l.line group by r.rid
+        ), judged as (
+          select doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words,
+                 (n_words - coalesce(g.n, 0))::bigint as n_left_words
+          from counts left join covered using (rid) left join gone g using (rid)
+        )
+        select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+               not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and n_left_words >= 0.3 * n_words as kept
+        from judged""",
 }
