@@ -23,7 +23,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 # Bytes of text that are hashed at a time; bounds the temporary arrays.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 256 << 10
 
 _RANDOM = np.random.default_rng(20240229)
 _BYTE_KEYS = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -120,19 +120,31 @@ def split(column: pa.Array, separators: np.ndarray = SPACE, lower: bool = False)
     return Words(np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), np.concatenate(first))
 
 
+def rolling(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Hash of every k consecutive words, across texts too; entry i begins at word i."""
+    n = len(hashes) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    total = hashes[:n] * _WINDOW_KEYS[0]
+    for i in range(1, k):
+        total += hashes[i : i + n] * _WINDOW_KEYS[i]
+    return mix(total)
+
+
 def windows(words: Words, k: int, short: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every k consecutive words of one text, and the index of its first word.
 
     With ``short`` a text of fewer words, but not none, is one window of all its words.
     """
     counts = words.counts
-    n = len(words.hashes)
-    room = words.first[1:][words.texts()] - np.arange(n)  # words left in the text
-    at = np.flatnonzero(room >= k)
-    total = np.zeros(len(at), np.uint64)
-    for i in range(k):
-        total += words.hashes[at + i] * _WINDOW_KEYS[i]
-    total = mix(total)
+    whole = rolling(words.hashes, k)
+    valid = np.ones(len(whole), bool)
+    for i in range(1, k):  # the last k - 1 words of a text begin no window in it
+        ends = words.first[1:] - i
+        ends = ends[(ends >= words.first[:-1]) & (ends < len(whole))]
+        valid[ends] = False
+    at = np.flatnonzero(valid)
+    total = whole[at]
     if short:
         few = np.flatnonzero((counts > 0) & (counts < k))
         extra = np.zeros(len(few), np.uint64)
