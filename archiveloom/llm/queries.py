@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archiveloom.llm import chat, debruijn, lines, mixing, sharding, urls
+from archiveloom.llm import chat, debruijn, jaccard, lines, mixing, sharding, urls
 
 MIX_SEED, MIX_EXPONENT = 2, 0.7
 N_SHARDS = 40
@@ -35,6 +35,10 @@ def op4_host_reputation(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge(table(spark, sf, "pages"), outcomes, rules)
 
 
+def op5_divide_skip(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.join(table(spark, sf, "documents"))
+
+
 def op6_debruijn_spans(spark: SparkSession, sf: str) -> DataFrame:
     return debruijn.remove_repeats(table(spark, sf, "documents"))
 
@@ -76,7 +80,7 @@ def op10_line_frequency(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_poisson_mixing, op4_host_reputation, op6_debruijn_spans, op8_fraction_interleave, op9_schema_chat, op10_line_frequency)
+    f.__name__: f for f in (op2_poisson_mixing, op4_host_reputation, op5_divide_skip, op6_debruijn_spans, op8_fraction_interleave, op9_schema_chat, op10_line_frequency)
 }
 
 SQL: dict[str, str] = {
