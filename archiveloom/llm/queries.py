@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archiveloom.llm import chat, debruijn, jaccard, lines, mixing, sharding, urls
+from archiveloom.llm import chat, debruijn, decontam, jaccard, langid, lines, mixing, sharding, urls
 
 MIX_SEED, MIX_EXPONENT = 2, 0.7
 N_SHARDS = 40
@@ -18,6 +18,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_suffix_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontam.matched(table(spark, sf, "documents"), table(spark, sf, "benchmark"), keep=["doc_id"])
+    items = found.withColumn("_items", decontam.items_hit())
+    return items.select(
+        "doc_id", "n_words", decontam.words_hit().alias("n_hit"), F.size("_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("_items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("matches") > 0).alias("contaminated"),
+    )
+
+
 def op2_poisson_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """Sources mixed to their byte shares to the power 0.7, as many bytes out as in."""
     docs = table(spark, sf, "documents")
@@ -26,6 +36,17 @@ def op2_poisson_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.replicate(docs, rate, MIX_SEED)
 
 
+def held_out(id: str = "doc_id") -> Column:
+    return F.coalesce(F.crc32(F.col(id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def op3_nearest_centroid(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = langid.fit(docs.where(~held_out()))
+    found = langid.identified(docs, model, keep=["doc_id"])
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op4_host_reputation(spark: SparkSession, sf: str) -> DataFrame:
     """A page's outcome is the label with its number: bad is low quality or toxic."""
     labels = table(spark, sf, "labels")
@@ -80,7 +101,9 @@ def op10_line_frequency(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_poisson_mixing, op4_host_reputation, op5_divide_skip, op6_debruijn_spans, op8_fraction_interleave, op9_schema_chat, op10_line_frequency)
+    f.__name__: f for f in (
+        op1_suffix_arrays, op2_poisson_mixing, op3_nearest_centroid, op4_host_reputation, op5_divide_skip, op6_debruijn_spans, op8_fraction_interleave, op9_schema_chat, op10_line_frequency,
+    )
 }
 
 SQL: dict[str, str] = {

@@ -100,10 +100,10 @@ def split(column: pa.Array, separators: np.ndarray = SPACE, lower: bool = False)
         upto = min(max(upto, text + 1), n_texts)
         lo, hi = offsets[text], offsets[upto]
         part, local = data[lo:hi], offsets[text : upto + 1] - lo
+        if lower:
+            part = LOWER[part]
         starts, ends = spans(part, local, separators)
         if len(starts):
-            if lower:
-                part = LOWER[part]
             lengths = ends - starts
             # every byte belongs to the last word begun; separators after it weigh nothing
             begun = np.zeros(len(part), np.int32)
