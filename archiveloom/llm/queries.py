@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archiveloom.llm import chat, debruijn, decontam, jaccard, langid, lines, mixing, sharding, urls
+from archiveloom.llm import chat, debruijn, decontam, jaccard, langid, lines, mixing, sharding, tagpaths, urls
 
 MIX_SEED, MIX_EXPONENT = 2, 0.7
 N_SHARDS = 40
@@ -64,6 +64,10 @@ def op6_debruijn_spans(spark: SparkSession, sf: str) -> DataFrame:
     return debruijn.remove_repeats(table(spark, sf, "documents"))
 
 
+def op7_tag_paths(spark: SparkSession, sf: str) -> DataFrame:
+    return tagpaths.extracted(table(spark, sf, "pages"), keep=["page_id", "url"])
+
+
 def op8_fraction_interleave(spark: SparkSession, sf: str) -> DataFrame:
     placed = sharding.interleave(table(spark, sf, "documents"), N_SHARDS)
     return placed.select(
@@ -102,7 +106,7 @@ def op10_line_frequency(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_suffix_arrays, op2_poisson_mixing, op3_nearest_centroid, op4_host_reputation, op5_divide_skip, op6_debruijn_spans, op8_fraction_interleave, op9_schema_chat, op10_line_frequency,
+        op1_suffix_arrays, op2_poisson_mixing, op3_nearest_centroid, op4_host_reputation, op5_divide_skip, op6_debruijn_spans, op7_tag_paths, op8_fraction_interleave, op9_schema_chat, op10_line_frequency,
     )
 }
 
