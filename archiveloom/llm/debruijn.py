@@ -11,8 +11,8 @@ words of each span are compared, by a 160-bit digest, with the words at its coor
 that differs (a collision of window hashes) is dropped and the rest applied again.
 
 A window's first occurrence is the row with the smallest id; only larger ids lose words. Windows
-are judged on the input. Each block of documents sends one entry per distinct window, whatever
-its frequency; the other occurrences in the block are settled there.
+are judged on the input. Of each window, a block of documents sends the occurrences in its
+smallest document only, whatever the window's frequency; the others are settled there.
 
 Defined results: a NULL or short text has no windows and keeps its words; a row with a NULL id
 comes after all others; rows of one id are one document to each other (they take nothing from
@@ -82,7 +82,7 @@ def _sender(k: int, bits: int):
             later = np.flatnonzero(ids[doc] > ids[doc[owner]])
             local = owner[later]
             settled = _pieces(ids[doc[later]], keys[doc[later]], pos[later], ids[doc[local]], keys[doc[local]], pos[local])
-            sent = np.flatnonzero(owner == np.arange(len(owner)))
+            sent = np.flatnonzero(ids[doc] == ids[doc[owner]])
             bucket = (wd.mix(least[sent]) >> np.uint64(64 - bits)).astype(np.int64)
             order, begins = pk.split_by(bucket, 1 << bits)
             sent = sent[order]
