@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from archiveloom.functions.text import words
-from archiveloom.operators.skew import hot_keys, lookup_join
-from archiveloom.operators.vectors import bucket
+from archiveloom.operators.vectors import Embedder, bucket
 
 # English function words that are never tags
 STOP_WORDS = (
@@ -39,14 +38,13 @@ def word_counts(fragments: DataFrame, key: str, text: str = "text") -> DataFrame
 def word_scores(fragments: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, word, tf, df, score): score = tf * ln(documents / df).
 
-    The few words that occur nearly everywhere are spread over slices of the join.
+    Words that occur nearly everywhere make skewed partitions, which adaptive execution splits.
     """
     counts = word_counts(fragments, key, text)
     frequency = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     # all documents, from the key column alone: the texts are split once
     documents = fragments.agg(F.count_distinct(key)).scalar()
-    hot = hot_keys(frequency, ["word"], "df")
-    scored = lookup_join(counts, frequency, ["word"], [key], hot)
+    scored = counts.join(frequency, "word")
     return scored.withColumn(
         "score", F.round(F.col("tf") * F.ln(documents / F.col("df")), 6)
     )
@@ -63,22 +61,31 @@ def top_tags(fragments: DataFrame, key: str, text: str = "text", top_n: int = TA
     )
 
 
-def nearest_words(text: Column, vector: Column, top_n: int = TAGS) -> Column:
-    """The ``top_n`` candidate words of a text nearest to its bag-of-words vector.
+def nearest_tags(
+    fragments: DataFrame, key: str, vectors: DataFrame, embedder: Embedder | None = None, text: str = "text", top_n: int = TAGS
+) -> DataFrame:
+    """(key, word, score, rank): the candidate words of a key nearest to its vector by cosine.
 
-    ``vector`` is the hashed vector of the same text. The vector of a single word has one
-    non-zero cell, so its cosine to the text is that cell of the text's vector over the
-    vector's length, and the cell alone ranks the words of a text. Row-local; ties in word
-    order.
+    ``vectors`` are (key, vector). Each distinct word is embedded once. With the default bag
+    of words a word's vector has one non-zero cell, so its cosine is that cell of the key's
+    vector over the vector's length. Scores count to nine digits; ties in word order.
     """
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    candidates = F.filter(
-        F.array_except(F.array_distinct(words(text)), stop), lambda w: F.length(w) >= 2
-    )
-    weighted = F.transform(
-        candidates, lambda w: F.struct((-F.element_at(vector, bucket(w) + 1)).alias("minus"), w.alias("word"))
+    words_of = word_counts(fragments, key, text).select(key, "word")
+    length = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+    scored = vectors.select(key, "vector", F.nullif(length(F.col("vector")), F.lit(0.0)).alias("_length"))
+    if embedder is None:
+        scored = words_of.join(scored, key).withColumn("score", F.element_at("vector", bucket(F.col("word")) + 1) / F.col("_length"))
+    else:
+        known = words_of.select("word").distinct().withColumn("_word", embedder(F.col("word")).cast("array<double>"))
+        known = known.withColumn("_word_length", F.nullif(length(F.col("_word")), F.lit(0.0)))
+        dot = F.aggregate(F.zip_with("vector", "_word", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
+        scored = words_of.join(known, "word").join(scored, key).withColumn("score", dot / (F.col("_length") * F.col("_word_length")))
+    order = Window.partitionBy(key).orderBy(F.col("score").desc(), F.col("word"))
+    return (
+        scored.select(key, "word", F.round(F.coalesce("score", F.lit(0.0)), 9).alias("score"))
+        .withColumn("rank", F.row_number().over(order).cast("bigint"))
+        .where(F.col("rank") <= top_n)
     )
-    return F.transform(F.slice(F.array_sort(weighted), 1, top_n), lambda s: s["word"])
 
 
 def tag_arrays(tags: DataFrame, key: str) -> DataFrame:

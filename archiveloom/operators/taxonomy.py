@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from archiveloom.functions.text import blank_to_null, strip
-from archiveloom.operators.keywords import tag_arrays, top_tags
+from archiveloom.operators.keywords import nearest_tags, tag_arrays
 from archiveloom.operators.project_type import file_candidates
-from archiveloom.operators.skew import broadcast_if_small, hot_keys, lookup_join
+from archiveloom.operators.skew import broadcast_if_small
 from archiveloom.operators.vectors import Embedder, hashed_embedder, nearest_two, sum_vectors
 
-# A project text part holds at most this many keywords or file names.
-PART_ROWS = 1 << 16
+# Fragments of one id range that are put in order together, before the ranges are.
+RANGE_IDS = 1 << 12
 
 
 def division_label() -> Column:
@@ -57,28 +57,14 @@ def _in_order(item: Column, text: str) -> Column:
 
 
 def project_text(fragments: DataFrame) -> DataFrame:
-    """(project_id, part, text): fragments joined by one blank, in order.
+    """(project_id, text): fragments joined by one blank, in order, and trimmed.
 
-    A project of up to ``PART_ROWS`` fragments is one row, part 0. A larger one stays in
-    parts by id range, each of at most ``PART_ROWS`` fragments, whose texts in order of
-    ``part`` make up the whole; no task ever gathers the project itself.
+    Ranges of ids are put together first, in many tasks for a large project, and then the
+    ranges: a project is one text whatever its size, and sorting is spread.
     """
-    block = F.shiftleft(F.col("kind").cast("bigint"), 52) + F.floor(F.col("seq") / PART_ROWS)
-    blocks = (
-        fragments.withColumn("block", block)
-        .groupBy("project_id", "block")
-        .agg(_in_order(F.struct("seq", "text"), "text").alias("text"), F.count(F.lit(1)).alias("n"))
-    )
-    sizes = blocks.groupBy("project_id").agg(F.sum("n").alias("size"))
-    hot = hot_keys(sizes, ["project_id"], "size")
-    whole = F.col("size") <= PART_ROWS
-    return (
-        lookup_join(blocks, sizes, ["project_id"], ["block"], hot)
-        .withColumn("part", F.when(whole, F.lit(0).cast("bigint")).otherwise(F.col("block")))
-        .groupBy("project_id", "part")
-        .agg(_in_order(F.struct("block", "text"), "text").alias("text"))
-        .withColumn("text", F.when(F.col("part") == 0, strip("text")).otherwise(F.col("text")))
-    )
+    block = F.shiftleft(F.col("kind").cast("bigint"), 52) + F.floor(F.col("seq") / RANGE_IDS)
+    blocks = fragments.groupBy("project_id", block.alias("block")).agg(_in_order(F.struct("seq", "text"), "text").alias("text"))
+    return blocks.groupBy("project_id").agg(strip(_in_order(F.struct("block", "text"), "text")).alias("text"))
 
 
 def embedded_corpus(corpus: DataFrame, embedder: Embedder | None = None) -> DataFrame:
@@ -98,34 +84,23 @@ def _labelled(df: DataFrame, corpus: DataFrame, primary: str, secondary: str) ->
 def project_vectors(fragments: DataFrame, embedder: Embedder | None = None) -> DataFrame:
     """(project_id, vector) of all texts of a project.
 
-    The default bag of words is summed over the fragments. Another embedder sees the
-    project's text; a project so large that its text is in parts gets their mean vector.
+    The default bag of words is summed over the fragments, which equals the vector of the
+    whole text; another embedder sees the whole text.
     """
     if embedder is None:
         return sum_vectors(fragments, "project_id")
-    parts = project_text(fragments).select(
-        "project_id", "part", embedder(F.col("text")).cast("array<double>").alias("vector")
-    )
-    means = (
-        parts.where("part <> 0")
-        .select("project_id", F.posexplode("vector").alias("pos", "x"))
-        .groupBy("project_id", "pos")
-        .agg(F.avg("x").alias("x"))
-        .groupBy("project_id")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("cells"))
-        .select("project_id", F.col("cells.x").alias("vector"))
-    )
-    return parts.where("part = 0").select("project_id", "vector").unionByName(means)
+    return project_text(fragments).select("project_id", embedder(F.col("text")).cast("array<double>").alias("vector"))
 
 
 def classify_projects(
-    fragments: DataFrame, corpus: DataFrame, embedder: Embedder | None = None
+    fragments: DataFrame, corpus: DataFrame, embedder: Embedder | None = None, vectors: DataFrame | None = None
 ) -> DataFrame:
     """(project_id, primary_class, secondary_class, scores) from all texts of a project.
 
-    A project without any text has no row here and keeps NULL classes.
+    A project without any text has no row here and keeps NULL classes. ``vectors`` are
+    :func:`project_vectors`, if the caller has them.
     """
-    vectors = project_vectors(fragments, embedder)
+    vectors = project_vectors(fragments, embedder) if vectors is None else vectors
     found = nearest_two(vectors, "vector", embedded_corpus(corpus, embedder)).drop("vector")
     return _labelled(found, corpus, "primary_class", "secondary_class")
 
@@ -169,17 +144,20 @@ def classify(archive_projects: DataFrame, keywords: DataFrame, files: DataFrame,
              scope: str = "all", embedder: Embedder | None = None) -> tuple[DataFrame, DataFrame]:
     """Projects and files with their class columns; ``scope`` is projects, files or all.
 
-    Projects also get their tags, an empty list when they have no text.
+    Projects also get their tags, the words nearest to them by the same embedder, and an empty
+    list when they have no text.
     """
     if scope not in ("projects", "files", "all"):
         raise ValueError(f"scope {scope!r}: expected projects, files or all")
     projects = archive_projects
     if scope in ("projects", "all"):
         fragments = project_fragments(projects, keywords, files)
-        found = classify_projects(fragments, corpus, embedder).select(
+        vectors = project_vectors(fragments, embedder)
+        found = classify_projects(fragments, corpus, embedder, vectors).select(
             F.col("project_id").alias("id"), "primary_class", "secondary_class"
         )
-        tags = tag_arrays(top_tags(fragments, "project_id"), "project_id").withColumnRenamed("project_id", "id")
+        nearest = nearest_tags(fragments, "project_id", vectors, embedder)
+        tags = tag_arrays(nearest, "project_id").withColumnRenamed("project_id", "id")
         projects = (
             projects.drop("primary_class", "secondary_class", "tags")
             .join(found, "id", "left")

@@ -522,7 +522,7 @@ SQL: dict[str, str] = {
     "division_label": "SELECT o_orderkey AS id, label FROM orders JOIN divisions ON idx = o_custkey % 87",
     "section_counts": "SELECT section, CAST(sum(n) AS BIGINT) AS n FROM used GROUP BY section",
     "project_text": """
-        SELECT project_id, 0::BIGINT AS part, trim(string_agg(text, ' ' ORDER BY kind, seq), chr(10) || ' ') AS text
+        SELECT project_id, trim(string_agg(text, ' ' ORDER BY kind, seq), chr(10) || ' ') AS text
         FROM fragments WHERE text <> '' GROUP BY project_id""",
     "nearest2": """
         SELECT vec_id, max(idx) FILTER (r = 1) AS first, max(score) FILTER (r = 1) AS first_score,
@@ -567,6 +567,60 @@ CTES["t2"] = f"""
       SELECT doc_id, unnest({_WORDS("source || ' field notes ' || text")}) AS word FROM documents WHERE doc_id % 2 = 0)
     WHERE length(word) >= 2 AND word NOT IN ({_list(STOP_WORDS)}) GROUP BY ALL"""
 
+# hashed bags of words: a word's bucket, the bags of projects and divisions, and their cosines
+_BUCKET = "('0x' || left(md5(word), 8))::BIGINT % 256"
+CTES["division_bags"] = f"""
+    SELECT idx, bucket, n, sqrt(sum(n * n) OVER (PARTITION BY idx)) AS norm
+    FROM (SELECT idx, {_BUCKET} AS bucket, count(*) AS n FROM (SELECT idx, unnest({_WORDS('text')}) AS word FROM divisions) GROUP BY ALL)"""
+CTES["project_bags"] = f"""
+    SELECT project_id, bucket, n, sqrt(sum(n * n) OVER (PARTITION BY project_id)) AS norm
+    FROM (SELECT project_id, {_BUCKET} AS bucket, count(*) AS n FROM (SELECT project_id, unnest({_WORDS('text')}) AS word FROM fragments) GROUP BY ALL)"""
+
+
+def _two_nearest(bags: str, key: str) -> str:
+    """(key, r, idx, score): the two nearest divisions; equal scores go to the lower idx."""
+    return f"""
+        SELECT {key}, idx, score, row_number() OVER (PARTITION BY {key} ORDER BY round(score, 12) DESC, idx) AS r
+        FROM (SELECT k.{key}, d.idx, coalesce(dot, 0) / (k.norm * d.norm) AS score
+              FROM (SELECT DISTINCT {key}, norm FROM {bags}) k, (SELECT DISTINCT idx, norm FROM division_bags) d
+              LEFT JOIN (SELECT {key}, idx, sum(b.n * v.n) AS dot FROM {bags} b JOIN division_bags v USING (bucket) GROUP BY ALL) x
+                ON x.{key} = k.{key} AND x.idx = d.idx)
+        QUALIFY r <= 2"""
+
+
+SQL |= {
+    "nearest2_sparse": SQL["nearest2"].replace("d.vec_id < 87", "d.vec_id % 3 = 1 AND d.vec_id < 400"),
+    "embed_text": f"""
+        SELECT doc_id, string_agg(coalesce(n, 0)::VARCHAR, ',' ORDER BY bucket) AS vector
+        FROM (SELECT doc_id, unnest(range(256)) AS bucket FROM documents)
+        LEFT JOIN (SELECT doc_id, {_BUCKET} AS bucket, count(*) AS n FROM tokens GROUP BY ALL) USING (doc_id, bucket)
+        GROUP BY doc_id""",
+    "project_nearest2": f"""
+        SELECT project_id, max(round(score, 6)) FILTER (r = 1) AS first_score, max(round(score, 6)) FILTER (r = 2) AS second_score,
+               max(label) FILTER (r = 1) AS primary_class, max(label) FILTER (r = 2) AS secondary_class
+        FROM ({_two_nearest('project_bags', 'project_id')}) JOIN divisions USING (idx) GROUP BY project_id""",
+    "file_nearest2": f"""
+        SELECT f.file_id, f.project_id, max(label) FILTER (r = 1) AS primary_class, max(label) FILTER (r = 2) AS secondary_class
+        FROM (SELECT f.id AS file_id, f.project_id, array_to_string(tokens, ' ') AS text
+              FROM (SELECT *, list_filter(regexp_split_to_array(regexp_replace(file_name, '\\.[^.]*$', ''), '[^A-Za-z]+'), lambda t: length(t) >= 3) AS tokens
+                    FROM files WHERE ext IN ({_PRIMARY}) AND lower(trim(file_name)) NOT IN ({_JUNK_NAMES})) f
+              JOIN projects p ON p.id = f.project_id WHERE p.type IN ('QDA_PROJECT', 'QD_PROJECT') AND len(tokens) >= 2) f
+        JOIN (WITH texts AS (
+                SELECT DISTINCT array_to_string(list_filter(regexp_split_to_array(regexp_replace(file_name, '\\.[^.]*$', ''), '[^A-Za-z]+'), lambda t: length(t) >= 3), ' ') AS text FROM files),
+              bags AS (
+                SELECT text, bucket, n, sqrt(sum(n * n) OVER (PARTITION BY text)) AS norm
+                FROM (SELECT text, {_BUCKET} AS bucket, count(*) AS n FROM (SELECT text, unnest({_WORDS('text')}) AS word FROM texts) GROUP BY ALL))
+              {_two_nearest('bags', 'text')}) t USING (text)
+        JOIN divisions USING (idx) GROUP BY ALL""",
+    "cosine_tags": f"""
+        SELECT project_id, word, score, row_number() OVER (PARTITION BY project_id ORDER BY score DESC, word) AS rank
+        FROM (SELECT w.project_id, word, round(n / norm, 9) AS score
+              FROM (SELECT DISTINCT project_id, word, {_BUCKET} AS bucket FROM (SELECT project_id, unnest({_WORDS('text')}) AS word FROM fragments)
+                    WHERE length(word) >= 2 AND word NOT IN ({_list(STOP_WORDS)})) w
+              JOIN project_bags b ON b.project_id = w.project_id AND b.bucket = w.bucket)
+        QUALIFY rank <= 5""",
+}
+
 # the merge rule, one record per step; the keyed state holds owners (u, d, p), the fields a
 # cluster has taken so far (f), the label of every record (l) and the step number (n)
 SQL["dedupe_projects"] = """RECURSIVE

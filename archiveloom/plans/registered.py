@@ -610,14 +610,18 @@ def nearest2(spark, sf):
     return _rounded(vec.nearest_two(vectors, "embedding", refs), "first_score", "second_score").drop("embedding")
 
 
+@query
+def nearest2_sparse(spark, sf):
+    """References whose idx has gaps: every third vector, numbered by its id."""
+    vectors = b.table(spark, sf, "embeddings").select("vec_id", "embedding")
+    refs = vectors.where("vec_id % 3 = 1 and vec_id < 400").select(F.col("vec_id").alias("idx"), F.col("embedding").alias("vector"))
+    return _rounded(vec.nearest_two(vectors, "embedding", refs), "first_score", "second_score").drop("embedding")
+
+
 @query
 def embed_text(spark, sf):
-    embedder = vec.hashed_embedder()
-    docs = b.texts(spark, sf).select("doc_id", embedder(F.col("text")).alias("v"))
-    return docs.select(
-        "doc_id", F.size(F.filter("v", lambda x: x > 0)).cast("bigint").alias("buckets"),
-        F.aggregate("v", F.lit(0.0), lambda a, x: a + x).alias("words"),
-    )
+    docs = b.texts(spark, sf).select("doc_id", vec.hashed_embedder()(F.col("text")).alias("v"))
+    return docs.select("doc_id", F.array_join(F.transform("v", lambda x: x.cast("bigint").cast("string")), ",").alias("vector"))
 
 
 @query
@@ -647,8 +651,9 @@ def top_tags(spark, sf):
 
 @query
 def cosine_tags(spark, sf):
-    docs = b.texts(spark, sf).withColumn("v", vec.hashed_embedder()(F.col("text")))
-    return docs.select("doc_id", F.array_join(kw.nearest_words(F.col("text"), F.col("v")), " ").alias("tags"))
+    """The tags that classify() gives, over all projects."""
+    fragments = _fragments(spark, sf)
+    return kw.nearest_tags(fragments, "project_id", tax.project_vectors(fragments))
 
 
 @query
