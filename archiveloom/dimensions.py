@@ -137,207 +137,203 @@ REPORT_SECTIONS = (
 # ---------------------------------------------------------------------------
 # Search terms of the acquisition, one per line
 # ---------------------------------------------------------------------------
-QUERY_TERM_TEXT = """\
-personality interviews
-life experiences
-attitudes and perceptions
-beliefs and values
-psychological interviews
-case study qualitative
-semi-structured interviews
-in-depth interviews
-narrative interviews
-oral histories
-life histories
-interview transcripts dataset
-semi-structured interview transcripts
-key informant interviews
-KII qualitative
-focus group transcripts
-focus group discussions qualitative
-focus group dataset
-FGD transcripts
-FGD qualitative
-QDPX
-QDPX export
-Qualitative Data Exchange Schema
-DDI-Lifecycle qualitative
-DDI-L dataset
-QuDEx XML
-NVivo project
-NVivo export
-Atlas.ti qualitative
-MAXQDA dataset
-Dedoose qualitative
-CAQDAS export
-ethnographic study
-participant observation
-ethnographic field notes
-fieldwork notes
-observational qualitative data
-visual ethnography
-thematic analysis interviews
-discourse analysis dataset
-content analysis qualitative
-coding qualitative data
-grounded theory study
-interpretative phenomenological analysis
-IPA qualitative study
-data saturation qualitative
-transcripts dataset
-audio interviews dataset
-video interviews research
-diary study data
-open-ended survey responses
-RTF transcripts
-text corpus qualitative
-qualitative case study interviews
-case study interview transcripts
-narrative analysis dataset
-narrative study interviews
-discourse analysis interviews
-purposive sampling qualitative
-snowball sampling interviews
-theoretical sampling dataset
-maximum variation sampling
-qualitative interviews health
-qualitative study education
-ethnography education dataset
-focus group climate change
-narrative study migration
-interview transcripts qualitative research
-focus group transcripts qualitative
-ethnographic field notes dataset
-oral history transcripts dataset
-thematic analysis interview data
-qualitative interview text corpus
-participant observation field notes
-unstructured interview data
-qualitative research text data
-interview-based qualitative dataset
-"""
-QUERY_TERMS = tuple(QUERY_TERM_TEXT.splitlines())
+QUERY_TERMS = (
+    "personality interviews",
+    "life experiences",
+    "attitudes and perceptions",
+    "beliefs and values",
+    "psychological interviews",
+    "case study qualitative",
+    "semi-structured interviews",
+    "in-depth interviews",
+    "narrative interviews",
+    "oral histories",
+    "life histories",
+    "interview transcripts dataset",
+    "semi-structured interview transcripts",
+    "key informant interviews",
+    "KII qualitative",
+    "focus group transcripts",
+    "focus group discussions qualitative",
+    "focus group dataset",
+    "FGD transcripts",
+    "FGD qualitative",
+    "QDPX",
+    "QDPX export",
+    "Qualitative Data Exchange Schema",
+    "DDI-Lifecycle qualitative",
+    "DDI-L dataset",
+    "QuDEx XML",
+    "NVivo project",
+    "NVivo export",
+    "Atlas.ti qualitative",
+    "MAXQDA dataset",
+    "Dedoose qualitative",
+    "CAQDAS export",
+    "ethnographic study",
+    "participant observation",
+    "ethnographic field notes",
+    "fieldwork notes",
+    "observational qualitative data",
+    "visual ethnography",
+    "thematic analysis interviews",
+    "discourse analysis dataset",
+    "content analysis qualitative",
+    "coding qualitative data",
+    "grounded theory study",
+    "interpretative phenomenological analysis",
+    "IPA qualitative study",
+    "data saturation qualitative",
+    "transcripts dataset",
+    "audio interviews dataset",
+    "video interviews research",
+    "diary study data",
+    "open-ended survey responses",
+    "RTF transcripts",
+    "text corpus qualitative",
+    "qualitative case study interviews",
+    "case study interview transcripts",
+    "narrative analysis dataset",
+    "narrative study interviews",
+    "discourse analysis interviews",
+    "purposive sampling qualitative",
+    "snowball sampling interviews",
+    "theoretical sampling dataset",
+    "maximum variation sampling",
+    "qualitative interviews health",
+    "qualitative study education",
+    "ethnography education dataset",
+    "focus group climate change",
+    "narrative study migration",
+    "interview transcripts qualitative research",
+    "focus group transcripts qualitative",
+    "ethnographic field notes dataset",
+    "oral history transcripts dataset",
+    "thematic analysis interview data",
+    "qualitative interview text corpus",
+    "participant observation field notes",
+    "unstructured interview data",
+    "qualitative research text data",
+    "interview-based qualitative dataset",
+)
 
 # ---------------------------------------------------------------------------
-# ISIC Rev.5 sections (letter|title) and divisions (section|code|title)
+# ISIC Rev.5 sections (letter, title) and divisions (section, code, title)
 # ---------------------------------------------------------------------------
-SECTION_TEXT = """\
-A|Agriculture, forestry and fishing
-B|Mining and quarrying
-C|Manufacturing
-D|Electricity, gas, steam and air conditioning supply
-E|Water supply; sewerage, waste management and remediation activities
-F|Construction
-G|Wholesale and retail trade
-H|Transportation and storage
-I|Accommodation and food service activities
-J|Publishing, broadcasting, and content production and distribution activities
-K|Telecommunications, computer programming, consultancy, computing infrastructure, and other information service activities
-L|Financial and insurance activities
-M|Real estate activities
-N|Professional, scientific and technical activities
-O|Administrative and support service activities
-P|Public administration and defense; compulsory social security
-Q|Education
-R|Human health and social work activities
-S|Arts, sports and recreation
-T|Other service activities
-U|Activities of households as employers; undifferentiated goods- and services-producing activities of households for own use
-V|Activities of extraterritorial organizations and bodies
-"""
-
-DIVISION_TEXT = """\
-A|01|Crop and animal production, hunting and related service activities
-A|02|Forestry and logging
-A|03|Fishing and aquaculture
-B|05|Mining of coal and lignite
-B|06|Extraction of crude petroleum and natural gas
-B|07|Mining of metal ores
-B|08|Other mining and quarrying
-B|09|Mining support service activities
-C|10|Manufacture of food products
-C|11|Manufacture of beverages
-C|12|Manufacture of tobacco products
-C|13|Manufacture of textiles
-C|14|Manufacture of wearing apparel
-C|15|Manufacture of leather and related products
-C|16|Manufacture of wood and of products of wood and cork, except furniture; manufacture of articles of straw and plaiting materials
-C|17|Manufacture of paper and paper products
-C|18|Printing and reproduction of recorded media
-C|19|Manufacture of coke and refined petroleum products
-C|20|Manufacture of chemicals and chemical products
-C|21|Manufacture of basic pharmaceutical products and pharmaceutical preparations
-C|22|Manufacture of rubber and plastic products
-C|23|Manufacture of other non-metallic mineral products
-C|24|Manufacture of basic metals
-C|25|Manufacture of fabricated metal products, except machinery and equipment
-C|26|Manufacture of computer, electronic and optical products
-C|27|Manufacture of electrical equipment
-C|28|Manufacture of machinery and equipment n.e.c.
-C|29|Manufacture of motor vehicles, trailers and semi-trailers
-C|30|Manufacture of other transport equipment
-C|31|Manufacture of furniture
-C|32|Other manufacturing
-C|33|Repair, maintenance and installation of machinery and equipment
-D|35|Electricity, gas, steam and air conditioning supply
-E|36|Water collection, treatment and supply
-E|37|Sewerage
-E|38|Waste collection, treatment and disposal, and recovery activities
-E|39|Remediation and other waste management service activities
-F|41|Construction of residential and non-residential buildings
-F|42|Civil engineering
-F|43|Specialized construction activities
-G|46|Wholesale trade
-G|47|Retail trade
-H|49|Land transport and transport via pipelines
-H|50|Water transport
-H|51|Air transport
-H|52|Warehousing and support activities for transportation
-H|53|Postal and courier activities
-I|55|Accommodation
-I|56|Food and beverage service activities
-J|58|Publishing activities
-J|59|Motion picture, video and television programme production, sound recording and music publishing activities
-J|60|Programming, broadcasting, news agency and other content distribution activities
-K|61|Telecommunications
-K|62|Computer programming, consultancy and related activities
-K|63|Computing infrastructure, data processing, hosting, and other information service activities
-L|64|Financial service activities, except insurance and pension funding
-L|65|Insurance, reinsurance and pension funding, except compulsory social security
-L|66|Activities auxiliary to financial service and insurance activities
-M|68|Real estate activities
-N|69|Legal and accounting activities
-N|70|Activities of head offices; management consultancy activities
-N|71|Architectural and engineering activities; technical testing and analysis
-N|72|Scientific research and development
-N|73|Activities of advertising, market research and public relations
-N|74|Other professional, scientific and technical activities
-N|75|Veterinary activities
-O|77|Rental and leasing activities
-O|78|Employment activities
-O|79|Travel agency, tour operator, and other travel related activities
-O|80|Investigation and security activities
-O|81|Services to buildings and landscape activities
-O|82|Office administrative, office support and other business support activities
-P|84|Public administration and defence; compulsory social security
-Q|85|Education
-R|86|Human health activities
-R|87|Residential care activities
-R|88|Social work activities without accommodation
-S|90|Arts creation and performing arts activities
-S|91|Library, archives, museum and other cultural activities
-S|92|Gambling and betting activities
-S|93|Sports activities and amusement and recreation activities
-T|94|Activities of membership organizations
-T|95|Repair and maintenance of computers, personal and household goods, and motor vehicles and motorcycles
-T|96|Personal service activities
-U|97|Activities of households as employers of domestic personnel
-U|98|Undifferentiated goods- and services-producing activities of private households for own use
-V|99|Activities of extraterritorial organizations and bodies
-"""
+SECTIONS = (
+    ("A", "Agriculture, forestry and fishing"),
+    ("B", "Mining and quarrying"),
+    ("C", "Manufacturing"),
+    ("D", "Electricity, gas, steam and air conditioning supply"),
+    ("E", "Water supply; sewerage, waste management and remediation activities"),
+    ("F", "Construction"),
+    ("G", "Wholesale and retail trade"),
+    ("H", "Transportation and storage"),
+    ("I", "Accommodation and food service activities"),
+    ("J", "Publishing, broadcasting, and content production and distribution activities"),
+    ("K", "Telecommunications, computer programming, consultancy, computing infrastructure, and other information service activities"),
+    ("L", "Financial and insurance activities"),
+    ("M", "Real estate activities"),
+    ("N", "Professional, scientific and technical activities"),
+    ("O", "Administrative and support service activities"),
+    ("P", "Public administration and defense; compulsory social security"),
+    ("Q", "Education"),
+    ("R", "Human health and social work activities"),
+    ("S", "Arts, sports and recreation"),
+    ("T", "Other service activities"),
+    ("U", "Activities of households as employers; undifferentiated goods- and services-producing activities of households for own use"),
+    ("V", "Activities of extraterritorial organizations and bodies"),
+)
 
-SECTIONS = tuple(tuple(line.split("|")) for line in SECTION_TEXT.splitlines())
-DIVISIONS = tuple(tuple(line.split("|")) for line in DIVISION_TEXT.splitlines())
+DIVISIONS = (
+    ("A", "01", "Crop and animal production, hunting and related service activities"),
+    ("A", "02", "Forestry and logging"),
+    ("A", "03", "Fishing and aquaculture"),
+    ("B", "05", "Mining of coal and lignite"),
+    ("B", "06", "Extraction of crude petroleum and natural gas"),
+    ("B", "07", "Mining of metal ores"),
+    ("B", "08", "Other mining and quarrying"),
+    ("B", "09", "Mining support service activities"),
+    ("C", "10", "Manufacture of food products"),
+    ("C", "11", "Manufacture of beverages"),
+    ("C", "12", "Manufacture of tobacco products"),
+    ("C", "13", "Manufacture of textiles"),
+    ("C", "14", "Manufacture of wearing apparel"),
+    ("C", "15", "Manufacture of leather and related products"),
+    ("C", "16", "Manufacture of wood and of products of wood and cork, except furniture; manufacture of articles of straw and plaiting materials"),
+    ("C", "17", "Manufacture of paper and paper products"),
+    ("C", "18", "Printing and reproduction of recorded media"),
+    ("C", "19", "Manufacture of coke and refined petroleum products"),
+    ("C", "20", "Manufacture of chemicals and chemical products"),
+    ("C", "21", "Manufacture of basic pharmaceutical products and pharmaceutical preparations"),
+    ("C", "22", "Manufacture of rubber and plastic products"),
+    ("C", "23", "Manufacture of other non-metallic mineral products"),
+    ("C", "24", "Manufacture of basic metals"),
+    ("C", "25", "Manufacture of fabricated metal products, except machinery and equipment"),
+    ("C", "26", "Manufacture of computer, electronic and optical products"),
+    ("C", "27", "Manufacture of electrical equipment"),
+    ("C", "28", "Manufacture of machinery and equipment n.e.c."),
+    ("C", "29", "Manufacture of motor vehicles, trailers and semi-trailers"),
+    ("C", "30", "Manufacture of other transport equipment"),
+    ("C", "31", "Manufacture of furniture"),
+    ("C", "32", "Other manufacturing"),
+    ("C", "33", "Repair, maintenance and installation of machinery and equipment"),
+    ("D", "35", "Electricity, gas, steam and air conditioning supply"),
+    ("E", "36", "Water collection, treatment and supply"),
+    ("E", "37", "Sewerage"),
+    ("E", "38", "Waste collection, treatment and disposal, and recovery activities"),
+    ("E", "39", "Remediation and other waste management service activities"),
+    ("F", "41", "Construction of residential and non-residential buildings"),
+    ("F", "42", "Civil engineering"),
+    ("F", "43", "Specialized construction activities"),
+    ("G", "46", "Wholesale trade"),
+    ("G", "47", "Retail trade"),
+    ("H", "49", "Land transport and transport via pipelines"),
+    ("H", "50", "Water transport"),
+    ("H", "51", "Air transport"),
+    ("H", "52", "Warehousing and support activities for transportation"),
+    ("H", "53", "Postal and courier activities"),
+    ("I", "55", "Accommodation"),
+    ("I", "56", "Food and beverage service activities"),
+    ("J", "58", "Publishing activities"),
+    ("J", "59", "Motion picture, video and television programme production, sound recording and music publishing activities"),
+    ("J", "60", "Programming, broadcasting, news agency and other content distribution activities"),
+    ("K", "61", "Telecommunications"),
+    ("K", "62", "Computer programming, consultancy and related activities"),
+    ("K", "63", "Computing infrastructure, data processing, hosting, and other information service activities"),
+    ("L", "64", "Financial service activities, except insurance and pension funding"),
+    ("L", "65", "Insurance, reinsurance and pension funding, except compulsory social security"),
+    ("L", "66", "Activities auxiliary to financial service and insurance activities"),
+    ("M", "68", "Real estate activities"),
+    ("N", "69", "Legal and accounting activities"),
+    ("N", "70", "Activities of head offices; management consultancy activities"),
+    ("N", "71", "Architectural and engineering activities; technical testing and analysis"),
+    ("N", "72", "Scientific research and development"),
+    ("N", "73", "Activities of advertising, market research and public relations"),
+    ("N", "74", "Other professional, scientific and technical activities"),
+    ("N", "75", "Veterinary activities"),
+    ("O", "77", "Rental and leasing activities"),
+    ("O", "78", "Employment activities"),
+    ("O", "79", "Travel agency, tour operator, and other travel related activities"),
+    ("O", "80", "Investigation and security activities"),
+    ("O", "81", "Services to buildings and landscape activities"),
+    ("O", "82", "Office administrative, office support and other business support activities"),
+    ("P", "84", "Public administration and defence; compulsory social security"),
+    ("Q", "85", "Education"),
+    ("R", "86", "Human health activities"),
+    ("R", "87", "Residential care activities"),
+    ("R", "88", "Social work activities without accommodation"),
+    ("S", "90", "Arts creation and performing arts activities"),
+    ("S", "91", "Library, archives, museum and other cultural activities"),
+    ("S", "92", "Gambling and betting activities"),
+    ("S", "93", "Sports activities and amusement and recreation activities"),
+    ("T", "94", "Activities of membership organizations"),
+    ("T", "95", "Repair and maintenance of computers, personal and household goods, and motor vehicles and motorcycles"),
+    ("T", "96", "Personal service activities"),
+    ("U", "97", "Activities of households as employers of domestic personnel"),
+    ("U", "98", "Undifferentiated goods- and services-producing activities of private households for own use"),
+    ("V", "99", "Activities of extraterritorial organizations and bodies"),
+)
 
 
 def _table(spark: SparkSession, columns: str, rows: list[tuple]) -> DataFrame:

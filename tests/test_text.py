@@ -1,7 +1,4 @@
-"""Scalar expressions against plain Python on edge values."""
-
-import itertools
-import re
+"""Scalar expressions against written-out tables of inputs and results."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,12 +7,6 @@ from archiveloom.functions import files as fx
 from archiveloom.functions import text as tx
 from archiveloom.sources import landing as ld
 
-EDGES = [
-    None, "", " ", " ", "　x　", "\x1c", "\tA\n", "a//", "a/ /", "///", "  A  B C ",
-    "ÄÖ Straße", "HTTP://X/", " http://x/ ", "a\n/", "é\x85è", "x" * 33, "y" * 34, "z" * 35,
-    "q" * 32 + "  w w",
-]
-
 
 def apply(spark, values, *expressions):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
@@ -23,71 +14,83 @@ def apply(spark, values, *expressions):
     return [tuple(r)[1:] for r in sorted(out.collect(), key=lambda r: r.i)]
 
 
-def none_if_empty(v):
-    return v or None
+# text: URL key, DOI key, title key, trimmed, trimmed at the end
+KEYS = {
+    None: (None, None, None, None, None),
+    "": (None, None, None, "", ""),
+    " ": (None, None, None, "", ""),
+    "　x　": ("x", "x", "x", "x", "　x"),
+    "\x1c": (None, None, None, "", ""),
+    "\tA\n": ("a", "a", "a", "A", "\tA"),
+    "a//": ("a", "a//", "a//", "a//", "a//"),
+    "a/ /": ("a/ ", "a/ /", "a/ /", "a/ /", "a/ /"),
+    "///": (None, "///", "///", "///", "///"),
+    "  A  B C ": ("a  b c", "a  b c", "a b c", "A  B C", "  A  B C"),
+    "ÄÖ Straße": ("äö straße", "äö straße", "äö straße", "ÄÖ Straße", "ÄÖ Straße"),
+    "HTTP://X/": ("http://x", "http://x/", "http://x/", "HTTP://X/", "HTTP://X/"),
+    " http://x/ ": ("http://x", "http://x/", "http://x/", "http://x/", " http://x/"),
+    "a\n/": ("a\n", "a\n/", "a /", "a\n/", "a\n/"),
+    "é\x85è": ("é\x85è", "é\x85è", "é è", "é\x85è", "é\x85è"),
+}
 
 
 def test_keys(spark):
-    got = apply(spark, EDGES, tx.url_key, tx.doi_key, tx.title_key, tx.strip, tx.rstrip)
-    for v, row in zip(EDGES, got):
-        if v is None:
-            assert row == (None,) * 5
-            continue
-        assert row == (
-            none_if_empty(v.strip().rstrip("/").lower()),
-            none_if_empty(v.strip().lower()),
-            none_if_empty(" ".join(v.split()).lower()),
-            v.strip(),
-            v.rstrip(),
-        ), repr(v)
-
-
-def test_slug_and_shorten(spark):
-    got = apply(spark, EDGES, tx.slug, tx.shorten)
-    for v, row in zip(EDGES, got):
-        if v is None:
-            assert row == (None, None)
-            continue
-        short = v if len(v) <= 34 else v[:33].rstrip() + "…"
-        assert row == (re.sub(r"[^a-z0-9]+", "-", v.lower()).strip("-"), short), repr(v)
+    got = apply(spark, list(KEYS), tx.url_key, tx.doi_key, tx.title_key, tx.strip, tx.rstrip)
+    assert dict(zip(KEYS, got)) == KEYS
 
 
-TYPES = [None, "", " ", "..PDF", " . ", "unknown", ".docx ", "a.b", "pdf"]
-NAMES = [None, "", "noext", "a.b.TXT", "end.", ".DS_Store", "Thumbs.db", " spaced .Pdf ", "x.tar.gz", "desktop.INI"]
+# text: slug, shortened to 34 characters
+SLUGS = {
+    None: (None, None),
+    "": ("", ""),
+    "Field notes, 2nd ed.": ("field-notes-2nd-ed", "Field notes, 2nd ed."),
+    "--A--": ("a", "--A--"),
+    "ÄÖ Straße": ("stra-e", "ÄÖ Straße"),
+    "y" * 34: ("y" * 34, "y" * 34),
+    "z" * 35: ("z" * 35, "z" * 33 + "…"),
+    "q" * 32 + "  w w": ("q" * 32 + "-w-w", "q" * 32 + "…"),
+}
 
 
-def extension(file_type, name):
-    declared = (file_type or "").strip().lower().lstrip(".")
-    if declared:
-        return declared
-    return name.strip().lower().rsplit(".", 1)[-1] if name and "." in name else ""
+def test_slug_and_shorten(spark):
+    assert dict(zip(SLUGS, apply(spark, list(SLUGS), tx.slug, tx.shorten))) == SLUGS
+
+
+# declared type, file name, extension, counts as content, words of the stem
+FILES = [
+    (None, None, "", False, None), (None, "", "", False, []), (None, "noext", "", False, ["noext"]),
+    (None, "a.b.TXT", "txt", True, []), (None, "end.", "", False, ["end"]), (None, ".DS_Store", "ds_store", False, []),
+    (None, "Thumbs.db", "db", False, ["Thumbs"]), (None, " spaced .Pdf ", "pdf", True, ["spaced"]),
+    (None, "x.tar.gz", "gz", True, ["tar"]), (None, "desktop.INI", "ini", False, ["desktop"]),
+    ("", "my_field-notes 2.docx", "docx", True, ["field", "notes"]), (" ", "a.csv", "csv", True, []),
+    ("..PDF", "noext", "pdf", True, ["noext"]), (" . ", "a.txt", "txt", True, []), ("unknown", "a.txt", "unknown", True, []),
+    (".docx ", None, "docx", True, None), ("a.b", "interview.txt", "a.b", True, ["interview"]), ("tmp", "keep.pdf", "tmp", False, ["keep"]),
+    ("pdf", "Thumbs.db", "pdf", False, ["Thumbs"]), ("LOG", "x", "log", False, []), (None, "a.lock", "lock", False, []),
+]
 
 
 def test_file_extension_and_content(spark):
-    pairs = list(itertools.product(TYPES, NAMES))
-    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, t string, n string")
+    df = spark.createDataFrame([(i, t, n) for i, (t, n, *_) in enumerate(FILES)], "i int, t string, n string")
     out = df.select(
         "i", fx.file_extension("t", "n").alias("ext"), fx.counts_as_content("t", "n").alias("content"),
         fx.stem_tokens("n").alias("tokens"),
     )
-    for r in out.collect():
-        t, n = pairs[r.i]
-        ext = extension(t, n)
-        junk = (n or "").strip().lower() in (".ds_store", "thumbs.db", "desktop.ini")
-        assert r.ext == ext, (t, n)
-        assert r.content == (not junk and ext not in ("", "tmp", "log", "lock", "ds_store")), (t, n)
-        if n is not None:
-            stem = n.rsplit(".", 1)[0] if "." in n else n
-            assert r.tokens == [w for w in re.split("[^A-Za-z]+", stem) if len(w) >= 3], n
+    got = {r.i: (r.ext, r.content, r.tokens) for r in out.collect()}
+    assert {FILES[i][:2]: g for i, g in got.items()} == {f[:2]: f[2:] for f in FILES}
+
+
+# label: file name, type
+LABELS = {
+    "Report: (é) #1": ("Report é 1.pdf", "unknown"),
+    "a/b.CSV ": ("ab.CSV", "csv "),
+    "  ": (".pdf", "unknown"),
+    "plain": ("plain.pdf", "unknown"),
+    "notes_v1.2-final.docx": ("notes_v1.2-final.docx", "docx"),
+}
 
 
 def test_names_of_links_and_resources(spark):
-    values = ["Report: (é) #1", "a/b.CSV ", "  ", "plain"]
-    got = apply(spark, values, fx.safe_file_name, fx.type_of_label)
-    for v, (name, label_type) in zip(values, got):
-        clean = "".join(ch for ch in v if ch.isalnum() or ch in "._- ").strip()
-        assert name == (clean if "." in clean else clean + ".pdf")
-        assert label_type == (v.split(".")[-1].lower() if "." in v else "unknown")
+    assert dict(zip(LABELS, apply(spark, list(LABELS), fx.safe_file_name, fx.type_of_label))) == LABELS
     df = spark.createDataFrame([("", "t", 5), (None, "", 5), ("f", "t", 5)], "f string, t string, i int")
     assert [r[0] for r in df.select(fx.resource_name("f", "t", "i")).collect()] == ["t", "file_5", "f"]
     df = spark.createDataFrame([("", "/a/b/9"), ("n", "/a/b/9")], "c string, u string")
