@@ -3,8 +3,8 @@
 Each round replaces edges by edges to smaller neighbours (the large-star / small-star
 scheme of Kiveris et al., "Connected Components in MapReduce and Beyond", 2014), which
 needs a number of rounds that grows with the logarithm of the component, not its diameter.
-A hub with many neighbours is only ever aggregated (a partial minimum) or looked up through
-the slicing join, never gathered.
+A hub with many neighbours is only ever aggregated (a partial minimum) or looked up by a join,
+whose skewed partitions adaptive execution splits; it is never gathered.
 """
 
 from __future__ import annotations
@@ -12,9 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from archiveloom.operators import skew
 from archiveloom.operators.merge import stage_keys
-from archiveloom.operators.skew import hot_keys, lookup_join
 from archiveloom.staging import StagingArea
 
 
@@ -38,21 +36,10 @@ def key_edges(keys: DataFrame) -> DataFrame:
         .agg(F.min("ord").alias("lo"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
     )
-    linked = lookup_join(carried, smallest.drop("n"), on, ["ord"], hot_keys(smallest, on, "n"))
+    linked = carried.join(smallest.drop("n"), on)
     return linked.where("ord > lo").select(F.col("ord").alias("hi"), "lo").distinct()
 
 
-def _star(edges: DataFrame, n_edges: int, hub: str, smallest: DataFrame) -> DataFrame:
-    """Edges with the smallest node around their hub; hubs of many edges are sliced.
-
-    With fewer edges than one slice holds there can be no such hub.
-    """
-    if n_edges <= skew.HOT_ROWS:
-        return edges.join(smallest.drop("n"), hub)
-    spread = ["lo" if hub == "hi" else "hi"]
-    return lookup_join(edges, smallest.drop("n"), [hub], spread, hot_keys(smallest, [hub], "n"))
-
-
 def components(edges: DataFrame, staging: StagingArea | None = None) -> DataFrame:
     """(node, component) for every node on an edge; a component is named by its smallest node."""
     staging = staging or StagingArea(edges.sparkSession, "components")
@@ -64,18 +51,18 @@ def components(edges: DataFrame, staging: StagingArea | None = None) -> DataFram
         both = edges.union(edges.select("lo", "hi")).toDF("hi", "lo")
         near = (
             both.groupBy("hi")
-            .agg(F.min("lo").alias("m"), count.alias("n"))
-            .select(F.col("hi").alias("lo"), F.least("hi", "m").alias("m"), "n")
+            .agg(F.min("lo").alias("m"))
+            .select(F.col("hi").alias("lo"), F.least("hi", "m").alias("m"))
         )
         large = (
-            _star(edges, before["n"], "lo", near)
+            edges.join(near, "lo")
             .select("hi", F.col("m").alias("lo"))
             .distinct()
         )
-        large, size = staging.write(large, "large", n=count)
-        below = large.groupBy("hi").agg(F.min("lo").alias("m"), count.alias("n"))
+        large, _ = staging.write(large, "large")
+        below = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = (
-            _star(large, size["n"], "hi", below)
+            large.join(below, "hi")
             .where("lo > m")
             .select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
             .union(below.select("hi", F.col("m").alias("lo")))

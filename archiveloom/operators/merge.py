@@ -16,34 +16,29 @@ component, so a key shared by a third of all records costs no more rounds than a
 and never sits in one task.
 
 Rounds touch only 64-bit columns: each text key is replaced once by the smallest ``ord``
-that carries it, and records that share no key leave before the first round.
-
-Long thin chains would take many rounds. When some are left after ``PATIENCE`` rounds, the
-linked components they lie in are worked through record by record, each in one task, if they
-have at most ``CHAIN_ROWS`` records; larger ones go on in rounds. Either way the loop ends
-only on an assignment that reproduces itself.
+that carries it, and records that share no key leave before the first round. Records of
+different linked components never meet, so a component in which no record moved is settled
+and leaves too: a round carries only the components that still move. There is no other rule
+for long chains or large components; the number of rounds is logged.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import logging
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from archiveloom.functions.text import doi_key, text_key, title_key, url_key
-from archiveloom.operators import skew
 from archiveloom.operators.harmonise import LOCAL_BITS
-from archiveloom.operators.skew import dense_numbers, hot_keys, lookup_join
+from archiveloom.operators.skew import dense_numbers
 from archiveloom.schema import CHILD_COLUMNS, PROJECT_SOURCE_COLUMNS
 from archiveloom.staging import StagingArea
 
 URL, DOI, TITLE, SELF = 1, 2, 3, 9
 
-PATIENCE = 16
-CHAIN_ROWS = 1_000_000
+log = logging.getLogger(__name__)
 
 _STATE = ("url_set", "doi_set", "title_set", "url_k", "doi_k", "title_k", "repo")
 
@@ -82,12 +77,12 @@ def _struct(tier: int, k1: Column, k2: Column, *more: Column) -> Column:
     return F.struct(F.lit(tier).alias("tier"), k1.alias("k1"), k2.alias("k2"), *more)
 
 
-def shared_keys(staging: StagingArea, keys: DataFrame) -> tuple[DataFrame, DataFrame | None, int]:
+def shared_keys(staging: StagingArea, keys: DataFrame) -> tuple[DataFrame, int]:
     """Records that share a key with another, with keys coded as the smallest carrier.
 
-    ``keys`` is :func:`match_keys`. Returns the coded records, the heavy keys (None when
-    there is none) and the number of records. The title key ignores the repository on
-    purpose: a cluster can pair the title of one member with the repository of another.
+    ``keys`` is :func:`match_keys`. Returns the coded records and their number. The title key
+    ignores the repository on purpose: a cluster can pair the title of one member with the
+    repository of another.
     """
     flags = ["url_set", "doi_set", "title_set", "repo"]
     tiers = F.array(
@@ -100,21 +95,16 @@ def shared_keys(staging: StagingArea, keys: DataFrame) -> tuple[DataFrame, DataF
         carried.groupBy("tier", "key")
         .agg(F.min("ord").alias("k1"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
+        .drop("n")
     )
-    codes, size = staging.write(codes, "codes", top=F.max("n"))
-    heavy = (size["top"] or 0) > skew.HOT_ROWS
-    if heavy:
-        hot = hot_keys(codes, ["tier", "key"], "n")
-        coded = lookup_join(carried, codes.drop("n"), ["tier", "key"], ["ord"], hot)
-    else:
-        coded = carried.join(codes.drop("n"), ["tier", "key"])
+    coded = carried.join(codes, ["tier", "key"])
     pick = lambda tier, name: F.max(F.when(F.col("tier") == tier, F.col("k1"))).alias(name)
     records = coded.groupBy("ord").agg(
         *[F.max(c).alias(c) for c in flags],
         pick(URL, "url_k"), pick(DOI, "doi_k"), pick(TITLE, "title_k"),
     )
     records, count = staging.write(records.select("ord", *_STATE), "records", n=F.count(F.lit(1)))
-    return records, (hot_keys(codes, ["tier", "k1"], "n") if heavy else None), count["n"]
+    return records, count["n"]
 
 
 def _owners(state: DataFrame) -> DataFrame:
@@ -141,7 +131,7 @@ def _owners(state: DataFrame) -> DataFrame:
     )
 
 
-def _reassign(state: DataFrame, hot: DataFrame | None) -> DataFrame:
+def _reassign(state: DataFrame) -> DataFrame:
     """One round: every record joins the owner of its best key, or itself."""
     zero = F.lit(0).cast("bigint")
     wanted = F.array(
@@ -151,14 +141,9 @@ def _reassign(state: DataFrame, hot: DataFrame | None) -> DataFrame:
     )
     # the first record to carry a text finds no owner of it, so it need not ask
     asked = state.select("ord", F.inline(wanted)).where("k1 < ord and k2 is not null")
-    on = ["tier", "k1", "k2"]
-    owners = _owners(state)
-    if hot is None:
-        hits = asked.join(owners, on)
-    else:
-        hits = lookup_join(asked, owners, on, ["ord"], hot, hot_on=["tier", "k1"])
+    hits = asked.join(_owners(state), ["tier", "k1", "k2"])
     own = state.select(
-        "ord", F.lit(SELF).alias("tier"), F.col("ord").alias("owner"), *_STATE,
+        "ord", F.lit(SELF).alias("tier"), F.col("ord").alias("owner"), *_STATE, "component",
         F.col("label").alias("was"),
     )
     return (
@@ -169,88 +154,22 @@ def _reassign(state: DataFrame, hot: DataFrame | None) -> DataFrame:
         .agg(
             F.min_by("owner", "tier").alias("label"),
             F.max("was").alias("was"),
-            *[F.max(c).alias(c) for c in _STATE],
+            *[F.max(c).alias(c) for c in (*_STATE, "component")],
         )
     )
 
 
-def _in_turn():
-    """Clusters of whole components, whose records arrive one after the other in ``ord``.
-
-    Memory holds the owners and fields of one component; rows stream through. Keys are
-    whole numbers with -1 for none, so that nothing is rounded on the way to pandas.
-    """
+def _linked(state: DataFrame, staging: StagingArea) -> DataFrame:
+    """``state`` with the component of each record, over URL, DOI and title codes alone.
 
-    def keys_of(fields: dict) -> list[tuple]:
-        keys = [(name, fields[name]) for name in ("url", "doi") if fields.get(name, -1) >= 0]
-        if fields.get("title", -1) >= 0 and "repo" in fields:
-            keys.append(("title", fields["title"], fields["repo"]))
-        return keys
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        component, owner, taken = None, {}, {}
-        for batch in batches:
-            labels = []
-            for row in batch.itertuples(index=False):
-                if row.component != component:
-                    component, owner, taken = row.component, {}, {}
-                have = {
-                    name: value
-                    for name, is_set, value in (
-                        ("url", row.url_set, row.url_k), ("doi", row.doi_set, row.doi_k),
-                        ("title", row.title_set, row.title_k), ("repo", row.repo_set, row.repo),
-                    )
-                    if is_set
-                }
-                label = next((owner[k] for k in keys_of(have) if k in owner), row.ord)
-                fields = taken.setdefault(label, {})
-                for name, value in have.items():
-                    fields.setdefault(name, value)
-                for k in keys_of(fields):
-                    owner.setdefault(k, label)
-                labels.append(label)
-            yield pd.DataFrame({"ord": batch["ord"], "label": labels}, dtype="int64")
-
-    return run
-
-
-def _finish_chains(state: DataFrame, staging: StagingArea) -> DataFrame:
-    """State with the final labels of the small components in which records still move.
-
-    A component links records by URL, DOI and title alone, so that records of different ones
-    never meet, whatever repository a cluster takes over.
+    Repositories are left out, as a cluster may take one over.
     """
     from archiveloom.operators.components import components
 
     links = F.array(*[F.struct(F.col("ord").alias("hi"), F.col(k).alias("lo")) for k in ("url_k", "doi_k", "title_k")])
     edges = state.select(F.inline(links)).where("hi > lo").distinct()
     member = components(edges, staging).withColumnRenamed("node", "ord")
-    # components() names a component by one of its records, so the join is one to one
-    placed = state.join(member, "ord")
-    small = (
-        placed.groupBy("component")
-        .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") != F.col("was")).alias("moving"))
-        .where((F.col("moving") > 0) & (F.col("n") <= CHAIN_ROWS))
-        .select("component")
-    )
-    # the rows of a component too large to be picked are spread before they are dropped
-    picked = lookup_join(placed, small, ["component"], ["ord"])
-    settled = (
-        picked.repartition("component")
-        .sortWithinPartitions("component", "ord")
-        .select(
-            "component", "ord", "url_set", "doi_set", "title_set",
-            F.col("repo").isNotNull().alias("repo_set"), F.coalesce("repo", F.lit(0)).alias("repo"),
-            *[F.coalesce(k, F.lit(-1)).alias(k) for k in ("url_k", "doi_k", "title_k")],
-        )
-        .mapInPandas(_in_turn(), "ord long, label long")
-        .withColumnRenamed("label", "_settled")
-    )
-    return (
-        state.join(settled, "ord", "left")
-        .withColumn("label", F.coalesce("_settled", "label"))
-        .drop("_settled", "was")
-    )
+    return state.join(member, "ord", "left").withColumn("component", F.coalesce("component", "ord"))
 
 
 def assign_clusters(projects: DataFrame, staging: StagingArea | None = None) -> DataFrame:
@@ -261,31 +180,35 @@ def assign_clusters(projects: DataFrame, staging: StagingArea | None = None) ->
 
 def assign_by_keys(keys: DataFrame, staging: StagingArea) -> DataFrame:
     """:func:`assign_clusters` from staged keys."""
-    state, hot, n = shared_keys(staging, keys)
-    if n:
-        # first guess: the smallest carrier of the URL, else of the DOI, else alone
-        guess = F.coalesce(
-            F.when(F.col("url_k") < F.col("ord"), F.col("url_k")),
-            F.when(F.col("doi_k") < F.col("ord"), F.col("doi_k")),
-            F.col("ord"),
-        )
-        state = state.withColumn("label", guess)
-        moved, rounds = 1, 0
-        while moved:
-            if rounds == PATIENCE:
-                state, _ = staging.write(_finish_chains(state, staging), "chains")
-            # two folders take turns: a round reads the one and replaces the other
-            state, seen = staging.write(
-                _reassign(state, hot), f"round-{rounds % 2}",
-                moved=F.count_if(F.col("label") != F.col("was")),
-            )
-            moved, rounds = seen["moved"], rounds + 1
-        # records that share no key are clusters of their own
-        linked = state.where("label <> ord").select("ord", "label")
-        return keys.select("ord").join(linked, "ord", "left").select(
-            "ord", F.coalesce("label", "ord").alias("label")
+    state, n = shared_keys(staging, keys)
+    if not n:
+        return keys.select("ord", F.col("ord").alias("label"))
+    # first guess: the smallest carrier of the URL, else of the DOI, else alone
+    guess = F.coalesce(
+        F.when(F.col("url_k") < F.col("ord"), F.col("url_k")),
+        F.when(F.col("doi_k") < F.col("ord"), F.col("doi_k")),
+        F.col("ord"),
+    )
+    state = _linked(state, staging).withColumn("label", guess)
+    settled = f"{staging.path}/settled"
+    rounds = 0
+    while True:
+        # two folders take turns: a round reads the one and replaces the other
+        state, seen = staging.write(
+            _reassign(state), f"round-{rounds % 2}",
+            n=F.count(F.lit(1)), moved=F.count_if(F.col("label") != F.col("was")),
         )
-    return keys.select("ord", F.col("ord").alias("label"))
+        log.info("merge round %d: %d records, %d moved", rounds, seen["n"], seen["moved"])
+        rounds += 1
+        if not seen["moved"]:
+            state.select("ord", "label").write.mode("append").parquet(settled)
+            break
+        moving = state.where("label <> was").select("component").distinct()
+        state.join(moving, "component", "left_anti").select("ord", "label").write.mode("append").parquet(settled)
+        state = state.join(moving, "component", "left_semi")
+    # records that share no key are clusters of their own
+    linked = keys.sparkSession.read.schema("ord long, label long").parquet(settled).where("label <> ord")
+    return keys.select("ord").join(linked, "ord", "left").select("ord", F.coalesce("label", "ord").alias("label"))
 
 
 def first_non_null(columns: list[str], order: str = "ord") -> list[Column]:
@@ -338,7 +261,7 @@ def attach_children(children: DataFrame, assignment: DataFrame, by: str = "label
     """Children with the cluster of their parent; orphans are dropped."""
     parents = assignment.select(F.col("ord").alias("parent_ord"), F.col(by))
     known = children.where(F.col("parent_ord").isNotNull())
-    return lookup_join(known.drop(by), parents, ["parent_ord"], ["ord"])
+    return known.drop(by).join(parents, "parent_ord")
 
 
 def dedupe_files(files: DataFrame, parent: str = "label") -> DataFrame:
@@ -396,7 +319,7 @@ def surrogate_ids(assignment: DataFrame, staging: StagingArea) -> DataFrame:
 def with_ids(assignment: DataFrame, ids: DataFrame) -> DataFrame:
     """(ord, label, project_id): the id of every record's cluster."""
     numbered = ids.select("label", F.col("id").alias("project_id"))
-    return lookup_join(assignment, numbered, ["label"], ["ord"])
+    return assignment.join(numbered, "label")
 
 
 def merge_stats(assignment: DataFrame, sources: int | None = None) -> DataFrame:

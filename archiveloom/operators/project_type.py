@@ -14,7 +14,6 @@ from archiveloom.functions.files import (
     stem_tokens,
     type_priority,
 )
-from archiveloom.operators.skew import lookup_join
 
 
 def per_project_files(files: DataFrame) -> DataFrame:
@@ -85,7 +84,7 @@ def file_candidates(files: DataFrame, projects: DataFrame) -> DataFrame:
     """Primary data files of QDA and QD projects, with name tokens and the project's classes.
 
     ``by_name`` says whether the name carries enough words to be classified itself. File
-    filters run before the join; the join spreads a project that holds many files.
+    filters run before the join; adaptive execution splits the join of a project with many files.
     """
     wanted = files.where(
         ~is_junk_name("file_name")
@@ -96,7 +95,7 @@ def file_candidates(files: DataFrame, projects: DataFrame) -> DataFrame:
         F.col("primary_class").alias("project_primary"),
         F.col("secondary_class").alias("project_secondary"),
     )
-    joined = lookup_join(wanted, parents, ["project_id"], ["file_id"])
+    joined = wanted.join(parents, "project_id")
     return joined.withColumn("tokens", stem_tokens("file_name")).select(
         "file_id", "project_id",
         F.array_join("tokens", " ").alias("text"),

@@ -1,4 +1,4 @@
-"""Joins and numbering that hold when one key owns a large share of all rows."""
+"""Broadcasts behind a check of size, and dense numbers without a single task."""
 
 from __future__ import annotations
 
@@ -7,58 +7,11 @@ from pyspark.sql import functions as F
 
 from archiveloom.staging import StagingArea
 
-# A key with more rows than this is spread over several join partitions.
-HOT_ROWS = 1_000_000
-# At most this many keys are treated one by one, which bounds the broadcast list. A key
-# beyond it holds less than 1/10,000 of all rows, which one partition carries.
-MAX_HOT_KEYS = 10_000
+# A table of at most this many rows may be broadcast.
+BROADCAST_ROWS = 10_000
 
 
-def hot_keys(sized: DataFrame, on: list[str], rows: str, hot_rows: int | None = None) -> DataFrame:
-    """The heaviest keys of ``sized(on..., rows)`` with the number of slices each needs."""
-    limit = HOT_ROWS if hot_rows is None else hot_rows
-    return (
-        sized.where(F.col(rows) > limit)
-        .orderBy(F.col(rows).desc())
-        .limit(MAX_HOT_KEYS)
-        .select(*on, F.ceil(F.col(rows) / limit).cast("int").alias("_slices"))
-    )
-
-
-def lookup_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    on: list[str],
-    spread_by: list[str],
-    hot: DataFrame | None = None,
-    hot_on: list[str] | None = None,
-) -> DataFrame:
-    """Inner join of many ``facts`` rows to the one ``dim`` row of their key.
-
-    ``hot`` lists the heavy keys (see :func:`hot_keys`); by default the facts are counted
-    per key, which is a partially aggregated pass over the key columns only. The rows of a
-    heavy key are spread over slices by a hash of ``spread_by``, and its single ``dim`` row
-    is repeated once per slice, so no task receives the whole key.
-    """
-    if hot is None:
-        hot = hot_keys(facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")), on, "_rows")
-    hot = F.broadcast(hot)
-    keys = hot_on or on
-    slices = F.coalesce("_slices", F.lit(1))
-    sliced_facts = (
-        facts.join(hot, keys, "left")
-        .withColumn("_slice", F.pmod(F.xxhash64(*spread_by), slices).cast("int"))
-        .drop("_slices")
-    )
-    sliced_dim = (
-        dim.join(hot, keys, "left")
-        .withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
-        .drop("_slices")
-    )
-    return sliced_facts.join(sliced_dim, [*on, "_slice"]).drop("_slice")
-
-
-def broadcast_if_small(dim: DataFrame, rows: int = MAX_HOT_KEYS) -> DataFrame:
+def broadcast_if_small(dim: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint for a dimension that is checked to have few rows, else no hint.
 
     At most ``rows`` + 1 rows are read for the check.
@@ -66,16 +19,6 @@ def broadcast_if_small(dim: DataFrame, rows: int = MAX_HOT_KEYS) -> DataFrame:
     return F.broadcast(dim) if dim.limit(rows + 1).count() <= rows else dim
 
 
-def spread_rows(df: DataFrame) -> DataFrame:
-    """Rows of a small scan over all cores, for work that is heavy per row.
-
-    A scan of few splits would leave most cores idle. A scan with at least one split per
-    core, which is any large one, is returned as it is: nothing is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def dense_numbers(
     staging: StagingArea, keys: DataFrame, order: list[Column | str], name: str, column: str = "id"
 ) -> DataFrame:

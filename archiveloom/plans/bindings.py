@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from archiveloom import dimensions as dim
 from archiveloom.operators.harmonise import LOCAL_BITS, Source
-from archiveloom.operators.skew import spread_rows
 from archiveloom.operators.taxonomy import division_corpus
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -26,7 +25,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
     """Documents for work that is heavy per row."""
-    return spread_rows(table(spark, sf, "documents"))
+    return table(spark, sf, "documents")
 
 
 def corpus(spark: SparkSession) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Where catalogues come from: Spark databases, table paths or SQLite files."""
+"""Where catalogues come from: Spark databases or table paths."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import SparkSession
 
 from archiveloom.operators.harmonise import Source
-from archiveloom.sources.sqlite import read_sqlite, sqlite_tables
 
 
 def from_databases(spark: SparkSession, databases: list[str]) -> list[Source]:
@@ -33,11 +32,3 @@ def from_paths(
         Source(name, {t: spark.read.format(fmt).options(**options).load(p) for t, p in tables.items()})
         for name, tables in sources.items()
     ]
-
-
-def from_sqlite(spark: SparkSession, files: Mapping[str, str], partitions: int = 8) -> list[Source]:
-    """One source per SQLite file on a file system that driver and executors share."""
-    return [
-        Source(name, {t: read_sqlite(spark, path, t, partitions) for t in sqlite_tables(path)})
-        for name, path in files.items()
-    ]

@@ -1,11 +1,12 @@
+import logging
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from archiveloom.operators import merge, skew
+from archiveloom.operators import merge
 from archiveloom.operators.components import link_components
-from sequential import closure, merge_one_by_one
+from fixpoint import Record, closure, record, violations
 
 SCHEMA = "ord long, project_url string, doi string, title string, repository_id long"
 
@@ -19,114 +20,96 @@ def random_sets(n_sets, seed, dense):
         pool = rnd.randint(2, 3 if dense else 6)
 
         def text(kind):
+            """A raw text and its key: missing, blank, or a value in some spelling."""
             pick = rnd.random()
             if pick < 0.25:
-                return None
+                return None, None
             if pick < 0.33:
-                return rnd.choice(["", " ", " "] + (["/"] if kind == "u" else []))
-            value = f"{kind}{s}x{rnd.randrange(pool)}"
-            return rnd.choice([value, value.upper(), f" {value} "] + ([value + "/"] if kind == "u" else []))
+                return rnd.choice(["", " ", " "] + (["/"] if kind == "u" else [])), None
+            key = f"{kind}{s}x{rnd.randrange(pool)}"
+            return rnd.choice([key, key.upper(), f" {key} "] + ([key + "/"] if kind == "u" else [])), key
 
         for j in range(size):
             repo = None if rnd.random() < 0.3 else s * 10 + rnd.randrange(2)
-            records.append((s * 100 + j, text("u"), text("d"), text("t"), repo))
+            (url, u), (doi, d), (title, t) = text("u"), text("d"), text("t")
+            records.append(Record(s * 100 + j, url, doi, title, repo, u, d, t))
     return records
 
 
-def frame(spark, records):
-    shuffled = random.Random(1).sample(records, len(records))
-    return spark.createDataFrame(shuffled, SCHEMA)
+def plain(*rows):
+    """Records whose texts are their keys."""
+    return [record(o, u, d, t, r, (u, d, t)) for o, u, d, t, r in rows]
 
 
-@pytest.mark.parametrize("seed,dense", [(7, True), (8, False)])
-def test_merge_equals_the_sequential_rule(spark, seed, dense):
-    records = random_sets(4000, seed, dense)
-    found = {r.ord: r.label for r in merge.assign_clusters(frame(spark, records)).collect()}
-    assert found == merge_one_by_one(records)
+def chain(start, length, name, titles=False):
+    """Each record shares one key with the one before and another with the one after."""
+    title = lambda i: f"x{name}" if titles and i % 50 == 7 else None
+    return plain(*[(start + i, f"c{name}u{i // 2}", f"c{name}d{(i + 1) // 2}", title(i), i % 3 or None) for i in range(length)])
 
 
-def test_merge_with_heavy_keys_sliced(spark, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_ROWS", 3)
-    records = random_sets(1500, 11, True)
-    found = {r.ord: r.label for r in merge.assign_clusters(frame(spark, records)).collect()}
-    assert found == merge_one_by_one(records)
+def merged(spark, records):
+    shuffled = random.Random(1).sample([tuple(r)[:5] for r in records], len(records))
+    found = merge.assign_clusters(spark.createDataFrame(shuffled, SCHEMA)).collect()
+    labels = {r.ord: r.label for r in found}
+    assert sorted(r.ord for r in found) == sorted(r.ord for r in records)
+    assert all(label <= order and labels[label] == label for order, label in labels.items())
+    return labels
 
 
-def test_one_title_held_by_most_records(spark):
-    records = [(i, f"http://x/{i % 7000}", None, "Interview", 3) for i in range(20000)]
-    records += [(20000 + i, f"http://x/{i}/", "10.1/a", "Other", None) for i in range(3000)]
-    found = {r.ord: r.label for r in merge.assign_clusters(frame(spark, records)).collect()}
-    assert found == merge_one_by_one(records)
-
-
-def test_named_edge_cases(spark):
-    records = [
-        # a URL hit beats a DOI hit
-        (1, "u/1", "d1", None, None), (2, "u/2", "d2", None, None), (3, "U/1//", "d2", None, None),
-        # a record matched by DOI does not make its own URL a key of the cluster
-        (10, "u/10", "d10", None, None), (11, "u/11", "d10", None, None), (12, "u/11", None, None, None),
-        # a bridge between two clusters joins the first and merges nothing
-        (20, "u/20", None, None, None), (21, None, "d21", None, None), (22, "u/20", "d21", None, None),
-        (23, None, "d21", None, None),
-        # '' is set: the later URL is never taken over
-        (30, "", "d30", None, None), (31, "u/31", "d30", None, None), (32, "u/31", None, None, None),
-        # title of one member, repository of another
-        (40, None, "d40", "T", None), (41, None, "d40", "other", 9), (42, None, None, "t", 9),
-    ]
-    found = {r.ord: r.label for r in merge.assign_clusters(frame(spark, records)).collect()}
-    assert found == merge_one_by_one(records)
-    assert found[3] == 1 and found[12] == 12 and found[22] == 20 and found[23] == 21
-    assert found[32] == 32 and found[42] == 40
+@pytest.mark.parametrize("seed,dense", [(7, True), (8, False), (11, True)])
+def test_every_label_follows_from_the_others(spark, seed, dense):
+    records = random_sets(4000, seed, dense)
+    assert violations(records, merged(spark, records)) == []
 
 
-def test_chain_of_dependent_decisions(spark):
-    """Each record shares one key with the one before and another with the one after."""
-    records = [(i, f"u{i // 2}", f"d{(i + 1) // 2}", None, None) for i in range(24)]
-    found = {r.ord: r.label for r in merge.assign_clusters(frame(spark, records)).collect()}
-    assert found == merge_one_by_one(records)
-
-
-def test_long_chains_are_finished_in_turn(spark, monkeypatch):
-    """Chains of hundreds of dependent decisions need few rounds; large components go on."""
-    records = random_sets(300, 21, True)
-    base = 10**6
-    for c, length in enumerate((400, 150, 37)):
-        start = base * (c + 1)
-        for i in range(length):
-            title = f"x{c}" if i % 50 == 7 else None
-            records.append((start + i, f"c{c}u{i // 2}", f"c{c}d{(i + 1) // 2}", title, None if i % 3 else c))
-    monkeypatch.setattr(merge, "PATIENCE", 3)
-    monkeypatch.setattr(merge, "CHAIN_ROWS", 500)
-    written = []
-    write = merge.StagingArea.write
-    monkeypatch.setattr(merge.StagingArea, "write", lambda self, df, name, **m: (written.append(name), write(self, df, name, **m))[1])
-    found = {r.ord: r.label for r in merge.assign_clusters(frame(spark, records)).collect()}
-    assert found == merge_one_by_one(records)
-    assert "chains" in written and sum(n.startswith("round") for n in written) < 10
-    # components above the limit are left to the rounds and come out the same
-    monkeypatch.setattr(merge, "CHAIN_ROWS", 5)
-    some = [r for r in records if r[0] < 2 * base][:60] + [r for r in records if r[0] >= 3 * base]
-    found = {r.ord: r.label for r in merge.assign_clusters(frame(spark, some)).collect()}
-    assert found == merge_one_by_one(some)
-
-
-def test_in_turn_equals_the_sequential_rule(spark, monkeypatch):
-    """With no patience at all every unsettled component is worked through in turn."""
-    monkeypatch.setattr(merge, "PATIENCE", 1)
-    # places of a fifth source: neighbours differ in the last bit of 64
-    records = [((5 << 52) + r[0], *r[1:]) for r in random_sets(2000, 33, True)]
-    found = {r.ord: r.label for r in merge.assign_clusters(frame(spark, records)).collect()}
-    assert found == merge_one_by_one(records)
-
-
-def test_components_equal_closure(spark, monkeypatch):
-    records = random_sets(1500, 5, False)
-    records += [(10**6 + i, f"c{i // 2}", f"e{(i + 1) // 2}", None, None) for i in range(60)]
-    found = {r.ord: r.component for r in link_components(frame(spark, records)).collect()}
-    assert found == closure(records)
-    monkeypatch.setattr(skew, "HOT_ROWS", 4)
-    again = {r.ord: r.component for r in link_components(frame(spark, records)).collect()}
-    assert again == found
+def test_one_title_held_by_most_records(spark):
+    records = plain(*[(i, f"http://x/{i % 7000}", None, "interview", 3) for i in range(20000)])
+    records += [record(20000 + i, f"http://x/{i}/", "10.1/a", "Other", None, (f"http://x/{i}", "10.1/a", "other")) for i in range(3000)]
+    found = merged(spark, records)
+    assert violations(records, found) == []
+    assert set(found.values()) == {0}
+
+
+# records (place, URL, DOI, title, repository) and the label each must get
+CASES = [
+    # a URL hit beats a DOI hit
+    (1, "u/1", "d1", None, None, 1), (2, "u/2", "d2", None, None, 2), (3, "U/1//", "d2", None, None, 1),
+    # a record matched by DOI does not make its own URL a key of the cluster
+    (10, "u/10", "d10", None, None, 10), (11, "u/11", "d10", None, None, 10), (12, "u/11", None, None, None, 12),
+    # a bridge between two clusters joins the first and merges nothing
+    (20, "u/20", None, None, None, 20), (21, None, "d21", None, None, 21), (22, "u/20", "d21", None, None, 20),
+    (23, None, "d21", None, None, 21),
+    # '' is set: the later URL is never taken over
+    (30, "", "d30", None, None, 30), (31, "u/31", "d30", None, None, 30), (32, "u/31", None, None, None, 32),
+    # title of one member, repository of another
+    (40, None, "d40", "T", None, 40), (41, None, "d40", "other", 9, 40), (42, None, None, "t", 9, 40),
+    # a title without a repository matches nothing; a blank DOI neither
+    (50, None, " ", "Same", None, 50), (51, None, " ", "same", None, 51), (52, None, None, "SAME ", 4, 52), (53, None, None, "same", 4, 52),
+    # a chain: every second record opens a cluster
+    (60, "u60", "d60", None, None, 60), (61, "u61", "d60", None, None, 60), (62, "u61", "d62", None, None, 62),
+    (63, "u63", "d62", None, None, 62), (64, "u63", "d64", None, None, 64),
+]
+
+
+def test_written_out_cases(spark):
+    records = [record(*case[:5]) for case in CASES]
+    assert merged(spark, records) == {case[0]: case[5] for case in CASES}
+
+
+def test_long_chains_and_settled_components(spark, caplog):
+    """Only components that still move go on; the rest of the records settle early."""
+    records = random_sets(300, 21, True) + chain(10**6, 34, "a", True) + chain(2 * 10**6, 12, "b")
+    with caplog.at_level(logging.INFO, logger=merge.__name__):
+        found = merged(spark, records)
+    assert violations(records, found) == []
+    carried = [r.args[1] for r in caplog.records]
+    assert len(carried) > 20 and carried[-1] == 34 and carried == sorted(carried, reverse=True)
+
+
+def test_components_equal_closure(spark):
+    records = random_sets(1500, 5, False) + plain(*[(10**6 + i, f"c{i // 2}", f"e{(i + 1) // 2}", None, None) for i in range(60)])
+    df = spark.createDataFrame([tuple(r)[:5] for r in records], SCHEMA)
+    assert {r.ord: r.component for r in link_components(df).collect()} == closure(records)
 
 
 def test_coalesce_keeps_empty_strings_and_fills_nulls(spark):
@@ -167,24 +150,3 @@ def test_surrogate_ids_follow_opening_order(spark):
     staging = merge.StagingArea(spark, "test")
     got = {r.label: r.id for r in merge.surrogate_ids(assignment, staging).collect()}
     assert got == {label: i for i, label in enumerate(range(0, 15000, 6), 1)}
-
-
-def test_sliced_lookup_spreads_a_heavy_key(spark, monkeypatch):
-    """The rows of a heavy key land in several partitions, and the result stays the same."""
-    facts = spark.range(4000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
-    dim = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
-    old = {k: spark.conf.get(k) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        parts = {}
-        for limit in (10**6, 100):
-            monkeypatch.setattr(skew, "HOT_ROWS", limit)
-            joined = skew.lookup_join(facts, dim, ["k"], ["id"])
-            assert joined.count() == 4000 and joined.where("v <> 2 * k").count() == 0
-            parts[limit] = joined.where("k = 7").select(F.spark_partition_id()).distinct().count()
-        assert parts[10**6] == 1 and parts[100] >= 6
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)

@@ -1,12 +1,11 @@
 import json
-import sqlite3
 
 import pytest
 
 from archiveloom.operators import harmonise as hz
 from archiveloom.plans.archive import merge_sources, rebuild
 from archiveloom.sources import landing as ld
-from archiveloom.sources.catalogues import from_databases, from_paths, from_sqlite
+from archiveloom.sources.catalogues import from_databases, from_paths
 from archiveloom.sources.links import harvest_links
 from archiveloom.sources.worklist import Repository, first_hits, worklist
 from archiveloom.streaming.landing import append_batch, append_new, landed_stream
@@ -69,20 +68,6 @@ def test_merge_sources_end_to_end(spark):
     assert closed.projects.count() == 3
 
 
-def test_sqlite_files(spark, tmp_path):
-    for name, n in (("one", 25), ("two", 0)):
-        db = sqlite3.connect(tmp_path / f"{name}.db")
-        db.execute("create table PROJECTS (id integer primary key, Title text, repository_id integer)")
-        db.executemany("insert into PROJECTS values (?, ?, ?)", [(i, f"t{i}", "3" if i % 2 else "x") for i in range(1, n + 1)])
-        db.commit()
-        db.close()
-    sources = from_sqlite(spark, {n: str(tmp_path / f"{n}.db") for n in ("one", "two")}, partitions=4)
-    found = hz.harmonise(sources)["projects"]
-    assert found.count() == 25
-    assert found.where("repository_id = 3").count() == 13
-    assert rows(found.where("local_id = 4").select("title", "repository_id")) == [("t4", None)]
-
-
 def test_databases_and_paths(spark, tmp_path):
     df = spark.createDataFrame([(1, "a")], "id long, title string")
     df.write.parquet(f"{tmp_path}/p")
