@@ -203,10 +203,18 @@ def probed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def leader_pairs(sets: DataFrame) -> DataFrame:
-    """(a, b): each class with the smallest class of the same minimum hash, for each seed."""
-    keys = F.array(*[F.struct(F.lit(s).alias("seed"), F.array_min(F.transform("tokens", lambda t, s=s: F.xxhash64(F.lit(s), t))).alias("key")) for s in LEADER_SEEDS])
-    keyed = sets.select("class", F.inline(keys))
-    leaders = keyed.groupBy("seed", "key").agg(F.min("class").alias("b"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    """(a, b): each class with the leader of its minimum hash, for each seed.
+
+    The leader is the class with the largest share of shingles that others have too: of near
+    copies, the text they were made from, which is nearer to all of them than they are to each
+    other.
+    """
+    least = lambda s: F.array_min(F.transform("tokens", lambda t: F.xxhash64(F.lit(s), t)))
+    keys = F.array(*[F.struct(F.lit(s).alias("seed"), least(s).alias("key")) for s in LEADER_SEEDS])
+    shared = F.struct((F.size("tokens") / F.col("n")).alias("share"), (-F.col("n")).alias("small"), F.col("class").alias("b"))
+    keyed = sets.select("class", shared.alias("rank"), F.inline(keys))
+    leaders = keyed.groupBy("seed", "key").agg(F.max("rank").alias("_best"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    leaders = leaders.select("seed", "key", F.col("_best.b").alias("b"))
     return keyed.join(leaders, ["seed", "key"]).where("class <> b").select(F.col("class").alias("a"), "b").distinct()
 
 
@@ -215,15 +223,18 @@ def merged_pairs(sets: DataFrame, grouped: DataFrame, percent: int) -> DataFrame
     entries = (
         sets.join(grouped.withColumnRenamed("node", "class"), "class", "left")
         .withColumn("component", F.coalesce("component", "class"))
-        .select("class", "n", F.size("tokens").alias("m"), "component", F.explode("short").alias("token"))
+        .select("class", "n", F.size("tokens").alias("m"), "component", F.posexplode("short").alias("place", "token"))
+        # shingles that no other class has come before all others in the order
+        .select("class", "n", "component", "token", (F.col("m") - F.col("place")).alias("left"))
     )
     mixed = entries.groupBy("token").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo <> _hi")
     entries = entries.join(mixed.select("token"), "token", "left_semi")
     a, b = entries.alias("a"), entries.alias("b")
-    # T of the pair is percent * (na + nb) / (100 + percent); neither can share more than it has
+    # T of a pair is percent * (na + nb) / (100 + percent). All they share lies at or behind the
+    # first shingle they share, so there each must have T shingles left.
     able = F.expr(
         f"a.token = b.token and a.class < b.class and a.component <> b.component "
-        f"and {100 + percent} * least(a.m, b.m) >= {percent} * (a.n + b.n) and 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)"
+        f"and {100 + percent} * least(a.left, b.left) >= {percent} * (a.n + b.n)"
     )
     return a.join(b, able).groupBy(F.col("a.class").alias("a"), F.col("b.class").alias("b")).agg(F.count(F.lit(1)).alias("met"))
 
@@ -232,6 +243,7 @@ def join(docs: DataFrame, k: int = 4, percent: int = 85, id: str = "doc_id", tex
     """(id, n_shingles, component_id) of every row."""
     staging = StagingArea(docs.sparkSession, "jaccard")
     rows = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(int(LAST_ID))).alias("id"), F.col(text).alias("text"))
+    pk.small_batches(docs.sparkSession)
     bits = pk.bucket_bits(rows)
     seed = 0
     while True:
