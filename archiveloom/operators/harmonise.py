@@ -6,14 +6,17 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from archiveloom.schema import CHILD_COLUMNS, ENTITIES, PROJECT_SOURCE_COLUMNS
+from archiveloom.staging import StagingArea
 
-# Bits of the row order that hold the local id; the source rank sits above them, which
-# leaves room for MAX_SOURCES sources in a signed 64-bit number.
+# Bits of the row order below the source rank, which leaves room for MAX_SOURCES sources in a
+# signed 64-bit number. Local ids take the lower half of their range, rows that repeat an id
+# the upper one.
 LOCAL_BITS = 52
+LOCAL_IDS = 1 << (LOCAL_BITS - 1)
 MAX_SOURCES = 1 << (63 - LOCAL_BITS)
 
 
@@ -56,12 +59,10 @@ def resolution_report(sources: list[Source]) -> list[tuple[str, int, str, bool]]
 
 
 def row_order(rank: int | Column, local_id: Column) -> Column:
-    """One bigint that sorts by source, then by local id; fails on an id out of range."""
+    """One bigint that sorts by source, then by local id; NULL for an id out of range."""
     rank = F.lit(rank) if isinstance(rank, int) else rank
     high = F.shiftleft(rank.cast("bigint"), LOCAL_BITS)
-    in_range = (local_id >= 0) & (local_id < F.lit(1 << LOCAL_BITS))
-    problem = F.concat(F.lit("local id out of range: "), F.coalesce(local_id.cast("string"), F.lit("NULL")))
-    return F.when(in_range, high + local_id).otherwise(F.raise_error(problem))
+    return F.when((local_id >= 0) & (local_id < F.lit(LOCAL_IDS)), high + local_id)
 
 
 def project_to(df: DataFrame, columns: Mapping[str, str]) -> list[Column]:
@@ -79,18 +80,42 @@ def project_to(df: DataFrame, columns: Mapping[str, str]) -> list[Column]:
     ]
 
 
-def _in_scan_order(children: DataFrame) -> DataFrame:
-    """Children may lack an id; their place in the scan then stands in for it."""
-    return children.withColumn(
-        "local_id", F.coalesce("local_id", F.monotonically_increasing_id())
+def _child_id(columns: list[str]) -> Column:
+    """A child's own id, or a number hashed from its values when it has no usable one.
+
+    Unlike a place in the scan it is the same on every run and in any split of the input.
+    """
+    own = F.col("id")
+    usable = (own >= 0) & (own < F.lit(LOCAL_IDS))
+    return F.when(usable, own).otherwise(F.pmod(F.xxhash64(*columns), F.lit(LOCAL_IDS)))
+
+
+def _column(table: DataFrame, name: str) -> str | None:
+    return next((c for c in table.columns if c.lower() == name), None)
+
+
+def rejected_projects(source: Source) -> DataFrame | None:
+    """(source_name, local_id, reason) of projects whose id gives them no place in the merge."""
+    table = resolve_table(source.tables, "projects")
+    if table is None or _column(table, "id") is None:
+        return None
+    raw = F.col(f"`{_column(table, 'id')}`")
+    number = raw.try_cast("bigint")
+    reason = (
+        F.when(raw.isNull(), "no id")
+        .when(number.isNull(), "id is no whole number")
+        .when(row_order(0, number).isNull(), "id out of range")
     )
+    rows = table.select(F.lit(source.name).alias("source_name"), raw.cast("string").alias("local_id"), reason.alias("reason"))
+    return rows.where(F.col("reason").isNotNull())
 
 
 def harmonise_entity(source: Source, rank: int, entity: str) -> DataFrame | None:
     """One entity of one source in the canonical schema plus lineage columns.
 
     ``source_name``, ``source_rank`` and ``local_id`` say where a row came from; ``ord`` is
-    its place in the merge, and ``parent_ord`` (children) the place of its parent.
+    its place in the merge, and ``parent_ord`` (children) the place of its parent. Projects
+    without a usable id are left out.
     """
     if resolve_table(source.tables, "projects") is None:
         return None
@@ -105,29 +130,52 @@ def harmonise_entity(source: Source, rank: int, entity: str) -> DataFrame | None
         if "project_id" not in {c.lower() for c in table.columns}:
             return None
         columns = {"id": "bigint", "project_id": "bigint", **CHILD_COLUMNS[entity]}
+    rows = table.select(*project_to(table, columns))
+    rows = rows.withColumn("local_id", F.col("id") if entity == "projects" else _child_id(list(columns))).drop("id")
     rows = (
-        table.select(*project_to(table, columns))
-        .withColumnRenamed("id", "local_id")
-        .transform(lambda df: df if entity == "projects" else _in_scan_order(df))
-        .withColumn("source_name", F.lit(source.name))
+        rows.withColumn("source_name", F.lit(source.name))
         .withColumn("source_rank", F.lit(rank))
         .withColumn("ord", row_order(rank, F.col("local_id")))
     )
+    if entity == "projects":
+        rows = rows.where(F.col("ord").isNotNull())  # see rejected_projects
     if entity != "projects":
         # a parent id that cannot belong to any project gives NULL and is dropped as an orphan
         parent = F.col("project_id")
-        in_range = (parent >= 0) & (parent < F.lit(1 << LOCAL_BITS))
+        in_range = (parent >= 0) & (parent < F.lit(LOCAL_IDS))
         high = F.shiftleft(F.lit(rank).cast("bigint"), LOCAL_BITS)
         rows = rows.withColumn("parent_ord", F.when(in_range, high + parent))
     return rows
 
 
+def with_own_places(projects: DataFrame, staging: StagingArea) -> DataFrame:
+    """``projects`` with an ``ord`` of its own for every row, also where a source repeats an id.
+
+    The first row of an id, by a hash of its values, keeps the place and with it the children;
+    the others come after all ids of their source. Only ids are read to find repeated ones.
+    """
+    repeated = projects.groupBy("ord").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("ord")
+    repeated, seen = staging.write(repeated, "repeated", n=F.count(F.lit(1)))
+    if not seen["n"]:
+        return projects
+    values = [c for c in projects.columns if c != "ord"]
+    turn = F.row_number().over(Window.partitionBy("ord").orderBy(F.xxhash64(*values)))
+    spare = (
+        F.shiftleft(F.col("source_rank").cast("bigint"), LOCAL_BITS)
+        + F.lit(LOCAL_IDS) + F.pmod(F.xxhash64("ord", "_turn"), F.lit(LOCAL_IDS))
+    )
+    again = projects.join(repeated, "ord").withColumn("_turn", turn).withColumn("ord", F.when(F.col("_turn") > 1, spare).otherwise(F.col("ord")))
+    again, _ = staging.write(again.select(*projects.columns), "again")
+    return projects.join(repeated, "ord", "left_anti").select(*projects.columns).union(again)
+
+
 def harmonise(sources: list[Source]) -> dict[str, DataFrame]:
-    """Bag union of every source, per entity, in the canonical schema."""
+    """Bag union of every source, per entity, in the canonical schema, and ``rejects``."""
     parts: dict[str, list[DataFrame]] = {e: [] for e in ENTITIES}
     for rank, source in ranked(sources):
         for entity in ENTITIES:
             rows = harmonise_entity(source, rank, entity)
             if rows is not None:
                 parts[entity].append(rows)
+    parts["rejects"] = [r for r in map(rejected_projects, sources) if r is not None]
     return {e: reduce(DataFrame.unionByName, dfs) for e, dfs in parts.items() if dfs}

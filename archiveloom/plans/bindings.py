@@ -132,7 +132,7 @@ def harvested(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with the URL of the page of the same number, where there is one."""
     pages = table(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), "url")
     doc = F.col("doc_id")
-    text_id = F.substring(F.md5("text"), 1, 12)
+    text_id = F.md5("text")
     return (
         table(spark, sf, "documents")
         .join(pages, "doc_id", "left")
@@ -219,7 +219,7 @@ def _field(name: str, value: Column) -> Column:
 def landed_dataverse(spark: SparkSession, sf: str) -> DataFrame:
     """One landed record per document; every tenth is cut off and every tenth lacks its description."""
     doc = F.col("doc_id")
-    key = F.substring(F.md5("text"), 1, 8)
+    key = F.md5("text")
     item = F.struct(
         F.concat(F.lit("doi:10.5072/FK2/"), key).alias("global_id"),
         title_line().alias("name"),

@@ -161,7 +161,7 @@ CTES: dict[str, str] = {
               ]) AS u FROM wide_types)""",
     "harvested": f"""
         SELECT d.doc_id, d.lang, d.text, p.url, CAST(substr(d.source, 4) AS BIGINT) + 1 AS repository_id,
-               CASE WHEN d.doc_id % 5 <> 0 THEN '10.5072/' || substr(md5(d.text), 1, 12) END AS doi,
+               CASE WHEN d.doc_id % 5 <> 0 THEN '10.5072/' || md5(d.text) END AS doi,
                split_part(d.text, chr(10), 1) AS title,
                {_pick('d.doc_id % 6', ('API', 'api', 'SCRAPING', 'API-CALL', 'x', None))} AS method,
                CASE WHEN d.doc_id % 11 <> 0 THEN '2024-05-01T00:00:00' END AS download_date
@@ -209,7 +209,7 @@ CTES: dict[str, str] = {
         WHERE length(word) >= 2 AND word NOT IN ({_list(STOP_WORDS)}) GROUP BY ALL""",
     "used": "SELECT d.idx, d.section, d.text, count(o_orderkey) AS n FROM divisions d LEFT JOIN orders ON o_custkey % 87 = d.idx GROUP BY ALL",
     "landed": """
-        SELECT doc_id AS record_id, *, substr(md5(text), 1, 8) AS key, regexp_split_to_array(text, '\\s+') AS words,
+        SELECT doc_id AS record_id, *, md5(text) AS key, regexp_split_to_array(text, '\\s+') AS words,
                (doc_id % 5 + 1) || '.' || (doc_id % 3) AS version
         FROM documents WHERE doc_id % 10 NOT IN (3, 5)""",
     "detected": "",

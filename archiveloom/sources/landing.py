@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from archiveloom.functions.files import safe_file_name, type_of_label
 from archiveloom.functions.text import blank_to_null
-from archiveloom.operators.clean import fetch_status
+from archiveloom.operators.clean import drop_ignored_types, fetch_status
 from archiveloom.operators.harmonise import Source
 from archiveloom.operators.keywords import ingest_keywords
 from archiveloom.operators.language import detect_language, language_or_detected
@@ -58,9 +58,10 @@ def split_failures(
     """(good records with ``doc``, failures with ``reason``).
 
     ``required`` maps a field to the SQL path that must be filled. One bad record never
-    stops the others. With a staging area the JSON is parsed once, into a columnar table all
-    entities are then read from.
+    stops the others. The JSON is parsed once, into a staged columnar table that all entities
+    are then read from.
     """
+    staging = staging or StagingArea(landed.sparkSession, "landed")
     parsed = landed.withColumn(
         "doc",
         F.from_json(
@@ -72,9 +73,7 @@ def split_failures(
     )
     for name, path in required.items():
         reason = reason.when(F.expr(f"doc.{path}").isNull(), F.lit(f"missing {name}"))
-    judged = parsed.withColumn("reason", reason).drop(json)
-    if staging:
-        judged, _ = staging.write(judged, "parsed")
+    judged, _ = staging.write(parsed.withColumn("reason", reason).drop(json), "parsed")
     good = judged.where(F.col("reason").isNull()).drop("reason")
     return good, judged.where(F.col("reason").isNotNull()).select("record_id", "reason")
 
@@ -193,7 +192,7 @@ NADA_SCHEMA = (
     "scraped_files_list array<struct<download_url: string, name: string>>"
 )
 NADA_REQUIRED = {
-    "title": "study_desc.title_statement.title", "description": "study_desc.study_info.abstract"
+    "id": "id", "title": "study_desc.title_statement.title", "description": "study_desc.study_info.abstract"
 }
 NADA_REPOSITORY_ID = 9
 
@@ -209,7 +208,8 @@ def doi_in_citation(text: Column) -> Column:
 
 
 def nada_projects(docs: DataFrame, site: str) -> DataFrame:
-    version = version_number(F.col("doc.doc_desc.version_statement.version")).cast("string")
+    number = version_number(F.col("doc.doc_desc.version_statement.version"))
+    version = number.cast("string")
     study = "doc.study_desc"
     folder = F.coalesce(blank_to_null(f"{study}.title_statement.idno"), F.col("doc.id"))
     return docs.select(
@@ -226,7 +226,8 @@ def nada_projects(docs: DataFrame, site: str) -> DataFrame:
         F.col("doc.doc_desc.prod_date").alias("upload_date"),
         F.lit("ihsn").alias("download_repository_folder"),
         F.replace(folder, F.lit("/"), F.lit("_")).alias("download_project_folder"),
-        F.concat(F.lit("v"), version).alias("download_version_folder"),
+        # version 0 stands for none
+        F.when(number != 0, F.concat(F.lit("v"), version)).alias("download_version_folder"),
         F.lit("API-CALL").alias("download_method"),
     )
 
@@ -278,11 +279,19 @@ def parse_nada(
 SHAPES = {"dataverse": parse_dataverse, "nada": parse_nada}
 
 
-def parse_landed(landed: DataFrame, shape: str, base_url: str) -> dict[str, DataFrame]:
-    """Entities and failures of landed records of a known shape, the JSON parsed once."""
+def parse_landed(
+    landed: DataFrame, shape: str, base_url: str, fetch_log: DataFrame | None = None, keep_ignored: bool = False
+) -> dict[str, DataFrame]:
+    """Entities and failures of landed records of a known shape, the JSON parsed once.
+
+    Files of ignored types are left out, and files have the status of ``fetch_log`` (see
+    :func:`with_fetch_log`) where it knows them.
+    """
     if shape not in SHAPES:
         raise ValueError(f"shape {shape!r}: expected one of {sorted(SHAPES)}")
-    return SHAPES[shape](landed, base_url, StagingArea(landed.sparkSession, f"landed-{shape}"))
+    parsed = SHAPES[shape](landed, base_url, StagingArea(landed.sparkSession, f"landed-{shape}"))
+    files = parsed["files"] if keep_ignored else drop_ignored_types(parsed["files"])
+    return parsed | {"files": files if fetch_log is None else with_fetch_log(files, fetch_log)}
 
 
 def with_fetch_log(files: DataFrame, log: DataFrame) -> DataFrame:
@@ -312,8 +321,16 @@ def as_source(name: str, parsed: dict[str, DataFrame]) -> Source:
 # --- incremental ----------------------------------------------------------------------
 
 
+def without_url(incoming: DataFrame, key: str = "record_id") -> DataFrame:
+    """(key, reason) of incoming projects that no URL tells apart."""
+    return incoming.where(F.col("project_url").isNull()).select(key, F.lit("missing project_url").alias("reason"))
+
+
 def new_projects(incoming: DataFrame, known: DataFrame, order: str = "ord") -> DataFrame:
-    """Incoming projects whose exact URL is not known yet, each URL once (the first one)."""
+    """Incoming projects whose exact URL is not known yet, each URL once (the first one).
+
+    Projects without a URL are none of them; :func:`without_url` lists those.
+    """
     firsts = (
         incoming.groupBy("project_url")
         .agg(F.min(order).alias(order))

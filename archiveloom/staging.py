@@ -9,11 +9,48 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Column
 
 _SETTING = "spark.checkpoint.dir"
+# Spark removes the shuffle files of a query at its end, not when the driver collects garbage
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# areas to release at the end of each enclosing released() block
+_open: ContextVar[tuple[list, ...]] = ContextVar("open", default=())
+
+
+@contextmanager
+def released() -> Iterator[None]:
+    """Remove all tables staged inside the block when it ends.
+
+    Results are lazy and read staged tables, so write what is wanted inside the block.
+    """
+    areas: list[StagingArea] = []
+    token = _open.set((*_open.get(), areas))
+    try:
+        yield
+    finally:
+        _open.reset(token)
+        for area in areas:
+            area.release()
+
+
+@contextmanager
+def _without_leftovers(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside leaves no shuffle files behind: the staged table replaces them."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -36,6 +73,13 @@ class StagingArea:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{staging_root(spark)}/archiveloom/{name}-{uuid.uuid4().hex}"
+        for areas in _open.get():
+            areas.append(self)
+
+    def release(self) -> None:
+        """Remove the area's tables; results that were read from them must be written first."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def write(self, df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
         """Write ``df`` and read it back, with metrics gathered by the same job."""
@@ -45,7 +89,8 @@ class StagingArea:
             watch = Observation(f"{name}-{uuid.uuid4().hex}")
             df = df.observe(watch, *[c.alias(k) for k, c in metrics.items()])
         schema = df.schema
-        df.write.mode("overwrite").parquet(path)
+        with _without_leftovers(self.spark):
+            df.write.mode("overwrite").parquet(path)
         if metrics:
             values = watch.get
         return self.spark.read.schema(schema).parquet(path), values

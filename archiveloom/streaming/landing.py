@@ -1,8 +1,8 @@
 """Landed records as they arrive.
 
 There are no windows and no state: a record is new when its project URL is not in the
-archive yet. Each micro-batch is parsed, compared with what is stored and appended, projects
-and children alike.
+archive yet. Each micro-batch is parsed, compared with what is stored and appended, projects,
+children and failures alike.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from archiveloom.schema import ENTITIES
-from archiveloom.sources.landing import new_projects
+from archiveloom.sources.landing import new_projects, without_url
+from archiveloom.staging import released
 
 LANDED_SCHEMA = "record_id bigint, json string"
 
@@ -32,15 +33,18 @@ def append_batch(landed: DataFrame, parse: Parser, path: str, batch_id: int) ->
     Only earlier batches count as stored and the batch's own folders are overwritten, so a
     batch that is run again after a failure leaves the same tables.
     """
-    parsed = parse(landed)
-    projects = parsed["projects"].withColumn("ord", F.col("record_id"))
-    stored = landed.sparkSession.read.schema(f"{_ddl(projects)}, batch int").parquet(f"{path}/projects")
-    fresh = new_projects(projects, stored.where(F.col("batch") < batch_id))
-    fresh.write.mode("overwrite").parquet(f"{path}/projects/batch={batch_id}")
-    added = landed.sparkSession.read.schema(_ddl(projects)).parquet(f"{path}/projects/batch={batch_id}")
-    for entity in ENTITIES[1:]:
-        children = parsed[entity].join(added.select("record_id"), "record_id", "left_semi")
-        children.write.mode("overwrite").parquet(f"{path}/{entity}/batch={batch_id}")
+    with released():  # the batch's staged tables go with it
+        parsed = parse(landed)
+        projects = parsed["projects"].withColumn("ord", F.col("record_id"))
+        stored = landed.sparkSession.read.schema(f"{_ddl(projects)}, batch int").parquet(f"{path}/projects")
+        fresh = new_projects(projects, stored.where(F.col("batch") < batch_id))
+        fresh.write.mode("overwrite").parquet(f"{path}/projects/batch={batch_id}")
+        added = landed.sparkSession.read.schema(_ddl(projects)).parquet(f"{path}/projects/batch={batch_id}")
+        for entity in ENTITIES[1:]:
+            children = parsed[entity].join(added.select("record_id"), "record_id", "left_semi")
+            children.write.mode("overwrite").parquet(f"{path}/{entity}/batch={batch_id}")
+        failures = parsed["failures"].unionByName(without_url(projects))
+        failures.write.mode("overwrite").parquet(f"{path}/failures/batch={batch_id}")
 
 
 def _ddl(df: DataFrame) -> str:
@@ -49,9 +53,10 @@ def _ddl(df: DataFrame) -> str:
 
 def append_new(landed: DataFrame, parse: Parser, path: str) -> DataStreamWriter:
     """A writer that adds the unknown projects of each micro-batch to ``path``."""
-    nothing = parse(landed.sparkSession.createDataFrame([], LANDED_SCHEMA))["projects"]
-    # an empty batch makes the table exist before the first one is compared with it
-    nothing.withColumn("ord", F.col("record_id")).write.mode("ignore").parquet(f"{path}/projects/batch=-1")
+    with released():
+        nothing = parse(landed.sparkSession.createDataFrame([], LANDED_SCHEMA))["projects"]
+        # an empty batch makes the table exist before the first one is compared with it
+        nothing.withColumn("ord", F.col("record_id")).write.mode("ignore").parquet(f"{path}/projects/batch=-1")
     return landed.writeStream.foreachBatch(
         lambda batch, batch_id: append_batch(batch, parse, path, batch_id)
     )

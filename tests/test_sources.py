@@ -1,13 +1,16 @@
 import json
+import os
 
 import pytest
 
+from archiveloom import dimensions as dim
 from archiveloom.operators import harmonise as hz
 from archiveloom.plans.archive import merge_sources, rebuild
 from archiveloom.sources import landing as ld
 from archiveloom.sources.catalogues import from_databases, from_paths
 from archiveloom.sources.links import harvest_links
 from archiveloom.sources.worklist import Repository, first_hits, worklist
+from archiveloom.staging import StagingArea, released
 from archiveloom.streaming.landing import append_batch, append_new, landed_stream
 from conftest import rows
 
@@ -37,10 +40,20 @@ def test_repository_id_text_is_cast_or_null(spark):
     assert rows(got.select("local_id", "repository_id")) == [(1, 7), (2, None)]
 
 
-def test_local_ids_out_of_range_are_refused(spark):
-    df = spark.createDataFrame([(-1,)], "id long")
-    with pytest.raises(Exception, match="out of range"):
-        hz.harmonise([hz.Source("s", {"projects": df})])["projects"].collect()
+def test_bad_ids_are_set_aside(spark):
+    """Text, missing, negative and repeated ids stop nothing and are listed."""
+    good = spark.createDataFrame([("1", "One"), ("x9", "Text"), (None, "None"), ("-4", "Minus"), ("1", "Again")], "ID string, title string")
+    kids = spark.createDataFrame([("a", "1", "k1"), (None, "1", "k2"), (None, "1", "k2"), ("-1", "x9", "lost")], "id string, project_id string, keyword string")
+    archive = merge_sources([hz.Source("s", {"projects": good, "keywords": kids})])
+    assert rows(archive.extras["rejects"]) == [
+        ("s", "-4", "id out of range"), ("s", "x9", "id is no whole number"), ("s", None, "no id"),
+    ]
+    assert rows(archive.projects.select("title")) == [("Again",), ("One",)]  # each row of an id counts
+    assert rows(archive.extras["stats"].select("records", "clusters")) == [(2, 2)]
+    assert rows(archive.keywords.select("keyword")) == [("k1",), ("k2",)]
+    # ids of children that have none do not depend on how the input is split
+    ids = lambda n: rows(hz.harmonise([hz.Source("s", {"projects": good, "keywords": kids.repartition(n)})])["keywords"].select("keyword", "ord"))
+    assert ids(1) == ids(5)
 
 
 def test_merge_sources_end_to_end(spark):
@@ -218,7 +231,7 @@ def test_links(spark):
     got = rows(harvest_links(pages, "https://site"))
     assert got == [
         (1, "http://other/download/2", "Two\n words"),
-        (1, "https://site/catalog/1/download/7", ""),
+        (1, "https://site/catalog/1/download/7", "7"),
         (1, "https://site/catalog/1/download/9", "Data & more"),
         (1, "https://site/download/bare", 'it is "so"'),
         (1, "https://site/download/it's", "open one"),
@@ -271,3 +284,48 @@ def test_landed_stream_appends_each_project_once(spark, tmp_path):
         (1, "https://doi.org/10.7/a"), (2, "https://doi.org/10.7/b"), (11, "https://doi.org/10.7/c")]
     assert rows(spark.read.parquet(f"{stored}/person_role").select("record_id", "name")) == [
         (n, name) for n in (1, 2, 11) for name in ("Ann", "Dee")]
+
+
+def test_links_are_read_as_a_parser_does(spark):
+    pages = spark.createDataFrame(
+        [
+            (1, '<a title="a > b" href="/download/2">x</a>'), (2, "<a href='/download/3'>R&eacute;sum&#233; &#x41;&amp;lt; &nope; &#0;</a>"),
+            (3, '<a href=/download/4></a><a data-x="\'>" href="/download/5">two</a>'), (4, '<a href="/download/6" title="it\'s">one <b title=">">bold</b></a>'),
+            (5, None), (6, ""), (7, '<a href="/download/7">open<a href="/download/8">next'),
+        ],
+        "page_id int, html string",
+    )
+    assert rows(harvest_links(pages, "s")) == [
+        (1, "s/download/2", "a > b"), (2, "s/download/3", "Résumé A&lt; &nope; \ufffd"), (3, "s/download/4", "4"), (3, "s/download/5", "two"),
+        (4, "s/download/6", "it's"), (7, "s/download/7", "open"), (7, "s/download/8", "next"),
+    ]
+
+
+def test_each_record_is_parsed_once_and_edges_of_nada(spark):
+    import archiveloom as al
+
+    study = lambda version, **more: json.dumps({
+        "query": "q", "doc_desc": {"version_statement": {"version": version}},
+        "study_desc": {"title_statement": {"idno": "A/1", "title": "t"}, "study_info": {"abstract": "the and of"}}, **more,
+    })
+    links = [{"download_url": "u/1", "name": "a.pdf"}, {"download_url": "u/2", "name": "film.mp4"}]
+    landed = spark.createDataFrame(
+        [(1, study("version 0", id="9", scraped_files_list=links)), (2, study("version 2")), (3, study("v3", id="7"))], "record_id long, json string"
+    )
+    log = spark.createDataFrame([(1, "u/1", 403)], "record_id long, file_ref string, http_status int")
+    with released():
+        out = al.parse_landed(landed, "nada", "https://site", fetch_log=log)
+        assert "from_json" not in out["projects"]._jdf.queryExecution().optimizedPlan().toString()
+        assert rows(out["projects"].select("record_id", "version", "download_version_folder")) == [(1, "0.0", None), (3, "3.0", "v3.0")]
+        assert rows(out["failures"]) == [(2, "missing id")]
+        assert rows(out["files"].select("file_ref", "status")) == [("u/1", "FAILED_LOGIN_REQUIRED")]
+        staged = StagingArea(spark, "x").path.rsplit("/", 1)[0]
+        assert any(f.startswith("landed-nada") for f in os.listdir(staged.removeprefix("file://")))
+    assert not any(f.startswith("landed-nada") for f in os.listdir(staged.removeprefix("file://")))
+    no_url = spark.createDataFrame([(1, 1, None), (2, 2, "u")], "record_id long, ord long, project_url string")
+    assert rows(ld.without_url(no_url)) == [(1, "missing project_url")]
+
+
+def test_worklist_of_the_acquisition_terms(spark):
+    asked = worklist(dim.query_terms_table(spark).toDF("term"), [Repository("a", "http://a", "t"), Repository("b", None, "t")])
+    assert asked.count() == len(dim.QUERY_TERMS) and {r.repository for r in asked.collect()} == {"a"}
