@@ -39,7 +39,7 @@ MINIMIZER = 4  # words of the shingle that chooses a window's bucket
 HASH_BYTES = 7
 LAST_ID = np.iinfo(np.int64).max
 
-_PIECES = "id long, key long, pos int, length int, source_id long, source_key long, source_pos int"
+_PIECES = "id long, key int, pos int, length int, source_id long, source_key int, source_pos int"
 _SENT = "bucket int, hashes binary, run_doc binary, run_pos binary, run_length binary, ids binary, keys binary, pieces binary"
 
 
@@ -60,7 +60,7 @@ def _pieces(id_, key, pos, source_id, source_key, source_pos) -> np.ndarray:
     return np.stack([take(id_), take(key), take(pos), pk.run_lengths(starts, len(pos)), take(source_id), take(source_key), take(source_pos)])
 
 
-def _sender(k: int, bits: int):
+def _sender(k: int, bits: int, hash_bytes: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in pk.blocks(batches, "text"):
             order = np.argsort(table["id"].to_numpy(), kind="stable")
@@ -96,7 +96,7 @@ def _sender(k: int, bits: int):
                 docs, run_doc = np.unique(doc[mine[starts]], return_inverse=True)
                 rows.append({
                     "bucket": b,
-                    "hashes": pk.low_bytes(hashes[mine], HASH_BYTES),
+                    "hashes": pk.low_bytes(hashes[mine], hash_bytes),
                     "run_doc": run_doc.astype(np.int32).tobytes(),
                     "run_pos": pos[mine[starts]].tobytes(),
                     "run_length": pk.run_lengths(starts, len(mine)).astype(np.int32).tobytes(),
@@ -113,46 +113,50 @@ _SENT_ARROW = pa.schema([("bucket", pa.int32())] + [(n, pa.binary()) for n in ("
 _PIECE_NAMES = [c.split()[0] for c in _PIECES.split(", ")]
 
 
-def _meet(table: pa.Table) -> pa.Table:
-    """One bucket: path pieces of its repeated edges, besides those settled by the senders."""
-    hashes, id_, key, pos, found = [], [], [], [], []
-    for row in table.to_pylist():
-        lengths = np.frombuffer(row["run_length"], np.int32)
-        doc = np.repeat(np.frombuffer(row["run_doc"], np.int32), lengths)
-        hashes.append(pk.from_low_bytes(row["hashes"], HASH_BYTES))
-        id_.append(np.frombuffer(row["ids"], np.int64)[doc])
-        key.append(np.frombuffer(row["keys"], np.int64)[doc])
-        pos.append(pk.expand(np.frombuffer(row["run_pos"], np.int32), lengths))
-        found.append(np.frombuffer(row["pieces"], np.int64).reshape(7, -1))
-    hashes, id_, key, pos = map(np.concatenate, (hashes, id_, key, pos))
-    order = np.argsort(hashes, kind="stable")
-    same = hashes[order[1:]] == hashes[order[:-1]]
-    repeated = order[np.append(same, False) | np.insert(same, 0, False)] if len(order) else order
-    # by edge, then id: the first of each edge is its source
-    order = repeated[np.lexsort((key[repeated], id_[repeated], hashes[repeated]))]
-    starts = pk.runs((hashes[order], 0)) if len(order) else order
-    source = np.repeat(order[starts], pk.run_lengths(starts, len(order))) if len(order) else order
-    later = id_[order] > id_[source]
-    order, source = order[later], source[later]
-    by_place = np.lexsort((pos[order], key[order], id_[order]))
-    order, source = order[by_place], source[by_place]
-    if len(order):
-        found.append(_pieces(id_[order], key[order], pos[order], id_[source], key[source], pos[source]))
-    found = np.concatenate(found, axis=1)
-    return pa.table(dict(zip(_PIECE_NAMES, [found[i].astype(np.int32) if n in ("pos", "length", "source_pos") else found[i] for i, n in enumerate(_PIECE_NAMES)])))
+def _meeter(hash_bytes: int):
+    def meet(table: pa.Table) -> pa.Table:
+        """One bucket: path pieces of its repeated edges, besides those settled by the senders."""
+        hashes, id_, key, pos, found = [], [], [], [], []
+        for row in table.to_pylist():
+            lengths = np.frombuffer(row["run_length"], np.int32)
+            doc = np.repeat(np.frombuffer(row["run_doc"], np.int32), lengths)
+            hashes.append(pk.from_low_bytes(row["hashes"], hash_bytes))
+            id_.append(np.frombuffer(row["ids"], np.int64)[doc])
+            key.append(np.frombuffer(row["keys"], np.int32)[doc])
+            pos.append(pk.expand(np.frombuffer(row["run_pos"], np.int32), lengths))
+            found.append(np.frombuffer(row["pieces"], np.int64).reshape(7, -1))
+        hashes, id_, key, pos = map(np.concatenate, (hashes, id_, key, pos))
+        order = np.argsort(hashes, kind="stable")
+        same = hashes[order[1:]] == hashes[order[:-1]]
+        repeated = order[np.append(same, False) | np.insert(same, 0, False)] if len(order) else order
+        # by edge, then id: the first of each edge is its source
+        order = repeated[np.lexsort((key[repeated], id_[repeated], hashes[repeated]))]
+        starts = pk.runs((hashes[order], 0)) if len(order) else order
+        source = np.repeat(order[starts], pk.run_lengths(starts, len(order))) if len(order) else order
+        later = id_[order] > id_[source]
+        order, source = order[later], source[later]
+        by_place = np.lexsort((pos[order], key[order], id_[order]))
+        order, source = order[by_place], source[by_place]
+        if len(order):
+            found.append(_pieces(id_[order], key[order], pos[order], id_[source], key[source], pos[source]))
+        found = np.concatenate(found, axis=1)
+        return pa.table(dict(zip(_PIECE_NAMES, [found[i] if n in ("id", "source_id") else found[i].astype(np.int32) for i, n in enumerate(_PIECE_NAMES)])))
+
+    return meet
 
 
 def keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
     """(id, key, text): key tells rows of one id with different texts apart."""
     id_ = F.coalesce(F.col(id).cast("long"), F.lit(int(LAST_ID)))
-    return docs.select(id_.alias("id"), F.xxhash64(id_, F.col(text)).alias("key"), F.col(text).alias("text"))
+    return docs.select(id_.alias("id"), F.hash(F.col(text)).alias("key"), F.col(text).alias("text"))
 
 
 def path_pieces(rows: DataFrame, k: int) -> DataFrame:
     """``_PIECES`` of all documents, compacted within buckets."""
+    pk.small_batches(rows.sparkSession)
     bits = pk.bucket_bits(rows)
-    sent = rows.mapInArrow(_sender(k, bits), _SENT)
-    return sent.groupBy("bucket").applyInArrow(_meet, _PIECES)
+    sent = rows.mapInArrow(_sender(k, bits, HASH_BYTES), _SENT)
+    return sent.groupBy("bucket").applyInArrow(_meeter(HASH_BYTES), _PIECES)
 
 
 def joined_paths(pieces: DataFrame) -> DataFrame:
@@ -206,12 +210,12 @@ def _applier(k: int):
     return apply
 
 
-_DIGEST = [("id", pa.int64()), ("key", pa.int64()), ("pos", pa.int32()), ("length", pa.int32()), ("digest", pa.binary())]
+_DIGEST = [("id", pa.int64()), ("key", pa.int32()), ("pos", pa.int32()), ("length", pa.int32()), ("digest", pa.binary())]
 _APPLIED_ARROW = pa.schema([
     ("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
     ("digests", pa.list_(pa.struct(_DIGEST))),
 ])
-_APPLIED = "id long, n_words long, n_removed long, kept_sha256 string, digests array<struct<id:long,key:long,pos:int,length:int,digest:binary>>"
+_APPLIED = "id long, n_words long, n_removed long, kept_sha256 string, digests array<struct<id:long,key:int,pos:int,length:int,digest:binary>>"
 
 
 def with_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:

@@ -143,6 +143,7 @@ def matched(docs: DataFrame, tests: DataFrame, k: int = 10, keep: list[str] | No
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
+    pk.small_batches(spark)
     keep = [c for c in (keep or docs.columns) if c not in ("n_words", "matches")]
     items = tests.select(F.coalesce(F.col(id).cast("string"), F.lit("")).alias("name"), F.coalesce(test_text, F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0

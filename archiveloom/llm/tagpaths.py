@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from archiveloom.llm import packing as pk
+
 # Element names of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template".split())
@@ -219,6 +221,7 @@ def extracted(pages: DataFrame, keep: list[str] | None = None, page: str = "html
     from pyspark.sql.pandas.types import to_arrow_schema
 
     keep = [c for c in (keep or pages.columns) if c not in ("text", "n_chars")]
+    pk.small_batches(pages.sparkSession)
     rows = pages.select(*dict.fromkeys([*keep, page]))
     out = T.StructType([*(rows.schema[c] for c in keep), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
     schema = to_arrow_schema(out)
