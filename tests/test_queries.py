@@ -10,9 +10,10 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 import __spark_entry__ as contract
 import compare
+from archiveloom.plans import oracle, registered
 from conftest import SF_SMALL
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = registered.QUERIES, oracle.all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,8 +21,22 @@ def db():
     return compare.connect(SF_SMALL)
 
 
-def test_every_sql_has_its_query():
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_its_sql():
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
+
+
+def test_records_are_parsed_once(spark):
+    for name in QUERIES:
+        if name.startswith("parse_"):
+            plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("_corrupt") == 0, name  # the record's parse is behind the staged table
+
+
+def test_facts_are_scanned_once(spark):
+    plan = lambda name: QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan("file_candidates").count("l_orderkey#") > 0
+    assert sum("FileScan" in line and "l_orderkey" in line for line in plan("file_candidates").split("\n")) == 1
 
 
 def test_entry(spark):

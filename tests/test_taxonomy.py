@@ -1,9 +1,9 @@
+import hashlib
 import math
 import re
 
 import numpy as np
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 from archiveloom import dimensions as dim
@@ -21,8 +21,7 @@ def split_words(text):
 def bag(text, dimensions=vec.DIMENSIONS):
     out = np.zeros(dimensions)
     for w in split_words(text):
-        signed = np.uint64(xxhash.xxh64_intdigest(w.encode(), seed=42)).astype(np.int64)
-        out[int(signed) % dimensions] += 1
+        out[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dimensions] += 1
     return out
 
 
@@ -65,6 +64,7 @@ def test_nearest_two_against_brute_force(spark, monkeypatch):
     data = [(i, q.tolist()) for i, q in enumerate(queries)] + [(99, None)]
     df = spark.createDataFrame(data, "i long, v array<double>")
     want = {i: brute_two(q, refs) for i, q in enumerate(queries)}
+    monkeypatch.setattr(vec, "BLOCKS_PER_PLAN", 2)  # several blocks, staged now and then
     for block in (4096, 5):
         monkeypatch.setattr(vec, "REFERENCE_BLOCK", block)
         got = {r.i: [r["first"], r["second"]] for r in vec.nearest_two(df, "v", ref_df).collect()}
@@ -73,6 +73,19 @@ def test_nearest_two_against_brute_force(spark, monkeypatch):
     assert want[40] == [4, 9] and want[41] == [0, 1]
 
 
+def test_nearest_two_by_the_references_own_idx(spark, monkeypatch):
+    refs = spark.createDataFrame([(0, [1.0, 0.0]), (7, [0.0, 1.0]), (5000, [1.0, 1.0]), (None, [9.0, 1.0])], "idx long, vector array<double>")
+    df = spark.createDataFrame([(1, [0.1, 2.0]), (2, [2.0, 2.0])], "i long, v array<double>")
+    for block in (4096, 2, 1):
+        monkeypatch.setattr(vec, "REFERENCE_BLOCK", block)
+        got = {r.i: [r["first"], r["second"]] for r in vec.nearest_two(df, "v", refs).collect()}
+        assert got == {1: [7, 5000], 2: [5000, 0]}
+    with pytest.raises(ValueError):
+        vec.nearest_two(df, "v", refs.union(refs))
+    none = vec.nearest_two(df, "v", refs.where("idx > 9000")).collect()
+    assert [(r["first"], r["second_score"]) for r in none] == [(None, None)] * 2
+
+
 def test_corpus_and_labels(spark):
     first = corpus(spark).where("idx = 0").first()
     assert first.label == "A01 - 01 - Crop and animal production, hunting and related service activities"
@@ -110,11 +123,18 @@ def test_project_text_and_classes(spark, monkeypatch):
     texts = {r.project_id: r.text for r in tax.project_text(fragments).collect()}
     assert texts[1] == "coal mining Coal lignite coal_and_lignite.pdf x1.pdf Thumbs.db"
     assert texts[2] == "school_education.mp3 a.csv"
-    # a project of more fragments than a part holds stays in parts, in order
-    monkeypatch.setattr(tax, "PART_ROWS", 3)
-    parts = rows(tax.project_text(fragments).where("project_id = 1").select("part", "text"))
-    assert len(parts) > 1
-    assert " ".join(p[1] for p in parts) == texts[1]
+    # the ranges that are put in order first do not show
+    for ids in (1, 2, 3):
+        monkeypatch.setattr(tax, "RANGE_IDS", ids)
+        assert {r.project_id: r.text for r in tax.project_text(fragments).collect()} == texts
+    assert tax.project_text(fragments).columns == ["project_id", "text"]
+
+
+def test_a_project_of_many_fragments_is_one_text(spark):
+    n = 70_000
+    files = spark.range(n).select(F.lit(1).cast("long").alias("project_id"), F.lit(4).alias("kind"), F.col("id").alias("seq"), F.concat(F.lit("f"), "id").alias("text"))
+    (got,) = tax.project_text(files.repartition(7)).collect()
+    assert got.text == " ".join(f"f{i}" for i in range(n))
 
 
 def test_classify_projects_and_files(spark):
@@ -178,11 +198,15 @@ def test_language_accuracy_on_the_documents(spark):
     assert right / sum(r.n for r in table) > 0.9
 
 
-def test_nearest_words(spark):
+def test_nearest_tags(spark):
     texts = ["coal coal mine the the the", "a an", "zeta alpha", ""]
-    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").withColumn("v", vec.hashed_embedder()(F.col("t")))
-    got = [r[0] for r in df.orderBy("i").select(kw.nearest_words(F.col("t"), F.col("v"))).collect()]
-    assert got == [["coal", "mine"], [], ["alpha", "zeta"], []]
+    fragments = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    tags = lambda embedder, vectors: {r.k: r.tags for r in kw.tag_arrays(kw.nearest_tags(fragments, "k", vectors, embedder), "k").collect()}
+    want = {0: ["coal", "mine"], 2: ["alpha", "zeta"]}
+    assert tags(None, vec.sum_vectors(fragments, "k")) == want
+    # the general way gives the same with the same embedder
+    embedder = vec.hashed_embedder()
+    assert tags(embedder, fragments.select("k", embedder(F.col("text")).alias("vector"))) == want
 
 
 def test_extensions_from_json(spark, tmp_path):
@@ -199,16 +223,22 @@ def test_projects_get_tags(spark):
 
 
 def test_another_embedder(spark, monkeypatch):
-    """Any text-to-vector expression can stand in for the bag of words."""
-    letters = lambda text: F.array(*[F.regexp_count(F.lower(text), F.lit(c)).cast("double") for c in "acdeilmnorst"])
-    count = lambda text: np.array([float(text.lower().count(c)) for c in "acdeilmnorst"])
+    """Any text-to-vector expression can stand in for the bag of words, linear or not."""
+    alphabet = "acdeilmnorst"
+    # the square of the share of each letter: the vector of a whole is no sum over its parts
+    letters = lambda text: F.array(*[F.pow(F.regexp_count(F.lower(text), F.lit(c)) / F.length(text), F.lit(2)) for c in alphabet])
+    count = lambda text: np.array([(text.lower().count(c) / len(text)) ** 2 for c in alphabet])
     projects, keywords, files = project_inputs(spark)
     table = corpus(spark)
     refs = [(r.label, count(r.text)) for r in table.orderBy("idx").collect()]
     whole = "coal mining Coal lignite coal_and_lignite.pdf x1.pdf Thumbs.db"
     want = [refs[i][0] for i in brute_two(count(whole), [v for _, v in refs])]
-    for part_rows in (tax.PART_ROWS, 3):  # in one part, and as the mean of several
-        monkeypatch.setattr(tax, "PART_ROWS", part_rows)
+    cosine = lambda w: float(count(w) @ count(whole) / np.linalg.norm(count(w)) / np.linalg.norm(count(whole)))
+    scores = {w: round(cosine(w), 9) if count(w).any() else 0.0 for w in set(split_words(whole)) - {"and"}}
+    tags = sorted(scores, key=lambda w: (-scores[w], w))[:5]
+    for ids in (tax.RANGE_IDS, 2):
+        monkeypatch.setattr(tax, "RANGE_IDS", ids)
         done, _ = tax.classify(projects, keywords, files, table, "projects", letters)
         got = next(r for r in done.collect() if r.id == 1)
         assert [got.primary_class, got.secondary_class] == want
+        assert got.tags == tags  # by the same embedder
