@@ -34,6 +34,12 @@ def test_native(spark, name):
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
 
 
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_no_pairwise_join(spark, name):
+    plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().toString()
+    assert not any(w in plan for w in ("CartesianProduct", "NestedLoopJoin", "BatchEvalPython"))
+
+
 def test_pipeline(spark, tmp_path):
     docs = queries.table(spark, SF, "documents")
     columns = docs.columns
