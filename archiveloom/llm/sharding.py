@@ -65,9 +65,10 @@ def interleave(df: DataFrame, n_shards: int, seed: int = 8, id: str = "doc_id",
 
 
 def shard_rows(df: DataFrame, n_shards: int, seed: int = 8, id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """``df`` with ``shard`` and ``slot``. Texts are shuffled once, by id.
+    """``df`` with ``shard`` and ``slot``.
 
-    Rows that are equal in id, source and text are told apart by counting them.
+    Rows that are equal in id, source and text are told apart by counting them. Texts are
+    shuffled twice, to count equal rows and to meet their places.
     """
     placed = interleave(df, n_shards, seed, id, source, text).select(
         F.col(id).alias("_id"), F.col(source).alias("_source"), F.col("text_hash").alias("_hash"), "shard", "slot"
