@@ -24,8 +24,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents for work that is heavy per row."""
-    return table(spark, sf, "documents")
+    """Documents for work that is heavy per row, spread over all cores.
+
+    The test table is one file with one row group, which a scan reads in a single task.
+    """
+    docs = table(spark, sf, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
 
 
 def corpus(spark: SparkSession) -> DataFrame:
