@@ -15,6 +15,8 @@ from archiveloom.llm import decontam, jaccard, langid, mixing, sharding
 from archiveloom.llm.queries import MIX_EXPONENT, MIX_SEED, N_SHARDS, table
 from archiveloom.staging import StagingArea
 
+NEAR_WORDS, NEAR_PERCENT = 5, 80  # words of a shingle, and the similarity from which documents link
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; learned from the labelled ones."""
@@ -27,7 +29,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows that share an id are one document, and one of them stays. Texts are shuffled once.
     """
-    groups = jaccard.join(docs.select("doc_id", "text"))
+    groups = jaccard.join(docs.select("doc_id", "text"), k=NEAR_WORDS, percent=NEAR_PERCENT)
     kept = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
     one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text", "source", "lang"))
     stay = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")

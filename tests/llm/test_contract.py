@@ -6,6 +6,7 @@ import sys
 
 import pytest
 from brute import contamination, linked, poisson
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from archiveloom.llm import mixing, queries
@@ -80,6 +81,19 @@ def test_pipeline(spark, tmp_path):
     assert len({(r["shard"], r["slot"]) for r in after}) == len(after)
 
 
+def test_near_duplicates_of_the_pipeline(spark):
+    """Five words and 80 percent: copies that four words and 85 percent let pass, and those given."""
+    words = [f"w{i}" for i in range(600)]
+    rows = [(1, " ".join(words[:500])), (2, " ".join(words)), (3, " ".join(words[:300]))]  # five-word similarity 0.83, 0.597
+    near = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' as lang", "'s' as source", "1L as n_chars")
+    given = queries.table(spark, "/root/testdata/sf0.01", "documents").withColumn("doc_id", F.col("doc_id") + 10)
+    docs = given.unionByName(near)
+    pairs = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    want = {c for _, _, c in linked(pairs, 5, 80)}
+    assert want != {c for _, _, c in linked(pairs)} and {1, 3} <= want and 2 not in want
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()) == sorted(want)
+
+
 def test_pipeline_of_nothing(spark):
     docs = queries.table(spark, SF, "documents").where("false")
     for _, stage in corpus_pipeline.STAGES:
