@@ -47,11 +47,14 @@ _SENT = pa.schema([("bucket", pa.int32()), *_BINARY("hashes", "classes", "sizes"
 _COUNTED = pa.schema([("bucket", pa.int32()), *_BINARY("hashes", "dfs", "classes", "sizes", "counts", "docs")])
 _SENT_DDL = "bucket int, hashes binary, classes binary, sizes binary, counts binary, docs binary"
 _COUNTED_DDL = "bucket int, hashes binary, dfs binary, classes binary, sizes binary, counts binary, docs binary"
-_FOUND_DDL = "id long, class long, check long, n int, tokens array<long>, short array<long>"
-_FOUND = pa.schema([
-    ("id", pa.int64()), ("class", pa.int64()), ("check", pa.int64()), ("n", pa.int32()),
-    ("tokens", pa.list_(pa.int64())), ("short", pa.list_(pa.int64())),
-])
+
+
+def _found(keep: tuple[str, ...]) -> tuple[str, pa.Schema]:
+    """DDL and schema of what a bucket of classes gives: documents with columns ``keep``, and sets."""
+    longs, lists = ["id", *keep, "class", "check"], ["tokens", "short"]
+    ddl = [*(f"`{c}` long" for c in longs), "n int", *(f"{c} array<long>" for c in lists)]
+    fields = [*((c, pa.int64()) for c in longs), ("n", pa.int32()), *((c, pa.list_(pa.int64())) for c in lists)]
+    return ", ".join(ddl), pa.schema(fields)
 
 
 def _rows(bucket: np.ndarray, n_buckets: int, spread: int, docs: bytes, entry_class: np.ndarray, classes: np.ndarray, sizes: np.ndarray, columns: dict) -> list[dict]:
@@ -70,7 +73,7 @@ def _rows(bucket: np.ndarray, n_buckets: int, spread: int, docs: bytes, entry_cl
     return out
 
 
-def _sender(k: int, bits: int, seed: int):
+def _sender(k: int, bits: int, seed: int, keep: tuple[str, ...]):
     keys = wd.mix(np.array([2 * seed + 1, 2 * seed + 2], np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,8 +94,8 @@ def _sender(k: int, bits: int, seed: int):
                 for i in range(2):
                     sums[i, doc[starts]] = np.add.reduceat(wd.mix(hashes * keys[i]), starts)
             sums = wd.mix(sums + sizes.astype(np.uint64)).view(np.int64)
-            ids = table["id"].to_numpy()
-            docs = np.stack([ids, sums[0], sums[1], sizes]).astype(np.int64).tobytes()
+            ids = [table[c].to_numpy() for c in ("id", *keep)]
+            docs = np.stack([*ids, sums[0], sums[1], sizes]).astype(np.int64).tobytes()
             classes, first = np.unique(sums[0], return_index=True)
             sends = np.zeros(table.num_rows, bool)
             sends[first] = True  # one document of each class in the block
@@ -116,7 +119,7 @@ def _unpacked(table: pa.Table, columns: dict) -> tuple[np.ndarray, np.ndarray, n
     return classes, sizes, entry, {n: np.concatenate([read(r[n]) for r in rows]) for n, read in columns.items()}
 
 
-def _counter(bits: int):
+def _counter(bits: int, keep: tuple[str, ...]):
     def count(key: tuple, table: pa.Table) -> pa.Table:
         """One bucket of shingles: those of several classes, with how many, packed by class."""
         bucket = key[0].as_py()
@@ -138,27 +141,29 @@ def _counter(bits: int):
         dfs, entry = df[shared], entry[shared]
         to = (wd.mix(classes.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)[entry]
         pack = {"hashes": lambda m: tokens[m].tobytes(), "dfs": lambda m: dfs[m].astype(np.int32).tobytes()}
-        docs = b"".join(_flat_docs(table))
+        docs = b"".join(_flat_docs(table, 4 + len(keep)))
         return pa.Table.from_pylist(_rows(to, 1 << bits, bucket, docs, entry, classes, sizes, pack), _COUNTED)
 
     return count
 
 
-def _flat_docs(table: pa.Table) -> Iterator[bytes]:
+def _flat_docs(table: pa.Table, width: int) -> Iterator[bytes]:
     """Document rows of all blocks, row by row instead of column by column."""
     for part in table["docs"].to_pylist():
         if part:
-            yield np.ascontiguousarray(np.frombuffer(part, np.int64).reshape(4, -1).T).tobytes()
+            yield np.ascontiguousarray(np.frombuffer(part, np.int64).reshape(width, -1).T).tobytes()
+
 
+def _gatherer(percent: int, keep: tuple[str, ...]):
+    schema = _found(keep)[1]
 
-def _gatherer(percent: int):
     def gather(table: pa.Table) -> pa.Table:
         """One bucket of classes: those that can link, with their shared shingles and short lists."""
-        docs = np.frombuffer(b"".join(d for d in table["docs"].to_pylist() if d), np.int64).reshape(-1, 4)
+        docs = np.frombuffer(b"".join(d for d in table["docs"].to_pylist() if d), np.int64).reshape(-1, 4 + len(keep))
         out = [pa.Table.from_arrays([
-            pa.array(docs[:, 0]), pa.array(docs[:, 1]), pa.array(docs[:, 2]), pa.array(docs[:, 3].astype(np.int32)),
+            *(pa.array(docs[:, i]) for i in range(docs.shape[1] - 1)), pa.array(docs[:, -1].astype(np.int32)),
             pa.nulls(len(docs), pa.list_(pa.int64())), pa.nulls(len(docs), pa.list_(pa.int64())),
-        ], schema=_FOUND)]
+        ], schema=schema)]
         classes, sizes, entry, found = _unpacked(table, {"hashes": lambda b: np.frombuffer(b, np.int64), "dfs": lambda b: np.frombuffer(b, np.int32)})
         order = np.lexsort((found["hashes"], found["dfs"], classes[entry]))
         entry, tokens = entry[order], found["hashes"][order]
@@ -171,7 +176,7 @@ def _gatherer(percent: int):
             own = tokens[starts[i] : starts[i] + lengths[i]]
             short = own[: lengths[i] - least[i] + 1]
             rows.append({"class": int(classes[entry[starts[i]]]), "n": int(n[i]), "tokens": np.sort(own), "short": short})
-        out.append(pa.Table.from_pylist(rows, _FOUND))
+        out.append(pa.Table.from_pylist(rows, schema))
         return pa.concat_tables(out)
 
     return gather
@@ -239,18 +244,20 @@ def merged_pairs(sets: DataFrame, grouped: DataFrame, percent: int) -> DataFrame
     return a.join(b, able).groupBy(F.col("a.class").alias("a"), F.col("b.class").alias("b")).agg(F.count(F.lit(1)).alias("met"))
 
 
-def join(docs: DataFrame, k: int = 4, percent: int = 85, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) of every row."""
+def placed(docs: DataFrame, k: int, percent: int, id: str, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, ..., n, component) of every row: a NULL id as ``LAST_ID``, long columns ``keep`` that
+    are not NULL, the number of shingles, and a number of its own for each component; wordless
+    rows share one."""
     staging = StagingArea(docs.sparkSession, "jaccard")
-    rows = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(int(LAST_ID))).alias("id"), F.col(text).alias("text"))
+    rows = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(int(LAST_ID))).alias("id"), *keep, F.col(text).alias("text"))
     pk.small_batches(docs.sparkSession)
     bits = pk.bucket_bits(rows)
     seed = 0
     while True:
-        sent = rows.mapInArrow(_sender(k, bits, seed), _SENT_DDL)
-        counted = sent.groupBy("bucket").applyInArrow(_counter(bits), _COUNTED_DDL)
-        found, _ = staging.write(counted.groupBy("bucket").applyInArrow(_gatherer(percent), _FOUND_DDL), f"found-{seed}")
-        members, sets = found.where("id is not null").select("id", "class", "check", "n"), found.where("id is null").select("class", "n", "tokens", "short")
+        sent = rows.mapInArrow(_sender(k, bits, seed, keep), _SENT_DDL)
+        counted = sent.groupBy("bucket").applyInArrow(_counter(bits, keep), _COUNTED_DDL)
+        found, _ = staging.write(counted.groupBy("bucket").applyInArrow(_gatherer(percent, keep), _found(keep)[0]), f"found-{seed}")
+        members, sets = found.where("id is not null").select("id", *keep, "class", "check", "n"), found.where("id is null").select("class", "n", "tokens", "short")
         collided = members.groupBy("class").agg((F.min("check") != F.max("check")).alias("differ")).where("differ")
         if collided.isEmpty():
             break
@@ -260,11 +267,16 @@ def join(docs: DataFrame, k: int = 4, percent: int = 85, id: str = "doc_id", tex
     merged = probed(merged_pairs(sets, grouped, percent).select("a", "b"), sets, percent)
     links, _ = staging.write(leading.union(merged), "links")
     linked = components(links, StagingArea(docs.sparkSession, "jaccard-links")).withColumnRenamed("node", "class")
-    placed = members.join(linked, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    smallest = placed.groupBy("component").agg(F.min("id").alias("component_id"))
+    return members.join(linked, "class", "left").withColumn("component", F.coalesce("component", "class"))
+
+
+def join(docs: DataFrame, k: int = 4, percent: int = 85, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id) of every row."""
+    rows = placed(docs, k, percent, id, text)
+    smallest = rows.groupBy("component").agg(F.min("id").alias("component_id"))
     own = lambda c: F.when(F.col(c) == F.lit(int(LAST_ID)), F.lit(None)).otherwise(F.col(c))
     alone = F.col("n") == 0
-    return placed.join(smallest, "component").select(
+    return rows.join(smallest, "component").select(
         own("id").alias(id), F.col("n").cast("long").alias("n_shingles"),
         F.when(alone, own("id")).otherwise(own("component_id")).alias("component_id"),
     )

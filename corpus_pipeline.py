@@ -25,15 +25,23 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones, the one with the smallest id.
+    """One row of each group of linked ones: the one with the smallest id, a NULL id last.
 
-    Rows that share an id are one document, and one of them stays. Texts are shuffled once.
+    A row is known by its id and a 128-bit digest of its text, so rows that share an id, or have
+    none, go only if their texts link. Wordless rows link with nothing and all stay. Rows of one
+    id and text are reduced to one before texts are shuffled, which happens once.
     """
-    groups = jaccard.join(docs.select("doc_id", "text"), k=NEAR_WORDS, percent=NEAR_PERCENT)
-    kept = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text", "source", "lang"))
-    stay = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return stay.withColumn("_n", F.row_number().over(one)).where("_n = 1").select(*docs.columns)
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    id = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(jaccard.LAST_ID)))
+    digests = {"_a": F.xxhash64("text"), "_b": F.xxhash64(F.lit(1), "text")}
+    rows = docs.where(worded).withColumns({"_id": id, **digests})
+    groups = jaccard.placed(rows, NEAR_WORDS, NEAR_PERCENT, "doc_id", "text", tuple(digests))
+    first = groups.groupBy("component").agg(F.min(F.struct(F.col("id").alias("_id"), *digests)).alias("_first"))
+    one = Window.partitionBy("_id", *digests).orderBy(*[c for c in docs.columns if c != "text"])
+    single = rows.withColumn("_n", F.row_number().over(one)).where("_n = 1")
+    # an inner join: a semi join would be moved before the window, and one id's copies into one task
+    stay = single.join(first.select("_first.*"), ["_id", *digests])
+    return stay.select(*docs.columns).unionByName(docs.where(~worded))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

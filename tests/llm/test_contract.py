@@ -9,7 +9,7 @@ from brute import contamination, linked, poisson
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from archiveloom.llm import mixing, queries
+from archiveloom.llm import jaccard, mixing, queries
 
 sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "..", "tools"))
 import compare
@@ -94,6 +94,29 @@ def test_near_duplicates_of_the_pipeline(spark):
     assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()) == sorted(want)
 
 
+def test_rows_without_an_id_of_their_own(spark):
+    """Only rows whose texts link go, whatever ids they share."""
+    text = lambda c, n=40: " ".join(f"{c}{i}" for i in range(n))
+    last = jaccard.LAST_ID
+    rows = [
+        (None, text("a")), (None, text("b")), (None, text("b")), (None, None), (None, " \n"), (None, ""),  # NULL ids
+        (1, text("c")), (1, text("d")), (1, text("c")), (2, text("c") + " x"),  # one id, two texts
+        (3, text("e") + " x"), (4, text("e")), (4, text("f")), (None, text("e")),  # a near copy's id has another text
+        (5, ""), (5, ""), (int(last), text("a") + " x"), (None, text("g")), (6, text("g")),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "'en' as lang", "'s' as source", "1L as n_chars")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs.repartition(4), SF)
+    assert out.columns == docs.columns
+    found = collections.Counter((r["doc_id"], r["text"]) for r in out.collect())
+    first = found.keys() & {(None, text("a")), (int(last), text("a") + " x")}
+    assert len(first) == 1  # the largest id and a missing one rank alike
+    want = [
+        *first, (None, text("b")), (None, None), (None, " \n"), (None, ""), (1, text("c")), (1, text("d")),
+        (3, text("e") + " x"), (4, text("f")), (5, ""), (5, ""), (6, text("g")),
+    ]
+    assert found == collections.Counter(want)
+
+
 def test_pipeline_of_nothing(spark):
     docs = queries.table(spark, SF, "documents").where("false")
     for _, stage in corpus_pipeline.STAGES:
