@@ -3,10 +3,13 @@
 Each text node of a page has a root-to-leaf tag path. Text length and punctuation are summed per
 path and divided by its number of nodes; the two ratios are smoothed over the page's nodes with
 a Gaussian, fused by their product, and paths whose fused ratio reaches a share of the page's
-standard deviation are content. The content's container is the deepest element that holds nearly
-all of the content paths' text; every node in it that lies outside boilerplate elements belongs
-to the main text, so that short paragraphs and the title stay. Scripts, forms, navigation, and
-elements that name themselves adverts, notices, comments or the like never count.
+standard deviation are content; where a single article or main holds most of it, only what lies
+in there. The container is the enclosing article or main of the lowest element that holds all
+content, else that element itself, but never a quote, a table, or one of
+several sections; without an ``h1`` in it, it grows to hold the title (out of an article only
+within main). Every node in it that lies outside boilerplate elements belongs to the main text,
+so that short paragraphs stay. Scripts, forms, navigation, and elements that name themselves
+adverts, notices, comments or the like never count.
 
 Blocks: a block element begins a new block; white space inside a block becomes one space, blocks
 are trimmed, empty ones dropped and the rest joined by an empty line.
@@ -62,7 +65,6 @@ PUNCTUATION = re.compile(r"""[.,;:!?…。，、；：！？]""")
 
 SMOOTH = 1.0  # width of the Gaussian, in nodes
 THRESHOLD = 0.5  # standard deviations of the fused ratio
-MOST = 0.8  # share of the content's text its container holds
 
 
 @dataclass
@@ -175,6 +177,52 @@ def fused_ratios(nodes: list[Node]) -> np.ndarray:
     return smooth(length) * (1 + smooth(marks))
 
 
+def _chain(element: Element | None) -> Iterator[Element]:
+    """The element and all around it, innermost first."""
+    while element is not None:
+        yield element
+        element = element.parent
+
+
+def _inside(node: Node, container: Element) -> bool:
+    return any(e is container for e in _chain(node.element))
+
+
+def _container(content: list[Node], said: list[Node]) -> Element:
+    """The element whose text is the main text."""
+    # where one article or main holds most content, text beside it is none of the article
+    outer = [next((e for e in reversed(list(_chain(n.element))) if e.name in ARTICLES), None) for n in content]
+    if len({id(e) for e in outer if e is not None}) == 1:
+        size = [len(n.text.strip()) for n in content]
+        if 2 * sum(k for k, e in zip(size, outer) if e is not None) > sum(size):
+            content = [n for n, e in zip(content, outer) if e is not None]
+    low = content[0].element
+    for node in content[1:]:
+        e = node.element
+        while e is not low:
+            if e.depth >= low.depth:
+                e = e.parent
+            else:
+                low = low.parent
+    around = list(_chain(low))
+    after = lambda names: around[max((i + 1 for i, e in enumerate(around) if e.name in names), default=0) :]
+    around = after({"blockquote"})
+    articles = [e for e in around if e.name in ARTICLES]
+    if articles:
+        container = articles[0]
+    else:
+        around = after({"table", "td", "th"})
+        container = next(e for e in around if e.name in CONTAINERS)
+        sections = {id(e): e for n in said for e in _chain(n.element) if e.name == "section"}.values()
+        while container.name == "section" and any(e.parent is container.parent and e is not container for e in sections):
+            container = next(e for e in _chain(container.parent) if e.name in CONTAINERS)
+    titles = {id(e) for n in said if any(e.name == "h1" for e in _chain(n.element)) for e in _chain(n.element)}
+    titled = next((e for e in _chain(container) if id(e) in titles), container)
+    if container.name in ARTICLES and not any(e.name == "main" for e in _chain(titled)):
+        return container
+    return titled
+
+
 def main_text(page: str | None) -> str:
     """The article of one page; see the module's description."""
     nodes = [n for n in nodes_of(page or "") if not n.element.skipped]
@@ -187,33 +235,18 @@ def main_text(page: str | None) -> str:
         best[node.path] = max(best.get(node.path, 0.0), value)
     limit = THRESHOLD * float(fused.std())
     content = [n for n in said if best[n.path] >= limit]
-    held: dict[int, float] = {}
-    elements: dict[int, Element] = {}
-    total = 0.0
-    for node in content:
-        size = float(len(node.text.strip()))
-        total += size
-        e = node.element
-        while e is not None:
-            held[id(e)] = held.get(id(e), 0.0) + size
-            elements[id(e)] = e
-            e = e.parent
-    # the deepest element with nearly all content that is more than one paragraph's own
-    holders = [e for i, e in elements.items() if held[i] >= MOST * total and e.name in CONTAINERS]
-    container = max(holders, key=lambda e: e.depth)
+    container = _container(content, said)
     blocks: dict[int, list[str]] = {}
     for node in nodes:
-        e = node.element
-        while e is not None and e is not container:
-            e = e.parent
-        if e is not None:
+        if _inside(node, container):
             blocks.setdefault(node.block, []).append(node.text)
     texts = (SPACE.sub(" ", html.unescape("".join(parts))).strip() for _, parts in sorted(blocks.items()))
     return "\n\n".join(t for t in texts if t)
 
 
-# Elements that can hold an article; a paragraph or a list item is part of one.
-CONTAINERS = frozenset(["", "html", "body", "main", "article", "section", "div", "td", "center", "table", "blockquote"])
+# Elements that can hold an article; a paragraph, a quote or a table cell is part of one.
+ARTICLES = frozenset(["article", "main"])
+CONTAINERS = ARTICLES | frozenset(["", "html", "body", "section", "div", "center"])
 
 
 def extracted(pages: DataFrame, keep: list[str] | None = None, page: str = "html") -> DataFrame:

@@ -263,6 +263,26 @@ def test_main_text_cases(spark):
     assert tagpaths.main_text(deep).startswith("text, deep.")
 
 
+P = "<p>" + "A long paragraph, with commas, and stops. Many words, said here. " * 5 + "</p>"
+PT = P[3:-4].strip()
+WHOLE = [
+    (f"<article><h1>T</h1><div class=body>{P * 4}</div></article>", ["T", *[PT] * 4]),
+    (f"<article><section>{P * 6}</section><section>{P}<ul><li>one</ul></section></article>", [*[PT] * 7, "one"]),
+    (f"<article><h1>T</h1><p>Before.</p><blockquote>{P * 6}</blockquote><p>After.</p></article>", ["T", "Before.", *[PT] * 6, "After."]),
+    (f"<body><nav>menu</nav><p>Before.</p><blockquote><div>{P * 6}</div></blockquote><p>After.</p></body>", ["Before.", *[PT] * 6, "After."]),
+    (f"<article><p>Before.</p><table><tr><td>{P * 6}</td><td>cell</td></tr></table></article>", ["Before.", *[PT] * 6, "cell"]),
+    (f"<div><section>{P * 6}</section><section><ul><li>one</ul></section></div><footer>x</footer>", [*[PT] * 6, "one"]),
+    (f"<div class=post><h1>T</h1><div class=body>{P * 4}</div></div><footer>x</footer>", ["T", *[PT] * 4]),
+    (f"<body><h1>Site</h1><main><h1>T</h1><article>{P * 4}</article></main></body>", ["T", *[PT] * 4]),
+    (f"<body><h1>Site</h1><article>{P * 4}</article></body>", [PT] * 4),
+]
+
+
+@pytest.mark.parametrize("page, blocks", WHOLE)
+def test_main_text_is_the_whole_article(page, blocks):
+    assert tagpaths.main_text(page) == "\n\n".join(blocks)
+
+
 def test_main_text_query(spark):
     pages = {r["page_id"]: r["html"] for r in queries.table(spark, SF, "pages").collect()}
     found = queries.op7_tag_paths(spark, SF).collect()
