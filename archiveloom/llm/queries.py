@@ -83,7 +83,7 @@ def op9_schema_chat(spark: SparkSession, sf: str) -> DataFrame:
            from values (0L, 'user'), (1L, 'assistant') as t(turn, role)"""
     )
     rows = table(spark, sf, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
-    turns = chat.canonical(chat.records_of_rows(rows.unionByName(tricky)))
+    turns = chat.canonical_rows(rows.unionByName(tricky))
     said = F.array_join(F.transform("_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return (
         chat.formatted(turns)

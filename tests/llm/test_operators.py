@@ -366,6 +366,25 @@ def test_rows_of_conversations(spark):
     assert [tuple(t) for t in out[None]["back"]] == [("user", "n")] and [tuple(t) for t in out[3]["back"]] == [("system", "é😀")]
 
 
+def test_long_turns(spark):
+    """Neither a turn longer than a JSON string may be nor a conversation over 128 MiB is lost."""
+    long = 20_000_001
+    rows = [(1, 0, "human", "q"), (1, 1, "assistant", "x"), (2, 0, None, None), *((3, i, "user", "x") for i in range(7))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df = df.withColumn("text", F.when(F.col("text") == "x", F.expr(f"repeat('x', {long})")).otherwise(F.col("text")))
+    turns = chat.canonical_rows(df)
+    sizes = F.transform("turns", lambda t: F.struct(t["role"], F.length(t["text"])))
+    got = {r["conv_id"]: (r["layout"], [tuple(t) for t in r["t"]]) for r in turns.select("conv_id", "layout", sizes.alias("t")).collect()}
+    assert got == {1: ("messages", [("user", 1), ("assistant", long)]), 2: ("messages", [("", 0)]), 3: ("messages", [("user", long)] * 7)}
+    loss = chat.formatted(turns.where("conv_id = 1")).select("loss").first()["loss"]
+    assert [s["length"] for s in loss] == [long]
+    records = chat.records_of_rows(df.where("conv_id = 1"))
+    with pytest.raises(Exception, match="characters cannot be read"):
+        chat.canonical(records).select("layout").collect()
+    few = spark.createDataFrame([("not json",), (None,)], "record string")
+    assert {r["layout"] for r in chat.canonical(few).collect()} == {"unknown"}
+
+
 # 10 -----------------------------------------------------------------------------------------
 
 
