@@ -111,12 +111,13 @@ def _sender(k: int, bits: int, seed: int, keep: tuple[str, ...]):
 
 def _unpacked(table: pa.Table, columns: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict]:
     """Classes and sizes of a bucket, the class of each entry, and its columns."""
-    rows = table.to_pylist()
-    classes = np.concatenate([np.frombuffer(r["classes"], np.int64) for r in rows])
-    sizes = np.concatenate([np.frombuffer(r["sizes"], np.int32) for r in rows])
-    counts = np.concatenate([np.frombuffer(r["counts"], np.int32) for r in rows])
+    # values are read where they lie: as Python objects they would be held twice
+    joined = lambda name, read: np.concatenate([read(v.as_buffer()) for v in table[name]])
+    classes = joined("classes", lambda b: np.frombuffer(b, np.int64))
+    sizes = joined("sizes", lambda b: np.frombuffer(b, np.int32))
+    counts = joined("counts", lambda b: np.frombuffer(b, np.int32))
     entry = np.repeat(np.arange(len(classes)), counts)
-    return classes, sizes, entry, {n: np.concatenate([read(r[n]) for r in rows]) for n, read in columns.items()}
+    return classes, sizes, entry, {n: joined(n, read) for n, read in columns.items()}
 
 
 def _counter(bits: int, keep: tuple[str, ...]):
