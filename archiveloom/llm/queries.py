@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archiveloom.llm import chat, debruijn, decontam, jaccard, langid, lines, mixing, sharding, tagpaths, urls
+from archiveloom.llm import (
+    chat, debruijn, decontam, importance, jaccard, langid, lines, mixing, pieces, sharding, tagpaths, urls, whitening,
+)
 
 MIX_SEED, MIX_EXPONENT = 2, 0.7
 N_SHARDS = 40
+PIECES = "piece_bpe_32k.model"
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 
 
@@ -104,9 +107,31 @@ def op10_line_frequency(spark: SparkSession, sf: str) -> DataFrame:
     return lines.judge(table(spark, sf, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    gain = importance.learned(docs, table(spark, sf, "benchmark"))
+    return importance.ranked(docs, gain).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_merge_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path(PIECES)
+    ids = pieces.encoded(table(spark, sf, "documents"), path, keep=["doc_id"], packed=True)
+    return pieces.decoded(ids, path).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_block_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_arrays, op2_poisson_mixing, op3_nearest_centroid, op4_host_reputation, op5_divide_skip, op6_debruijn_spans, op7_tag_paths, op8_fraction_interleave, op9_schema_chat, op10_line_frequency,
+        op11_importance_resampling, op12_merge_rounds, op13_block_whitening,
     )
 }
 
@@ -251,4 +276,42 @@ SQL: dict[str, str] = {
         select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
                not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and n_left_words >= 0.3 * n_words as kept
         from judged""",
+    "op11_importance_resampling": r"""
+        with table_ as (
+          select list(step order by b) as t from (
+            select b, list_reduce([b] || range(8), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as step
+            from (select unnest(range(256)) as b))
+        ), words as (
+          select 0 as side, rid, doc_id, w from (
+            select row_number() over () as rid, doc_id,
+                   regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from documents)
+          union all
+          select 1, 0, null, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+          from benchmark
+        ), each_ as (
+          select side, rid, unnest(w) as word from words
+        ), hashed as (
+          select word, xor(list_reduce([4294967295::bigint] || list_transform(range(length(hex(word)) // 2), lambda i: ('0x' || substr(hex(word), (2 * i + 1)::int, 2))::bigint),
+                   lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 as bucket
+          from (select distinct word from each_), table_
+        ), counted as (
+          select bucket, count(*) filter (side = 0) as s, count(*) filter (side = 1) as t from each_ join hashed using (word) group by bucket
+        ), totals as (
+          select sum(s)::double as ss, sum(t)::double as tt from counted
+        ), gains as (
+          select bucket, floor(1000 * ln(((t + 1)::double * (ss + 10000)) / ((s + 1)::double * (tt + 10000))))::bigint as gain from counted, totals
+        ), sums as (
+          select rid, count(*) as n, sum(gain)::bigint as g from each_ join hashed using (word) join gains using (bucket) where side = 0 group by rid
+        ), scored as (
+          select doc_id, coalesce(n, 0) as n_features, coalesce((g - ((g % n) + n) % n) // n, 0)::bigint as weight,
+                 ('0x' || left(sha256('2024:' || coalesce(doc_id::varchar, '')), 8))::bigint::double as h
+          from words left join sums using (rid) where side = 0
+        ), ordered as (
+          select doc_id, n_features::bigint as n_features, weight,
+                 (weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296))))::bigint as score from scored
+        )
+        select doc_id, n_features, weight, score, case when place <= eligible * 10 // 100 then place end as rank
+        from (select *, row_number() over (order by n_features >= 20 desc, score desc, doc_id nulls last) as place,
+                     count(*) filter (n_features >= 20) over () as eligible from ordered)""",
 }

@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_per_operator():
     numbers = [int(n[2:].split("_")[0]) for n in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(queries.SQL) <= set(queries.QUERIES)
 
 
