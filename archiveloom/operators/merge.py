@@ -11,10 +11,18 @@ assignment, the key owners follow by aggregation, and given the owners every rec
 cluster follows by a join. Repeating the two steps settles records in order (once all
 records a record depends on are settled, so is the record one round later), and an
 assignment that reproduces itself is the sequential one, by induction over ``ord``. The
-number of rounds is the longest chain of dependent decisions, not the size of a cluster or
+number of rounds depends on the chains of dependent decisions, not on the size of a cluster or
 component, so a key shared by a third of all records costs no more rounds than any other
 and never sits in one task.
 
+Where decisions wait for each other in a row, a round would settle one of them at a time. So after
+2, 4, 8, ... rounds the records that still move are *predicted* (:func:`_predicted`): whether a record opens
+a cluster is written as a function of whether the record it waits for does, these functions
+are composed along the row by pointer doubling, and the labels that follow are the next
+assignment. A chain of n records takes about log2(n) doublings. The prediction may be wrong
+where a decision depends on more than that; it never unsettles a settled record, and rounds go
+on until one reproduces the assignment, which is the proof that it is right.
+
 Rounds touch only 64-bit columns: each text key is replaced once by the smallest ``ord``
 that carries it, and records that share no key leave before the first round. Records of
 different linked components never meet, so a component in which no record moved is settled
@@ -40,6 +48,7 @@ URL, DOI, TITLE, SELF = 1, 2, 3, 9
 
 log = logging.getLogger(__name__)
 
+_TIERS = ((URL, "url"), (DOI, "doi"), (TITLE, "title"))
 _STATE = ("url_set", "doi_set", "title_set", "url_k", "doi_k", "title_k", "repo")
 
 
@@ -131,17 +140,23 @@ def _owners(state: DataFrame) -> DataFrame:
     )
 
 
-def _reassign(state: DataFrame) -> DataFrame:
-    """One round: every record joins the owner of its best key, or itself."""
+def _asked(state: DataFrame) -> DataFrame:
+    """(ord, tier, k1, k2): the keys a record looks up.
+
+    The first record to carry a text finds no owner of it, so it need not ask.
+    """
     zero = F.lit(0).cast("bigint")
     wanted = F.array(
         _struct(URL, F.col("url_k"), zero),
         _struct(DOI, F.col("doi_k"), zero),
         _struct(TITLE, F.col("title_k"), F.col("repo")),
     )
-    # the first record to carry a text finds no owner of it, so it need not ask
-    asked = state.select("ord", F.inline(wanted)).where("k1 < ord and k2 is not null")
-    hits = asked.join(_owners(state), ["tier", "k1", "k2"])
+    return state.select("ord", F.inline(wanted)).where("k1 < ord and k2 is not null")
+
+
+def _reassign(state: DataFrame) -> DataFrame:
+    """One round: every record joins the owner of its best key, or itself."""
+    hits = _asked(state).join(_owners(state), ["tier", "k1", "k2"])
     own = state.select(
         "ord", F.lit(SELF).alias("tier"), F.col("ord").alias("owner"), *_STATE, "component",
         F.col("label").alias("was"),
@@ -159,6 +174,92 @@ def _reassign(state: DataFrame) -> DataFrame:
     )
 
 
+def _waiting(state: DataFrame) -> DataFrame:
+    """``state`` with the records each one waits for, per tier and the last of them.
+
+    Per tier that is the record that gave the key's owner the key (``<tier>_hit``), else the first
+    carrier of the key, which may come to own it; ``on`` is the latest. ``opened`` says whether
+    the record opens a cluster now.
+    """
+    asked = _asked(state).join(_owners(state).drop("owner"), ["tier", "k1", "k2"], "left")
+    hit = F.coalesce(F.col("since") < F.col("ord"), F.lit(False))
+    asked = asked.select("ord", "tier", F.when(hit, F.col("since")).otherwise(F.col("k1")).alias("on"), hit.alias("hit"))
+    per_tier = lambda tier, c: F.max(F.when(F.col("tier") == tier, F.col(c)))
+    waits = asked.groupBy("ord").agg(
+        F.max("on").alias("on"),
+        *[per_tier(t, "on").alias(f"{n}_on") for t, n in _TIERS],
+        *[per_tier(t, "hit").alias(f"{n}_hit") for t, n in _TIERS],
+    )
+    return state.withColumn("opened", F.col("label") == F.col("ord")).join(waits, "ord", "left")
+
+
+def _answers(waiting: DataFrame) -> DataFrame:
+    """Per record and tier: does it hit if the record it waits for opens a cluster, or if that joins one.
+
+    A record that opens a cluster gives it all its keys. One that joins gives it, if it joins now,
+    what it gives it now, and else the fields that the record it would join for lacks.
+    """
+    flags = ("url_set", "doi_set", "title_set")
+    before = waiting.select(F.col("ord").alias("on"), *[F.col(c).alias(f"before_{c}") for c in flags])
+    one = waiting.join(before, "on", "left").select(
+        F.col("ord").alias("on"), F.col("opened").alias("on_opened"), F.col("repo").alias("on_repo"),
+        *[F.coalesce(~F.col(f"before_{c}"), F.lit(True)).alias(f"new_{c}") for c in flags],
+    )
+    rows = waiting.join(one, "on", "left")
+    answers = []
+    for _, name in _TIERS:
+        hit, here = F.col(f"{name}_hit"), F.col(f"{name}_on") == F.col("on")
+        gives = F.lit(True) if name != "title" else F.coalesce(F.col("on_repo") == F.col("repo"), F.lit(False))
+        if_open = F.when(here, hit | gives).otherwise(hit)
+        if_joined = F.when(here, F.when(F.col("on_opened"), gives & F.col(f"new_{name}_set")).otherwise(hit)).otherwise(hit)
+        for column, suffix in ((if_open, "open"), (if_joined, "joined")):
+            answers.append(F.coalesce(column, F.lit(False)).alias(f"{name}_if_{suffix}"))
+    return rows.select("ord", "on", *[f"{n}_on" for _, n in _TIERS], *answers)
+
+
+def _predicted(state: DataFrame, staging: StagingArea, turn: int) -> tuple[DataFrame, int]:
+    """``state`` with predicted labels, and the number of doublings it took.
+
+    The first time, all of a component is taken for one cluster; later the current labels are.
+    """
+    if turn:
+        for _ in range(2):  # the label of the label, so that clusters hang together
+            above = state.select(F.col("ord").alias("label"), F.col("label").alias("_above"))
+            state = state.join(above, "label", "left").withColumn("label", F.coalesce("_above", "label")).drop("_above")
+    else:
+        first = state.groupBy("component").agg(F.min("ord").alias("label"))
+        state = state.drop("label").join(first, "component")
+    state, _ = staging.write(state.select("ord", "label", "component", *_STATE), f"guess-{turn % 2}")
+    waiting, _ = staging.write(_waiting(state), "waiting")
+    answers, _ = staging.write(_answers(waiting), "answers")
+    opens = lambda suffix: ~reduce(Column.__or__, [F.col(f"{n}_if_{suffix}") for _, n in _TIERS])
+    step = answers.select("ord", "on", opens("open").alias("if_open"), opens("joined").alias("if_joined"))
+    # a step says whether a record opens a cluster, given whether record ``on`` does
+    unknown, doublings = F.count_if(F.col("if_open") != F.col("if_joined")), 0
+    step, seen = staging.write(step, "step-0", n=unknown)
+    while seen["n"]:
+        doublings += 1
+        other = step.select(
+            F.col("ord").alias("on"), F.col("on").alias("_on"), F.col("if_open").alias("_if_open"), F.col("if_joined").alias("_if_joined")
+        )
+        after = lambda c: F.when(F.col(c).isNull(), F.col("if_open")).when(F.col(c), F.col("if_open")).otherwise(F.col("if_joined"))
+        known = step.where("if_open = if_joined")
+        longer = step.where("if_open <> if_joined").join(other, "on", "left").select(
+            "ord", F.col("_on").alias("on"), after("_if_open").alias("if_open"), after("_if_joined").alias("if_joined")
+        )
+        step, seen = staging.write(known.union(longer), f"step-{doublings % 2}", n=unknown)
+        log.info("merge doubling %d: %d records wait", doublings, seen["n"])
+    opened = step.select(F.col("ord").alias("on"), F.col("if_open").alias("_opened"))
+    answer = lambda n: F.when(F.col("_opened"), F.col(f"{n}_if_open")).otherwise(F.col(f"{n}_if_joined"))
+    joins = F.coalesce(*[F.when(answer(n), F.col(f"{n}_on")) for _, n in _TIERS], F.col("ord"))
+    parents, _ = staging.write(answers.join(opened, "on", "left").select("ord", joins.alias("label")), "parents")
+    # who gives a key to a cluster joined it for another: at most one step per field
+    for _ in range(2):
+        above = parents.select(F.col("ord").alias("label"), F.col("label").alias("_above"))
+        parents = parents.join(above, "label", "left").select("ord", F.coalesce("_above", "label").alias("label"))
+    return state.drop("label").join(parents, "ord"), doublings
+
+
 def _linked(state: DataFrame, staging: StagingArea) -> DataFrame:
     """``state`` with the component of each record, over URL, DOI and title codes alone.
 
@@ -191,8 +292,11 @@ def assign_by_keys(keys: DataFrame, staging: StagingArea) -> DataFrame:
     )
     state = _linked(state, staging).withColumn("label", guess)
     settled = f"{staging.path}/settled"
-    rounds = 0
+    rounds, predictions = 0, 0
     while True:
+        if rounds == 2 ** (predictions + 1):
+            state, _ = _predicted(state, staging, predictions)
+            predictions += 1
         # two folders take turns: a round reads the one and replaces the other
         state, seen = staging.write(
             _reassign(state), f"round-{rounds % 2}",

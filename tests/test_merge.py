@@ -96,14 +96,59 @@ def test_written_out_cases(spark):
     assert merged(spark, records) == {case[0]: case[5] for case in CASES}
 
 
+def rounds_of(caplog):
+    """Records carried by each round, and the number of doublings."""
+    carried = [r.args[1] for r in caplog.records if "round" in r.msg]
+    return carried, sum("doubling" in r.msg for r in caplog.records)
+
+
 def test_long_chains_and_settled_components(spark, caplog):
     """Only components that still move go on; the rest of the records settle early."""
     records = random_sets(300, 21, True) + chain(10**6, 34, "a", True) + chain(2 * 10**6, 12, "b")
     with caplog.at_level(logging.INFO, logger=merge.__name__):
         found = merged(spark, records)
     assert violations(records, found) == []
-    carried = [r.args[1] for r in caplog.records]
-    assert len(carried) > 20 and carried[-1] == 34 and carried == sorted(carried, reverse=True)
+    carried, doublings = rounds_of(caplog)
+    assert len(carried) + doublings <= 20 and carried == sorted(carried, reverse=True)
+    assert carried[-1] < 0.1 * carried[0]
+
+
+@pytest.mark.parametrize("titles", [False, True])
+def test_rounds_grow_with_the_logarithm_of_a_chain(spark, caplog, titles):
+    records = chain(0, 5000, "a", titles)
+    with caplog.at_level(logging.INFO, logger=merge.__name__):
+        found = merged(spark, records)
+    assert violations(records, found) == []
+    carried, doublings = rounds_of(caplog)
+    assert len(carried) + doublings <= 20
+
+
+def test_chain_of_groups(spark, caplog):
+    """Every link of the chain is a group of copies with gaps, so decisions hang on several records."""
+    rnd = random.Random(4)
+    records = []
+    for i in range(300):
+        for j in range(rnd.randint(1, 4)):
+            url = f"u{i // 2}" if rnd.random() < 0.8 else None
+            records.append((i * 10 + j, url, f"d{(i + 1) // 2}", f"t{i // 3}" if rnd.random() < 0.3 else None, rnd.choice([None, 1, 2])))
+    records = plain(*records)
+    with caplog.at_level(logging.INFO, logger=merge.__name__):
+        found = merged(spark, records)
+    assert violations(records, found) == []
+    carried, doublings = rounds_of(caplog)
+    assert len(carried) + doublings <= 60
+
+
+def test_a_prediction_keeps_what_is_right(spark):
+    """Predicting from the final assignment gives it back."""
+    records = random_sets(500, 31, True) + chain(10**6, 40, "a", True)
+    df = spark.createDataFrame([tuple(r)[:5] for r in records], SCHEMA)
+    staging = merge.StagingArea(spark, "test")
+    state, _ = merge.shared_keys(staging, merge.stage_keys(df, staging))
+    state = merge._linked(state, staging).join(merge.assign_clusters(df), "ord")
+    again, _ = merge._predicted(state, staging, 1)
+    pairs = again.select("ord", F.col("label").alias("again")).join(state.select("ord", "label"), "ord")
+    assert pairs.count() == state.count() and pairs.where("again <> label").count() == 0
 
 
 def test_components_equal_closure(spark):
