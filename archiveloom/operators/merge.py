@@ -220,15 +220,18 @@ def _answers(waiting: DataFrame) -> DataFrame:
 def _predicted(state: DataFrame, staging: StagingArea, turn: int) -> tuple[DataFrame, int]:
     """``state`` with predicted labels, and the number of doublings it took.
 
-    The first time, all of a component is taken for one cluster; later the current labels are.
+    It starts from the current labels, but the first time takes a component in which most records
+    moved, where they say little, for one cluster.
     """
-    if turn:
-        for _ in range(2):  # the label of the label, so that clusters hang together
-            above = state.select(F.col("ord").alias("label"), F.col("label").alias("_above"))
-            state = state.join(above, "label", "left").withColumn("label", F.coalesce("_above", "label")).drop("_above")
-    else:
-        first = state.groupBy("component").agg(F.min("ord").alias("label"))
-        state = state.drop("label").join(first, "component")
+    start = F.col("label")
+    if not turn:
+        seen = state.groupBy("component").agg(
+            F.min("ord").alias("_first"), (2 * F.count_if(F.col("label") != F.col("was")) > F.count(F.lit(1))).alias("_most")
+        )
+        state = state.join(seen, "component").withColumn("label", F.when(F.col("_most"), F.col("_first")).otherwise(start))
+    for _ in range(2):  # the label of the label, so that clusters hang together
+        above = state.select(F.col("ord").alias("label"), F.col("label").alias("_above"))
+        state = state.join(above, "label", "left").withColumn("label", F.coalesce("_above", "label")).drop("_above")
     state, _ = staging.write(state.select("ord", "label", "component", *_STATE), f"guess-{turn % 2}")
     waiting, _ = staging.write(_waiting(state), "waiting")
     answers, _ = staging.write(_answers(waiting), "answers")
