@@ -15,7 +15,7 @@ are judged on the input. Of each window, a block of documents sends the occurren
 smallest document only, whatever the window's frequency; the others are settled there.
 
 Defined results: a NULL or short text has no windows and keeps its words; a row with a NULL id
-comes after all others; rows of one id are one document to each other (they take nothing from
+comes after all others, with the largest id if that occurs; rows of one id are one document to each other (they take nothing from
 each other), each row is returned; an empty table gives no rows; other columns are ignored.
 """
 
@@ -39,7 +39,7 @@ MINIMIZER = 4  # words of the shingle that chooses a window's bucket
 HASH_BYTES = 7
 LAST_ID = np.iinfo(np.int64).max
 
-_PIECES = "id long, key int, pos int, length int, source_id long, source_key int, source_pos int"
+_PIECES = "id long, key long, twin long, pos int, length int, source_id long, source_key long, source_twin long, source_pos int"
 _SENT = "bucket int, hashes binary, run_doc binary, run_pos binary, run_length binary, ids binary, keys binary, pieces binary"
 
 
@@ -55,9 +55,12 @@ def _least(x: np.ndarray, width: int) -> np.ndarray:
 
 def _pieces(id_, key, pos, source_id, source_key, source_pos) -> np.ndarray:
     """Occurrences in order of (key, pos) as rows of ``_PIECES``: consecutive ones are one row."""
-    starts = pk.runs((key, 0), (id_, 0), (pos, 1), (source_key, 0), (source_id, 0), (source_pos, 1))
+    same = [(key[:, 0], 0), (key[:, 1], 0), (id_, 0), (source_key[:, 0], 0), (source_key[:, 1], 0), (source_id, 0)]
+    starts = pk.runs(*same, (pos, 1), (source_pos, 1))
     take = lambda x: x[starts].astype(np.int64)
-    return np.stack([take(id_), take(key), take(pos), pk.run_lengths(starts, len(pos)), take(source_id), take(source_key), take(source_pos)])
+    return np.stack([
+        take(id_), *take(key).T, take(pos), pk.run_lengths(starts, len(pos)), take(source_id), *take(source_key).T, take(source_pos),
+    ])
 
 
 def _sender(k: int, bits: int, hash_bytes: int):
@@ -65,7 +68,8 @@ def _sender(k: int, bits: int, hash_bytes: int):
         for table in pk.blocks(batches, "text"):
             order = np.argsort(table["id"].to_numpy(), kind="stable")
             table = table.take(pa.array(order))
-            ids, keys = table["id"].to_numpy(), table["key"].to_numpy()
+            ids = table["id"].to_numpy()
+            keys = np.stack([table["key"].to_numpy(), table["twin"].to_numpy()], axis=1)
             text = wd.split(table["text"])
             hashes, at = wd.windows(text, k)
             if not len(hashes):
@@ -86,7 +90,7 @@ def _sender(k: int, bits: int, hash_bytes: int):
             bucket = (wd.mix(least[sent]) >> np.uint64(64 - bits)).astype(np.int64)
             order, begins = pk.split_by(bucket, 1 << bits)
             sent = sent[order]
-            spread = int(keys[0]) % (1 << bits)  # settled pieces travel with any bucket
+            spread = int(keys[0, 0]) % (1 << bits)  # settled pieces travel with any bucket
             rows = []
             for b in range(1 << bits):
                 mine = sent[begins[b] : begins[b + 1]]
@@ -110,6 +114,7 @@ def _sender(k: int, bits: int, hash_bytes: int):
 
 
 _SENT_ARROW = pa.schema([("bucket", pa.int32())] + [(n, pa.binary()) for n in ("hashes", "run_doc", "run_pos", "run_length", "ids", "keys", "pieces")])
+_PLACES = ("pos", "length", "source_pos")
 _PIECE_NAMES = [c.split()[0] for c in _PIECES.split(", ")]
 
 
@@ -122,33 +127,36 @@ def _meeter(hash_bytes: int):
             doc = np.repeat(np.frombuffer(row["run_doc"], np.int32), lengths)
             hashes.append(pk.from_low_bytes(row["hashes"], hash_bytes))
             id_.append(np.frombuffer(row["ids"], np.int64)[doc])
-            key.append(np.frombuffer(row["keys"], np.int32)[doc])
+            key.append(np.frombuffer(row["keys"], np.int64).reshape(-1, 2)[doc])
             pos.append(pk.expand(np.frombuffer(row["run_pos"], np.int32), lengths))
-            found.append(np.frombuffer(row["pieces"], np.int64).reshape(7, -1))
+            found.append(np.frombuffer(row["pieces"], np.int64).reshape(len(_PIECE_NAMES), -1))
         hashes, id_, key, pos = map(np.concatenate, (hashes, id_, key, pos))
         order = np.argsort(hashes, kind="stable")
         same = hashes[order[1:]] == hashes[order[:-1]]
         repeated = order[np.append(same, False) | np.insert(same, 0, False)] if len(order) else order
         # by edge, then id: the first of each edge is its source
-        order = repeated[np.lexsort((key[repeated], id_[repeated], hashes[repeated]))]
+        order = repeated[np.lexsort((key[repeated, 1], key[repeated, 0], id_[repeated], hashes[repeated]))]
         starts = pk.runs((hashes[order], 0)) if len(order) else order
         source = np.repeat(order[starts], pk.run_lengths(starts, len(order))) if len(order) else order
         later = id_[order] > id_[source]
         order, source = order[later], source[later]
-        by_place = np.lexsort((pos[order], key[order], id_[order]))
+        by_place = np.lexsort((pos[order], key[order, 1], key[order, 0], id_[order]))
         order, source = order[by_place], source[by_place]
         if len(order):
             found.append(_pieces(id_[order], key[order], pos[order], id_[source], key[source], pos[source]))
         found = np.concatenate(found, axis=1)
-        return pa.table(dict(zip(_PIECE_NAMES, [found[i] if n in ("id", "source_id") else found[i].astype(np.int32) for i, n in enumerate(_PIECE_NAMES)])))
+        return pa.table(dict(zip(_PIECE_NAMES, [found[i].astype(np.int32) if n in _PLACES else found[i] for i, n in enumerate(_PIECE_NAMES)])))
 
     return meet
 
 
 def keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, key, text): key tells rows of one id with different texts apart."""
+    """(id, key, twin, missing, text): 128 bits of key tell rows of one id with different texts apart."""
     id_ = F.coalesce(F.col(id).cast("long"), F.lit(int(LAST_ID)))
-    return docs.select(id_.alias("id"), F.hash(F.col(text)).alias("key"), F.col(text).alias("text"))
+    return docs.select(
+        id_.alias("id"), F.xxhash64(text).alias("key"), F.xxhash64(F.lit(1), text).alias("twin"),
+        F.col(id).isNull().alias("missing"), F.col(text).alias("text"),
+    )
 
 
 def path_pieces(rows: DataFrame, k: int) -> DataFrame:
@@ -164,18 +172,19 @@ def joined_paths(pieces: DataFrame) -> DataFrame:
 
     The successor of a piece is the next piece of its document, so the joins are one window.
     """
-    own = Window.partitionBy("id", "key").orderBy("pos", "source_id", "source_key", "source_pos")
+    own = Window.partitionBy("id", "key", "twin").orderBy("pos", "source_id", "source_key", "source_twin", "source_pos")
     last = lambda c: F.lag(c).over(own)
     follows = (
         (last("pos") + last("length") == F.col("pos"))
         & (last("source_id") == F.col("source_id"))
         & (last("source_key") == F.col("source_key"))
+        & (last("source_twin") == F.col("source_twin"))
         & (last("source_pos") + last("length") == F.col("source_pos"))
     )
     path = F.sum(F.when(follows, 0).otherwise(1)).over(own.rowsBetween(Window.unboundedPreceding, 0))
     return (
         pieces.withColumn("path", path)
-        .groupBy("id", "key", "path", "source_id", "source_key")
+        .groupBy("id", "key", "twin", "path", "source_id", "source_key", "source_twin")
         .agg(F.min("pos").alias("pos"), F.sum("length").cast("int").alias("length"), F.min("source_pos").alias("source_pos"))
         .select(*_PIECE_NAMES)
     )
@@ -197,40 +206,40 @@ def _applier(k: int):
         for s in row["copies"] or []:
             gone[s["pos"]] += 1
             gone[min(len(words), s["pos"] + s["length"] + k - 1)] -= 1
-            digests.append({"id": s["source_id"], "key": s["source_key"], "pos": s["source_pos"], "length": s["length"], "digest": digest(s["pos"], s["length"])})
+            digests.append({"id": s["source_id"], "key": s["source_key"], "twin": s["source_twin"], "pos": s["source_pos"], "length": s["length"], "digest": digest(s["pos"], s["length"])})
         for s in row["sources"] or []:
-            digests.append({"id": row["id"], "key": row["key"], "pos": s["pos"], "length": s["length"], "digest": digest(s["pos"], s["length"])})
+            digests.append({"id": row["id"], "key": row["key"], "twin": row["twin"], "pos": s["pos"], "length": s["length"], "digest": digest(s["pos"], s["length"])})
         if digests and row["copies"]:
             keep = np.cumsum(gone[:-1]) == 0
             kept = [words[i] for i in np.flatnonzero(keep)]
         else:
             kept = words
-        return {"id": row["id"], "n_words": len(words), "n_removed": len(words) - len(kept), "kept_sha256": hashlib.sha256(b" ".join(kept)).hexdigest(), "digests": digests}
+        return {"id": row["id"], "missing": row["missing"], "n_words": len(words), "n_removed": len(words) - len(kept), "kept_sha256": hashlib.sha256(b" ".join(kept)).hexdigest(), "digests": digests}
 
     return apply
 
 
-_DIGEST = [("id", pa.int64()), ("key", pa.int32()), ("pos", pa.int32()), ("length", pa.int32()), ("digest", pa.binary())]
+_DIGEST = [("id", pa.int64()), ("key", pa.int64()), ("twin", pa.int64()), ("pos", pa.int32()), ("length", pa.int32()), ("digest", pa.binary())]
 _APPLIED_ARROW = pa.schema([
-    ("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
+    ("id", pa.int64()), ("missing", pa.bool_()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
     ("digests", pa.list_(pa.struct(_DIGEST))),
 ])
-_APPLIED = "id long, n_words long, n_removed long, kept_sha256 string, digests array<struct<id:long,key:int,pos:int,length:int,digest:binary>>"
+_APPLIED = "id long, missing boolean, n_words long, n_removed long, kept_sha256 string, digests array<struct<id:long,key:long,twin:long,pos:int,length:int,digest:binary>>"
 
 
 def with_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
     """``rows`` with ``copies`` (their spans) and ``sources`` (places other spans point to)."""
     copies = spans.select(
-        "id", "key", F.struct("pos", "length", "source_id", "source_key", "source_pos").alias("copy"),
+        "id", "key", "twin", F.struct("pos", "length", "source_id", "source_key", "source_twin", "source_pos").alias("copy"),
         F.lit(None).cast("struct<pos:int,length:int>").alias("source"),
     )
-    sources = spans.select("source_id", "source_key", "source_pos", "length").distinct().select(
-        F.col("source_id").alias("id"), F.col("source_key").alias("key"),
+    sources = spans.select("source_id", "source_key", "source_twin", "source_pos", "length").distinct().select(
+        F.col("source_id").alias("id"), F.col("source_key").alias("key"), F.col("source_twin").alias("twin"),
         F.lit(None).cast(copies.schema["copy"].dataType).alias("copy"),
         F.struct(F.col("source_pos").alias("pos"), "length").alias("source"),
     )
-    both = copies.union(sources).groupBy("id", "key").agg(F.collect_list("copy").alias("copies"), F.collect_list("source").alias("sources"))
-    return rows.join(both, ["id", "key"], "left")
+    both = copies.union(sources).groupBy("id", "key", "twin").agg(F.collect_list("copy").alias("copies"), F.collect_list("source").alias("sources"))
+    return rows.join(both, ["id", "key", "twin"], "left")
 
 
 def repeated_spans(docs: DataFrame, k: int = 13, id: str = "doc_id", text: str = "text", staging: StagingArea | None = None) -> DataFrame:
@@ -245,13 +254,13 @@ def remove_repeats(docs: DataFrame, k: int = 13, id: str = "doc_id", text: str =
     staging = StagingArea(docs.sparkSession, "debruijn")
     rows = keyed(docs, id, text)
     spans = repeated_spans(docs, k, id, text, staging)
-    place = ["source_id", "source_key", "source_pos", "length"]
+    place = ["source_id", "source_key", "source_twin", "source_pos", "length"]
     attempt = 0
     while True:
         applied, _ = staging.write(with_spans(rows, spans).mapInArrow(_applier(k), _APPLIED), f"applied-{attempt}")
         differing = (
             applied.select(F.inline("digests"))
-            .groupBy("id", "key", "pos", "length")
+            .groupBy("id", "key", "twin", "pos", "length")
             .agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
             .where("low <> high")
             .toDF(*place, "low", "high")
@@ -260,5 +269,5 @@ def remove_repeats(docs: DataFrame, k: int = 13, id: str = "doc_id", text: str =
             break
         spans, _ = staging.write(spans.join(differing.select(*place), place, "left_anti"), f"spans-{attempt}")
         attempt += 1
-    own = F.when(F.col("id") == F.lit(int(LAST_ID)), F.lit(None)).otherwise(F.col("id"))
+    own = F.when(~F.col("missing"), F.col("id"))
     return applied.select(own.alias(id), "n_words", "n_removed", "kept_sha256")

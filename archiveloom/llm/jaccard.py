@@ -39,6 +39,7 @@ from archiveloom.operators.components import components
 from archiveloom.staging import StagingArea
 
 LAST_ID = np.iinfo(np.int64).max
+MISSING = "_id_is_missing"
 HASH_BYTES = 7  # of a shingle's hash, sent besides its bucket
 LEADER_SEEDS = (11, 12, 13)  # minimum hashes that look for a group's leader
 
@@ -273,11 +274,12 @@ def placed(docs: DataFrame, k: int, percent: int, id: str, text: str, keep: tupl
 
 def join(docs: DataFrame, k: int = 4, percent: int = 85, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every row."""
-    rows = placed(docs, k, percent, id, text)
-    smallest = rows.groupBy("component").agg(F.min("id").alias("component_id"))
-    own = lambda c: F.when(F.col(c) == F.lit(int(LAST_ID)), F.lit(None)).otherwise(F.col(c))
-    alone = F.col("n") == 0
+    # one more bit tells a missing id from the largest one
+    rows = placed(docs.withColumn(MISSING, F.col(id).isNull().cast("long")), k, percent, id, text, (MISSING,))
+    largest = F.struct("id", MISSING)
+    smallest = rows.groupBy("component").agg(F.min(largest).alias("_smallest"))
+    own = lambda place: F.when(F.col(f"{place}{MISSING}") == 0, F.col(f"{place}id"))
     return rows.join(smallest, "component").select(
-        own("id").alias(id), F.col("n").cast("long").alias("n_shingles"),
-        F.when(alone, own("id")).otherwise(own("component_id")).alias("component_id"),
+        own("").alias(id), F.col("n").cast("long").alias("n_shingles"),
+        F.when(F.col("n") == 0, own("")).otherwise(own("_smallest.")).alias("component_id"),
     )

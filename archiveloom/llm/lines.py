@@ -1,6 +1,7 @@
 """Quality rules (10): cross-document line frequency, on built-in functions only.
 
-Lines are normalised (case, digits and runs of white space do not count) and hashed. A line that
+Lines are normalised (case and runs of white space do not count, and in a line with letters neither
+does which number stands alone between spaces; digits inside words and lines of numbers stay) and hashed. A line that
 stands in more distinct documents of one host than the host's limit is boilerplate and is
 removed; copies of one text count as one document, so copying a text does not make its lines
 boilerplate. A document is rejected if it fails the base rules or if too few of its words are
@@ -39,9 +40,13 @@ class Limits:
     min_left: float = 0.3  # share of words that must stay
 
 
+LETTER = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]"  # ASCII letters and everything beyond ASCII
+
+
 def normalised(line: Column) -> Column:
-    plain = F.regexp_replace(F.lower(line), "[0-9]+", "0")
-    return F.trim(F.regexp_replace(plain, r"[\x20\x09-\x0D]+", " "))
+    plain = F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D]+", " "))
+    numberless = F.regexp_replace(plain, "(?<![^ ])[0-9]+(?![^ ])", "0")
+    return F.when(plain.rlike(LETTER), numberless).otherwise(plain)
 
 
 def base_counts(text: str) -> dict[str, Column]:

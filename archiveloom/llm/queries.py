@@ -258,9 +258,12 @@ SQL: dict[str, str] = {
           from words
         ), line_rows as (
           select rid, source, md5(text) as m,
-                 trim(regexp_replace(regexp_replace(lower(l), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) as line,
-                 len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) as nw
-          from (select rid, source, text, unnest(lines) as l from counts)
+                 case when regexp_matches(line, '[^\x00-\x40\x5B-\x60\x7B-\x7F]')
+                      then replace(regexp_replace(replace(line, ' ', '  '), '(^| )[0-9]+( |$)', '\10\2', 'g'), '  ', ' ') else line end as line,
+                 nw
+          from (select rid, source, text, trim(regexp_replace(lower(l), '[\x20\x09-\x0D]+', ' ', 'g')) as line,
+                       len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) as nw
+                from (select rid, source, text, unnest(lines) as l from counts))
         ), hosts as (
           select source, count(distinct md5(text)) as size from docs group by source
         ), listed as (

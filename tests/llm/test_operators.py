@@ -388,6 +388,33 @@ def test_long_turns(spark):
 # 10 -----------------------------------------------------------------------------------------
 
 
+def test_ids_at_the_end_of_their_range(spark):
+    """The largest id is not a missing one, and texts of rows without an id are told apart."""
+    last, text = 2**63 - 1, lambda c, n=30: " ".join(f"{c}{i}" for i in range(n))
+    rows = [(1, text("a")), (last, text("a")), (None, text("a")), (None, text("b")), (last, text("c")), (None, text("c")), (None, ""), (last, None)]
+    rows += [(None, text(f"n{i}x")) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = collections.Counter((r["doc_id"], r["n_removed"]) for r in debruijn.remove_repeats(df).collect())
+    assert got == {(1, 0): 1, (last, 30): 1, (None, 30): 1, (last, 0): 2, (None, 0): 303}
+    linked_rows = collections.Counter((r["doc_id"], r["component_id"]) for r in jaccard.join(df).collect())
+    assert linked_rows == {(1, 1): 1, (last, 1): 1, (None, 1): 1, (last, last): 2, (None, last): 1, (None, None): 302}
+
+
+def test_number_tables_stay(spark):
+    """Lines of numbers, and words with digits, differ from document to document."""
+    row = lambda i, j: " ".join(str(1000 * i + 10 * j + c) for c in range(6))
+    rows = [(i, "\n".join(row(i, j) for j in range(12)), "h") for i in range(30)]
+    rows += [(100 + i, "\n".join(f"item{i}x{j} costs {i}.{j} each" for j in range(12)), "h") for i in range(30)]
+    rows += [(200 + i, f"page {i} of 30\n" + " ".join(f"w{i}x{j}" for j in range(60)), "h") for i in range(30)]
+    got = {r["doc_id"]: r for r in lines.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(got[i]["kept"] and got[i]["n_left_words"] == 72 for i in range(30))
+    assert all(got[100 + i]["n_left_words"] == 48 for i in range(30))
+    assert all(got[200 + i]["kept"] and got[200 + i]["n_left_words"] == 60 for i in range(30))  # page numbers do not count
+    forms = ["Page  12 of 9", "12 13", "a 1 2 3 b 4", "x1 2y", "é 5", "7"]
+    df = spark.createDataFrame([(f,) for f in forms], "l string").select(lines.normalised(F.col("l")))
+    assert [r[0] for r in df.collect()] == ["page 0 of 0", "12 13", "a 0 0 0 b 0", "x1 2y", "é 0", "7"]
+
+
 def test_line_rules(spark, docs, none):
     limits = lines.Limits(min_words=3, min_docs=2, max_share=0.5, min_left=0.6)
     text = lambda i: f"Page {i} of 9\n" + " ".join(f"word{i}{j}x" for j in "abcdef")
