@@ -33,8 +33,14 @@ def resolve_table(tables: Mapping[str, DataFrame], entity: str) -> DataFrame | N
     return next((df for name, df in tables.items() if name.lower() == entity), None)
 
 
-def ranked(sources: list[Source]) -> list[tuple[int, Source]]:
-    """Sources in merge order: sorted by name, so the order never depends on the listing."""
+def ranked(sources: list[Source], ranks: Mapping[str, int] | None = None) -> list[tuple[int, Source]]:
+    """Sources in merge order: sorted by name, so the order never depends on the listing.
+
+    ``ranks`` gives the places of sources that are part of a longer list, of which others come
+    at another time.
+    """
+    if ranks is not None:
+        return sorted(((ranks[s.name], s) for s in sources), key=lambda r: r[0])
     if len(sources) > MAX_SOURCES:
         raise ValueError(f"{len(sources)} sources, at most {MAX_SOURCES} can be ordered")
     return list(enumerate(sorted(sources, key=lambda s: s.name)))
@@ -169,10 +175,10 @@ def with_own_places(projects: DataFrame, staging: StagingArea) -> DataFrame:
     return projects.join(repeated, "ord", "left_anti").select(*projects.columns).union(again)
 
 
-def harmonise(sources: list[Source]) -> dict[str, DataFrame]:
+def harmonise(sources: list[Source], ranks: Mapping[str, int] | None = None) -> dict[str, DataFrame]:
     """Bag union of every source, per entity, in the canonical schema, and ``rejects``."""
     parts: dict[str, list[DataFrame]] = {e: [] for e in ENTITIES}
-    for rank, source in ranked(sources):
+    for rank, source in ranked(sources, ranks):
         for entity in ENTITIES:
             rows = harmonise_entity(source, rank, entity)
             if rows is not None:

@@ -284,9 +284,18 @@ def assign_clusters(projects: DataFrame, staging: StagingArea | None = None) ->
 
 def assign_by_keys(keys: DataFrame, staging: StagingArea) -> DataFrame:
     """:func:`assign_clusters` from staged keys."""
+    return assign_linked(keys, staging).select("ord", "label")
+
+
+def assign_linked(keys: DataFrame, staging: StagingArea) -> DataFrame:
+    """(ord, label, component): clusters, and the records that could ever have met.
+
+    Records of different components share no URL, DOI or title text, so what happens in one
+    changes nothing in another.
+    """
     state, n = shared_keys(staging, keys)
     if not n:
-        return keys.select("ord", F.col("ord").alias("label"))
+        return keys.select("ord", F.col("ord").alias("label"), F.col("ord").alias("component"))
     # first guess: the smallest carrier of the URL, else of the DOI, else alone
     guess = F.coalesce(
         F.when(F.col("url_k") < F.col("ord"), F.col("url_k")),
@@ -308,14 +317,17 @@ def assign_by_keys(keys: DataFrame, staging: StagingArea) -> DataFrame:
         log.info("merge round %d: %d records, %d moved", rounds, seen["n"], seen["moved"])
         rounds += 1
         if not seen["moved"]:
-            state.select("ord", "label").write.mode("append").parquet(settled)
+            state.select("ord", "label", "component").write.mode("append").parquet(settled)
             break
         moving = state.where("label <> was").select("component").distinct()
-        state.join(moving, "component", "left_anti").select("ord", "label").write.mode("append").parquet(settled)
+        state.join(moving, "component", "left_anti").select("ord", "label", "component").write.mode("append").parquet(settled)
         state = state.join(moving, "component", "left_semi")
     # records that share no key are clusters of their own
-    linked = keys.sparkSession.read.schema("ord long, label long").parquet(settled).where("label <> ord")
-    return keys.select("ord").join(linked, "ord", "left").select("ord", F.coalesce("label", "ord").alias("label"))
+    linked = keys.sparkSession.read.schema("ord long, label long, component long").parquet(settled)
+    linked = linked.where("label <> ord or component <> ord")
+    return keys.select("ord").join(linked, "ord", "left").select(
+        "ord", F.coalesce("label", "ord").alias("label"), F.coalesce("component", "ord").alias("component")
+    )
 
 
 def first_non_null(columns: list[str], order: str = "ord") -> list[Column]:

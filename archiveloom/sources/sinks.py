@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from archiveloom.operators.harmonise import project_to
 from archiveloom.operators.validate import validate
 from archiveloom.schema import PUBLISHED_COLUMNS, Archive
+from archiveloom.sources.snapshots import Snapshots
 
 
 class ConstraintViolations(ValueError):
@@ -25,22 +26,31 @@ def write_tables(archive: Archive, path: str) -> None:
         published(entity, df).write.mode("errorifexists").parquet(f"{path}/{entity}")
 
 
-def read_tables(spark: SparkSession, path: str, entities: list[str] | None = None) -> Archive:
-    names = entities or list(PUBLISHED_COLUMNS)
-    return Archive(**{e: spark.read.parquet(f"{path}/{e}") for e in names})
+def read_tables(spark: SparkSession, path: str, entities: list[str] | None = None, version: int | None = None) -> Archive:
+    """Tables as published, the latest version unless one is given, or as :func:`write_tables` left them."""
+    snapshots = Snapshots(spark, path)
+    if snapshots.latest() is None and version is None:
+        return Archive(**{e: spark.read.parquet(f"{path}/{e}") for e in entities or list(PUBLISHED_COLUMNS)})
+    names = entities or [e for e in PUBLISHED_COLUMNS if e in snapshots.at(version).folders]
+    return Archive(**{e: snapshots.read(e, version) for e in names})
 
 
 def publish(archive: Archive, path: str, apply: bool = False) -> list[tuple[str, int]]:
-    """Check the archive and, with ``apply``, write it to a new path.
+    """Check the archive and, with ``apply``, make it the next version under ``path``.
 
     Returns the broken rules (one row per rule at most). Nothing is written unless there is
-    none; with ``apply`` a broken rule is an error.
+    none; with ``apply`` a broken rule is an error. All tables change at once: until the last one
+    is written readers see the version before, and a failed publish can be repeated.
     """
     broken = [(r["rule"], r["violations"]) for r in validate(archive).collect()]
     if broken and apply:
         raise ConstraintViolations("; ".join(f"{rule}: {n}" for rule, n in broken))
     if apply:
-        write_tables(archive, path)
+        draft = Snapshots(archive.projects.sparkSession, path).draft()
+        draft.folders, draft.schemas = {}, {}  # an entity the archive lacks is not the old one
+        for entity, df in archive.tables().items():
+            draft.write(entity, published(entity, df))
+        draft.commit()
     return broken
 
 
