@@ -655,6 +655,17 @@ SQL["dedupe_projects"] = """RECURSIVE
        WHERE o.k IS NOT NULL AND (s.k IS NULL OR o.kind IN ('n', 'f'))))
     SELECT CAST(k AS BIGINT) AS ord, CAST(v AS BIGINT) AS label FROM state WHERE kind = 'l'"""
 
+SQL["merge_increment"] = SQL["dedupe_projects"]
+SQL["merge_decrement"] = SQL["dedupe_projects"].replace("FROM keyed)", "FROM keyed WHERE source_name <> 'de')")
+CTES["ids_before"] = """
+    SELECT local_id, min(ord) AS founder, row_number() OVER (ORDER BY min(ord)) AS id
+    FROM records WHERE source_name NOT IN ('de', 'mirror_fr') GROUP BY local_id"""
+SQL["stable_ids"] = """
+    SELECT label, coalesce(kept, (SELECT count(*) FROM ids_before) + row_number() OVER (PARTITION BY kept IS NULL ORDER BY label)) AS id,
+           greatest(n - 1, 0) AS retired
+    FROM (SELECT r.local_id // 2 AS pair, min(r.ord) AS label, min(i.id) AS kept, count(DISTINCT i.id) AS n
+          FROM records r LEFT JOIN ids_before i ON i.founder = r.ord GROUP BY 1)"""
+
 _MERGED_FIELDS = ("title", "doi", "project_url", "repository_id")
 _steps, _labels = SQL["dedupe_projects"].rsplit("\n", 1)
 SQL["merged_archive"] = _steps + f""",

@@ -16,8 +16,10 @@ from archiveloom.functions import text as tx
 from archiveloom.operators import clean as cl
 from archiveloom.operators import counts as ct
 from archiveloom.operators import harmonise as hz
+from archiveloom.operators import increment as inc
 from archiveloom.operators import keywords as kw
 from archiveloom.operators import language as lg
+from archiveloom.operators import ledger as lgr
 from archiveloom.operators import merge as mg
 from archiveloom.operators import project_type as pt
 from archiveloom.operators import ranks as rk
@@ -298,6 +300,51 @@ def dedupe_projects(spark, sf):
     return mg.assign_clusters(_harvested_projects(spark, sf))
 
 
+LATE = "de"  # a source that comes after the others and ranks before nearly all of them
+
+
+def _keys_of(spark, sf, names=None) -> DataFrame:
+    """Match keys of some sources, at the places they have among all."""
+    every = b.sources(spark, sf)
+    ranks = {s.name: r for r, s in hz.ranked(every)}
+    return mg.match_keys(hz.harmonise([s for s in every if names is None or s.name in names], ranks)["projects"])
+
+
+@query
+def merge_increment(spark, sf):
+    """All sources but one are merged, then the one that ranks first of them comes in."""
+    path = StagingArea(spark, "merge-increment").path
+    names = {s.name for s in b.sources(spark, sf)}
+    inc.start(_keys_of(spark, sf, names - {LATE}), path)
+    inc.update(spark, path, _keys_of(spark, sf, {LATE}))
+    return inc.assignment(spark, path).select("ord", "label")
+
+
+@query
+def merge_decrement(spark, sf):
+    """All sources are merged, then the records of one are taken out."""
+    path = StagingArea(spark, "merge-decrement").path
+    inc.start(_keys_of(spark, sf), path)
+    inc.update(spark, path, removed=_keys_of(spark, sf, {LATE}).select("ord"))
+    return inc.assignment(spark, path).select("ord", "label")
+
+
+@query
+def stable_ids(spark, sf):
+    """Ids of clusters by document; then more sources come, and neighbouring documents become one cluster."""
+    path = StagingArea(spark, "stable-ids").path
+    rows = _harvested_projects(spark, sf).select("ord", "source_name", "local_id")
+
+    def by(records, key):
+        first = records.groupBy(key.alias("k")).agg(F.min("ord").alias("label"))
+        return records.select("ord", key.alias("k")).join(first, "k").select("ord", "label")
+
+    lgr.stable_ids(by(rows.where("source_name not in ('de', 'mirror_fr')"), F.col("local_id")), path)
+    ids = lgr.stable_ids(by(rows, F.floor(F.col("local_id") / 2)), path)
+    retired = lgr.forwarded(spark, path).groupBy(F.col("into").alias("id")).agg(F.count(F.lit(1)).alias("retired"))
+    return ids.join(retired, "id", "left").select("label", "id", F.coalesce("retired", F.lit(0)).cast("bigint").alias("retired"))
+
+
 def _by_document(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Records with an assignment that both engines can state: by document number."""
     rows = _harvested_projects(spark, sf)
