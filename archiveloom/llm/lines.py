@@ -45,8 +45,8 @@ LETTER = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]"  # ASCII letters and everything beyon
 
 def normalised(line: Column) -> Column:
     plain = F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D]+", " "))
-    numberless = F.regexp_replace(plain, "(?<![^ ])[0-9]+(?![^ ])", "0")
-    return F.when(plain.rlike(LETTER), numberless).otherwise(plain)
+    numberless = F.regexp_replace(plain, "(^| )[0-9]+(?= |$)", "$10")  # group 1 and a 0
+    return F.when(plain.rlike("[0-9]") & plain.rlike(LETTER), numberless).otherwise(plain)
 
 
 def base_counts(text: str) -> dict[str, Column]:
