@@ -81,7 +81,7 @@ def resolve_sources(spark, sf):
     entities = hz.harmonise(b.sources(spark, sf))
     counted = [
         df.groupBy("source_name").agg(F.count(F.lit(1)).alias("n")).select(F.lit(e).alias("entity"), "source_name", "n")
-        for e, df in entities.items()
+        for e, df in entities.items() if e in ("projects", "keywords")
     ]
     return counted[0].union(counted[1])
 

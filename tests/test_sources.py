@@ -2,6 +2,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from archiveloom import dimensions as dim
 from archiveloom.operators import harmonise as hz
@@ -40,17 +41,41 @@ def test_repository_id_text_is_cast_or_null(spark):
     assert rows(got.select("local_id", "repository_id")) == [(1, 7), (2, None)]
 
 
-def test_bad_ids_are_set_aside(spark):
-    """Text, missing, negative and repeated ids stop nothing and are listed."""
-    good = spark.createDataFrame([("1", "One"), ("x9", "Text"), (None, "None"), ("-4", "Minus"), ("1", "Again")], "ID string, title string")
-    kids = spark.createDataFrame([("a", "1", "k1"), (None, "1", "k2"), (None, "1", "k2"), ("-1", "x9", "lost")], "id string, project_id string, keyword string")
-    archive = merge_sources([hz.Source("s", {"projects": good, "keywords": kids})])
-    assert rows(archive.extras["rejects"]) == [
-        ("s", "-4", "id out of range"), ("s", "x9", "id is no whole number"), ("s", None, "no id"),
-    ]
-    assert rows(archive.projects.select("title")) == [("Again",), ("One",)]  # each row of an id counts
-    assert rows(archive.extras["stats"].select("records", "clusters")) == [(2, 2)]
-    assert rows(archive.keywords.select("keyword")) == [("k1",), ("k2",)]
+def test_ids_of_any_value(spark):
+    """Text, negative, very large and repeated ids are projects like any other; only a missing id is listed."""
+    good = spark.createDataFrame(
+        [("1", "One"), ("x9", "Text"), (None, "None"), ("-4", "Minus"), ("1", "Again"), (str(2**62), "Large"), ("x9", "Text too")], "ID string, title string"
+    )
+    kids = spark.createDataFrame(
+        [("a", "1", "k1"), (None, "1", "k2"), (None, "1", "k2"), ("-1", "x9", "of text"), ("-1", "x8", "lost"), ("5", "-4", "of minus"), ("6", str(2**62), "of large"), ("7", None, "lost")],
+        "id string, project_id string, keyword string",
+    )
+    archive = merge_sources([hz.Source("s", {"projects": good, "keywords": kids}), hz.Source("t", {"projects": good.where("ID = 'x9'")})])
+    assert rows(archive.extras["rejects"]) == [("s", None, "no id")]
+    assert rows(archive.projects.select("title")) == sorted([("Again",), ("One",), ("Text",), ("Minus",), ("Large",), ("Text too",)] + [("Text",), ("Text too",)])
+    assert rows(archive.extras["stats"].select("sources", "records", "clusters")) == [(2, 8, 8)]
+    titles = archive.projects.select(F.col("id").alias("project_id"), "title")
+    found = rows(archive.keywords.join(titles, "project_id").select("keyword", "title"))
+    assert [f for f in found if f[0][0] == "o"] == [("of large", "Large"), ("of minus", "Minus"), ("of text", dict(found)["of text"])]
+    assert dict(found)["of text"] in ("Text", "Text too") and [f[0] for f in found if f[0][0] != "o"] == ["k1", "k2"]
+
+
+def test_a_third_of_all_rows_repeats_one_id(spark):
+    many = spark.range(3000).selectExpr("case when id % 3 = 0 then 7 else id end as id", "concat('t', id) as title")
+    archive = merge_sources([hz.Source("s", {"projects": many})])
+    assert archive.projects.count() == 3000 and archive.extras["assignment"].select("ord").distinct().count() == 3000
+
+
+def test_places_of_very_many_sources(spark):
+    assert [hz.local_bits(n) for n in (1, 2, 2048, 2049, 5000, 1 << 20)] == [52, 52, 52, 51, 50, 43]
+    bits = hz.local_bits(5000)
+    top = spark.range(1).select(hz.row_order(4999, F.lit(hz.local_ids(bits) - 1), bits), hz.row_order(4999, F.lit(hz.local_ids(bits)), bits)).first()
+    assert top[0] < 2**63 and top[0] >> bits == 4999 and top[1] is None
+
+
+def test_children_without_ids_do_not_depend_on_the_split(spark):
+    good = spark.createDataFrame([("1", "One")], "ID string, title string")
+    kids = spark.createDataFrame([("a", "1", "k1"), (None, "1", "k2"), (None, "1", "k2")], "id string, project_id string, keyword string")
     # ids of children that have none do not depend on how the input is split
     ids = lambda n: rows(hz.harmonise([hz.Source("s", {"projects": good, "keywords": kids.repartition(n)})])["keywords"].select("keyword", "ord"))
     assert ids(1) == ids(5)
