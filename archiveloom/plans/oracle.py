@@ -666,6 +666,31 @@ SQL["stable_ids"] = """
     FROM (SELECT r.local_id // 2 AS pair, min(r.ord) AS label, min(i.id) AS kept, count(DISTINCT i.id) AS n
           FROM records r LEFT JOIN ids_before i ON i.founder = r.ord GROUP BY 1)"""
 
+SQL["cube_delta"] = """
+    SELECT repository_id, type, coalesce(nullif(primary_class, ''), 'UNCLASSIFIED') AS primary_class, count(*) AS n, min(id) AS first_id
+    FROM (SELECT id, repository_id, CASE WHEN id % 7 = 0 THEN 'QDA_PROJECT' ELSE type END AS type, primary_class
+          FROM projects WHERE id % 11 <> 0) GROUP BY 1, 2, 3"""
+
+CTES["grams"] = r"""
+    SELECT doc_id, lang, len(grams) AS n_grams, unnest(grams) AS gram
+    FROM (SELECT doc_id, lang, list_transform(range(1, length(line) - 1), lambda i: substr(line, i, 3)) AS grams
+          FROM (SELECT doc_id, lang, ' ' || trim(regexp_replace(lower(text), '(?:[^\p{L}]|[\x{10000}-\x{10FFFF}])+', ' ', 'g')) || ' ' AS line FROM documents))"""
+CTES["gram_counts"] = "SELECT lang, gram, count(*) AS n FROM grams WHERE doc_id % 4 <> 2 AND lang IS NOT NULL GROUP BY ALL"
+CTES["profiles"] = """
+    SELECT lang, gram, round(1000000 * ln((n + 1)::DOUBLE))::BIGINT AS weight, -round(1000000 * ln((total + kinds)::DOUBLE))::BIGINT AS base
+    FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS place, sum(n) OVER (PARTITION BY lang) AS total,
+                 (SELECT count(DISTINCT gram) FROM gram_counts) AS kinds FROM gram_counts)
+    WHERE place <= 1000"""
+CTES["profiled"] = """
+    SELECT doc_id, arg_min(lang, (-total, lang)) AS detected, (max(total) // any_value(n_grams))::BIGINT AS score
+    FROM (SELECT g.doc_id, p.lang, any_value(n_grams) AS n_grams, (sum(weight) + any_value(n_grams) * any_value(base))::BIGINT AS total
+          FROM grams g JOIN profiles p USING (gram) GROUP BY g.doc_id, p.lang)
+    GROUP BY doc_id"""
+SQL["detect_by_profiles"] = "SELECT doc_id, detected, score FROM documents LEFT JOIN profiled USING (doc_id)"
+SQL["profile_accuracy"] = """
+    SELECT d.lang AS truth, coalesce(p.detected, 'none') AS detected, count(*) AS n
+    FROM documents d LEFT JOIN profiled p USING (doc_id) WHERE doc_id % 4 = 2 GROUP BY ALL"""
+
 _MERGED_FIELDS = ("title", "doi", "project_url", "repository_id")
 _steps, _labels = SQL["dedupe_projects"].rsplit("\n", 1)
 SQL["merged_archive"] = _steps + f""",

@@ -15,12 +15,14 @@ from archiveloom.functions import files as fx
 from archiveloom.functions import text as tx
 from archiveloom.operators import clean as cl
 from archiveloom.operators import counts as ct
+from archiveloom.operators import cube as cb
 from archiveloom.operators import harmonise as hz
 from archiveloom.operators import increment as inc
 from archiveloom.operators import keywords as kw
 from archiveloom.operators import language as lg
 from archiveloom.operators import ledger as lgr
 from archiveloom.operators import merge as mg
+from archiveloom.operators import profiles as pf
 from archiveloom.operators import project_type as pt
 from archiveloom.operators import ranks as rk
 from archiveloom.operators import taxonomy as tax
@@ -269,6 +271,18 @@ def cleaning_audit(spark, sf):
     return cl.cleaning_audit(rows, b.files(spark, sf), b.people(spark, sf))
 
 
+@query
+def cube_delta(spark, sf):
+    """The cube after projects came, went and changed their type, from the changes."""
+    every = b.projects(spark, sf).select("id", "repository_id", "type", "primary_class")
+    old = every.where("id % 10 <> 3")
+    cube, _ = StagingArea(spark, "cube").write(cb.cells(old), "cube")
+    retyped = F.when(F.col("id") % 7 == 0, "QDA_PROJECT").otherwise(F.col("type"))
+    now = every.where("id % 11 <> 0").withColumn("type", retyped)
+    changed = "id % 11 = 0 or id % 7 = 0"
+    return cb.maintained(cube, old.where(changed), now.where(f"{changed} or id % 10 = 3"), now)
+
+
 # --- merge --------------------------------------------------------------------------------
 
 
@@ -713,6 +727,25 @@ def language_accuracy(spark, sf):
     return lg.detection_accuracy(b.texts(spark, sf), "text", "lang")
 
 
+def _by_profiles(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Texts, and their languages by profiles learned from three quarters of them."""
+    texts = b.texts(spark, sf)
+    profiles, _ = StagingArea(spark, "profiles").write(pf.learn_profiles(texts.where("doc_id % 4 <> 2")), "profiles")
+    return texts, pf.detect_by_profiles(texts, profiles)
+
+
+@query
+def detect_by_profiles(spark, sf):
+    return _by_profiles(spark, sf)[1].select("doc_id", "detected", "score")
+
+
+@query
+def profile_accuracy(spark, sf):
+    """Texts that no profile was learned from."""
+    texts, found = _by_profiles(spark, sf)
+    return pf.accuracy(found, texts.where("doc_id % 4 = 2"))
+
+
 # --- scalar expressions -------------------------------------------------------------------
 
 
