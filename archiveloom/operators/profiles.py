@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from archiveloom.operators.skew import broadcast_if_small
+from archiveloom.staging import StagingArea
 
 # All but letters, and letters that take two UTF-16 units, which the trigram pattern would cut
 NO_LETTERS = r"(?:[^\p{L}]|[\x{10000}-\x{10FFFF}])+"
@@ -40,14 +41,15 @@ def learn_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang",
         known.select(F.col(lang).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
         .groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
     )
-    kinds = counts.agg(F.count_distinct("gram").alias("_kinds"))
+    counts, _ = StagingArea(labelled.sparkSession, "profiles").write(counts, "counts")
+    kinds = counts.agg(F.count_distinct("gram")).first()[0]
     totals = counts.groupBy(F.col("lang").alias("_lang")).agg(F.sum("n").alias("_total"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     top = counts.withColumn("_place", place).where(F.col("_place") <= size)
     scaled = lambda c: F.round(MILLION * F.log(c)).cast("bigint")
     return (
-        top.join(F.broadcast(totals), F.col("lang") == F.col("_lang")).crossJoin(F.broadcast(kinds))
-        .select("lang", "gram", scaled((F.col("n") + 1).cast("double")).alias("weight"), (-scaled((F.col("_total") + F.col("_kinds")).cast("double"))).alias("base"))
+        top.join(totals, F.col("lang") == F.col("_lang"))
+        .select("lang", "gram", scaled((F.col("n") + 1).cast("double")).alias("weight"), (-scaled((F.col("_total") + kinds).cast("double"))).alias("base"))
     )
 
 
