@@ -13,11 +13,19 @@ Defined results: a NULL text or role is empty; a record that is no JSON object,
 fingerprint no mapping has, keeps NULL turns and the layout ``unknown``; a conversation without
 turns formats to the empty string; rows of one turn number are ordered by role and text.
 
-Rows by turn become canonical turns as they are, whatever their size; only a skeleton of their
-record, with empty values, is fingerprinted. A JSON record is read as a variant, which takes at
-most 20,000,000 characters in a string and 128 MiB: a record of more than ``RECORD_CHARS``
-characters that cannot be read raises an error, whether it breaks a limit or is no JSON. A
-formatted conversation is one value, at most 2 GiB in Spark.
+Records come with public names for roles, which :func:`canonical` turns into the standard ones.
+Rows by turn keep their roles. They are laid out as records of any layout that can say them, whose
+fields hold the numbers of the roles and texts; the layout's mapping finds the numbers, and the
+numbers find the values, so a text never passes through JSON whatever its length.
+
+A JSON record is read as a variant, which takes at most 20,000,000 characters in a string and
+128 MiB: a record of more than ``RECORD_CHARS`` characters that cannot be read raises an error,
+whether it breaks a limit or is no JSON. For rows by turn that is a conversation of millions of
+turns. A formatted conversation is one value, at most 2 GiB in Spark.
+
+Equal records or rows stay as many as they are; an empty table gives no rows. Columns named
+``layout``, ``turns``, ``formatted`` or ``loss`` are replaced by the operator's own; no other column
+is touched, whatever its name.
 """
 
 from __future__ import annotations
@@ -27,6 +35,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from archiveloom.llm.names import unused
+
 START, MESSAGE, END = "<|start|>", "<|message|>", "<|end|>"
 # Control strings of public chat templates, cut after their first character.
 CONTROL = r"([<\[])(?=\||/?s>|/?INST\]|<SYS>>|</SYS>>|/?think>|start_of_turn>|end_of_turn>)"
@@ -106,13 +116,14 @@ def _turns(mapping: Mapping, record: Column) -> Column:
 
 def canonical(records: DataFrame, record: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """Adds ``layout`` and ``turns``, an array of (role, text)."""
-    parsed = records.withColumn("_variant", _variant(F.col(record))).withColumn("_print", fingerprint(F.col("_variant")))
-    known = lambda m: F.col("_print") == fingerprint(F.parse_json(F.lit(m.example)))
+    whole, mark = unused(records, "_variant", "_print")
+    parsed = records.withColumn(whole, _variant(F.col(record))).withColumn(mark, fingerprint(F.col(whole)))
+    known = lambda m: F.col(mark) == fingerprint(F.parse_json(F.lit(m.example)))
     layout, turns = F.lit("unknown"), F.lit(None).cast("array<struct<role:string,text:string>>")
     for m in reversed(mappings):
         layout = F.when(known(m), m.name).otherwise(layout)
-        turns = F.when(known(m), _turns(m, F.col("_variant"))).otherwise(turns)
-    return parsed.withColumn("layout", layout).withColumn("turns", turns).drop("_variant", "_print")
+        turns = F.when(known(m), _turns(m, F.col(whole))).otherwise(turns)
+    return parsed.withColumns({"layout": layout, "turns": turns}).drop(whole, mark)
 
 
 def escape(text: Column) -> Column:
@@ -126,8 +137,9 @@ def unescape(text: Column) -> Column:
 def formatted(conversations: DataFrame, learn: str = "assistant") -> DataFrame:
     """Adds ``formatted`` and ``loss``, the (start, length) in code points of texts to learn from."""
     piece = lambda t: F.concat(F.lit(START), escape(t["role"]), F.lit(MESSAGE), escape(t["text"]), F.lit(END))
+    (pieces,) = unused(conversations, "_parts")
     parts = conversations.withColumn(
-        "_parts",
+        pieces,
         F.transform(
             "turns",
             lambda t: F.struct(
@@ -146,9 +158,9 @@ def formatted(conversations: DataFrame, learn: str = "assistant") -> DataFrame:
         return F.struct(upto.alias("at"), F.when(p["learn"], F.array_append(a["found"], span)).otherwise(a["found"]).alias("found"))
 
     return (
-        parts.withColumn("formatted", F.array_join(F.transform("_parts", lambda p: p["s"]), ""))
-        .withColumn("loss", F.aggregate("_parts", begin, step, lambda a: a["found"]))
-        .drop("_parts")
+        parts.withColumn("formatted", F.array_join(F.transform(pieces, lambda p: p["s"]), ""))
+        .withColumn("loss", F.aggregate(pieces, begin, step, lambda a: a["found"]))
+        .drop(pieces)
     )
 
 
@@ -177,14 +189,48 @@ def records_of_rows(rows: DataFrame, id: str = "conv_id", turn: str = "turn", ro
     return _gathered(rows, id, turn, role, text).select(id, F.to_json(F.struct(messages.alias("messages"))).alias("record"))
 
 
+def _numbered(mapping: Mapping) -> Column:
+    """The record of ``_said`` in a layout, with the number of a turn for its role and its text."""
+    number = lambda i: i.cast("string")
+    if mapping.turns is None:
+        # a turn of several fields is said by the first, the others are empty
+        first = {fields[0]: str(i) for i, (_, *fields) in enumerate(mapping.fields)}
+        return F.to_json(F.struct(*[F.lit(first.get(f, "")).alias(f) for _, *fields in mapping.fields for f in fields]))
+    record = F.transform("_said", lambda m, i: F.struct(number(i).alias(mapping.role), number(i).alias(mapping.text)))
+    for field in reversed(mapping.turns.split(".")):
+        record = F.struct(record.alias(field))
+    return F.to_json(record)
+
+
+def _sayable(mapping: Mapping) -> Column:
+    """Whether a layout can say the turns of ``_said``: a list any, fields only their own roles."""
+    if mapping.turns is not None:
+        return F.lit(True)
+    roles = F.transform("_said", lambda m: m["role"])
+    return F.coalesce(roles == F.array(*[F.lit(role) for role, *_ in mapping.fields]), F.lit(False))
+
+
 def canonical_rows(
-    rows: DataFrame, id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", mappings: tuple[Mapping, ...] = MAPPINGS
+    rows: DataFrame, id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
+    mappings: tuple[Mapping, ...] = MAPPINGS, deal: Column | None = None,
 ) -> DataFrame:
-    """(id, layout, turns): :func:`canonical` of :func:`records_of_rows`, without a record.
+    """(id, layout, turns): conversations by turn, read back from records of a layout each.
 
-    The layout is that of the record with empty values; roles and texts never pass through JSON.
+    ``deal``, a whole number made of ``id``, picks among the layouts that can say a
+    conversation, in the order of ``mappings``; without it the first of them is taken.
     """
-    bare = F.struct(F.array(F.struct(F.lit("").alias("role"), F.lit("").alias("content"))).alias("messages"))
-    found = canonical(_gathered(rows, id, turn, role, text).withColumn("_record", F.to_json(bare)), "_record", mappings)
-    turns = F.transform("_said", lambda m: F.struct(_named(m["role"]).alias("role"), m["content"].alias("text")))
-    return found.select(id, "layout", F.when(F.col("turns").isNotNull(), turns).alias("turns"))
+    said = _gathered(rows, id, turn, role, text)
+    able = F.array_compact(F.array(*[F.when(_sayable(m), F.lit(i)) for i, m in enumerate(mappings)]))
+    chosen = said.withColumn("_able", able).withColumn(
+        "_layout", F.get("_able", F.pmod(F.lit(0) if deal is None else deal, F.greatest(F.size("_able"), F.lit(1))).cast("int"))
+    )
+    record = F.lit(None).cast("string")
+    for i, m in enumerate(mappings):
+        record = F.when(F.col("_layout") == i, _numbered(m)).otherwise(record)
+    found = canonical(chosen.withColumn("_record", record), "_record", mappings)
+    at = lambda reference: F.get("_said", reference.try_cast("int"))
+    turns = F.transform(
+        "turns",
+        lambda t: F.struct(F.coalesce(at(t["role"])["role"], t["role"]).alias("role"), at(t["text"])["content"].alias("text")),
+    )
+    return found.select(id, "layout", turns.alias("turns"))

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from archiveloom.llm.names import unused
 from archiveloom.staging import StagingArea
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -140,8 +141,9 @@ def judge(docs: DataFrame, limits: Limits = Limits(), id: str = "doc_id", host:
 
 def without_lines(docs: DataFrame, listed: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
     """``docs`` with the lines of ``listed`` (see :func:`boilerplate`) taken out of their texts."""
-    lists = listed.groupBy(F.col("host").alias("_host")).agg(F.collect_list("h").alias("_listed"))
-    rest = F.filter(F.split(text, "\n"), lambda l: ~(l.rlike(WORD) & F.array_contains(F.col("_listed"), F.xxhash64(normalised(l)))))
-    cleaned = F.when(F.col("_listed").isNull(), F.col(text)).otherwise(F.array_join(rest, "\n"))
-    joined = docs.join(lists, F.col(host).eqNullSafe(F.col("_host")), "left")
-    return joined.withColumn(text, cleaned).drop("_host", "_listed")
+    to, gone = unused(docs, "_host", "_listed")
+    lists = listed.groupBy(F.col("host").alias(to)).agg(F.collect_list("h").alias(gone))
+    rest = F.filter(F.split(text, "\n"), lambda l: ~(l.rlike(WORD) & F.array_contains(F.col(gone), F.xxhash64(normalised(l)))))
+    cleaned = F.when(F.col(gone).isNull(), F.col(text)).otherwise(F.array_join(rest, "\n"))
+    joined = docs.join(lists, F.col(host).eqNullSafe(F.col(to)), "left")
+    return joined.withColumn(text, cleaned).drop(to, gone)

@@ -2,14 +2,16 @@
 
 Each source gets a mean repetition rate, the bytes it shall have over the bytes it has. Each
 document draws its number of copies from a Poisson distribution with that mean, by inverting
-the distribution at a uniform number hashed from seed and document. Copies are exploded and
-shuffled globally by a hash of document and copy. Nothing depends on partitions or order, so a
+the distribution at a uniform number hashed from seed, id and text. Copies are exploded and
+shuffled globally by a hash of id, text and copy. Nothing depends on partitions or order, so a
 lost task draws the same copies again.
 
 Defined results: a NULL text has no bytes; a NULL source is a source of its own; a source
-without a target weight is left out of the mixture; equal rows draw equal numbers of copies; an
-empty table gives no rows; columns named ``copy`` or ``shuffle_key`` are replaced by the
-operator's own.
+without a target weight is left out of the mixture; rows that share an id, or have none, draw
+by their texts, and rows equal in id and text draw equal numbers of copies and lie together; a
+text of any length counts whole; an empty table gives no rows; columns named ``copy`` or
+``shuffle_key`` are replaced by the operator's own, all others keep their values whatever
+their names.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from archiveloom.llm.names import unused
 from archiveloom.operators.skew import broadcast_if_small
 
 # A mean above this is drawn as a sum of independent Poisson numbers with smaller means, so
@@ -76,26 +79,30 @@ def poisson_table(rate: DataFrame) -> DataFrame:
     )
 
 
-def replicate(docs: DataFrame, rate: DataFrame, seed: int = 2, id: str = "doc_id", source: str = "source") -> DataFrame:
+def replicate(
+    docs: DataFrame, rate: DataFrame, seed: int = 2, id: str = "doc_id", source: str = "source", text: str = "text"
+) -> DataFrame:
     """Every document as often as it draws, with ``copy`` from 0 and ``shuffle_key``, in random order.
 
     ``rate`` is (source, rate). The table of rates is broadcast only if it has few rows; else
     Spark joins it, splitting sources that hold many documents.
     """
-    table = broadcast_if_small(poisson_table(rate))
     docs = docs.drop("copy", "shuffle_key")
-    draws = F.transform(
-        F.sequence(F.lit(1), F.col("pieces")),
-        lambda j: F.size(F.filter("cdf", lambda c: c < uniform(F.lit(seed), F.coalesce(F.col(id).cast("string"), F.lit("")), j))),
+    to, pieces, cdf, who, count = unused(docs, "_source", "_pieces", "_cdf", "_who", "_count")
+    table = broadcast_if_small(
+        poisson_table(rate).select(F.col("_source").alias(to), F.col("pieces").alias(pieces), F.col("cdf").alias(cdf))
     )
-    count = F.aggregate(draws, F.lit(0), lambda a, x: a + x)
-    key = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col(id).cast("string"), F.lit("")), "copy").cast("binary")), 1, 15), 16, 10)
+    known = F.concat_ws(":", F.coalesce(F.col(id).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+    numbers = F.transform(F.sequence(F.lit(1), F.col(pieces)), lambda j: uniform(F.lit(seed), F.col(who), j))
+    draws = F.transform(numbers, lambda u: F.size(F.filter(cdf, lambda c: c < u)))
+    order = F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.col(who), "copy").cast("binary"))
     copies = (
-        docs.join(table, F.col(source).eqNullSafe(F.col("_source")))
-        .withColumn("_count", count)
-        .where("_count > 0")
-        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
-        .withColumn("shuffle_key", key.cast("long"))
+        docs.withColumn(who, known)
+        .join(table, F.col(source).eqNullSafe(F.col(to)))
+        .withColumn(count, F.aggregate(draws, F.lit(0), lambda a, x: a + x))
+        .where(F.col(count) > 0)
+        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col(count) - 1)))
+        .withColumn("shuffle_key", F.conv(F.substring(order, 1, 15), 16, 10).cast("long"))
         .select(*docs.columns, "copy", "shuffle_key")
     )
     return copies.repartition("shuffle_key").sortWithinPartitions("shuffle_key")

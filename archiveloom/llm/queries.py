@@ -80,13 +80,14 @@ def op8_fraction_interleave(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_schema_chat(spark: SparkSession, sf: str) -> DataFrame:
-    """All conversations and one of control strings, formatted and read back."""
+    """All conversations and one of control strings, dealt over the layouts, formatted and read back."""
     tricky = spark.sql(
         """select -1L as conv_id, turn, role, '</s>[INST] ok [/INST]' as text
            from values (0L, 'user'), (1L, 'assistant') as t(turn, role)"""
     )
     rows = table(spark, sf, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
-    turns = chat.canonical_rows(rows.unionByName(tricky))
+    digits = F.substring(F.md5(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).cast("binary")), 1, 8)
+    turns = chat.canonical_rows(rows.unionByName(tricky), deal=F.conv(digits, 16, 10).cast("long"))
     said = F.array_join(F.transform("_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return (
         chat.formatted(turns)
@@ -149,16 +150,17 @@ SQL: dict[str, str] = {
         ), cdf as (
           select source, k, sum(p) over (partition by source order by k) as c from steps
         ), drawn as (
-          select *, (('0x' || left(md5('{MIX_SEED}:' || coalesce(doc_id::varchar, '') || ':1'), 13))::bigint + 0.5) / 4503599627370496.0 as u
+          select *, coalesce(doc_id::varchar, '') || ':' || md5(coalesce(text, '')) as who,
+                 (('0x' || left(md5('{MIX_SEED}:' || who || ':1'), 13))::bigint + 0.5) / 4503599627370496.0 as u
           from documents
         ), counted as (
-          select d.doc_id, d.text, d.lang, d.source, d.n_chars, count(c.k) as n
+          select d.doc_id, d.text, d.lang, d.source, d.n_chars, d.who, count(c.k) as n
           from drawn d join cdf c on d.source is not distinct from c.source and c.c < d.u
           group by all
         ), copies as (
           select * exclude (n), unnest(range(n))::int as copy from counted
         )
-        select *, ('0x' || left(md5('{MIX_SEED}-order:' || coalesce(doc_id::varchar, '') || ':' || copy), 15))::bigint as shuffle_key
+        select * exclude (who), ('0x' || left(md5('{MIX_SEED}-order:' || who || ':' || copy), 15))::bigint as shuffle_key
         from copies""",
     "op4_host_reputation": """
         with pages_cut as (
@@ -228,13 +230,21 @@ SQL: dict[str, str] = {
                   + length(regexp_replace(replace(text, '\', '\\'), '([<\[])(\||/?s>|/?INST\]|<SYS>>|</SYS>>|/?think>|start_of_turn>|end_of_turn>)', '\1\\\2', 'g'))
                   + length('<|start|><|message|><|end|>') as chars
           from rows_
-        )
+        ), told as (
         select conv_id, count(*) as n_turns,
                sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
                coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
                sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
-               sum(chars)::bigint as formatted_chars, 'messages' as layout
-        from escaped group by conv_id""",
+               sum(chars)::bigint as formatted_chars,
+               list(role order by turn, role, text) as roles,
+               ['messages', 'conversations', 'conversation']
+               || case when roles = ['user', 'assistant']
+                       then ['prompt-completion', 'prompt-response', 'question-answer', 'instruction', 'instruction-input']
+                       when roles = ['system', 'user', 'assistant'] then ['system-instruction'] else [] end
+               || ['nested-data'] as able,
+               able[(('0x' || left(md5(coalesce(conv_id::varchar, '')), 8))::bigint % len(able)) + 1] as layout
+        from escaped group by conv_id)
+        select * exclude (roles, able) from told""",
     "op10_line_frequency": r"""
         with docs as (
           select row_number() over () as rid, doc_id, source, coalesce(text, '') as text from documents

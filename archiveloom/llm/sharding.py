@@ -8,8 +8,9 @@ corpus's mixture to within one row per source and shard boundary.
 Law: ``rows``. Shards differ by one row at most. Copies of a text are separate rows.
 
 Defined results: a NULL source is a source of its own; a NULL text has no bytes; rows that are
-equal in id and text are interchangeable, each gets its own slot; an empty table gives no rows;
-other columns, whatever their names, are never looked at.
+equal in id and text are interchangeable, each gets its own slot; a text of any length is one
+row, counted whole; an empty table gives no rows; columns named ``shard`` or ``slot`` are
+replaced by the operator's own, others, whatever their names, are never looked at.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from archiveloom.llm.names import unused
 from archiveloom.llm.ranking import positions, unit
 from archiveloom.staging import StagingArea
 
@@ -70,17 +72,19 @@ def shard_rows(df: DataFrame, n_shards: int, seed: int = 8, id: str = "doc_id",
     Rows that are equal in id, source and text are told apart by counting them. Texts are
     shuffled twice, to count equal rows and to meet their places.
     """
+    rows = df.drop("shard", "slot")
+    i, s, h, n, mine_h, mine_n = unused(rows, "_id", "_source", "_hash", "_number", "_mine", "_copy")
+    copy = lambda cols: F.row_number().over(Window.partitionBy(*cols).orderBy(F.lit(0)))
     placed = interleave(df, n_shards, seed, id, source, text).select(
-        F.col(id).alias("_id"), F.col(source).alias("_source"), F.col("text_hash").alias("_hash"), "shard", "slot"
+        F.col(id).alias(i), F.col(source).alias(s), F.col("text_hash").alias(h), "shard", "slot"
     )
-    copy = lambda cols: F.row_number().over(Window.partitionBy(*cols).orderBy(F.lit(0)))
-    mine = df.drop("shard", "slot").withColumn("_h", F.xxhash64(text)).withColumn("_copy", copy([id, source, "_h"]))
-    theirs = placed.withColumn("_copy_no", copy(["_id", "_source", "_hash"]))
+    theirs = placed.withColumn(n, copy([i, s, h]))
+    mine = rows.withColumn(mine_h, F.xxhash64(text)).withColumn(mine_n, copy([id, source, mine_h]))
     same = (
-        F.col(id).eqNullSafe(F.col("_id")) & F.col(source).eqNullSafe(F.col("_source"))
-        & (F.col("_h") == F.col("_hash")) & (F.col("_copy") == F.col("_copy_no"))
+        F.col(id).eqNullSafe(F.col(i)) & F.col(source).eqNullSafe(F.col(s))
+        & (F.col(mine_h) == F.col(h)) & (F.col(mine_n) == F.col(n))
     )
-    return mine.join(theirs, same).drop("_id", "_source", "_hash", "_h", "_copy", "_copy_no")
+    return mine.join(theirs, same).drop(i, s, h, n, mine_h, mine_n)
 
 
 def write_shards(df: DataFrame, path: str) -> None:

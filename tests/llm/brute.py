@@ -81,12 +81,13 @@ def without_repeats(docs, k=13):
     return out
 
 
-def poisson(seed, id_, rate):
-    """Copies of a document, by inversion at the number its md5 gives."""
+def poisson(seed, id_, text, rate):
+    """Copies of a document, by inversion at the number the md5 of its id and text gives."""
+    who = f"{'' if id_ is None else id_}:{hashlib.md5((text or '').encode()).hexdigest()}"
     pieces = max(1, math.ceil(rate / 256.0))
     mean, total = rate / pieces, 0
     for j in range(1, pieces + 1):
-        u = (int(hashlib.md5(f"{seed}:{'' if id_ is None else id_}:{j}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        u = (int(hashlib.md5(f"{seed}:{who}:{j}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
         k, p, c = 0, math.exp(-mean), math.exp(-mean)
         while c < u and k < 10_000:
             k += 1

@@ -71,7 +71,7 @@ def test_pipeline(spark, tmp_path):
         size[source] += len((text or "").encode()) + 1
     weight = {s: n**queries.MIX_EXPONENT for s, n in size.items()}
     rate = {s: weight[s] / sum(weight.values()) * sum(size.values()) / size[s] for s in size}
-    want = {i: poisson(queries.MIX_SEED, i, rate[s]) for i, _, s in before}
+    want = {i: poisson(queries.MIX_SEED, i, t, rate[s]) for i, t, s in before}
     assert collections.Counter(ids(after)) == collections.Counter({i: n for i, n in want.items() if n})
 
     before, after = seen["sharding"]

@@ -98,8 +98,10 @@ def test_poisson_inversion(spark, docs, none):
     assert rates["s"] == pytest.approx(0.5 * sum(size.values()) / size["s"])
     assert max(rates.values()) > 256  # drawn as a sum of pieces
     got = collections.Counter(r["doc_id"] for r in mixing.replicate(docs, rate).collect())
-    want = {i: poisson(2, i, rates[s]) for i, s in [(r["doc_id"], r["source"]) for r in docs.collect()] if s in rates}
-    assert got == collections.Counter({i: n for i, n in want.items() if n})
+    want = collections.Counter()
+    for r in docs.collect():
+        want[r["doc_id"]] += poisson(2, r["doc_id"], r["text"], rates.get(r["source"], 0.0))
+    assert got == +want
     assert mixing.replicate(none, mixing.rates(mixing.source_sizes(none), weights)).count() == 0
 
 
@@ -114,6 +116,22 @@ def test_poisson_mean_and_copies(spark):
     assert out.select("doc_id", "copy").distinct().count() == out.count()
 
 
+def test_poisson_without_ids(spark):
+    """Rows without an id draw by their texts and are spread; names of columns do not matter."""
+    rows = spark.range(4000).select(
+        F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"), F.lit("s").alias("source"),
+        *[F.lit(i).alias(c) for i, c in enumerate(("rate", "pieces", "cdf", "_source", "_pieces", "_cdf", "_who", "_count"))],
+    )
+    rate = spark.createDataFrame([("s", 2.0)], "source string, rate double")
+    out = mixing.replicate(rows, rate)
+    assert out.columns == [*rows.columns, "copy", "shuffle_key"]
+    found = out.collect()
+    assert len(found) == pytest.approx(8000, rel=0.05) and len({r["shuffle_key"] for r in found}) == len(found)
+    assert {tuple(r[3:11]) for r in found} == {tuple(range(8))}
+    long = spark.createDataFrame([(1, "x" * 3_000_000, "s")], "doc_id long, text string, source string")
+    assert {len(r["text"]) for r in mixing.replicate(long, spark.createDataFrame([("s", 40.0)], "source string, rate double")).collect()} == {3_000_000}
+
+
 # 3 ------------------------------------------------------------------------------------------
 
 
@@ -328,6 +346,19 @@ def test_shards_match_the_mixture(spark, docs, none, monkeypatch, cell):
     assert sharding.shard_rows(none, 4).count() == 0
 
 
+def test_shards_keep_columns(spark):
+    names = ("_id", "_source", "_hash", "_number", "_mine", "_copy", "_copy_no", "_h", "id", "size")
+    rows = spark.range(50).select(
+        (F.col("id") % 7).alias("doc_id"), F.when(F.col("id") == 3, F.expr("repeat('y', 2000000)")).otherwise("t").alias("text"), F.lit("s").alias("source"),
+        *[F.lit(i).alias(c) for i, c in enumerate(names)],
+    )
+    out = sharding.shard_rows(rows, 4)
+    assert out.columns == [*rows.columns, "shard", "slot"]
+    found = out.collect()
+    check_shards(found, 4)
+    assert len(found) == 50 and {tuple(r[3:13]) for r in found} == {tuple(range(10))} and max(len(r["text"]) for r in found) == 2_000_000
+
+
 # 9 ------------------------------------------------------------------------------------------
 
 RECORDS = [
@@ -375,7 +406,7 @@ def test_long_turns(spark):
     turns = chat.canonical_rows(df)
     sizes = F.transform("turns", lambda t: F.struct(t["role"], F.length(t["text"])))
     got = {r["conv_id"]: (r["layout"], [tuple(t) for t in r["t"]]) for r in turns.select("conv_id", "layout", sizes.alias("t")).collect()}
-    assert got == {1: ("messages", [("user", 1), ("assistant", long)]), 2: ("messages", [("", 0)]), 3: ("messages", [("user", long)] * 7)}
+    assert got == {1: ("messages", [("human", 1), ("assistant", long)]), 2: ("messages", [("", 0)]), 3: ("messages", [("user", long)] * 7)}
     loss = chat.formatted(turns.where("conv_id = 1")).select("loss").first()["loss"]
     assert [s["length"] for s in loss] == [long]
     records = chat.records_of_rows(df.where("conv_id = 1"))
@@ -385,6 +416,30 @@ def test_long_turns(spark):
     assert {r["layout"] for r in chat.canonical(few).collect()} == {"unknown"}
 
 
+def test_rows_dealt_over_layouts(spark):
+    """Every layout gives a conversation back as it was, its roles too; names of columns do not matter."""
+    talks = [
+        [("user", "p <|end|>"), ("assistant", "q \\")], [("system", "s"), ("user", ""), ("assistant", None)], [("human", "3"), ("gpt", "1")],
+        [("user", "u")], [(None, None)], [("assistant", "0"), ("user", "0"), ("assistant", "1")], [("bot", "x"), ("model", "y"), ("prompter", "z"), ("user", "w")],
+    ]
+    rows = [(100 * n + i, t, role, text) for n in range(12) for i, talk in enumerate(talks) for t, (role, text) in enumerate(talk)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    out = chat.canonical_rows(df, deal=F.floor(F.col("conv_id") / 100)).withColumns({c: F.lit(7) for c in ("_parts", "_variant", "_print", "_said")})
+    found = chat.formatted(out).withColumn("back", chat.read_back()).withColumn("learned", chat.under_mask()).collect()
+    assert len(found) == 12 * len(talks) and all(r["_parts"] == r["_variant"] == 7 for r in found)
+    seen = collections.defaultdict(set)
+    for r in found:
+        talk = [(role or "", text or "") for role, text in talks[r["conv_id"] % 100]]
+        assert [tuple(t) for t in r["turns"]] == talk == [tuple(t) for t in r["back"]], r["layout"]
+        assert r["learned"] == "".join(text for role, text in talk if role == "assistant")
+        seen[r["conv_id"] % 100].add(r["layout"])
+    lists = {m.name for m in chat.MAPPINGS if m.turns}
+    assert seen[2] == seen[6] == lists and seen[1] == lists | {"system-instruction"}
+    assert seen[0] == {m.name for m in chat.MAPPINGS} - {"system-instruction"}
+    clash = spark.createDataFrame([('{"prompt":"p","completion":"c"}', "kept")], "record string, _variant string")
+    assert chat.canonical(clash).first()["_variant"] == "kept" and chat.canonical_rows(df.where("false")).count() == 0
+
+
 # 10 -----------------------------------------------------------------------------------------
 
 
