@@ -7,16 +7,22 @@ standard deviation are content; where a single article or main holds most of it,
 in there. The container is the enclosing article or main of the lowest element that holds all
 content, else that element itself, but never a quote, a table, or one of
 several sections; without an ``h1`` in it, it grows to hold the title (out of an article only
-within main). Every node in it that lies outside boilerplate elements belongs to the main text,
-so that short paragraphs stay. Scripts, forms, navigation, and elements that name themselves
-adverts, notices, comments or the like never count.
+within main). The container adds the neighbours of the content: nodes in it on other paths, so
+that short paragraphs stay, but not lists of links, ``LINKS`` or more in a row with nothing else
+between, whose paths are no content. Scripts, forms, navigation, and elements that name
+themselves adverts, notices, comments or the like never count.
+
+Time and memory grow with a page's length, however its tags are nested or left open: paths are
+numbered by their parent's number and a tag, and what lies below an element is summed once from
+the last element to the first.
 
 Blocks: a block element begins a new block; white space inside a block becomes one space, blocks
 are trimmed, empty ones dropped and the rest joined by an empty line.
 
 Defined results: NULL or empty HTML gives the empty text, as does a page without content; plain
 text without tags is its own content; unclosed comments and raw-text elements run to the end; a
-``<`` that begins no tag is text; repeated pages are extracted alike; an empty table gives no
+``<`` that begins no tag is text; a tag that never ends, its quotes counted, ends at the next
+``>``, and quotes no longer count after it; without one the rest is text; repeated pages are extracted alike; an empty table gives no
 rows; columns named ``text`` or ``n_chars`` are replaced.
 """
 
@@ -25,7 +31,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +53,7 @@ BOILERPLATE = frozenset(
     "template textarea title canvas object audio video".split()
 )
 # Elements whose start ends an open element of the second set.
+LISTS = ("ul", "ol", "dl", "table", "select")  # an element outside of the innermost of these stays open
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 # Words of class, id and role that mark what is not the article.
 MARKS = re.compile(
@@ -57,46 +64,47 @@ MARKS = re.compile(
     re.I,
 )
 ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S
-)
+_DECLARED = r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|"
+_TAG = r"<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attributes>%s)(?P<end>>|\Z)"
+# Possessive, so that no tag is read twice; the second form is for pages with a quote left open.
+TOKEN = re.compile(_DECLARED + _TAG % r"""(?>=\s*+"[^"]*+(?:"|\Z)|=\s*+'[^']*+(?:'|\Z)|[^>=]++|=)*+""", re.S)
+UNQUOTED = re.compile(_DECLARED + _TAG % r"[^>]*+", re.S)
+# Numbers of more digits than a character's are none; the library refuses to convert very long ones.
+LONG_REFERENCE = re.compile(r"&#(?:0*+(?P<decimal>[0-9]{8,}+)|[xX]0*+(?P<hex>[0-9a-fA-F]{7,}+));?|(?<=&#)0++(?=[0-9])|(?<=&#[xX])0++(?=[0-9a-fA-F])")
 SPACE = re.compile(r"[\s\xa0]+")
 PUNCTUATION = re.compile(r"""[.,;:!?…。，、；：！？]""")
 
 SMOOTH = 1.0  # width of the Gaussian, in nodes
 THRESHOLD = 0.5  # standard deviations of the fused ratio
+LINKS = 3  # links in a row that make a list of links
 
 
-@dataclass
 class Element:
-    name: str
-    path: str
-    parent: Element | None
-    skipped: bool  # boilerplate, or inside of some
-    depth: int = 0
+    """An element with what it has from the elements around it."""
+
+    __slots__ = ("name", "number", "path", "parent", "skipped", "article", "main", "h1", "link")
 
+    def __init__(self, name: str, number: int, path: int, parent: Element | None, skipped: bool):
+        self.name, self.number, self.path, self.parent, self.skipped = name, number, path, parent, skipped
+        outer = parent.article if parent else None
+        self.article = outer or (self if name in ARTICLES else None)  # the outermost one
+        self.main = name == "main" or bool(parent and parent.main)
+        self.h1 = name == "h1" or bool(parent and parent.h1)
+        self.link = name == "a" or bool(parent and parent.link)
 
-@dataclass
+
+@dataclass(slots=True)
 class Node:
     text: str
     element: Element
     block: int
-    path: str = field(init=False)
-
-    def __post_init__(self):
-        self.path = self.element.path
 
 
 def _marked(name: str, attributes: str, inside: Element) -> bool:
     if name in BOILERPLATE:
         return True
     if name == "header":  # an article's own header holds its title
-        e = inside
-        while e is not None:
-            if e.name in ("article", "main"):
-                return False
-            e = e.parent
-        return True
+        return inside.article is None
     for match in ATTRIBUTE.finditer(attributes):
         key = match[1].lower()
         value = match[2] or match[3] or match[4] or ""
@@ -109,18 +117,48 @@ def _marked(name: str, attributes: str, inside: Element) -> bool:
     return False
 
 
-def nodes_of(page: str) -> list[Node]:
-    """Text nodes in page order with their element and block."""
-    root = Element("", "", None, False)
-    stack, out, block, at, end = [root], [], 0, 0, len(page)
+class _Open:
+    """The stack of open elements, with the places of each name and of block elements."""
+
+    def __init__(self, root: Element):
+        self.stack, self.blocks = [root], [0]
+        self.places: dict[str, list[int]] = {}
+
+    def last(self, names) -> int:
+        """Place of the innermost open element of these names, -1 if there is none."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def push(self, element: Element) -> None:
+        self.places.setdefault(element.name, []).append(len(self.stack))
+        if element.name in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append(element)
+
+    def close(self, place: int) -> None:
+        """Closes the element at a place and all within."""
+        while len(self.stack) > place:
+            name = self.stack.pop().name
+            self.places[name].pop()
+            if name in BLOCK:
+                self.blocks.pop()
+
+
+def nodes_of(page: str) -> tuple[list[Node], list[Element]]:
+    """Text nodes in page order with their element and block, and all elements, outer ones first."""
+    root = Element("", 0, 0, None, False)
+    elements, paths = [root], {}
+    open_, out, block, at, end, token = _Open(root), [], 0, 0, len(page), TOKEN
 
     def say(text: str) -> None:
         if text:
-            out.append(Node(text, stack[-1], block))
+            out.append(Node(text, open_.stack[-1], block))
 
     while at < end:
-        match = TOKEN.search(page, at)
-        if match is None:
+        match = token.search(page, at)
+        if match and match["name"] and not match["end"] and token is TOKEN:
+            token = UNQUOTED
+            match = token.search(page, at)
+        if match is None or match["name"] and not match["end"]:
             say(page[at:])
             break
         say(page[at : match.start()])
@@ -130,43 +168,37 @@ def nodes_of(page: str) -> list[Node]:
         if match["close"]:
             if name in BLOCK:
                 block += 1
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].name == name:
-                    del stack[i:]
-                    break
-                if stack[i].name in BLOCK and name not in BLOCK:
-                    break  # an inline end tag closes nothing outside its block
+            place = open_.last([name])
+            # an inline end tag closes nothing outside its block
+            if place > 0 and (name in BLOCK or open_.blocks[-1] < place):
+                open_.close(place)
             continue
         if name == "br":
             say("\n")
             continue
         if name in BLOCK:
             block += 1
-            open_names = [e.name for e in stack]
-            if "p" in open_names:
-                del stack[len(open_names) - 1 - open_names[::-1].index("p") :]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].name in CLOSES.get(name, ()):
-                    del stack[i:]
-                    break
-                if stack[i].name in ("ul", "ol", "dl", "table", "select"):
-                    break
+            if open_.places.get("p"):
+                open_.close(open_.places["p"][-1])
+            if name in CLOSES and (place := open_.last(CLOSES[name])) > open_.last(LISTS):
+                open_.close(place)
         if name in VOID or (match["attributes"] or "").endswith("/") and name not in BLOCK:
             continue
         if name in RAW:
-            close = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
+            close = re.compile(rf"</{re.escape(name)}\b[^>]*+(?:>|\Z)", re.I).search(page, at)
             at = close.end() if close else end
             continue
-        up = stack[-1]
+        up = open_.stack[-1]
         shown = name in BLOCK or name == "a"  # inline mark-up does not part paths
-        stack.append(Element(name, f"{up.path}/{name}" if shown else up.path, up, up.skipped or _marked(name, match["attributes"], up), up.depth + 1))
-    return out
+        path = paths.setdefault((up.path, name), len(paths) + 1) if shown else up.path
+        elements.append(Element(name, len(elements), path, up, up.skipped or _marked(name, match["attributes"], up)))
+        open_.push(elements[-1])
+    return out, elements
 
 
 def fused_ratios(nodes: list[Node]) -> np.ndarray:
     """Smoothed text ratio times smoothed punctuation ratio of each node's path."""
-    paths = {}
-    number = np.array([paths.setdefault(n.path, len(paths)) for n in nodes])
+    _, number = np.unique([n.element.path for n in nodes], return_inverse=True)
     count = np.bincount(number)
     length = np.bincount(number, [len(n.text.strip()) for n in nodes]) / count
     marks = np.bincount(number, [len(PUNCTUATION.findall(n.text)) for n in nodes]) / count
@@ -177,6 +209,16 @@ def fused_ratios(nodes: list[Node]) -> np.ndarray:
     return smooth(length) * (1 + smooth(marks))
 
 
+def on_content_paths(nodes: list[Node]) -> list[bool]:
+    """Whether each node's path is content: its best fused ratio reaches the threshold."""
+    fused = fused_ratios(nodes)
+    best: dict[int, float] = {}
+    for node, value in zip(nodes, fused):
+        best[node.element.path] = max(best.get(node.element.path, 0.0), float(value))
+    limit = THRESHOLD * float(fused.std())
+    return [best[n.element.path] >= limit for n in nodes]
+
+
 def _chain(element: Element | None) -> Iterator[Element]:
     """The element and all around it, innermost first."""
     while element is not None:
@@ -184,26 +226,26 @@ def _chain(element: Element | None) -> Iterator[Element]:
         element = element.parent
 
 
-def _inside(node: Node, container: Element) -> bool:
-    return any(e is container for e in _chain(node.element))
+def _held(elements: list[Element], nodes: list[Node]) -> list[int]:
+    """How many of the nodes each element holds."""
+    held = [0] * len(elements)
+    for node in nodes:
+        held[node.element.number] += 1
+    for e in reversed(elements[1:]):
+        held[e.parent.number] += held[e.number]
+    return held
 
 
-def _container(content: list[Node], said: list[Node]) -> Element:
+def _container(content: list[Node], said: list[Node], elements: list[Element]) -> Element:
     """The element whose text is the main text."""
     # where one article or main holds most content, text beside it is none of the article
-    outer = [next((e for e in reversed(list(_chain(n.element))) if e.name in ARTICLES), None) for n in content]
+    outer = [n.element.article for n in content]
     if len({id(e) for e in outer if e is not None}) == 1:
         size = [len(n.text.strip()) for n in content]
         if 2 * sum(k for k, e in zip(size, outer) if e is not None) > sum(size):
             content = [n for n, e in zip(content, outer) if e is not None]
-    low = content[0].element
-    for node in content[1:]:
-        e = node.element
-        while e is not low:
-            if e.depth >= low.depth:
-                e = e.parent
-            else:
-                low = low.parent
+    holds = _held(elements, content)
+    low = next(e for e in _chain(content[0].element) if holds[e.number] == len(content))
     around = list(_chain(low))
     after = lambda names: around[max((i + 1 for i, e in enumerate(around) if e.name in names), default=0) :]
     around = after({"blockquote"})
@@ -213,34 +255,62 @@ def _container(content: list[Node], said: list[Node]) -> Element:
     else:
         around = after({"table", "td", "th"})
         container = next(e for e in around if e.name in CONTAINERS)
-        sections = {id(e): e for n in said for e in _chain(n.element) if e.name == "section"}.values()
-        while container.name == "section" and any(e.parent is container.parent and e is not container for e in sections):
+        texts, sections = _held(elements, said), {}
+        for e in elements:
+            if e.name == "section" and texts[e.number]:
+                sections[e.parent.number] = sections.get(e.parent.number, 0) + 1
+        while container.name == "section" and sections.get(container.parent.number, 0) > 1:
             container = next(e for e in _chain(container.parent) if e.name in CONTAINERS)
-    titles = {id(e) for n in said if any(e.name == "h1" for e in _chain(n.element)) for e in _chain(n.element)}
-    titled = next((e for e in _chain(container) if id(e) in titles), container)
-    if container.name in ARTICLES and not any(e.name == "main" for e in _chain(titled)):
-        return container
-    return titled
+    titles = _held(elements, [n for n in said if n.element.h1])
+    titled = next((e for e in _chain(container) if titles[e.number]), container)
+    return container if container.name in ARTICLES and not titled.main else titled
+
+
+def _lists_of_links(blocks: dict[int, list[tuple[Node, bool]]]) -> set[int]:
+    """Blocks of ``LINKS`` or more links in a row, off content paths and without punctuation."""
+    found, run, links = set(), [], 0
+    for block, nodes in [*blocks.items(), (-1, [])]:
+        worded = [(n, good) for n, good in nodes if any(c.isalnum() for c in n.text)]
+        if worded and all(n.element.link and not good and not PUNCTUATION.search(n.text) for n, good in worded):
+            run.append(block)
+            links += len(worded)
+        elif worded or block < 0:
+            if links >= LINKS:
+                found.update(run)
+            run, links = [], 0
+    return found
+
+
+def _reference(match: re.Match) -> str:
+    """Leading zeros of a character reference go; one beyond all characters becomes U+FFFD."""
+    return "&#xFFFD;" if match["decimal"] or match["hex"] else ""
 
 
 def main_text(page: str | None) -> str:
     """The article of one page; see the module's description."""
-    nodes = [n for n in nodes_of(page or "") if not n.element.skipped]
+    nodes, elements = nodes_of(page or "")
+    nodes = [n for n in nodes if not n.element.skipped]
     said = [n for n in nodes if n.text.strip()]
     if not said:
         return ""
-    fused = fused_ratios(said)
-    best = {}
-    for node, value in zip(said, fused):
-        best[node.path] = max(best.get(node.path, 0.0), value)
-    limit = THRESHOLD * float(fused.std())
-    content = [n for n in said if best[n.path] >= limit]
-    container = _container(content, said)
-    blocks: dict[int, list[str]] = {}
+    good = on_content_paths(said)
+    container = _container([n for n, g in zip(said, good) if g], said, elements)
+    inside = [False] * len(elements)
+    for e in elements:
+        inside[e.number] = e is container or e.parent is not None and inside[e.parent.number]
+    content = {id(n) for n, g in zip(said, good) if g}
+    blocks: dict[int, list[tuple[Node, bool]]] = {}
     for node in nodes:
-        if _inside(node, container):
-            blocks.setdefault(node.block, []).append(node.text)
-    texts = (SPACE.sub(" ", html.unescape("".join(parts))).strip() for _, parts in sorted(blocks.items()))
+        if inside[node.element.number]:
+            blocks.setdefault(node.block, []).append((node, id(node) in content))
+    dropped = _lists_of_links(blocks)
+    texts = []
+    for block, parts in blocks.items():
+        if block not in dropped:
+            text = "".join(n.text for n, _ in parts)
+            if "&#" in text:
+                text = LONG_REFERENCE.sub(_reference, text)
+            texts.append(SPACE.sub(" ", html.unescape(text)).strip())
     return "\n\n".join(t for t in texts if t)
 
 

@@ -1,8 +1,10 @@
 """The ten operators: brute force on real rows, and the cases their docstrings define."""
 
 import collections
+import time
 import zlib
 
+import numpy as np
 import pytest
 from brute import contamination, linked, poisson, without_repeats
 from pyspark.sql import functions as F
@@ -301,6 +303,41 @@ def test_main_text_is_the_whole_article(page, blocks):
     assert tagpaths.main_text(page) == "\n\n".join(blocks)
 
 
+LINKS = "<div>" + " | ".join(f"<a href=/{i}>Page {i}</a>" for i in range(8)) + "</div>"
+TOC = "<ul>" + "".join(f"<li><a href=#{i}>Part {i}</a>" for i in range(5)) + "</ul>"
+RATIOS = [
+    (f"<body>{LINKS}<div class=x>{P * 4}</div><div>{LINKS}</div><div>Short line</div></body>", [PT] * 4),
+    (f"<body>{LINKS}<div class=x><h1>T</h1>{P * 4}<p>End.</p></div>{LINKS}</body>", ["T", *[PT] * 4, "End."]),
+    (f"<body><div><div>One</div><div>Two</div></div><section>{P * 3}</section></body>", [PT] * 3),
+    (f"<article><h1>T</h1>{TOC}{P * 4}<p><a href=1>One</a> link.<h2><a href=2>Two</a></h2>{P}</article>", ["T", *[PT] * 4, "One link.", "Two", PT]),
+]
+
+
+@pytest.mark.parametrize("page, blocks", RATIOS)
+def test_ratios_select_the_text(page, blocks, monkeypatch):
+    """Without classes and names the ratios of paths decide: where they are equal, the text is another."""
+    assert tagpaths.main_text(page) == "\n\n".join(blocks)
+    monkeypatch.setattr(tagpaths, "fused_ratios", lambda nodes: np.ones(len(nodes)))
+    assert tagpaths.main_text(page) != "\n\n".join(blocks)
+
+
+MB = 1 << 20
+HARD = [
+    "<a " * (MB // 3), "<div>" * (MB // 5), "<div>x" * (MB // 6), "<p><b>x" * (MB // 7), "<header>" * (MB // 8) + "x", "<div>" * (MB // 12) + "</main>" * (MB // 12),
+    "<section>x" * (MB // 10), '<a href="x>' + "<p>y</p>" * (MB // 8), '<a x=">"' * (MB // 8), "<a '<b \"" * (MB // 8), "</script " * (MB // 9), "<script>" + "</script " * (MB // 9),
+    "<!-" * (MB // 3), "&#" + "9" * MB + ";", "<li>x" * (MB // 5), "<table><td>x" * (MB // 12), '<p class="' + "ad-x" * (MB // 4), "<h1>" * (MB // 8) + "x", "<" * MB, "<blockquote>x" * (MB // 13),
+]
+
+
+def test_hard_pages_take_linear_time():
+    for page in HARD:
+        began = time.process_time()
+        tagpaths.main_text(page)
+        assert time.process_time() - began < 20, page[:20]
+    assert tagpaths.main_text('<p>a</p><a href="x>b</a><p>c</p>') == "a\n\nb\n\nc"
+    assert tagpaths.main_text("<p title=it's>a &#65; &#00000000000065; &#x0000000041; &#" + "9" * 9000 + ";b <c") == "a A A A \ufffdb <c"
+
+
 def test_main_text_query(spark):
     pages = {r["page_id"]: r["html"] for r in queries.table(spark, SF, "pages").collect()}
     found = queries.op7_tag_paths(spark, SF).collect()
