@@ -13,7 +13,7 @@ from archiveloom.operators.project_type import classify_project_type, list_qda_f
 from archiveloom.operators.taxonomy import classify, classify_files, classify_projects
 from archiveloom.operators.validate import validate
 from archiveloom.operators.vectors import nearest_two
-from archiveloom.plans.archive import merge_sources, rebuild
+from archiveloom.plans.archive import merge_folders, merge_sources, rebuild
 from archiveloom.plans.report import archive_series, repo_report, report_blocks, write_repo_report
 from archiveloom.schema import Archive
 from archiveloom.sources.landing import as_source, parse_landed
@@ -25,7 +25,7 @@ from archiveloom.sources.worklist import Repository, worklist
 __all__ = [
     "Archive", "Repository", "Snapshots", "Source", "archive_series", "as_source", "classify", "classify_files",
     "classify_project_type", "classify_projects", "clean", "detect_by_profiles", "fix_repository_ids", "learn_profiles",
-    "list_qda_files", "merge_sources", "nearest_two", "opened", "parse_landed", "projects_summary", "publish",
+    "list_qda_files", "merge_folders", "merge_sources", "nearest_two", "opened", "parse_landed", "projects_summary", "publish",
     "read_tables", "rebuild", "repo_report", "report_blocks", "stable_ids", "top_tags", "validate", "worklist",
     "write_csv", "write_repo_report", "write_tables",
 ]

@@ -112,11 +112,21 @@ def rejected_projects(source: Source) -> DataFrame | None:
     table = resolve_table(source.tables, "projects")
     if table is None or _column(table, "id") is None:
         return None
+    return rejected_rows(table, F.lit(source.name))
+
+
+def rejected_rows(table: DataFrame, source: Column) -> DataFrame:
+    """:func:`rejected_projects` of a table, whose rows belong to ``source``."""
     raw = F.col(f"`{_column(table, 'id')}`")
-    rows = table.select(F.lit(source.name).alias("source_name"), raw.cast("string").alias("local_id"), F.lit("no id").alias("reason"))
+    rows = table.select(source.alias("source_name"), raw.cast("string").alias("local_id"), F.lit("no id").alias("reason"))
     return rows.where(F.col("local_id").isNull())
 
 
+def canonical_columns(entity: str) -> dict[str, str]:
+    """What is read of an entity, besides ids."""
+    return PROJECT_SOURCE_COLUMNS if entity == "projects" else CHILD_COLUMNS[entity]
+
+
 def harmonise_entity(source: Source, rank: int, entity: str, bits: int = LOCAL_BITS) -> DataFrame | None:
     """One entity of one source in the canonical schema plus lineage columns.
 
@@ -129,21 +139,24 @@ def harmonise_entity(source: Source, rank: int, entity: str, bits: int = LOCAL_B
     table = resolve_table(source.tables, entity)
     if table is None:
         return None
+    if entity == "projects" and _column(table, "id") is None:
+        raise ValueError(f"source {source.name}: the projects table has no id column")
+    if entity != "projects" and _column(table, "project_id") is None:
+        return None
+    return harmonised_rows(table, entity, F.lit(source.name), F.lit(rank), bits)
+
+
+def harmonised_rows(table: DataFrame, entity: str, source: Column, rank: Column, bits: int = LOCAL_BITS) -> DataFrame:
+    """:func:`harmonise_entity` of a table, whose rows belong to ``source`` at ``rank``."""
     if entity == "projects":
-        if "id" not in {c.lower() for c in table.columns}:
-            raise ValueError(f"source {source.name}: the projects table has no id column")
-        columns, key, text = {"id": "bigint", **PROJECT_SOURCE_COLUMNS}, "id", "id_text"
+        columns, key, text = {"id": "bigint", **canonical_columns(entity)}, "id", "id_text"
     else:
-        if "project_id" not in {c.lower() for c in table.columns}:
-            return None
-        columns, key, text = {"id": "bigint", "project_id": "bigint", **CHILD_COLUMNS[entity]}, "project_id", "parent_text"
+        columns, key, text = {"id": "bigint", "project_id": "bigint", **canonical_columns(entity)}, "project_id", "parent_text"
     raw = F.col(f"`{_column(table, key)}`").cast("string").alias(text)
-    rows = table.select(*project_to(table, columns), raw)
-    rows = (
-        rows.withColumn("local_id", F.col("id") if entity == "projects" else _child_id(list(columns), bits))
-        .withColumn("source_name", F.lit(source.name))
-        .withColumn("source_rank", F.lit(rank))
-        .withColumn("ord", row_order(rank, F.col("local_id"), bits))
+    rows = table.select(*project_to(table, columns), raw, source.alias("source_name"), rank.cast("int").alias("source_rank"))
+    rank = F.col("source_rank")
+    rows = rows.withColumn("local_id", F.col("id") if entity == "projects" else _child_id(list(columns), bits)).withColumn(
+        "ord", row_order(rank, F.col("local_id"), bits)
     )
     place = "ord"
     if entity != "projects":

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from archiveloom import dimensions as dim
 from archiveloom.operators.harmonise import LOCAL_BITS, Source
 from archiveloom.operators.taxonomy import division_corpus
+from archiveloom.staging import StagingArea
 
 LANGUAGES = ("de", "en", "es", "fr")
 # classes used by the bindings: 0 is none, n is the n-th division counted from 0
@@ -314,6 +315,33 @@ def landed_nada(spark: SparkSession, sf: str) -> DataFrame:
     return texts(spark, sf).select(doc.alias("record_id"), _json(body).alias("json"))
 
 
+def landed_resources(spark: SparkSession, sf: str) -> DataFrame:
+    """One resource list per document, of a named or titled resource and one with an id alone."""
+    doc = F.col("doc_id")
+    number = doc.cast("string")
+    titled = F.struct(
+        (doc * 10).cast("string").alias("resource_id"), F.lit("9").alias("id"),
+        F.when(doc % 3 == 0, F.concat(F.lit("data "), number, F.lit(".csv"))).otherwise("").alias("filename"),
+        F.concat(F.lit("Codebook (A): "), number).alias("title"),
+    )
+    bare = F.struct(
+        F.lit("").alias("resource_id"), (doc * 10 + 1).cast("string").alias("id"), F.lit("").alias("filename"), F.lit("").alias("title")
+    )
+    body = F.struct(F.array(titled, bare).alias("resources"))
+    return texts(spark, sf).select(doc.alias("record_id"), _json(body).alias("json"))
+
+
+def folders(spark: SparkSession, sf: str, staging: StagingArea) -> dict[str, dict[str, str]]:
+    """The tables of :func:`sources` written as folders: {source: {table: path}}."""
+    found: dict[str, dict[str, str]] = {}
+    for source in sources(spark, sf):
+        for name, df in source.tables.items():
+            path = f"{staging.path}/{source.name}/{name}"
+            df.write.parquet(path)
+            found.setdefault(source.name, {})[name] = path
+    return found
+
+
 def landed_responses(spark: SparkSession, sf: str) -> DataFrame:
     """Search responses, two hits per document, in two envelopes; some without hits."""
     doc = F.col("doc_id")

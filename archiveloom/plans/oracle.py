@@ -249,6 +249,7 @@ def with_ctes(body: str) -> str:
 
 SQL: dict[str, str] = {
     "multi_source_scan": "SELECT source_name, source_rank, local_id, ord FROM records",
+    "scan_by_signature": "SELECT source_name, source_rank, local_id, ord FROM records",
     "resolve_sources": """
         SELECT 'projects' AS entity, source_name, count(*) AS n FROM records GROUP BY source_name
         UNION ALL
@@ -312,6 +313,13 @@ SQL: dict[str, str] = {
                CASE WHEN seq = 0 THEN 'Report ' || lang || ' é ' || doc_id || '.pdf' ELSE 'dataset.CSV' END AS file_name,
                CASE WHEN seq = 0 THEN 'pdf' ELSE 'csv' END AS file_type, NULL::VARCHAR AS status
         FROM (SELECT doc_id, lang, unnest([0, 1])::BIGINT AS seq FROM documents)""",
+    "parse_nada_resources": """
+        SELECT doc_id AS record_id, seq, (doc_id * 10 + seq)::VARCHAR AS file_ref,
+               'https://site/catalog/download/' || (doc_id * 10 + seq) AS download_url,
+               CASE WHEN seq = 1 THEN 'file_' || (doc_id * 10 + 1) || '.pdf' WHEN doc_id % 3 = 0 THEN 'data ' || doc_id || '.csv'
+                    ELSE 'Codebook A ' || doc_id || '.pdf' END AS file_name,
+               CASE WHEN seq = 0 AND doc_id % 3 = 0 THEN 'csv' ELSE 'pdf' END AS file_type, NULL::VARCHAR AS status
+        FROM (SELECT doc_id, unnest([0, 1])::BIGINT AS seq FROM documents)""",
     "parse_nada_person_role": """
         SELECT doc_id AS record_id, seq, name, role FROM (
           SELECT doc_id, 0::BIGINT AS seq, 'Author ' || lang AS name, 'AUTHOR' AS role FROM documents
@@ -374,6 +382,27 @@ SQL: dict[str, str] = {
         WHERE source_name <> 'en' AND url_key IS NOT NULL
           AND url_key NOT IN (SELECT project_url FROM records WHERE source_name = 'en' AND project_url IS NOT NULL)
         GROUP BY url_key""",
+    "indexed_antijoin": """
+        SELECT min(ord) AS ord, url_key AS project_url FROM keyed
+        WHERE source_name <> 'en' AND url_key IS NOT NULL
+          AND url_key NOT IN (SELECT project_url FROM records WHERE source_name = 'en' AND project_url IS NOT NULL)
+        GROUP BY url_key""",
+    "cooccurrence": f"""
+        SELECT * FROM (WITH spoken AS (
+          SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM (SELECT doc_id, {_WORDS('text')} AS w FROM documents)
+        ), frequent AS (
+          SELECT word, row_number() OVER (ORDER BY count(*) DESC, word) AS place FROM spoken GROUP BY word
+        ), kept AS (
+          SELECT t.* FROM spoken t JOIN frequent f ON f.word = t.word AND f.place <= 1000
+        ), forward AS (
+          SELECT a.word, b.word AS near FROM kept a JOIN kept b ON a.doc_id = b.doc_id AND b.pos BETWEEN a.pos + 1 AND a.pos + 4
+        ), counted AS (
+          SELECT word, near, count(*) AS n FROM (FROM forward UNION ALL SELECT near, word FROM forward) GROUP BY word, near
+        ), rowsums AS (
+          SELECT word, sum(n) AS r FROM counted GROUP BY word
+        )
+        SELECT c.word, near, n, round(ln(n::DOUBLE * (SELECT sum(r) FROM rowsums) / (a.r::DOUBLE * b.r)), 6) AS pmi
+        FROM counted c JOIN rowsums a ON a.word = c.word JOIN rowsums b ON b.word = c.near)""",
     "rebuild_projection": """
         SELECT id, NULL::VARCHAR AS query_string, repository_id, NULL::VARCHAR AS repository_url, NULL::VARCHAR AS project_url,
                NULL::VARCHAR AS version, type, title, NULL::VARCHAR AS description, NULL::VARCHAR AS language, NULL::VARCHAR AS doi,

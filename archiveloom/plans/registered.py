@@ -14,6 +14,7 @@ from archiveloom import dimensions as dim
 from archiveloom.functions import files as fx
 from archiveloom.functions import text as tx
 from archiveloom.operators import clean as cl
+from archiveloom.operators import cooccurrence as co
 from archiveloom.operators import counts as ct
 from archiveloom.operators import cube as cb
 from archiveloom.operators import harmonise as hz
@@ -34,6 +35,8 @@ from archiveloom.plans import report as rp
 from archiveloom.plans.archive import merge_sources
 from archiveloom.schema import Archive
 from archiveloom.sources import landing as ld
+from archiveloom.sources.folders import harmonise_folders
+from archiveloom.sources.known_urls import KnownUrls
 from archiveloom.sources.links import harvest_links
 from archiveloom.sources.sinks import published
 from archiveloom.sources.worklist import Repository, first_hits, worklist
@@ -77,6 +80,16 @@ def multi_source_scan(spark, sf):
     )
 
 
+@query
+def scan_by_signature(spark, sf):
+    """The catalogues as folders, scanned once per kind of table."""
+    folders = b.folders(spark, sf, StagingArea(spark, "folders"))
+    projects = harmonise_folders(spark, folders)["projects"]
+    return projects.select(
+        "source_name", F.col("source_rank").cast("bigint").alias("source_rank"), "local_id", "ord"
+    )
+
+
 @query
 def resolve_sources(spark, sf):
     """Rows taken per source and entity once tables and columns are resolved."""
@@ -141,6 +154,9 @@ for _name in ("projects", "files", "keywords", "person_role", "licenses"):
     QUERIES[f"parse_dataverse_{_name}"] = _dataverse(_name)
     if _name != "keywords":
         QUERIES[f"parse_nada_{_name}"] = _nada(_name)
+QUERIES["parse_nada_resources"] = lambda spark, sf: ld.nada_resources(b.landed_resources(spark, sf), SITE).withColumn(
+    "seq", F.col("seq").cast("bigint")
+)
 QUERIES["parse_failures"] = _dataverse("failures")
 QUERIES["ingest_keywords"] = _nada("keywords")
 
@@ -260,6 +276,18 @@ def incremental_antijoin(spark, sf):
     return ld.new_projects(incoming, known).select("ord", "project_url")
 
 
+@query
+def indexed_antijoin(spark, sf):
+    """:func:`incremental_antijoin` against an index of the known URLs in three batches."""
+    rows = _harvested_projects(spark, sf)
+    known = rows.where("source_name = 'en'").select("ord", "project_url")
+    index = KnownUrls(spark, f"{StagingArea(spark, 'index').path}/known")
+    for batch in range(3):
+        index.add(known.where(F.col("ord") % 3 == batch), batch)
+    incoming = rows.where("source_name <> 'en'").withColumn("project_url", tx.url_key("project_url"))
+    return ld.new_projects(incoming, index.among(incoming, 3)).select("ord", "project_url")
+
+
 @query
 def rebuild_projection(spark, sf):
     return published("projects", b.projects(spark, sf)).drop("tags", "upload_date", "download_date")
@@ -685,6 +713,17 @@ def embed_text(spark, sf):
     return docs.select("doc_id", F.array_join(F.transform("v", lambda x: x.cast("bigint").cast("string")), ",").alias("vector"))
 
 
+@query
+def cooccurrence(spark, sf):
+    """How much more often than by chance the thousand most frequent words stand near each other."""
+    docs = b.texts(spark, sf).select("text")
+    vocabulary = co.frequent_words(docs, "text", 1000)
+    pairs, _ = StagingArea(spark, "cooccurrence").write(co.near_pairs(docs, "text", vocabulary), "pairs")
+    return co.associations(pairs, vocabulary).select(
+        "word", "near", "n", F.round("pmi", 6).alias("pmi")
+    )
+
+
 @query
 def file_candidates(spark, sf):
     found = pt.file_candidates(b.files(spark, sf), b.projects(spark, sf))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from archiveloom.functions.files import safe_file_name, type_of_label
+from archiveloom.functions.files import resource_name, safe_file_name, type_of_label
 from archiveloom.functions.text import blank_to_null
 from archiveloom.operators.clean import drop_ignored_types, fetch_status
 from archiveloom.operators.harmonise import Source
@@ -274,6 +274,23 @@ def parse_nada(
     }
 
 
+def nada_resources(responses: DataFrame, site: str, json: str = "json") -> DataFrame:
+    """Files of landed resource lists: one row per resource, in order.
+
+    A resource without a file name has its title for one, without a title ``file_<id>``; its id is
+    ``resource_id``, else ``id``. A response without resources, or that is no JSON, gives no rows.
+    """
+    body = F.from_json(json, "resources array<struct<resource_id: string, id: string, filename: string, title: string>>")
+    found = responses.select("record_id", F.posexplode(body["resources"]).alias("seq", "resource"))
+    number = F.coalesce(blank_to_null("resource.resource_id"), F.col("resource.id"))
+    name = safe_file_name(resource_name("resource.filename", "resource.title", number))
+    return found.select(
+        "record_id", "seq", number.alias("file_ref"),
+        F.concat(F.lit(f"{site}/catalog/download/"), number).alias("download_url"),
+        name.alias("file_name"), type_of_label(name).alias("file_type"), F.lit(None).cast("string").alias("status"),
+    )
+
+
 # --- any shape ------------------------------------------------------------------------
 
 SHAPES = {"dataverse": parse_dataverse, "nada": parse_nada}

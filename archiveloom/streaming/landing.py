@@ -1,8 +1,8 @@
 """Landed records as they arrive.
 
 There are no windows and no state: a record is new when its project URL is not in the
-archive yet. Each micro-batch is parsed, compared with what is stored and appended, projects,
-children and failures alike.
+archive yet. Each micro-batch is parsed, compared with an index of the stored URLs (see
+:mod:`archiveloom.sources.known_urls`) and appended, projects, children and failures alike.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from archiveloom.schema import ENTITIES
+from archiveloom.sources.known_urls import KnownUrls
 from archiveloom.sources.landing import new_projects, without_url
 from archiveloom.staging import released
 
@@ -36,8 +37,8 @@ def append_batch(landed: DataFrame, parse: Parser, path: str, batch_id: int) ->
     with released():  # the batch's staged tables go with it
         parsed = parse(landed)
         projects = parsed["projects"].withColumn("ord", F.col("record_id"))
-        stored = landed.sparkSession.read.schema(f"{_ddl(projects)}, batch int").parquet(f"{path}/projects")
-        fresh = new_projects(projects, stored.where(F.col("batch") < batch_id))
+        known = _index(landed.sparkSession, path, batch_id, _ddl(projects))
+        fresh = new_projects(projects, known.among(projects, batch_id))
         fresh.write.mode("overwrite").parquet(f"{path}/projects/batch={batch_id}")
         added = landed.sparkSession.read.schema(_ddl(projects)).parquet(f"{path}/projects/batch={batch_id}")
         for entity in ENTITIES[1:]:
@@ -45,6 +46,18 @@ def append_batch(landed: DataFrame, parse: Parser, path: str, batch_id: int) ->
             children.write.mode("overwrite").parquet(f"{path}/{entity}/batch={batch_id}")
         failures = parsed["failures"].unionByName(without_url(projects))
         failures.write.mode("overwrite").parquet(f"{path}/failures/batch={batch_id}")
+        known.add(added, batch_id)
+
+
+def _index(spark: SparkSession, path: str, batch_id: int, ddl: str) -> KnownUrls:
+    """The index of stored URLs, with every batch before this one in it."""
+    known = KnownUrls(spark, f"{path}/known_urls")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/projects")
+    names = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    stored = [int(n.removeprefix("batch=")) for n in names if n.startswith("batch=")]
+    rows = lambda batch: lambda: spark.read.schema(ddl).parquet(f"{path}/projects/batch={batch}")
+    known.catch_up({batch: rows(batch) for batch in stored if batch < batch_id})
+    return known
 
 
 def _ddl(df: DataFrame) -> str:
