@@ -37,3 +37,26 @@ def test_harvested_moves_no_text_that_nobody_reads(spark, tables):
     assert not plan(found).split("Join", 1)[0].count("md5")  # ... and not above it
     rows = {(r.doc_id, r.title, r.url) for r in found.collect()}
     assert (2, "Title 2", "http://x/2") in rows and (3, "again", None) in rows and (None, None, None) in rows and len(rows) == 22
+
+
+def test_values_carry_one_spelling_and_one_place(spark):
+    rows = [(1, 5, "Coal "), (1, 3, " COAL"), (1, 9, "coal"), (1, 2, "ore"), (2, 7, "coal"), (1, 8, " \t "), (1, 6, None), (None, None, "Tin"), (None, None, "tin")]
+    children = spark.createDataFrame(rows, "label long, ord long, keyword string")
+    out = mg.dedupe_values(children, "keyword")
+    assert out.columns == ["label", "keyword", "ord"]
+    # without any place no spelling is the first, as ever
+    assert {tuple(r) for r in out.collect()} == {(1, " COAL", 3), (1, "ore", 2), (2, "coal", 7), (None, None, None)}
+    assert "min_by" not in plan(out) and plan(out).count("regexp_replace") == 1
+
+
+def test_text_tables_are_read_in_small_splits(spark, tables):
+    before = spark.conf.get(b.SPLIT_SETTING)
+    try:
+        spark.conf.unset(b.SPLIT_SETTING)
+        b.texts(spark, tables)
+        assert spark.conf.get(b.SPLIT_SETTING) == f"{b.SPLIT_BYTES}b"
+        spark.conf.set(b.SPLIT_SETTING, "5m")  # what the session sets stays
+        b.texts(spark, tables)
+        assert spark.conf.get(b.SPLIT_SETTING) == "5m"
+    finally:
+        spark.conf.set(b.SPLIT_SETTING, before)
