@@ -13,7 +13,8 @@ from archiveloom.operators.project_type import file_candidates
 from archiveloom.operators.skew import broadcast_if_small
 from archiveloom.operators.vectors import Embedder, hashed_embedder, nearest_two, sum_vectors
 
-# Fragments of one id range that are put in order together, before the ranges are.
+# Fragments of one id range that are put in order together, before the ranges are. At most 4096, as a
+# place in a range is written in two characters.
 RANGE_IDS = 1 << 12
 
 
@@ -60,10 +61,17 @@ def project_text(fragments: DataFrame) -> DataFrame:
     """(project_id, text): fragments joined by one blank, in order, and trimmed.
 
     Ranges of ids are put together first, in many tasks for a large project, and then the
-    ranges: a project is one text whatever its size, and sorting is spread.
+    ranges: a project is one text whatever its size, and sorting is spread. Within a range a
+    fragment goes as one string, two characters that sort like its place and then its text.
     """
-    block = F.shiftleft(F.col("kind").cast("bigint"), 52) + F.floor(F.col("seq") / RANGE_IDS)
-    blocks = fragments.groupBy("project_id", block.alias("block")).agg(_in_order(F.struct("seq", "text"), "text").alias("text"))
+    start = F.expr(f"seq div {RANGE_IDS} - if(seq % {RANGE_IDS} < 0, 1, 0)")
+    block = F.shiftleft(F.col("kind").cast("bigint"), 52) + start
+    # rows without a place are a range of their own
+    place = F.coalesce(F.pmod("seq", F.lit(RANGE_IDS)), F.lit(0))
+    digit = lambda d: F.char(d + 32)
+    placed = F.concat(digit(F.shiftright(place, 6)), digit(place.bitwiseAND(F.lit(63))), F.col("text"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(placed)), lambda t: F.substr(t, F.lit(3))), " ")
+    blocks = fragments.groupBy("project_id", block.alias("block")).agg(joined.alias("text"))
     return blocks.groupBy("project_id").agg(strip(_in_order(F.struct("block", "text"), "text")).alias("text"))
 
 

@@ -60,3 +60,11 @@ def test_text_tables_are_read_in_small_splits(spark, tables):
         assert spark.conf.get(b.SPLIT_SETTING) == "5m"
     finally:
         spark.conf.set(b.SPLIT_SETTING, before)
+
+
+def test_fragments_are_gathered_as_strings_in_order(spark):
+    rows = [(1, 3, s, f"w{s}") for s in (4096, 4095, 0, 64, 63, 8191, 10**15, -1, -4097)] + [(1, 3, 64, "v"), (1, 1, 0, "T"), (2, 3, None, "b"), (2, 3, None, "a")]
+    fragments = spark.createDataFrame(rows, "project_id long, kind int, seq long, text string")
+    texts = tax.project_text(fragments.repartition(3))
+    assert {r.project_id: r.text for r in texts.collect()} == {1: f"T w-4097 w-1 w0 w63 v w64 w4095 w4096 w8191 w{10**15}", 2: "a b"}
+    assert plan(texts).count("collect_list(struct") == 1  # of whole ranges only
