@@ -41,7 +41,9 @@ def word_scores(fragments: DataFrame, key: str, text: str = "text") -> DataFrame
     Words that occur nearly everywhere make skewed partitions, which adaptive execution splits.
     """
     counts = word_counts(fragments, key, text)
-    frequency = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    # a condition on tf, which always holds, keeps it in the plan: both branches then read one shuffle of
+    # the same counts, and texts are split once
+    frequency = counts.groupBy("word").agg(F.count_if(F.col("tf") > 0).alias("df"))
     # all documents, from the key column alone: the texts are split once
     documents = fragments.agg(F.count_distinct(key)).scalar()
     scored = counts.join(frequency, "word")

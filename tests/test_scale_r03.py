@@ -68,3 +68,9 @@ def test_fragments_are_gathered_as_strings_in_order(spark):
     texts = tax.project_text(fragments.repartition(3))
     assert {r.project_id: r.text for r in texts.collect()} == {1: f"T w-4097 w-1 w0 w63 v w64 w4095 w4096 w8191 w{10**15}", 2: "a b"}
     assert plan(texts).count("collect_list(struct") == 1  # of whole ranges only
+
+
+def test_tags_split_texts_once(spark, tables):
+    tags = kw.top_tags(spark.read.parquet(f"{tables}/documents.parquet"), "doc_id")
+    tags.collect()
+    assert "ReusedExchange" in tags._jdf.queryExecution().executedPlan().finalPhysicalPlan().toString()
