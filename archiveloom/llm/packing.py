@@ -14,21 +14,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from archiveloom.operators.batches import small_batches  # noqa: F401, used as packing.small_batches
+
 BLOCK_BYTES = 4 << 20  # text handled at a time; a longer text is a block of its own
 BUCKET_BYTES = 16 << 20  # text whose windows meet in one bucket, on average
 
-# An Arrow batch is held by the JVM and by the Python worker at the same time.
-BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Bound Arrow batches by bytes, since long texts may share one, unless the session does."""
-    if spark.conf.get(BATCH_SETTING, None) is None:
-        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
-
 
 def bucket_bits(docs: DataFrame, text: str = "text") -> int:
     """Log2 of the number of buckets for all texts of ``docs``."""

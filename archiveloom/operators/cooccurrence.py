@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from archiveloom.functions.text import words
+from archiveloom.operators.batches import small_batches
 from archiveloom.operators.vectors import Embedder
 from archiveloom.staging import StagingArea
 
@@ -31,6 +32,7 @@ VOCABULARY = 4096  # words with a vector
 DIMENSIONS = 64
 WINDOW = 4  # places between two words that are near
 SPARE = 16  # further columns of the thin matrices, for accuracy
+PIECE_WORDS = 1 << 18  # words that are counted at a time, unless one text has more
 ROUNDS = 3  # multiplications before the eigenvectors are read off
 
 
@@ -43,15 +45,26 @@ def frequent_words(texts: DataFrame, text: str = "text", size: int = VOCABULARY)
 def near_pairs(texts: DataFrame, text: str, vocabulary: list[str], window: int = WINDOW) -> DataFrame:
     """(i, j, n): how often words ``i`` and ``j`` of the vocabulary are near, in either order.
 
-    Other words keep their places. Counts are combined per batch before the shuffle.
+    Other words keep their places. Counts are combined per piece of a batch before the shuffle; a
+    piece is whole texts of about ``PIECE_WORDS`` words, so what a task holds does not grow with
+    the number of texts.
     """
     known, size = pa.array(vocabulary, pa.string()), max(1, len(vocabulary))
+    small_batches(texts.sparkSession)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Array]:
         for batch in batches:
             lists = batch.column(0)
-            if not len(lists):
-                continue
+            words_upto = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False), dtype=np.int64)
+            at = 0
+            while at < len(lists):
+                done = words_upto[at - 1] if at else 0
+                stop = max(at + 1, int(np.searchsorted(words_upto, done + PIECE_WORDS, "right")))
+                yield lists.slice(at, stop - at)
+                at = stop
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lists in pieces(batches):
             number = pc.fill_null(pc.index_in(lists.flatten(), value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
             row = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
             pairs = []

@@ -74,3 +74,16 @@ def test_tags_split_texts_once(spark, tables):
     tags = kw.top_tags(spark.read.parquet(f"{tables}/documents.parquet"), "doc_id")
     tags.collect()
     assert "ReusedExchange" in tags._jdf.queryExecution().executedPlan().finalPhysicalPlan().toString()
+
+
+def test_pairs_are_counted_in_pieces(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(" ".join(rng.choice(list("abcdefgh"), n)),) for n in rng.integers(0, 40, 60)] + [(None,), ("a b " * 50,)]
+    texts = spark.createDataFrame(rows, "text string").repartition(2)
+    vocabulary = list("abcdef")
+    counted = lambda: {tuple(r) for r in co.near_pairs(texts, "text", vocabulary).collect()}
+    whole = counted()
+    for words in (1, 30):
+        monkeypatch.setattr(co, "PIECE_WORDS", words)
+        assert counted() == whole
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is not None
