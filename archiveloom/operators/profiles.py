@@ -12,9 +12,14 @@ A profile has at most ``size`` trigrams, which bounds the broadcast table; count
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from archiveloom.operators.batches import small_batches
 from archiveloom.operators.skew import broadcast_if_small
 from archiveloom.staging import StagingArea
 
@@ -24,10 +29,43 @@ SIZE = 1000
 MILLION = 1_000_000
 
 
+def _line(text: Column) -> Column:
+    """The lower-cased words, one space around each; no character takes two UTF-16 units."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), NO_LETTERS, " ")), F.lit(" "))
+
+
 def trigrams(text: Column) -> Column:
     """All runs of three characters of the lower-cased words, one space around each word."""
-    words = F.trim(F.regexp_replace(F.lower(text), NO_LETTERS, " "))
-    return F.regexp_extract_all(F.concat(F.lit(" "), words, F.lit(" ")), F.lit("(?=(.{3}))"), 1)
+    return F.regexp_extract_all(_line(text), F.lit("(?=(.{3}))"), 1)
+
+
+def count_trigrams(labelled: DataFrame) -> DataFrame:
+    """(lang, gram, n): how often each of :func:`trigrams` is in the texts of a language.
+
+    ``labelled`` is (lang, text). A trigram is a number of 48 bits while it is counted; counts are
+    combined per batch, which is bounded in bytes, before the shuffle.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines: dict[str, list[str]] = {}
+            for lang, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                lines.setdefault(lang, []).append(line)
+            for lang, own in lines.items():
+                units = np.frombuffer("".join(own).encode("utf-16-le"), "<u2").astype(np.int64)
+                ends = np.cumsum([len(line) for line in own])
+                whole = np.ones(len(units), dtype=bool)  # a run that begins here ends in the same text
+                whole[ends - 1] = whole[ends - 2] = False
+                code, n = np.unique(((units[:-2] << 32) | (units[1:-1] << 16) | units[2:])[whole[:-2]], return_counts=True)
+                if not len(code):
+                    continue
+                text = np.stack([code >> 32, (code >> 16) & 0xFFFF, code & 0xFFFF], axis=1).astype("<u2").tobytes().decode("utf-16-le")
+                grams = [text[i : i + 3] for i in range(0, len(text), 3)]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams)), pa.array(grams), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
+
+    small_batches(labelled.sparkSession)
+    lines = labelled.select("lang", _line(F.col("text")).alias("line"))
+    return lines.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def learn_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang", size: int = SIZE) -> DataFrame:
@@ -37,10 +75,7 @@ def learn_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang",
     teach nothing.
     """
     known = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = (
-        known.select(F.col(lang).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
-        .groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
-    )
+    counts = count_trigrams(known.select(F.col(lang).alias("lang"), F.col(text).alias("text")))
     counts, _ = StagingArea(labelled.sparkSession, "profiles").write(counts, "counts")
     kinds = counts.agg(F.count_distinct("gram")).first()[0]
     totals = counts.groupBy(F.col("lang").alias("_lang")).agg(F.sum("n").alias("_total"))

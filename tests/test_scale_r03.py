@@ -87,3 +87,10 @@ def test_pairs_are_counted_in_pieces(spark, monkeypatch):
         monkeypatch.setattr(co, "PIECE_WORDS", words)
         assert counted() == whole
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is not None
+
+
+def test_trigrams_counted_as_numbers_are_those_of_the_expression(spark):
+    rows = [("en", "The cat, the hat"), ("en", None), ("de", "Öl ß 𝔸bc 12"), ("de", ""), ("fr", "a"), ("fr", "İstanbul ẞ été 漢字"), ("en", "a b"), (None, "x y z")]
+    texts = spark.createDataFrame(rows, "lang string, text string").where("lang is not null and text is not null").repartition(2)
+    slow = texts.select("lang", F.explode(pf.trigrams(F.col("text"))).alias("gram")).groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
+    assert {tuple(r) for r in pf.count_trigrams(texts).collect()} == {tuple(r) for r in slow.collect()}
