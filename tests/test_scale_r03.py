@@ -94,3 +94,8 @@ def test_trigrams_counted_as_numbers_are_those_of_the_expression(spark):
     texts = spark.createDataFrame(rows, "lang string, text string").where("lang is not null and text is not null").repartition(2)
     slow = texts.select("lang", F.explode(pf.trigrams(F.col("text"))).alias("gram")).groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
     assert {tuple(r) for r in pf.count_trigrams(texts).collect()} == {tuple(r) for r in slow.collect()}
+
+
+def test_staged_tables_are_compressed_well(spark):
+    df, _ = StagingArea(spark, "codec").write(spark.range(10), "t")
+    assert all(f.endswith(".zstd.parquet") for f in df.inputFiles())
