@@ -115,6 +115,14 @@ def _explode_named(docs: DataFrame, items: Column, column: str) -> DataFrame:
     return docs.select("record_id", F.posexplode(items).alias("seq", column))
 
 
+def _explode_entries(docs: DataFrame, type_name: str, member: str, column: str) -> DataFrame:
+    """:func:`_explode_named` of one citation field, whose entries become rows as they are parsed."""
+    raw = docs.select("record_id", citation_field(type_name).alias("_raw"))
+    entries = F.from_json("_raw", f"array<struct<{member}: struct<value: string>>>")
+    rows = raw.select("record_id", F.posexplode(entries).alias("seq", "_entry"))
+    return rows.select("record_id", "seq", F.col("_entry")[member]["value"].alias(column))
+
+
 def doi_of_identifier(identifier: Column) -> Column:
     return F.concat(F.lit(DOI_RESOLVER), F.replace(identifier, F.lit("doi:"), F.lit("")))
 
@@ -167,7 +175,7 @@ def parse_dataverse(
             label.alias("file_name"), type_of_label(label).alias("file_type"),
             F.lit("SUCCEEDED").alias("status"),
         ),
-        "keywords": _explode_named(docs, _named("keyword", "keywordValue"), "keyword"),
+        "keywords": _explode_entries(docs, "keyword", "keywordValue", "keyword"),
         "person_role": _explode_named(docs, people, "person")
         .select("record_id", "seq", "person.name", "person.role")
         .where(F.col("name") != ""),

@@ -96,6 +96,17 @@ def test_trigrams_counted_as_numbers_are_those_of_the_expression(spark):
     assert {tuple(r) for r in pf.count_trigrams(texts).collect()} == {tuple(r) for r in slow.collect()}
 
 
+def test_keywords_are_read_as_they_are_parsed(spark):
+    body = '{"item":{"name":"n","description":"d","global_id":"g"},"version":{"metadataBlocks":{"citation":{"fields":[%s]}}}}'
+    other = '{"typeName":"keyword","value":[{"keywordValue":{"value":"never read"}}]}'
+    entries = '{"typeName":"keyword","value":[{"keywordValue":{"value":"a"}},{"other":1},null,{"keywordValue":{"value":"b"}}]}'
+    landed = [(1, body % entries), (2, body % '{"typeName":"keyword","value":"text"}'), (3, body % ""), (4, body % (entries + "," + other))]
+    out = ld.parse_dataverse(spark.createDataFrame(landed, "record_id long, json string"), "s")["keywords"]
+    assert "transform(" not in plan(out) and out.columns == ["record_id", "seq", "keyword"]
+    assert sorted(tuple(r) for r in out.where("keyword is not null").collect()) == [(1, 0, "a"), (1, 3, "b"), (4, 0, "a"), (4, 3, "b")]
+    assert out.where("keyword is null").count() == 4
+
+
 def test_staged_tables_are_compressed_well(spark):
     df, _ = StagingArea(spark, "codec").write(spark.range(10), "t")
     assert all(f.endswith(".zstd.parquet") for f in df.inputFiles())
