@@ -131,7 +131,7 @@ def _searcher(tests, text: str, first: bool, schema: pa.Schema):
             for part in pa.table([out[n] for n in schema.names], schema=schema).to_batches(max_chunksize=10_000):
                 yield part
 
-    return search
+    return pk.trimming(search)
 
 
 def matched(docs: DataFrame, tests: DataFrame, k: int = 10, keep: list[str] | None = None, id: str = "item_id", test_text: str = "text", text: str = "text") -> DataFrame:

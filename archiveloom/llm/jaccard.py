@@ -41,6 +41,7 @@ from archiveloom.staging import StagingArea
 LAST_ID = np.iinfo(np.int64).max
 MISSING = "_id_is_missing"
 HASH_BYTES = 7  # of a shingle's hash, sent besides its bucket
+BUCKET_BYTES = 8 << 20  # text whose shingles meet in one bucket; a worker takes some ten times that
 LEADER_SEEDS = (11, 12, 13)  # minimum hashes that look for a group's leader
 
 _BINARY = lambda *names: [(n, pa.binary()) for n in names]
@@ -107,7 +108,7 @@ def _sender(k: int, bits: int, seed: int, keep: tuple[str, ...]):
             rows = _rows(bucket, 1 << bits, spread, docs, doc[entry], sums[0], sizes, pack)
             yield pa.RecordBatch.from_pylist(rows, _SENT)
 
-    return send
+    return pk.trimming(send)
 
 
 def _unpacked(table: pa.Table, columns: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict]:
@@ -146,7 +147,7 @@ def _counter(bits: int, keep: tuple[str, ...]):
         docs = b"".join(_flat_docs(table, 4 + len(keep)))
         return pa.Table.from_pylist(_rows(to, 1 << bits, bucket, docs, entry, classes, sizes, pack), _COUNTED)
 
-    return count
+    return lambda key, table: pk.trimmed(count(key, table))
 
 
 def _flat_docs(table: pa.Table, width: int) -> Iterator[bytes]:
@@ -181,7 +182,7 @@ def _gatherer(percent: int, keep: tuple[str, ...]):
         out.append(pa.Table.from_pylist(rows, schema))
         return pa.concat_tables(out)
 
-    return gather
+    return lambda table: pk.trimmed(gather(table))
 
 
 def _prober(percent: int):
@@ -200,7 +201,7 @@ def _prober(percent: int):
                 enough[i] = 100 * overlap >= percent * (n[i] - overlap)
             yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)[enough]), pa.array(np.minimum(a, b)[enough])], ["hi", "lo"])
 
-    return probe
+    return pk.trimming(probe)
 
 
 def probed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -253,7 +254,7 @@ def placed(docs: DataFrame, k: int, percent: int, id: str, text: str, keep: tupl
     staging = StagingArea(docs.sparkSession, "jaccard")
     rows = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(int(LAST_ID))).alias("id"), *keep, F.col(text).alias("text"))
     pk.small_batches(docs.sparkSession)
-    bits = pk.bucket_bits(rows)
+    bits = pk.bucket_bits(rows, bucket_bytes=BUCKET_BYTES)
     seed = 0
     while True:
         sent = rows.mapInArrow(_sender(k, bits, seed, keep), _SENT_DDL)

@@ -124,7 +124,7 @@ def fit(labelled: DataFrame, sample: int = 1200, id: str = "doc_id", text: str =
                 values = [np.minimum(row, 65535).astype(np.uint16).tobytes() for row in counts]
                 yield pa.RecordBatch.from_arrays([batch.column("lang").slice(at, len(values)), pa.array(values, pa.binary())], ["lang", "counts"])
 
-    table = taken.select("lang", "text").mapInArrow(vectors, "lang string, counts binary").toArrow()
+    table = taken.select("lang", "text").mapInArrow(pk.trimming(vectors), "lang string, counts binary").toArrow()
     langs = np.array(table["lang"].to_pylist())
     counts = np.stack([np.frombuffer(b, np.uint16) for b in table["counts"].to_pylist()]).astype(np.float32)
     langs, counts = langs[counts.sum(axis=1) > 0], counts[counts.sum(axis=1) > 0]
@@ -172,4 +172,4 @@ def identified(docs: DataFrame, model: Model | None, keep: list[str] | None = No
             for part in pa.table([extra.get(n, table[n] if n in table.column_names else None) for n in schema.names], schema=schema).to_batches(max_chunksize=10_000):
                 yield part
 
-    return rows.mapInArrow(identify, out).select(*keep, "lang_pred", "score", "rejected")
+    return rows.mapInArrow(pk.trimming(identify), out).select(*keep, "lang_pred", "score", "rejected")

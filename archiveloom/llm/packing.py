@@ -9,7 +9,10 @@ entry per block before it is sent, so a frequent window fills no bucket.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import sys
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +25,38 @@ from archiveloom.operators.batches import small_batches  # noqa: F401, used as p
 BLOCK_BYTES = 4 << 20  # text handled at a time; a longer text is a block of its own
 BUCKET_BYTES = 16 << 20  # text whose windows meet in one bucket, on average
 
+_Out = TypeVar("_Out")
 
-def bucket_bits(docs: DataFrame, text: str = "text") -> int:
+
+def trimmed(out: _Out) -> _Out:
+    """``out``, after the allocators have given back what they keep of freed memory.
+
+    A Python worker outlives its tasks; what numpy and Arrow freed would stay with it, beside the
+    heap of the executor, through steps that need no Python at all.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None  # glibc has it
+    if trim is not None:
+        trim(0)
+    return out
+
+
+def trimming(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` on the batches of a task, whose worker is trimmed when the task ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            trimmed(None)
+
+    return run
+
+
+def bucket_bits(docs: DataFrame, text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> int:
     """Log2 of the number of buckets for all texts of ``docs``."""
     total = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
-    return max(2, int(np.ceil(np.log2(max(1, total / BUCKET_BYTES)))))
+    return max(2, int(np.ceil(np.log2(max(1, total / bucket_bytes)))))
 
 
 def blocks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.Table]:
