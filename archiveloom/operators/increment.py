@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from archiveloom.operators.merge import assign_linked
 from archiveloom.sources.snapshots import Snapshots
-from archiveloom.staging import StagingArea
+from archiveloom.staging import StagingArea, shuffled_if_large, sized
 
 RECORDS, OUTDATED = "records", "outdated"
 KEY_COLUMNS = ("ord", "url_key", "doi_key", "title_key", "repo", "url_set", "doi_set", "title_set", "filled")
@@ -48,7 +48,11 @@ def _carried(keys: DataFrame, *more: str) -> DataFrame:
 def _stored(snapshots: Snapshots, version: int | None = None) -> DataFrame:
     """Every record's last generation."""
     records = snapshots.read(RECORDS, version)
-    upto = snapshots.read(OUTDATED, version).groupBy("ord").agg(F.max("generation").alias("_upto"))
+    outdated = snapshots.read(OUTDATED, version)
+    places = outdated.count()  # by the files' footers
+    if not places:
+        return records
+    upto = shuffled_if_large(outdated.groupBy("ord").agg(F.max("generation").alias("_upto")), places)
     current = records.join(upto, "ord", "left").where(F.col("_upto").isNull() | (F.col("generation") >= F.col("_upto")))
     return current.drop("_upto")
 
@@ -75,6 +79,7 @@ def _merged(keys: DataFrame, staging: StagingArea, generation: int) -> DataFrame
     )
 
 
+@sized
 def start(keys: DataFrame, path: str) -> Change:
     """Merge all records and store the state under ``path``; ``keys`` are match keys."""
     spark = keys.sparkSession
@@ -89,6 +94,7 @@ def start(keys: DataFrame, path: str) -> Change:
     return Change(done.version, seen["n"], 0, 0, 0)
 
 
+@sized
 def update(spark: SparkSession, path: str, added: DataFrame | None = None, removed: DataFrame | None = None) -> Change:
     """Add records (match keys) and remove others (a column ``ord``); the rest stays as it is.
 
@@ -121,6 +127,7 @@ def update(spark: SparkSession, path: str, added: DataFrame | None = None, remov
     return Change(done.version, seen["n"] - replaced, dropped["n"] - replaced, kept["n"], components["n"])
 
 
+@sized
 def compact(spark: SparkSession, path: str) -> int:
     """Fold all generations into one; returns the new version."""
     snapshots = Snapshots(spark, path)
