@@ -61,6 +61,19 @@ def test_removing_records_joins_by_memory(spark, tmp_path, factors, monkeypatch)
     assert {tuple(r) for r in found.select("ord", "label").collect()} == {tuple(r) for r in merge.assign_by_keys(left, StagingArea(spark, "test")).collect()}
 
 
+def test_late_records_join_by_memory(spark, tmp_path, factors):
+    path = f"{tmp_path}/state"
+    late = [i for i in range(60) if i % 7 == 0]
+    increment.start(keys(spark, [i for i in range(60) if i % 7]), path)
+    assert "Join" not in plan(increment.assignment(spark, path))  # nothing is out of date yet
+    increment.update(spark, path, keys(spark, late))
+    assert len(factors) > 10 and min(factors) == st.FACTOR
+    increment.compact(spark, path)
+    assert "Join" not in plan(increment.assignment(spark, path)) and min(factors) == st.FACTOR
+    found = increment.assignment(spark, path).select("ord", "label").collect()
+    assert {tuple(r) for r in found} == {tuple(r) for r in merge.assign_by_keys(keys(spark, range(60)), StagingArea(spark, "test")).collect()}
+
+
 VALUES = ["Coal ", " COAL", "coal", "ore", "Ore", " \t ", "", None, "sea\u3000salt", "Sea  Salt", "\x85x", "é É"]
 
 
